@@ -35,8 +35,12 @@ FLAGSHIP_SF = "/root/testdata/sf0.001"
 
 # Deterministic faults injected into derived inputs (every row is still
 # processed; these only change what some rows contain).
-PREFIX_BAD = F.col("event_id") % 53 == 7          # bad value text in a document
-NULL_VALUE = F.col("event_id") % 47 == 5          # NULL reading value
+def _prefix_bad():
+    return F.col("event_id") % 53 == 7          # bad value text in a document
+
+
+def _null_value():
+    return F.col("event_id") % 47 == 5          # NULL reading value
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -74,11 +78,11 @@ def q_raw_flatten(spark, sf):
 
 
 def q_flatten_prefix_keep(spark, sf):
-    return flatten.flatten_readings(ev.day_documents(spark, sf, bad_value=PREFIX_BAD))
+    return flatten.flatten_readings(ev.day_documents(spark, sf, bad_value=_prefix_bad()))
 
 
 def q_flatten_rejects(spark, sf):
-    return flatten.flatten_rejects(ev.day_documents(spark, sf, bad_value=PREFIX_BAD)).drop("day_id")
+    return flatten.flatten_rejects(ev.day_documents(spark, sf, bad_value=_prefix_bad())).drop("day_id")
 
 
 def q_parquet_roundtrip(spark, sf):
@@ -126,7 +130,7 @@ def q_null_policy(spark, sf):
     # Station attributes without defaults (NULL when the station is unknown)
     # and injected NULL values; the policy fills the former, drops the latter.
     r = ev.event_readings(spark, sf)
-    r = r.withColumn("value", F.when(~NULL_VALUE, F.col("value")))
+    r = r.withColumn("value", F.when(~_null_value(), F.col("value")))
     st = ev.stations(spark, sf)
     joined = r.join(maybe_broadcast(st), "station_id", "left")
     return cleaning.null_policy(joined).select(*CLEAN_COLUMNS)

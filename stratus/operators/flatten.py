@@ -23,7 +23,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratus.functions.columns import parse_value, text_date
-from stratus.schemas import CLEAN_COLUMNS
 
 # Reasons attached to rejects.
 DAY_MISSING_DATA = "missing_data"
@@ -68,13 +67,19 @@ def _items() -> Column:
     return F.flatten(F.transform(F.col("data.readings"), per_reading))
 
 
+def _with_value(x: Column) -> Column:
+    return F.struct(x["timestamp"], x["station_id"], x["raw_value"], x["broken"],
+                    parse_value(x["raw_value"]).alias("value"))
+
+
 def _with_reason(x: Column) -> Column:
     reason = (
         F.when(x["broken"], F.lit(ITEM_MALFORMED_READING))
         .when(x["station_id"].isNull(), F.lit(ITEM_MISSING_STATION_ID))
-        .when(parse_value(x["raw_value"]).isNull(), F.lit(ITEM_BAD_VALUE))
+        .when(x["value"].isNull(), F.lit(ITEM_BAD_VALUE))
     )
-    return F.struct(x["timestamp"], x["station_id"], x["raw_value"], reason.alias("reason"))
+    return F.struct(x["timestamp"], x["station_id"], x["raw_value"], x["value"],
+                    reason.alias("reason"))
 
 
 def annotate_days(days: DataFrame) -> DataFrame:
@@ -89,57 +94,77 @@ def annotate_days(days: DataFrame) -> DataFrame:
             F.xxhash64("metric", "source_file", "data").alias("day_id"),
             _day_reason().alias("day_reason"),
             # Stations reversed so that the first match is the last entry
-            # (duplicate ids: last one wins).
+            # (duplicate ids: last one wins).  Computed once per day here,
+            # below the explode, and only referenced from the item lambdas.
             F.reverse(F.col("data.stations")).alias("st_rev"),
-            F.transform(_items(), _with_reason).alias("items"),
+            F.reverse(F.col("data.stations.id")).alias("ids_rev"),
+            # Each step is its own transform so that a value computed once
+            # per item (parsed value) is not re-evaluated where it is used.
+            F.transform(F.transform(_items(), _with_value), _with_reason).alias("items"),
         )
         .withColumn("first_bad", F.array_position(
             F.transform("items", lambda x: x["reason"].isNotNull()), True).cast("int"))
     )
 
 
-def _lookup(x: Column, st_rev: Column, ids_rev: Column) -> Column:
-    """Enrich one kept item with its station (defaults when unknown)."""
-    pos = F.array_position(ids_rev, x["station_id"])
-    st = F.when(pos > 0, F.element_at(st_rev, pos.cast("int")))
-    return F.struct(
-        x["timestamp"].alias("timestamp"),
-        x["station_id"].alias("station_id"),
-        F.coalesce(st["name"], F.lit("")).alias("station_name"),
-        F.coalesce(st["location"]["latitude"], F.lit(0.0)).alias("latitude"),
-        F.coalesce(st["location"]["longitude"], F.lit(0.0)).alias("longitude"),
-        parse_value(x["raw_value"]).alias("value"),
-    )
+def _with_station_pos(x: Column, ids_rev: Column) -> Column:
+    return F.struct(x["timestamp"], x["station_id"], x["value"],
+                    F.array_position(ids_rev, x["station_id"]).cast("int").alias("pos"))
+
+
+def _with_station(y: Column, st_rev: Column) -> Column:
+    return F.struct(y["timestamp"], y["station_id"], y["value"],
+                    F.when(y["pos"] > 0, F.element_at(st_rev, y["pos"])).alias("st"))
 
 
 def flatten_readings(days: DataFrame) -> DataFrame:
     """Clean long readings (CLEAN_SCHEMA) of the kept prefix of every good day."""
-    a = annotate_days(days)
+    return readings_of(annotate_days(days))
+
+
+def flatten_rejects(days: DataFrame) -> DataFrame:
+    """Everything the prefix-keep flatten drops, with position and reason.
+
+    One row per malformed day (position NULL) and one row per lost item
+    (1-based position among the day's items).  The first bad item carries
+    its own reason; items lost after it carry `after_bad_item` unless they
+    are bad themselves.
+    """
+    return rejects_of(annotate_days(days))
+
+
+def readings_of(a: DataFrame) -> DataFrame:
+    """Clean readings from `annotate_days` output."""
     # NULL for a malformed day: explode then yields no rows.
     kept = F.when(
         F.col("day_reason").isNull(),
         F.when(F.col("first_bad") == 0, F.col("items"))
         .otherwise(F.slice("items", 1, F.col("first_bad") - 1)),
     )
-    ids_rev = F.transform("st_rev", lambda s: s["id"])
-    enriched = F.transform(kept, lambda x: _lookup(x, F.col("st_rev"), ids_rev))
+    # Station lookup inside the row: one array_position per item (a compiled
+    # scan of the day's station ids), then one element_at.  No shuffle.
+    enriched = F.transform(
+        F.transform(kept, lambda x: _with_station_pos(x, F.col("ids_rev"))),
+        lambda y: _with_station(y, F.col("st_rev")),
+    )
+    r = F.col("r")
     return (
         a.select("metric", F.explode(enriched).alias("r"))
-        .select("metric", "r.*")
-        .withColumn("date", text_date("timestamp"))
-        .select(*CLEAN_COLUMNS)
+        .select(
+            "metric",
+            text_date(r["timestamp"]).alias("date"),
+            r["timestamp"].alias("timestamp"),
+            r["station_id"].alias("station_id"),
+            F.coalesce(r["st"]["name"], F.lit("")).alias("station_name"),
+            F.coalesce(r["st"]["location"]["latitude"], F.lit(0.0)).alias("latitude"),
+            F.coalesce(r["st"]["location"]["longitude"], F.lit(0.0)).alias("longitude"),
+            r["value"].alias("value"),
+        )
     )
 
 
-def flatten_rejects(days: DataFrame) -> DataFrame:
-    """Everything the prefix-keep flatten drops, with position and reason.
-
-    One row per malformed day (position NULL) and one row per lost item
-    (1-based position among the day's items).  The first bad item carries
-    its own reason; items lost after it carry `after_bad_item` unless they
-    are bad themselves.
-    """
-    a = annotate_days(days)
+def rejects_of(a: DataFrame) -> DataFrame:
+    """Rejects from `annotate_days` output."""
     day_rows = a.where(F.col("day_reason").isNotNull()).select(
         "metric", "source_file", "day_id",
         F.lit(None).cast("int").alias("position"),

@@ -15,7 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratus.operators.flatten import flatten_readings, flatten_rejects
+from pyspark import StorageLevel
+
+from stratus.operators.flatten import annotate_days, readings_of, rejects_of
 from stratus.schemas import CLEAN_COLUMNS, CLEAN_SCHEMA
 
 RAW, CLEAN, REJECTS, CURATED = "raw", "clean", "rejects", "curated"
@@ -81,11 +83,20 @@ def publish_raw(days: DataFrame, root: str) -> str:
 
 def ingest_clean(spark: SparkSession, raw_days: DataFrame, root: str) -> tuple[str, str]:
     """Flatten raw days into the clean layer (partitioned by metric, date)
-    and the rejects layer.  Returns (clean path, rejects path)."""
+    and the rejects layer.  Returns (clean path, rejects path).
+
+    The JSON is parsed once: the annotated days are persisted (memory, then
+    local disk; recomputed from the raw files if an executor is lost) and
+    feed both writes.
+    """
     clean = layer_path(root, CLEAN, "readings")
     rejects = layer_path(root, REJECTS, "readings")
-    write_parquet(flatten_readings(raw_days), clean, ["metric", "date"])
-    write_parquet(flatten_rejects(raw_days), rejects, ["metric"])
+    annotated = annotate_days(raw_days).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        write_parquet(readings_of(annotated), clean, ["metric", "date"])
+        write_parquet(rejects_of(annotated), rejects, ["metric"])
+    finally:
+        annotated.unpersist()
     return clean, rejects
 
 
@@ -96,9 +107,12 @@ def read_clean(spark: SparkSession, path: str) -> DataFrame:
 
 def publish_curated(df: DataFrame, root: str, table: str,
                     partition_by: list[str] | None = None) -> tuple[str, str]:
-    """Write one curated table as Parquet and as a CSV export."""
+    """Write one curated table as Parquet, then export the written table as
+    CSV (the query runs once; the export reads the small curated files)."""
+    spark = df.sparkSession
     pq = write_parquet(df, layer_path(root, CURATED, table), partition_by)
-    csv = write_csv(df, layer_path(root, CURATED, f"{table}_csv"), single_file=True)
+    written = spark.read.parquet(pq).select(*df.columns)
+    csv = write_csv(written, layer_path(root, CURATED, f"{table}_csv"), single_file=True)
     return pq, csv
 
 
