@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from pyspark import StorageLevel
 
 from stratus.operators.flatten import annotate_days, readings_of, rejects_of
-from stratus.schemas import CLEAN_COLUMNS, CLEAN_SCHEMA
+from stratus.schemas import CLEAN_COLUMNS, CLEAN_SCHEMA, REJECT_SCHEMA
 
 RAW, CLEAN, REJECTS, CURATED = "raw", "clean", "rejects", "curated"
 DOMAIN = "weather"
@@ -105,6 +105,12 @@ def read_clean(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CLEAN_SCHEMA).parquet(path).select(*CLEAN_COLUMNS)
 
 
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """Rejects with their declared schema (also when none were written)."""
+    cols = [f.name for f in REJECT_SCHEMA.fields]
+    return spark.read.schema(REJECT_SCHEMA).parquet(path).select(*cols)
+
+
 def publish_curated(df: DataFrame, root: str, table: str,
                     partition_by: list[str] | None = None) -> tuple[str, str]:
     """Write one curated table as Parquet, then export the written table as
