@@ -107,10 +107,18 @@ def _publish_lake(spark, sf) -> str:
     clean_path, _ = lake.ingest_clean(spark, raw, root)
     clean = lake.read_clean(spark, clean_path)
     for name, fn in C.CURATED.items():
-        lake.publish_curated(fn(clean), root, name)
+        df = fn(clean) if name == "hottest_stations" else fn(clean, ordered=False)
+        lake.publish_curated(df, root, name, order_by=C.ORDER[name]())
     return root
 
 
+def q_raw_json_scan(spark, sf):
+    """Day responses landed as JSON files, scanned with the fixed schema, flattened."""
+    root = shared_dir(spark, "raw-scan")
+    path = lake.publish_raw(ev.day_documents(spark, sf), root)
+    return flatten.flatten_readings(read_raw_days(spark, path, multiline=False))
+
+
 def q_layer_publish(spark, sf):
     root = _publish_lake(spark, sf)
     return lake.read_parquet(spark, lake.layer_path(root, lake.CURATED, "rainiest_days"))
@@ -173,6 +181,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rainiest_ranked": lambda s, sf: C.rainiest_ranked(ev.readings(s, sf, metrics=[RAINFALL])),
         "last_7_days": q_last_7_days,
         "raw_flatten": q_raw_flatten,
+        "raw_json_scan": q_raw_json_scan,
         "typed_cast": q_typed_cast,
         "flatten_prefix_keep": q_flatten_prefix_keep,
         "flatten_rejects": q_flatten_rejects,
@@ -328,6 +337,7 @@ FROM readings
 WHERE metric = 'air_temperature' AND date > (SELECT MAX(date) - 7 FROM readings)
 GROUP BY date, station_name""",
         "raw_flatten": CLEAN_SQL,
+        "raw_json_scan": CLEAN_SQL,
         "typed_cast": f"""
 SELECT event_id, raw_value,
        CASE WHEN regexp_matches(raw_value, '{_NUMERIC}') THEN TRY_CAST(trim(raw_value) AS DOUBLE) END AS value

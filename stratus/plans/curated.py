@@ -114,6 +114,14 @@ def trailing_days(readings: DataFrame, days: int = 7) -> DataFrame:
     return readings.where(F.col("date") > F.date_sub(last, days))
 
 
+# Presentation order of each curated table (unique final key).
+ORDER = {
+    "daily_temp": lambda: [F.asc("date"), F.desc("avg_temp_c"), F.asc("station_name")],
+    "hottest_stations": lambda: [F.desc("avg_temp_c"), F.asc("station_name")],
+    "rainiest_days": lambda: [F.desc("total_rainfall_mm"), F.asc("date")],
+    "daily_humidity": lambda: [F.asc("date")],
+}
+
 CURATED = {
     "daily_temp": daily_temp,
     "hottest_stations": hottest_stations,

@@ -112,12 +112,16 @@ def read_rejects(spark: SparkSession, path: str) -> DataFrame:
 
 
 def publish_curated(df: DataFrame, root: str, table: str,
-                    partition_by: list[str] | None = None) -> tuple[str, str]:
+                    partition_by: list[str] | None = None,
+                    order_by: list | None = None) -> tuple[str, str]:
     """Write one curated table as Parquet, then export the written table as
-    CSV (the query runs once; the export reads the small curated files)."""
+    CSV (the query runs once; the export reads the small curated files and
+    sorts them for presentation when `order_by` is given)."""
     spark = df.sparkSession
     pq = write_parquet(df, layer_path(root, CURATED, table), partition_by)
     written = spark.read.parquet(pq).select(*df.columns)
+    if order_by:
+        written = written.orderBy(*order_by)
     csv = write_csv(written, layer_path(root, CURATED, f"{table}_csv"), single_file=True)
     return pq, csv
 

@@ -72,3 +72,27 @@ def test_manifest_does_not_read_content(spark, tmp_dir):
         f.write(b"y" * 10)
     plan = lake.file_manifest(spark, tmp_dir)._jdf.queryExecution().executedPlan().toString()
     assert "content" not in plan.split("ReadSchema:")[-1]
+
+
+def test_batch_run_from_multiline_files(spark, tmp_dir):
+    import json
+    from stratus.plans.batch import run_batch
+    raw = os.path.join(tmp_dir, "raw_data")
+    os.makedirs(raw)
+    days = [{"data": {"stations": [{"id": "S1", "name": "A"}], "readings": [
+        {"timestamp": f"2026-03-0{d}T00:0{i}:00+08:00",
+         "data": [{"stationId": "S1", "value": 20 + d + i}, {"stationId": "S2", "value": 1}]}
+        for i in range(3)]}} for d in (1, 2)]
+    for m in ["air_temperature", "relative_humidity", "rainfall", "wind_speed", "wind_direction"]:
+        with open(os.path.join(raw, f"{m}_raw.json"), "w") as f:
+            json.dump(days, f)
+    out = run_batch(spark, raw, os.path.join(tmp_dir, "lake"))
+    clean = lake.read_clean(spark, out["clean"])
+    assert clean.count() == 5 * 2 * 3 * 2
+    temp = sorted(tuple(r) for r in spark.read.parquet(out["daily_temp"]).select(
+        "date", "station_name", "avg_temp_c", "max_temp_c").collect())
+    import datetime as dt
+    assert temp == [(dt.date(2026, 3, 1), "", 1.0, 1.0), (dt.date(2026, 3, 1), "A", 22.0, 23.0),
+                    (dt.date(2026, 3, 2), "", 1.0, 1.0), (dt.date(2026, 3, 2), "A", 23.0, 24.0)]
+    csv_rows = lake.read_csv(spark, out["rainiest_days_csv"], spark.read.parquet(out["rainiest_days"]).schema).collect()
+    assert [(str(r["date"]), r["total_rainfall_mm"]) for r in csv_rows] == [("2026-03-02", 72.0), ("2026-03-01", 69.0)]
