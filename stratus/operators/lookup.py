@@ -9,6 +9,8 @@ reading with name "" and coordinates 0.0.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,9 +18,23 @@ from pyspark.sql import functions as F
 # so the broadcast relation stays under ~50 MB.
 BROADCAST_MAX_ROWS = 500_000
 
+# A size decision is reused for the same logical plan (same sources and
+# operators, by `semanticHash`) for this long; a dimension that grows is
+# checked again after it.
+CHECK_TTL_SECONDS = 600.0
+_checked: dict[tuple[int, int, int], tuple[float, bool]] = {}
+
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when `df` has at most `max_rows` rows (reads at most max_rows + 1)."""
+    key = (id(df.sparkSession), df.semanticHash(), max_rows)
+    now = time.monotonic()
+    hit = _checked.get(key)
+    if hit is not None and now - hit[0] < CHECK_TTL_SECONDS:
+        return hit[1]
+    ok = df.limit(max_rows + 1).count() <= max_rows
+    _checked[key] = (now, ok)
+    return ok
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
@@ -46,21 +62,17 @@ def station_lookup(readings: DataFrame, stations: DataFrame,
     The station columns are default-filled; the readings' own columns come
     first, in their order.
     """
-    dim = stations.select(
-        F.col("station_id").alias("_sid"),
-        F.col("station_name").alias("_name"),
-        F.col("latitude").alias("_lat"),
-        F.col("longitude").alias("_lon"),
-    )
+    dim = stations.selectExpr("station_id AS _sid", "station_name AS _name",
+                              "latitude AS _lat", "longitude AS _lon")
     dim = maybe_broadcast(dim, max_broadcast_rows)
     base = [c for c in readings.columns
             if c not in ("station_name", "latitude", "longitude")]
     return (
         readings.join(dim, readings["station_id"] == dim["_sid"], "left")
-        .select(
-            *[readings[c] for c in base],
-            F.coalesce(F.col("_name"), F.lit("")).alias("station_name"),
-            F.coalesce(F.col("_lat"), F.lit(0.0)).alias("latitude"),
-            F.coalesce(F.col("_lon"), F.lit(0.0)).alias("longitude"),
+        .selectExpr(
+            *[f"`{c}`" for c in base],
+            "coalesce(_name, '') AS station_name",
+            "coalesce(_lat, 0.0D) AS latitude",
+            "coalesce(_lon, 0.0D) AS longitude",
         )
     )

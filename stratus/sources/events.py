@@ -28,16 +28,25 @@ TIMESTAMP_OFFSET = "+08:00"
 DOC_EVENT_SPAN = 1024
 
 
+# Declared schemas of the tables read here: no footer inference at read time.
+TABLE_SCHEMAS = {
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+              "value DOUBLE, props STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read
+    if name in TABLE_SCHEMAS:
+        reader = reader.schema(TABLE_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def metric_of(event_type: Column) -> Column:
-    out = None
-    for et, metric in EVENT_METRIC:
-        out = (F.when(event_type == et, F.lit(metric)) if out is None
-               else out.when(event_type == et, F.lit(metric)))
-    return out
+def metric_of(event_type: str = "event_type") -> Column:
+    """Metric of an event type column (one CASE expression)."""
+    whens = " ".join(f"WHEN '{et}' THEN '{m}'" for et, m in EVENT_METRIC)
+    return F.expr(f"CASE {event_type} {whens} END")
 
 
 def timestamp_text(ts: Column) -> Column:
@@ -55,11 +64,11 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Station dimension: station_id, station_name, latitude, longitude."""
     # A NULL key never matches; filtering on the stored column lets the
     # scan skip such rows (the join's inferred filter is on the cast key).
-    return table(spark, sf_dir, "supplier").where(F.col("s_suppkey").isNotNull()).select(
-        F.col("s_suppkey").cast("string").alias("station_id"),
-        F.col("s_name").alias("station_name"),
-        F.col("s_acctbal").alias("latitude"),
-        F.col("s_nationkey").cast("double").alias("longitude"),
+    return table(spark, sf_dir, "supplier").where("s_suppkey IS NOT NULL").selectExpr(
+        "CAST(s_suppkey AS STRING) AS station_id",
+        "s_name AS station_name",
+        "s_acctbal AS latitude",
+        "CAST(s_nationkey AS DOUBLE) AS longitude",
     )
 
 
@@ -78,12 +87,12 @@ def event_readings(spark: SparkSession, sf_dir: str, metrics=None) -> DataFrame:
     if metrics is not None:
         e = e.where(F.col("event_type").isin(event_types(metrics)))
     return e.select(
-        F.col("event_id"),
-        metric_of(F.col("event_type")).alias("metric"),
+        "event_id",
+        metric_of().alias("metric"),
         F.to_date("ts").alias("date"),
         timestamp_text(F.col("ts")).alias("timestamp"),
         F.col("user_id").cast("string").alias("station_id"),
-        F.col("value"),
+        "value",
     )
 
 
@@ -110,7 +119,7 @@ def day_documents(spark: SparkSession, sf_dir: str,
     if bad_value is not None:
         text = F.when(bad_value, F.lit("n/a")).otherwise(text)
     ev = e.select(
-        metric_of(F.col("event_type")).alias("metric"),
+        metric_of().alias("metric"),
         F.to_date("ts").alias("date"),
         F.floor(F.col("event_id") / DOC_EVENT_SPAN).alias("span"),
         timestamp_text(F.col("ts")).alias("ts_text"),
