@@ -158,6 +158,16 @@ def q_stream_daily_equals_batch(spark, sf):
                                     ["date", "avg_humidity_pct", "max_humidity_pct"])
 
 
+def q_stream_hottest_equals_batch(spark, sf):
+    root = shared_dir(spark, "incremental-hot")
+    landing = f"{root}/landing"
+    incremental.land(ev.readings(spark, sf, metrics=[TEMPERATURE]), landing)
+    paths = incremental.run_incremental(spark, landing, root, ["hottest_stations"],
+                                        files_per_batch=10)
+    return incremental.read_curated(spark, paths["hottest_stations"],
+                                    ["station_name", "avg_temp_c", "max_temp_c"])
+
+
 def _sql(name):
     def run(spark, sf):
         return S.curated_sql(spark, ev.readings(spark, sf), name)
@@ -194,6 +204,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "null_policy": q_null_policy,
         "quality_report": lambda s, sf: quality.quality_report(ev.readings(s, sf)),
         "stream_daily_equals_batch": q_stream_daily_equals_batch,
+        "stream_hottest_equals_batch": q_stream_hottest_equals_batch,
     }
 
 
@@ -360,4 +371,5 @@ SELECT DISTINCT {_CLEAN} FROM (
         "null_policy": _with() + f"\nSELECT {_CLEAN} FROM readings WHERE NOT (event_id % 47 = 5)",
         "quality_report": QUALITY_SQL,
         "stream_daily_equals_batch": HUMIDITY_SQL,
+        "stream_hottest_equals_batch": _hottest(10),
     }

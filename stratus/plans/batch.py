@@ -26,8 +26,19 @@ def run_batch(spark: SparkSession, raw: str | list[str], root: str,
     clean_path, rejects_path = lake.ingest_clean(spark, days, root)
     clean = lake.read_clean(spark, clean_path)
     out = {"clean": clean_path, "rejects": rejects_path}
-    for name, fn in C.CURATED.items():
-        df = fn(clean) if name == "hottest_stations" else fn(clean, ordered=False)
+    # Temperature is scanned once: both temperature tables follow from the
+    # stored per-(date, station) partials.
+    partials = lake.write_parquet(C.temperature_partials(clean),
+                                  lake.layer_path(root, lake.CURATED, "_temperature_partials"),
+                                  ["date"])
+    stored = spark.read.parquet(partials)
+    tables = {
+        "daily_temp": C.daily_temp_from_partials(stored, ordered=False),
+        "hottest_stations": C.hottest_from_partials(stored),
+        "rainiest_days": C.rainiest_days(clean, ordered=False),
+        "daily_humidity": C.daily_humidity(clean, ordered=False),
+    }
+    for name, df in tables.items():
         pq, csv = lake.publish_curated(df, root, name, PARTITIONING.get(name), C.ORDER[name]())
         out[name] = pq
         out[f"{name}_csv"] = csv

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratus.functions.columns import exact_avg, exact_sum, round2
+from stratus.functions.columns import SUM_TYPE, exact_avg, exact_sum, round2
 from stratus.schemas import HUMIDITY, METRIC_BY_NAME, RAINFALL, TEMPERATURE
 
 
@@ -58,6 +58,49 @@ def hottest_stations(readings: DataFrame, k: int = 10, by: str = "station_name")
     )
 
 
+def temperature_partials(readings: DataFrame, by: str = "station_name") -> DataFrame:
+    """Exact, mergeable partials per (date, station): decimal sum, count, max.
+
+    `daily_temp` and `hottest_stations` both follow from this one small
+    table, so a batch run scans the temperature rows once, and the
+    incremental mode can keep a non-date-keyed table (hottest) current by
+    re-aggregating the stored per-date partials.
+    """
+    v = F.col("value")
+    return (
+        metric_rows(readings, TEMPERATURE)
+        .groupBy("date", by)
+        .agg(F.sum(v.cast(SUM_TYPE)).alias("sum_value"),
+             F.count(v).alias("n_values"),
+             F.max(v).alias("max_value"))
+    )
+
+
+def _avg_of(total: str, n: str):
+    return F.round(F.try_divide(F.col(total), F.col(n)), 2).cast("double")
+
+
+def daily_temp_from_partials(partials: DataFrame, by: str = "station_name",
+                             ordered: bool = True) -> DataFrame:
+    out = partials.select(
+        "date", by,
+        _avg_of("sum_value", "n_values").alias("avg_temp_c"),
+        round2("max_value").alias("max_temp_c"),
+    )
+    return out.orderBy(F.asc("date"), F.desc("avg_temp_c"), F.asc(by)) if ordered else out
+
+
+def hottest_from_partials(partials: DataFrame, k: int = 10, by: str = "station_name") -> DataFrame:
+    return (
+        partials.groupBy(by)
+        .agg(F.sum("sum_value").alias("s"), F.sum("n_values").alias("n"),
+             F.max("max_value").alias("m"))
+        .select(by, _avg_of("s", "n").alias("avg_temp_c"), round2("m").alias("max_temp_c"))
+        .orderBy(F.desc("avg_temp_c"), F.asc(by))
+        .limit(k)
+    )
+
+
 def rainiest_days(readings: DataFrame, ordered: bool = True) -> DataFrame:
     """Total rainfall per day over all stations, wettest first."""
     out = (

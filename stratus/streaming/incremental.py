@@ -13,6 +13,12 @@ for scheduled runs, or a processing-time trigger), and each micro-batch:
    touched dates; the date-partitioned clean layer is then pruned;
 3. replaces exactly those date partitions of the curated table.
 
+Temperature is kept as exact per-(date, station) partials (decimal sum,
+count, max; `curated.temperature_partials`), maintained per date like the
+tables above.  daily_temp follows from the touched dates' partials, and
+hottest_stations — not keyed by date — is re-aggregated from all stored
+partials, a table of one row per station and day, never the readings.
+
 Late files simply touch older dates again.  Progress is kept in the
 stream checkpoint under the shared checkpoint folder, so a restarted job
 continues where it stopped.
@@ -31,11 +37,15 @@ from stratus.plans import curated as C
 from stratus.schemas import CLEAN_COLUMNS, CLEAN_SCHEMA
 
 # Curated tables that are keyed by date and so can be maintained per date.
+# daily_temp is derived from the stored temperature partials instead.
 DATE_KEYED: dict[str, Callable[[DataFrame], DataFrame]] = {
-    "daily_temp": lambda r: C.daily_temp(r, ordered=False),
     "rainiest_days": lambda r: C.rainiest_days(r, ordered=False),
     "daily_humidity": lambda r: C.daily_humidity(r, ordered=False),
 }
+# Tables built from the per-date temperature partials.
+FROM_PARTIALS = ("daily_temp", "hottest_stations")
+SUPPORTED = tuple(DATE_KEYED) + FROM_PARTIALS
+PARTIALS = "_temperature_partials"
 
 BATCH_COL = "batch_id"
 
@@ -57,7 +67,16 @@ def _clean_schema_with_batch() -> T.StructType:
     return T.StructType(CLEAN_SCHEMA.fields + [T.StructField(BATCH_COL, T.LongType())])
 
 
-def make_batch_handler(spark: SparkSession, clean: str, curated: dict[str, str]):
+def make_batch_handler(spark: SparkSession, clean: str, curated: dict[str, str],
+                       partials: str | None = None):
+    """foreachBatch body.  `partials` (a path) is required when daily_temp or
+    hottest_stations is maintained."""
+    unknown = set(curated) - set(SUPPORTED)
+    if unknown:
+        raise ValueError(f"not maintainable incrementally: {sorted(unknown)}")
+    if partials is None and set(curated) & set(FROM_PARTIALS):
+        raise ValueError("a partials path is needed for daily_temp / hottest_stations")
+
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch = batch.select(*CLEAN_COLUMNS).persist()
         try:
@@ -70,7 +89,19 @@ def make_batch_handler(spark: SparkSession, clean: str, curated: dict[str, str])
                      .join(touched, "date", "left_semi")
                      .select(*CLEAN_COLUMNS))
             for table, path in curated.items():
-                _dynamic_overwrite(DATE_KEYED[table](whole), path, ["date"])
+                if table in DATE_KEYED:
+                    _dynamic_overwrite(DATE_KEYED[table](whole), path, ["date"])
+            if partials is not None and set(curated) & set(FROM_PARTIALS):
+                _dynamic_overwrite(C.temperature_partials(whole), partials, ["date"])
+                stored = spark.read.parquet(partials)
+                if "daily_temp" in curated:
+                    fresh = stored.join(touched, "date", "left_semi")
+                    _dynamic_overwrite(C.daily_temp_from_partials(fresh, ordered=False),
+                                       curated["daily_temp"], ["date"])
+                if "hottest_stations" in curated:
+                    # Small: one row per (date, station) partial.
+                    (C.hottest_from_partials(stored).write.mode("overwrite")
+                     .parquet(curated["hottest_stations"]))
         finally:
             batch.unpersist()
     return handle
@@ -82,6 +113,7 @@ def run_incremental(spark: SparkSession, landing: str, root: str,
     """Process everything in `landing` not yet processed; return curated paths."""
     clean = f"{root.rstrip('/')}/clean/readings"
     curated = {t: f"{root.rstrip('/')}/curated/{t}" for t in tables}
+    partials = f"{root.rstrip('/')}/curated/{PARTIALS}"
     stream = (
         spark.readStream.schema(CLEAN_SCHEMA)
         .option("maxFilesPerTrigger", files_per_batch)
@@ -89,7 +121,7 @@ def run_incremental(spark: SparkSession, landing: str, root: str,
     )
     writer = (
         stream.writeStream
-        .foreachBatch(make_batch_handler(spark, clean, curated))
+        .foreachBatch(make_batch_handler(spark, clean, curated, partials))
         .option("checkpointLocation", f"{root.rstrip('/')}/_checkpoint")
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

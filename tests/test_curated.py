@@ -140,3 +140,12 @@ def test_daily_aggregates_are_partial_then_final(spark):
     phys = _plan(df)
     assert phys.count("HashAggregate") >= 2, phys
     assert "Aggregate" in plan
+
+
+def test_partials_give_identical_tables(spark):
+    r = ev.readings(spark, SF01, metrics=["air_temperature"])
+    p = C.temperature_partials(r)
+    assert [tuple(x) for x in C.daily_temp_from_partials(p).collect()] == \
+        [tuple(x) for x in C.daily_temp(r).collect()]
+    assert [tuple(x) for x in C.hottest_from_partials(p).collect()] == \
+        [tuple(x) for x in C.hottest_stations(r).collect()]

@@ -26,7 +26,7 @@ def test_stream_equals_batch_with_late_files_and_rerun(spark, tmp_dir):
     everything = first.unionByName(rest)
 
     incremental.land(first, landing)
-    tables = ["daily_humidity", "daily_temp"]
+    tables = ["daily_humidity", "daily_temp", "hottest_stations", "rainiest_days"]
     paths = incremental.run_incremental(spark, landing, root, tables, files_per_batch=4)
     hum = ["date", "avg_humidity_pct", "max_humidity_pct"]
     assert _curated(spark, paths["daily_humidity"], hum) == sorted(
@@ -39,6 +39,9 @@ def test_stream_equals_batch_with_late_files_and_rerun(spark, tmp_dir):
     tmp = ["date", "station_name", "avg_temp_c", "max_temp_c"]
     assert _curated(spark, paths["daily_temp"], tmp) == sorted(
         tuple(x) for x in C.daily_temp(everything).collect())
+    hot = ["station_name", "avg_temp_c", "max_temp_c"]
+    assert _curated(spark, paths["hottest_stations"], hot) == sorted(
+        tuple(x) for x in C.hottest_stations(everything).collect())
 
     # a re-run with nothing new changes nothing
     paths = incremental.run_incremental(spark, landing, root, tables)
@@ -50,7 +53,7 @@ def test_retried_batch_does_not_append_twice(spark, tmp_dir):
     r = ev.readings(spark, SF001, metrics=["relative_humidity"])
     clean = os.path.join(tmp_dir, "clean")
     curated = {"daily_humidity": os.path.join(tmp_dir, "daily_humidity")}
-    handle = incremental.make_batch_handler(spark, clean, curated)
+    handle = incremental.make_batch_handler(spark, clean, curated, os.path.join(tmp_dir, "partials"))
     handle(r, 0)
     handle(r, 0)          # the same micro-batch delivered again
     assert spark.read.parquet(clean).count() == r.count()
