@@ -163,28 +163,25 @@ def readings_of(a: DataFrame) -> DataFrame:
     )
 
 
+def _reject(pos: Column, ts: Column, sid: Column, raw: Column, reason: Column) -> Column:
+    return F.struct(pos.cast("int").alias("position"), ts.alias("timestamp"),
+                    sid.alias("station_id"), raw.alias("raw_value"), reason.alias("reason"))
+
+
 def rejects_of(a: DataFrame) -> DataFrame:
-    """Rejects from `annotate_days` output."""
-    day_rows = a.where(F.col("day_reason").isNotNull()).select(
-        "metric", "source_file", "day_id",
-        F.lit(None).cast("int").alias("position"),
-        F.lit(None).cast("string").alias("timestamp"),
-        F.lit(None).cast("string").alias("station_id"),
-        F.lit(None).cast("string").alias("raw_value"),
-        F.col("day_reason").alias("reason"),
-    )
-    lost = F.slice("items", F.col("first_bad"), F.size("items") - F.col("first_bad") + 1)
-    item_rows = (
-        a.where(F.col("day_reason").isNull() & (F.col("first_bad") > 0))
-        .select("metric", "source_file", "day_id", "first_bad",
-                F.posexplode(lost).alias("i", "x"))
-        .select(
-            "metric", "source_file", "day_id",
-            (F.col("first_bad") + F.col("i")).cast("int").alias("position"),
-            F.col("x.timestamp").alias("timestamp"),
-            F.col("x.station_id").alias("station_id"),
-            F.col("x.raw_value").alias("raw_value"),
-            F.coalesce(F.col("x.reason"), F.lit(ITEM_AFTER_BAD)).alias("reason"),
-        )
+    """Rejects from `annotate_days` output, in one pass (one explode)."""
+    null_s = F.lit(None).cast("string")
+    day_reject = F.array(_reject(F.lit(None), null_s, null_s, null_s, F.col("day_reason")))
+    start = F.col("first_bad")
+    lost = F.slice("items", start, F.size("items") - start + 1)
+    item_rejects = F.transform(lost, lambda x, i: _reject(
+        start + i, x["timestamp"], x["station_id"], x["raw_value"],
+        F.coalesce(x["reason"], F.lit(ITEM_AFTER_BAD))))
+    rejected = (F.when(F.col("day_reason").isNotNull(), day_reject)
+                .when(start > 0, item_rejects))
+    return (
+        a.where(F.col("day_reason").isNotNull() | (start > 0))
+        .select("metric", "source_file", "day_id", F.explode(rejected).alias("x"))
+        .select("metric", "source_file", "day_id", "x.position", "x.timestamp",
+                "x.station_id", "x.raw_value", "x.reason")
     )
-    return day_rows.unionByName(item_rows)

@@ -30,3 +30,15 @@ def test_query_matches_oracle(spark, key):
         assert res["hash_match"], res
     else:
         assert res["rows"] > 0
+
+
+BANNED = ["CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "BatchEvalPython",
+          "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"]
+
+
+@pytest.mark.parametrize("key", sorted(E.queries()))
+def test_plan_has_no_cross_join_or_python(spark, key):
+    from conftest import SF001
+    df = E.queries()[key](spark, SF001)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not [b for b in BANNED if b in plan], plan
