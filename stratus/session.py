@@ -33,6 +33,30 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def cluster_conf(input_bytes: int, total_cores: int,
+                 target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings to start a cluster session with, sized from the input.
+
+    Shuffle partitions start at about one per `target_partition_bytes` of
+    input (at least 2 per core) and AQE coalesces the small ones and splits
+    skewed ones at run time; scans split files into ~256 MB tasks.  Joins
+    keep Spark's own broadcast threshold; this library adds broadcast hints
+    only after a row-count check (operators/lookup.py).
+    """
+    shuffle = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.sql.parquet.filterPushdown": "true",
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder; sets a local one only when none is set."""
     sc = spark.sparkContext

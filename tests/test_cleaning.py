@@ -76,3 +76,12 @@ def test_unique_stations_last_wins(spark):
                                "station_id string, station_name string, latitude double, longitude double, pos int")
     got = [tuple(r) for r in unique_stations(st, order_by="pos").collect()]
     assert got == [("S1", "A2", 1.0, 1.0)]
+
+
+def test_cluster_conf_scales_with_input():
+    from stratus.session import cluster_conf
+    small = cluster_conf(1 << 30, 8)
+    big = cluster_conf(100 << 40, 8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
+    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
