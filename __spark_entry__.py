@@ -106,9 +106,9 @@ def _publish_lake(spark, sf) -> str:
     raw = read_raw_days(spark, lake.layer_path(root, lake.RAW), multiline=False)
     clean_path, _ = lake.ingest_clean(spark, raw, root)
     clean = lake.read_clean(spark, clean_path)
-    for name, fn in C.CURATED.items():
-        df = fn(clean) if name == "hottest_stations" else fn(clean, ordered=False)
-        lake.publish_curated(df, root, name, order_by=C.ORDER[name]())
+    tables = {name: fn(clean) if name == "hottest_stations" else fn(clean, ordered=False)
+              for name, fn in C.CURATED.items()}
+    lake.publish_curated_all(tables, root, order={n: C.ORDER[n]() for n in tables})
     return root
 
 

@@ -38,8 +38,8 @@ def run_batch(spark: SparkSession, raw: str | list[str], root: str,
         "rainiest_days": C.rainiest_days(clean, ordered=False),
         "daily_humidity": C.daily_humidity(clean, ordered=False),
     }
-    for name, df in tables.items():
-        pq, csv = lake.publish_curated(df, root, name, PARTITIONING.get(name), C.ORDER[name]())
+    order = {name: C.ORDER[name]() for name in tables}
+    for name, (pq, csv) in lake.publish_curated_all(tables, root, PARTITIONING, order).items():
         out[name] = pq
         out[f"{name}_csv"] = csv
     return out

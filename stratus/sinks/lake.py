@@ -126,6 +126,29 @@ def publish_curated(df: DataFrame, root: str, table: str,
     return pq, csv
 
 
+def publish_curated_all(tables: dict[str, DataFrame], root: str,
+                        partitioning: dict[str, list[str]] | None = None,
+                        order: dict[str, list] | None = None,
+                        parallel: int = 4) -> dict[str, tuple[str, str]]:
+    """Publish independent curated tables as concurrent Spark jobs.
+
+    Each table is its own job; submitting them together lets the scheduler
+    fill free task slots with the next table while one finishes (the
+    tables are small aggregates, so their last stages are narrow).
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    partitioning = partitioning or {}
+    order = order or {}
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        futures = {
+            name: pool.submit(publish_curated, df, root, name,
+                              partitioning.get(name), order.get(name))
+            for name, df in tables.items()
+        }
+        return {name: f.result() for name, f in futures.items()}
+
+
 # ---------------------------------------------------------------- manifest --
 
 def file_manifest(spark: SparkSession, root: str) -> DataFrame:
