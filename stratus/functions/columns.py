@@ -23,9 +23,19 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def as_sum_decimal(c: Column | str) -> Column:
+    """The value as DECIMAL(18,6); NULL for NULL, NaN, ±Inf or |x| >= 1e12.
+
+    `try_cast` keeps one absurd reading from failing a whole job under ANSI
+    mode; such values are left out of sums *and* counts alike (and are
+    reported by the quality report).
+    """
+    return _col(c).try_cast(SUM_TYPE)
+
+
 def exact_sum(c: Column | str) -> Column:
     """ROUND(SUM(c), 2) over an exact decimal sum, as DOUBLE."""
-    return F.round(F.sum(_col(c).cast(SUM_TYPE)), 2).cast("double")
+    return F.round(F.sum(as_sum_decimal(c)), 2).cast("double")
 
 
 def exact_avg(c: Column | str) -> Column:
@@ -33,8 +43,8 @@ def exact_avg(c: Column | str) -> Column:
 
     NULL inputs are skipped (as AVG does); an all-NULL group gives NULL.
     """
-    x = _col(c)
-    return F.round(F.try_divide(F.sum(x.cast(SUM_TYPE)), F.count(x)), 2).cast("double")
+    d = as_sum_decimal(c)
+    return F.round(F.try_divide(F.sum(d), F.count(d)), 2).cast("double")
 
 
 def round2(c: Column | str) -> Column:

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratus.functions.columns import SUM_TYPE, exact_avg, exact_sum, round2
+from stratus.functions.columns import as_sum_decimal, exact_avg, exact_sum, round2
 from stratus.schemas import HUMIDITY, METRIC_BY_NAME, RAINFALL, TEMPERATURE
 
 
@@ -66,13 +66,13 @@ def temperature_partials(readings: DataFrame, by: str = "station_name") -> DataF
     incremental mode can keep a non-date-keyed table (hottest) current by
     re-aggregating the stored per-date partials.
     """
-    v = F.col("value")
+    d = as_sum_decimal("value")
     return (
         metric_rows(readings, TEMPERATURE)
         .groupBy("date", by)
-        .agg(F.sum(v.cast(SUM_TYPE)).alias("sum_value"),
-             F.count(v).alias("n_values"),
-             F.max(v).alias("max_value"))
+        .agg(F.sum(d).alias("sum_value"),
+             F.count(d).alias("n_values"),
+             F.max("value").alias("max_value"))
     )
 
 

@@ -26,11 +26,12 @@ def register_views(readings: DataFrame) -> list[str]:
 
 
 def _avg(c: str) -> str:
-    return f"CAST(ROUND(try_divide(SUM(CAST({c} AS DECIMAL(18,6))), COUNT({c})), 2) AS DOUBLE)"
+    d = f"try_cast({c} AS DECIMAL(18,6))"
+    return f"CAST(ROUND(try_divide(SUM({d}), COUNT({d})), 2) AS DOUBLE)"
 
 
 def _sum(c: str) -> str:
-    return f"CAST(ROUND(SUM(CAST({c} AS DECIMAL(18,6))), 2) AS DOUBLE)"
+    return f"CAST(ROUND(SUM(try_cast({c} AS DECIMAL(18,6))), 2) AS DOUBLE)"
 
 
 DAILY_TEMP = f"""

@@ -149,3 +149,9 @@ def test_partials_give_identical_tables(spark):
         [tuple(x) for x in C.daily_temp(r).collect()]
     assert [tuple(x) for x in C.hottest_from_partials(p).collect()] == \
         [tuple(x) for x in C.hottest_stations(r).collect()]
+
+
+def test_absurd_values_do_not_fail_or_skew_the_average(spark):
+    df = spark.createDataFrame([("a", 10.0), ("a", 1e15), ("a", float("nan")), ("a", 20.0)],
+                               "k string, v double")
+    assert df.groupBy("k").agg(exact_avg("v").alias("a")).first()["a"] == 15.0
