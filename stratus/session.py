@@ -8,7 +8,6 @@ layers written by round-trip queries, streaming checkpoints) go.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -75,15 +74,3 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for one run."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/stratus/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str | None:
-    """Filesystem path for a `file:` URI or plain path, else None."""
-    if path.startswith("file:"):
-        p = path[len("file:"):]
-        while p.startswith("//"):
-            p = p[1:]
-        return p
-    if "://" in path:
-        return None
-    return os.path.abspath(path)

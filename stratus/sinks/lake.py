@@ -11,12 +11,13 @@ written quoted), so that NULL, NaN and "" all survive a round trip.
 
 from __future__ import annotations
 
+import re
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pyspark import StorageLevel
-
 from stratus.operators.flatten import annotate_days, readings_of, rejects_of
 from stratus.schemas import CLEAN_COLUMNS, CLEAN_SCHEMA, REJECT_SCHEMA
 
@@ -174,5 +175,4 @@ def file_manifest(spark: SparkSession, root: str) -> DataFrame:
 
 def _tail(base: str) -> str:
     """Last component of the root, regex-quoted (paths are listed as URIs)."""
-    import re
     return re.escape(base.rsplit("/", 1)[-1])
