@@ -9,8 +9,8 @@ for scheduled runs, or a processing-time trigger), and each micro-batch:
    instead of appending twice;
 2. recomputes the curated table for the dates the batch touched, from the
    whole clean layer (an average or max of a date cannot be merged from
-   rounded output, so whole dates are recomputed), via a semi-join on the
-   touched dates; the date-partitioned clean layer is then pruned;
+   rounded output, so whole dates are recomputed); the date-partitioned
+   clean layer is pruned to those dates (`touched_filter`);
 3. replaces exactly those date partitions of the curated table.
 
 Temperature is kept as exact per-(date, station) partials (decimal sum,
@@ -49,6 +49,10 @@ PARTIALS = "_temperature_partials"
 
 BATCH_COL = "batch_id"
 
+# Most distinct dates one micro-batch may touch for the recompute to prune
+# partitions by a literal list; beyond it, a semi-join on the touched dates.
+MAX_PRUNED_DATES = 5_000
+
 
 def land(readings: DataFrame, landing: str) -> str:
     """Append clean readings to a landing directory, one folder per date."""
@@ -67,6 +71,28 @@ def _clean_schema_with_batch() -> T.StructType:
     return T.StructType(CLEAN_SCHEMA.fields + [T.StructField(BATCH_COL, T.LongType())])
 
 
+def touched_filter(batch: DataFrame):
+    """How to select the dates a batch touched from a date-partitioned table.
+
+    Returns a function DataFrame -> DataFrame.  Dynamic partition pruning
+    does not fire when the filtering side is a persisted micro-batch (no
+    selective predicate), so a bounded list of the batch's distinct dates
+    (at most MAX_PRUNED_DATES values, read with a limit) becomes a literal
+    IN filter that prunes partitions at planning time.  A batch touching
+    more dates uses a size-checked semi-join instead.
+    """
+    distinct = batch.select("date").distinct()
+    dates = [r[0] for r in distinct.limit(MAX_PRUNED_DATES + 1).collect()]
+    if len(dates) > MAX_PRUNED_DATES:
+        touched = maybe_broadcast(distinct)
+        return lambda df: df.join(touched, "date", "left_semi")
+    known = [d for d in dates if d is not None]
+    cond = F.col("date").isin(known)
+    if len(known) < len(dates):
+        cond = cond | F.col("date").isNull()
+    return lambda df: df.where(cond)
+
+
 def make_batch_handler(spark: SparkSession, clean: str, curated: dict[str, str],
                        partials: str | None = None):
     """foreachBatch body.  `partials` (a path) is required when daily_temp or
@@ -80,14 +106,12 @@ def make_batch_handler(spark: SparkSession, clean: str, curated: dict[str, str],
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch = batch.select(*CLEAN_COLUMNS).persist()
         try:
-            if batch.isEmpty():
-                return
+            only_touched = touched_filter(batch)
             _dynamic_overwrite(batch.withColumn(BATCH_COL, F.lit(batch_id).cast("long")),
                                clean, ["date", BATCH_COL])
-            touched = maybe_broadcast(batch.select("date").distinct())
-            whole = (spark.read.schema(_clean_schema_with_batch()).parquet(clean)
-                     .join(touched, "date", "left_semi")
-                     .select(*CLEAN_COLUMNS))
+            whole = only_touched(
+                spark.read.schema(_clean_schema_with_batch()).parquet(clean)
+            ).select(*CLEAN_COLUMNS)
             for table, path in curated.items():
                 if table in DATE_KEYED:
                     _dynamic_overwrite(DATE_KEYED[table](whole), path, ["date"])
@@ -95,7 +119,7 @@ def make_batch_handler(spark: SparkSession, clean: str, curated: dict[str, str],
                 _dynamic_overwrite(C.temperature_partials(whole), partials, ["date"])
                 stored = spark.read.parquet(partials)
                 if "daily_temp" in curated:
-                    fresh = stored.join(touched, "date", "left_semi")
+                    fresh = only_touched(stored)
                     _dynamic_overwrite(C.daily_temp_from_partials(fresh, ordered=False),
                                        curated["daily_temp"], ["date"])
                 if "hottest_stations" in curated:

@@ -1,5 +1,6 @@
 """Incremental ingest: stream result equals batch, retries and late files."""
 
+import datetime as dt
 import os
 
 from pyspark.sql import functions as F
@@ -59,3 +60,21 @@ def test_retried_batch_does_not_append_twice(spark, tmp_dir):
     assert spark.read.parquet(clean).count() == r.count()
     got = _curated(spark, curated["daily_humidity"], ["date", "avg_humidity_pct", "max_humidity_pct"])
     assert got == sorted(tuple(x) for x in C.daily_humidity(r).collect())
+
+
+def test_recompute_prunes_to_touched_dates(spark, tmp_dir):
+    r = ev.readings(spark, SF001, metrics=["relative_humidity"])
+    clean = os.path.join(tmp_dir, "clean")
+    r.withColumn("batch_id", F.lit(0).cast("long")).write.partitionBy("date", "batch_id").parquet(clean)
+    batch = spark.createDataFrame(r.where(F.dayofmonth("date") == 3).collect(), r.schema).persist()
+    pick = incremental.touched_filter(batch)
+    whole = pick(spark.read.parquet(clean))
+    plan = whole._jdf.queryExecution().executedPlan().toString()
+    scan = [l for l in plan.split("\n") if "FileScan" in l][0]
+    part_filters = scan.split("PartitionFilters:")[1].split("]")[0]
+    assert "2024-01-03" in part_filters, scan
+    assert {x[0].day for x in whole.select("date").distinct().collect()} == {3}
+    # NULL dates are kept when the batch has them
+    nb = spark.createDataFrame([(None,)], "date date")
+    got = incremental.touched_filter(nb)(spark.createDataFrame([(None,), (dt.date(2024, 1, 1),)], "date date"))
+    assert [x[0] for x in got.collect()] == [None]
