@@ -48,7 +48,8 @@ def _day_reason() -> Column:
 
 def _item(ts: Column, sid: Column, raw: Column, broken: Column) -> Column:
     return F.struct(ts.alias("timestamp"), sid.alias("station_id"),
-                    raw.alias("raw_value"), broken.alias("broken"))
+                    raw.alias("raw_value"), broken.alias("broken"),
+                    parse_value(raw).alias("value"))
 
 
 def _items() -> Column:
@@ -67,11 +68,6 @@ def _items() -> Column:
     return F.flatten(F.transform(F.col("data.readings"), per_reading))
 
 
-def _with_value(x: Column) -> Column:
-    return F.struct(x["timestamp"], x["station_id"], x["raw_value"], x["broken"],
-                    parse_value(x["raw_value"]).alias("value"))
-
-
 def _with_reason(x: Column) -> Column:
     reason = (
         F.when(x["broken"], F.lit(ITEM_MALFORMED_READING))
@@ -98,23 +94,24 @@ def annotate_days(days: DataFrame) -> DataFrame:
             # below the explode, and only referenced from the item lambdas.
             F.reverse(F.col("data.stations")).alias("st_rev"),
             F.reverse(F.col("data.stations.id")).alias("ids_rev"),
-            # Each step is its own transform so that a value computed once
-            # per item (parsed value) is not re-evaluated where it is used.
-            F.transform(F.transform(_items(), _with_value), _with_reason).alias("items"),
+            # The reason is its own pass so that the parsed value, computed
+            # once per item, is not re-evaluated where the reason needs it.
+            F.transform(_items(), _with_reason).alias("items"),
         )
         .withColumn("first_bad", F.array_position(
             F.transform("items", lambda x: x["reason"].isNotNull()), True).cast("int"))
     )
 
 
-def _with_station_pos(x: Column, ids_rev: Column) -> Column:
-    return F.struct(x["timestamp"], x["station_id"], x["value"],
-                    F.array_position(ids_rev, x["station_id"]).cast("int").alias("pos"))
-
+def _with_station(x: Column, st_rev: Column, ids_rev: Column) -> Column:
+    """Attach the item's station: one compiled scan of the day's station ids.
 
-def _with_station(y: Column, st_rev: Column) -> Column:
-    return F.struct(y["timestamp"], y["station_id"], y["value"],
-                    F.when(y["pos"] > 0, F.element_at(st_rev, y["pos"])).alias("st"))
+    `get` is 0-based and NULL out of range, so "not found" (position 0)
+    yields NULL without a second evaluation of the position.
+    """
+    pos = F.array_position(ids_rev, x["station_id"]).cast("int")
+    return F.struct(x["timestamp"], x["station_id"], x["value"],
+                    F.get(st_rev, pos - 1).alias("st"))
 
 
 def flatten_readings(days: DataFrame) -> DataFrame:
@@ -141,12 +138,8 @@ def readings_of(a: DataFrame) -> DataFrame:
         F.when(F.col("first_bad") == 0, F.col("items"))
         .otherwise(F.slice("items", 1, F.col("first_bad") - 1)),
     )
-    # Station lookup inside the row: one array_position per item (a compiled
-    # scan of the day's station ids), then one element_at.  No shuffle.
-    enriched = F.transform(
-        F.transform(kept, lambda x: _with_station_pos(x, F.col("ids_rev"))),
-        lambda y: _with_station(y, F.col("st_rev")),
-    )
+    # Station lookup inside the row, no shuffle.
+    enriched = F.transform(kept, lambda x: _with_station(x, F.col("st_rev"), F.col("ids_rev")))
     r = F.col("r")
     return (
         a.select("metric", F.explode(enriched).alias("r"))
