@@ -178,3 +178,69 @@ def rejects_of(a: DataFrame) -> DataFrame:
         .select("metric", "source_file", "day_id", "x.position", "x.timestamp",
                 "x.station_id", "x.raw_value", "x.reason")
     )
+
+
+KIND_READINGS = "readings"
+KIND_REJECTS = "rejects"
+
+
+def split_of(a: DataFrame) -> DataFrame:
+    """Clean readings and rejects of `annotate_days` output as ONE DataFrame.
+
+    Each day yields one array of tagged rows (kept items, then rejects) and
+    one `explode`, so a single job over the raw input writes both — no second
+    parse and no persisted copy of the input.  Columns: kind, the clean
+    columns, then source_file, day_id, position, raw_value, reason (NULL
+    where they do not apply to the kind).
+    """
+    null_s = F.lit(None).cast("string")
+    null_i = F.lit(None).cast("int")
+    null_d = F.lit(None).cast("double")
+    start = F.col("first_bad")
+
+    def row(kind, ts, sid, value, st, pos, raw, reason):
+        return F.struct(F.lit(kind).alias("kind"), ts.alias("timestamp"), sid.alias("station_id"),
+                        value.alias("value"), st.alias("st"), pos.cast("int").alias("position"),
+                        raw.alias("raw_value"), reason.alias("reason"))
+
+    kept = F.when(
+        F.col("day_reason").isNull(),
+        F.when(start == 0, F.col("items")).otherwise(F.slice("items", 1, start - 1)),
+    )
+    st_rev, ids_rev = F.col("st_rev"), F.col("ids_rev")
+    kept_rows = F.transform(kept, lambda x: row(
+        KIND_READINGS, x["timestamp"], x["station_id"], x["value"],
+        F.get(st_rev, F.array_position(ids_rev, x["station_id"]).cast("int") - 1),
+        null_i, null_s, null_s))
+    no_station = F.get(st_rev, F.lit(-1))        # NULL of the station struct type
+    lost = F.slice("items", start, F.size("items") - start + 1)
+    rejected = (
+        F.when(F.col("day_reason").isNotNull(),
+               F.array(row(KIND_REJECTS, null_s, null_s, null_d, no_station, null_i, null_s,
+                           F.col("day_reason"))))
+        .when(start > 0, F.transform(lost, lambda x, i: row(
+            KIND_REJECTS, x["timestamp"], x["station_id"], null_d, no_station, start + i,
+            x["raw_value"], F.coalesce(x["reason"], F.lit(ITEM_AFTER_BAD)))))
+    )
+    rows = F.flatten(F.array_compact(F.array(kept_rows, rejected)))
+    r = F.col("r")
+    is_reading = r["kind"] == KIND_READINGS
+    return (
+        a.select("metric", "source_file", "day_id", F.explode(rows).alias("r"))
+        .select(
+            r["kind"].alias("kind"),
+            "metric",
+            text_date(r["timestamp"]).alias("date"),
+            r["timestamp"].alias("timestamp"),
+            r["station_id"].alias("station_id"),
+            F.when(is_reading, F.coalesce(r["st"]["name"], F.lit(""))).alias("station_name"),
+            F.when(is_reading, F.coalesce(r["st"]["location"]["latitude"], F.lit(0.0))).alias("latitude"),
+            F.when(is_reading, F.coalesce(r["st"]["location"]["longitude"], F.lit(0.0))).alias("longitude"),
+            r["value"].alias("value"),
+            F.when(~is_reading, F.col("source_file")).alias("source_file"),
+            F.when(~is_reading, F.col("day_id")).alias("day_id"),
+            r["position"].alias("position"),
+            r["raw_value"].alias("raw_value"),
+            r["reason"].alias("reason"),
+        )
+    )

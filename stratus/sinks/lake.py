@@ -1,7 +1,8 @@
 """Lake layout, writers and the file manifest.
 
-Layout: `{root}/{layer}/weather/{table}` with layers raw / clean / rejects /
-curated.  `root` may be any Hadoop path (`s3a://bucket`, `hdfs://…`,
+Layout: `{root}/{layer}/weather/{table}` with layers raw / clean / curated;
+the clean layer holds the flattened readings and the rejects side by side
+(`clean/weather/flattened/kind=readings|rejects`).  `root` may be any Hadoop path (`s3a://bucket`, `hdfs://…`,
 `file:/…`); credentials come from the Hadoop configuration, not code.
 
 Parquet is the system of record; CSV is an export.  CSV is written and read
@@ -13,15 +14,15 @@ from __future__ import annotations
 
 import re
 
-from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratus.operators.flatten import annotate_days, readings_of, rejects_of
+from stratus.operators.flatten import KIND_READINGS, KIND_REJECTS, annotate_days, split_of
 from stratus.schemas import CLEAN_COLUMNS, CLEAN_SCHEMA, REJECT_SCHEMA
 
-RAW, CLEAN, REJECTS, CURATED = "raw", "clean", "rejects", "curated"
+RAW, CLEAN, CURATED = "raw", "clean", "curated"
 DOMAIN = "weather"
 CSV_NULL = "\\N"
 
@@ -83,22 +84,17 @@ def publish_raw(days: DataFrame, root: str) -> str:
 
 
 def ingest_clean(spark: SparkSession, raw_days: DataFrame, root: str) -> tuple[str, str]:
-    """Flatten raw days into the clean layer (partitioned by metric, date)
-    and the rejects layer.  Returns (clean path, rejects path).
+    """Flatten raw days into the clean layer; returns (readings path, rejects path).
 
-    The JSON is parsed once: the annotated days are persisted (memory, then
-    local disk; recomputed from the raw files if an executor is lost) and
-    feed both writes.
+    One job: the JSON is parsed once and clean readings and rejects leave the
+    same `explode` (`flatten.split_of`), written under
+    `clean/weather/flattened/kind={readings,rejects}/metric=…/date=…`.
+    Nothing is persisted, so the job's footprint does not grow with the
+    input beyond what the write itself needs.
     """
-    clean = layer_path(root, CLEAN, "readings")
-    rejects = layer_path(root, REJECTS, "readings")
-    annotated = annotate_days(raw_days).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        write_parquet(readings_of(annotated), clean, ["metric", "date"])
-        write_parquet(rejects_of(annotated), rejects, ["metric"])
-    finally:
-        annotated.unpersist()
-    return clean, rejects
+    base = layer_path(root, CLEAN, "flattened")
+    write_parquet(split_of(annotate_days(raw_days)), base, ["kind", "metric", "date"])
+    return f"{base}/kind={KIND_READINGS}", f"{base}/kind={KIND_REJECTS}"
 
 
 def read_clean(spark: SparkSession, path: str) -> DataFrame:
@@ -107,9 +103,14 @@ def read_clean(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_rejects(spark: SparkSession, path: str) -> DataFrame:
-    """Rejects with their declared schema (also when none were written)."""
+    """Rejects with their declared schema (empty when none were written)."""
     cols = [f.name for f in REJECT_SCHEMA.fields]
-    return spark.read.schema(REJECT_SCHEMA).parquet(path).select(*cols)
+    try:
+        return spark.read.schema(REJECT_SCHEMA).parquet(path).select(*cols)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
+            raise
+        return spark.createDataFrame([], REJECT_SCHEMA)
 
 
 def publish_curated(df: DataFrame, root: str, table: str,

@@ -152,3 +152,21 @@ def test_flatten_matches_brute_force(spark, tmp_dir, seed):
     assert got_rows == Counter(want_rows)
     assert got_rejects == Counter(want_rejects)
     assert sum(got_rows.values()) > 50 and sum(got_rejects.values()) > 20
+
+
+def test_split_equals_separate_outputs(spark, tmp_dir):
+    from pyspark.sql import functions as F
+    from stratus.operators.flatten import annotate_days, readings_of, rejects_of, split_of
+    from stratus.schemas import CLEAN_COLUMNS, REJECT_SCHEMA
+    rng = random.Random(11)
+    days = [rand_day(rng, 1 + i % 28) for i in range(300)]
+    with open(os.path.join(tmp_dir, "wind_speed_raw.json"), "w") as f:
+        json.dump(days, f)
+    a = annotate_days(read_raw_days(spark, tmp_dir))
+    s = split_of(a)
+    rj_cols = [f.name for f in REJECT_SCHEMA.fields]
+    got_r = Counter(tuple(x) for x in s.where(F.col("kind") == "readings").select(*CLEAN_COLUMNS).collect())
+    got_j = Counter(tuple(x) for x in s.where(F.col("kind") == "rejects").select(*rj_cols).collect())
+    assert got_r == Counter(tuple(x) for x in readings_of(a).collect())
+    assert got_j == Counter(tuple(x) for x in rejects_of(a).select(*rj_cols).collect())
+    assert sum(got_r.values()) > 50 and sum(got_j.values()) > 20
