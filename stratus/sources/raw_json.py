@@ -27,12 +27,15 @@ def read_raw_days(spark: SparkSession, path: str | list[str],
                   multiline: bool = True) -> DataFrame:
     """Columns: metric, source_file, data."""
     paths = [path] if isinstance(path, str) else list(path)
-    df = (
+    reader = (
         spark.read.schema(RAW_SCHEMA)
         .option("multiLine", multiline)
         .option("mode", "PERMISSIVE")
-        .json(paths)
     )
+    if multiline:
+        # Only `{metric}_raw.json` files of a directory are day-response arrays.
+        reader = reader.option("pathGlobFilter", "*_raw.json")
+    df = reader.json(paths)
     file_name = F.col("_metadata.file_name")
     if "metric" in df.columns:
         metric = F.col("metric")

@@ -203,3 +203,12 @@ def test_flatten_has_no_shuffle(fixture_days):
     plan = flatten_readings(fixture_days)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
+
+
+def test_other_files_in_raw_directory_are_ignored(spark, tmp_dir):
+    write_raw(tmp_dir, "rainfall", [{"data": {"stations": [], "readings": [
+        _reading(items=[{"stationId": "S1", "value": 1}])]}}])
+    with open(os.path.join(tmp_dir, "notes.json"), "w") as f:
+        json.dump([{"data": {"stations": [], "readings": [_reading(items=[{"stationId": "X", "value": 9}])]}}], f)
+    out = flatten_readings(read_raw_days(spark, tmp_dir))
+    assert rows(out, "metric", "station_id") == [("rainfall", "S1")]
