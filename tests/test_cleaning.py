@@ -85,3 +85,44 @@ def test_cluster_conf_scales_with_input():
     assert int(small["spark.sql.shuffle.partitions"]) == 16
     assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_hot_station_on_the_sort_merge_path_is_split_by_aqe(spark):
+    """One station holds a third of the readings; the dimension is over the
+    broadcast bound, so the join is a sort-merge join and AQE splits the hot
+    partition.  Results stay whole."""
+    conf = {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        n = 30_000
+        readings = spark.range(n).selectExpr(
+            "CASE WHEN id % 3 = 0 THEN 'HOT' ELSE CAST(id % 997 AS STRING) END AS station_id",
+            "CAST(id AS DOUBLE) AS value")
+        stations = spark.range(997).selectExpr(
+            "CAST(id AS STRING) AS station_id", "CONCAT('S', id) AS station_name",
+            "0.0D AS latitude", "0.0D AS longitude").union(
+            spark.createDataFrame([("HOT", "Hot", 1.0, 2.0)], "station_id string, station_name string, latitude double, longitude double"))
+        out = station_lookup(readings, stations, max_broadcast_rows=10)
+        got = out.groupBy("station_name").count().where("station_name = 'Hot'").first()["count"]
+        assert got == n // 3
+        assert out.count() == n
+        out.collect()           # runs this DataFrame's own plan to its final AQE form
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan, plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
