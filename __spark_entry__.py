@@ -85,6 +85,11 @@ def q_flatten_rejects(spark, sf):
     return flatten.flatten_rejects(ev.day_documents(spark, sf, bad_value=_prefix_bad())).drop("day_id")
 
 
+def q_rejects_report(spark, sf):
+    rj = flatten.flatten_rejects(ev.day_documents(spark, sf, bad_value=_prefix_bad()))
+    return quality.rejects_report(rj).drop("n_days")
+
+
 def q_parquet_roundtrip(spark, sf):
     out = shared_dir(spark, "parquet-roundtrip")
     df = C.daily_temp(ev.readings(spark, sf, metrics=[TEMPERATURE]), ordered=False)
@@ -203,6 +208,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dedup_readings": q_dedup_readings,
         "null_policy": q_null_policy,
         "quality_report": lambda s, sf: quality.quality_report(ev.readings(s, sf)),
+        "rejects_report": q_rejects_report,
         "stream_daily_equals_batch": q_stream_daily_equals_batch,
         "stream_hottest_equals_batch": q_stream_hottest_equals_batch,
     }
@@ -370,6 +376,12 @@ SELECT DISTINCT {_CLEAN} FROM (
   SELECT {_CLEAN} FROM readings WHERE metric = 'rainfall') t""",
         "null_policy": _with() + f"\nSELECT {_CLEAN} FROM readings WHERE NOT (event_id % 47 = 5)",
         "quality_report": QUALITY_SQL,
+        "rejects_report": _with(_PREFIX_DOCS) + """
+SELECT metric,
+       CASE WHEN bad THEN 'bad_value' ELSE 'after_bad_item' END AS reason,
+       COUNT(*) AS n_rejects
+FROM ordered WHERE n_bad > 0
+GROUP BY 1, 2""",
         "stream_daily_equals_batch": HUMIDITY_SQL,
         "stream_hottest_equals_batch": _hottest(10),
     }

@@ -48,3 +48,16 @@ def quality_report(readings: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_keys"),
         F.sum(F.col("n") - 1).alias("n_duplicate_rows"),
     )
+
+
+def rejects_report(rejects: DataFrame) -> DataFrame:
+    """Rejects per metric and reason: rows and distinct days affected.
+
+    Malformed days count once each (they have no items); lost items count
+    one per item.  Grouped on two low-cardinality keys, so the partial
+    aggregation leaves a handful of rows per task to shuffle.
+    """
+    return rejects.groupBy("metric", "reason").agg(
+        F.count(F.lit(1)).alias("n_rejects"),
+        F.countDistinct("day_id").alias("n_days"),
+    )

@@ -126,3 +126,12 @@ def test_hot_station_on_the_sort_merge_path_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_rejects_report_counts_items_and_days(spark):
+    rj = spark.createDataFrame([
+        ("rainfall", 1, "missing_data"), ("rainfall", 2, "bad_value"),
+        ("rainfall", 2, "after_bad_item"), ("rainfall", 2, "after_bad_item"),
+        ("rainfall", 3, "bad_value")], "metric string, day_id long, reason string")
+    got = {(r["reason"]): (r["n_rejects"], r["n_days"]) for r in quality.rejects_report(rj).collect()}
+    assert got == {"missing_data": (1, 1), "bad_value": (2, 2), "after_bad_item": (2, 1)}
