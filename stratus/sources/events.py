@@ -134,31 +134,31 @@ def day_documents(spark: SparkSession, sf_dir: str,
         F.struct(F.col("latitude"), F.col("longitude")).alias("location"),
     ).alias("station")), "station_id", "left")
 
-    doc_key = ["metric", "date", "span"]
-    # One shuffle: hash on the document key also satisfies the
-    # finer (document, timestamp) grouping below.
-    per_ts = (
-        ev.repartition(*doc_key)
-        .groupBy(*doc_key, "ts_text")
-        .agg(
-            F.array_sort(F.collect_list(F.struct(
-                "event_id", F.col("station_id").alias("stationId"), "value"))).alias("items"),
-            F.collect_set("station").alias("stations"),
-        )
+    # One aggregation per document (one shuffle); groups hold at most
+    # DOC_EVENT_SPAN events.  Items are sorted by (timestamp, event id), and
+    # runs of equal timestamps become the readings, in-row.
+    docs = ev.groupBy("metric", "date", "span").agg(
+        F.array_sort(F.collect_list(F.struct(
+            "ts_text", "event_id", F.col("station_id").alias("stationId"), "value"))).alias("items"),
+        F.array_sort(F.collect_set("station")).alias("stations"),
     )
-    docs = per_ts.groupBy(*doc_key).agg(
-        F.array_sort(F.collect_list(F.struct("ts_text", "items"))).alias("readings"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("stations")))).alias("stations"),
+    items = F.col("items")
+    n = F.size(items)
+    # 1-based positions where a new timestamp starts; `get` is 0-based and
+    # NULL out of range, so the first item needs no special index.
+    starts = F.filter(F.sequence(F.lit(1), n), lambda i: (i == 1) | (
+        F.get(items, i - 1)["ts_text"] != F.get(items, i - 2)["ts_text"]))
+    ends = F.concat(F.slice(starts, 2, n), F.array(n + 1))
+    readings = F.transform(
+        F.arrays_zip(starts.alias("s"), ends.alias("e")),
+        lambda z: F.struct(
+            F.get(items, z["s"] - 1)["ts_text"].alias("timestamp"),
+            F.transform(F.slice(items, z["s"], z["e"] - z["s"]), lambda i: F.struct(
+                i["stationId"].alias("stationId"), i["value"].alias("value"))).alias("data"),
+        ),
     )
-    return docs.select(
+    return docs.where(n > 0).select(
         "metric",
         F.concat(F.col("metric"), F.lit("_raw.json")).alias("source_file"),
-        F.struct(
-            F.col("stations"),
-            F.transform("readings", lambda r: F.struct(
-                r["ts_text"].alias("timestamp"),
-                F.transform(r["items"], lambda i: F.struct(
-                    i["stationId"].alias("stationId"), i["value"].alias("value"))).alias("data"),
-            )).alias("readings"),
-        ).alias("data"),
+        F.struct(F.col("stations"), readings.alias("readings")).alias("data"),
     )

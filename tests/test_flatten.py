@@ -212,3 +212,27 @@ def test_other_files_in_raw_directory_are_ignored(spark, tmp_dir):
         json.dump([{"data": {"stations": [], "readings": [_reading(items=[{"stationId": "X", "value": 9}])]}}], f)
     out = flatten_readings(read_raw_days(spark, tmp_dir))
     assert rows(out, "metric", "station_id") == [("rainfall", "S1")]
+
+
+def test_day_documents_group_equal_timestamps_into_one_reading(spark, tmp_dir):
+    import datetime as dt
+    from stratus.sources import events as ev
+    ts1 = dt.datetime(2024, 1, 2, 3, 4, 5, 600000)
+    ts2 = dt.datetime(2024, 1, 2, 3, 9, 0)
+    spark.createDataFrame(
+        [(1, ts1, 7, "click", 1.5, "{}"), (2, ts1, 8, "click", 2.5, "{}"),
+         (3, ts2, 7, "click", 3.5, "{}"), (4, ts1, 7, "view", 9.0, "{}")],
+        ev.TABLE_SCHEMAS["events"]).write.parquet(os.path.join(tmp_dir, "events.parquet"))
+    spark.createDataFrame([(7, "Supplier#7", 3, 10.5)], ev.TABLE_SCHEMAS["supplier"]) \
+        .write.parquet(os.path.join(tmp_dir, "supplier.parquet"))
+    docs = {r["metric"]: r["data"] for r in ev.day_documents(spark, tmp_dir).collect()}
+    temp = docs["air_temperature"]
+    assert [(r["timestamp"], [(i["stationId"], i["value"]) for i in r["data"]]) for r in temp["readings"]] == [
+        ("2024-01-02T03:04:05.600000+08:00", [("7", "1.50"), ("8", "2.50")]),
+        ("2024-01-02T03:09:00.000000+08:00", [("7", "3.50")]),
+    ]
+    assert [s["id"] for s in temp["stations"]] == ["7"]
+    flat = flatten_readings(ev.day_documents(spark, tmp_dir))
+    assert rows(flat, "metric", "station_id", "station_name", "latitude", "value") == [
+        ("air_temperature", "7", "Supplier#7", 10.5, 1.5), ("air_temperature", "7", "Supplier#7", 10.5, 3.5),
+        ("air_temperature", "8", "", 0.0, 2.5), ("relative_humidity", "7", "Supplier#7", 10.5, 9.0)]
