@@ -130,16 +130,48 @@ def flatten_rejects(days: DataFrame) -> DataFrame:
     return rejects_of(annotate_days(days))
 
 
-def readings_of(a: DataFrame) -> DataFrame:
-    """Clean readings from `annotate_days` output."""
-    # NULL for a malformed day: explode then yields no rows.
-    kept = F.when(
+def _kept() -> Column:
+    """The day's kept prefix; NULL for a malformed day (explode: no rows)."""
+    start = F.col("first_bad")
+    return F.when(
         F.col("day_reason").isNull(),
-        F.when(F.col("first_bad") == 0, F.col("items"))
-        .otherwise(F.slice("items", 1, F.col("first_bad") - 1)),
+        F.when(start == 0, F.col("items")).otherwise(F.slice("items", 1, start - 1)),
+    )
+
+
+def _reject(pos: Column, ts: Column, sid: Column, raw: Column, reason: Column) -> Column:
+    return F.struct(pos.cast("int").alias("position"), ts.alias("timestamp"),
+                    sid.alias("station_id"), raw.alias("raw_value"), reason.alias("reason"))
+
+
+def _rejected() -> Column:
+    """The day's rejects: one row for a malformed day, else the lost suffix
+    (1-based positions); NULL when nothing was rejected."""
+    null_s = F.lit(None).cast("string")
+    start = F.col("first_bad")
+    lost = F.slice("items", start, F.size("items") - start + 1)
+    return (
+        F.when(F.col("day_reason").isNotNull(),
+               F.array(_reject(F.lit(None), null_s, null_s, null_s, F.col("day_reason"))))
+        .when(start > 0, F.transform(lost, lambda x, i: _reject(
+            start + i, x["timestamp"], x["station_id"], x["raw_value"],
+            F.coalesce(x["reason"], F.lit(ITEM_AFTER_BAD)))))
     )
+
+
+def _station_values(st: Column) -> dict[str, Column]:
+    """Station attributes of a looked-up station struct, defaults when absent."""
+    return {
+        "station_name": F.coalesce(st["name"], F.lit("")),
+        "latitude": F.coalesce(st["location"]["latitude"], F.lit(0.0)),
+        "longitude": F.coalesce(st["location"]["longitude"], F.lit(0.0)),
+    }
+
+
+def readings_of(a: DataFrame) -> DataFrame:
+    """Clean readings from `annotate_days` output."""
     # Station lookup inside the row, no shuffle.
-    enriched = F.transform(kept, lambda x: _with_station(x, F.col("st_rev"), F.col("ids_rev")))
+    enriched = F.transform(_kept(), lambda x: _with_station(x, F.col("st_rev"), F.col("ids_rev")))
     r = F.col("r")
     return (
         a.select("metric", F.explode(enriched).alias("r"))
@@ -148,33 +180,17 @@ def readings_of(a: DataFrame) -> DataFrame:
             text_date(r["timestamp"]).alias("date"),
             r["timestamp"].alias("timestamp"),
             r["station_id"].alias("station_id"),
-            F.coalesce(r["st"]["name"], F.lit("")).alias("station_name"),
-            F.coalesce(r["st"]["location"]["latitude"], F.lit(0.0)).alias("latitude"),
-            F.coalesce(r["st"]["location"]["longitude"], F.lit(0.0)).alias("longitude"),
+            *[c.alias(name) for name, c in _station_values(r["st"]).items()],
             r["value"].alias("value"),
         )
     )
 
 
-def _reject(pos: Column, ts: Column, sid: Column, raw: Column, reason: Column) -> Column:
-    return F.struct(pos.cast("int").alias("position"), ts.alias("timestamp"),
-                    sid.alias("station_id"), raw.alias("raw_value"), reason.alias("reason"))
-
-
 def rejects_of(a: DataFrame) -> DataFrame:
     """Rejects from `annotate_days` output, in one pass (one explode)."""
-    null_s = F.lit(None).cast("string")
-    day_reject = F.array(_reject(F.lit(None), null_s, null_s, null_s, F.col("day_reason")))
-    start = F.col("first_bad")
-    lost = F.slice("items", start, F.size("items") - start + 1)
-    item_rejects = F.transform(lost, lambda x, i: _reject(
-        start + i, x["timestamp"], x["station_id"], x["raw_value"],
-        F.coalesce(x["reason"], F.lit(ITEM_AFTER_BAD))))
-    rejected = (F.when(F.col("day_reason").isNotNull(), day_reject)
-                .when(start > 0, item_rejects))
     return (
-        a.where(F.col("day_reason").isNotNull() | (start > 0))
-        .select("metric", "source_file", "day_id", F.explode(rejected).alias("x"))
+        a.where(F.col("day_reason").isNotNull() | (F.col("first_bad") > 0))
+        .select("metric", "source_file", "day_id", F.explode(_rejected()).alias("x"))
         .select("metric", "source_file", "day_id", "x.position", "x.timestamp",
                 "x.station_id", "x.raw_value", "x.reason")
     )
@@ -194,35 +210,21 @@ def split_of(a: DataFrame) -> DataFrame:
     where they do not apply to the kind).
     """
     null_s = F.lit(None).cast("string")
-    null_i = F.lit(None).cast("int")
-    null_d = F.lit(None).cast("double")
-    start = F.col("first_bad")
-
-    def row(kind, ts, sid, value, st, pos, raw, reason):
-        return F.struct(F.lit(kind).alias("kind"), ts.alias("timestamp"), sid.alias("station_id"),
-                        value.alias("value"), st.alias("st"), pos.cast("int").alias("position"),
-                        raw.alias("raw_value"), reason.alias("reason"))
-
-    kept = F.when(
-        F.col("day_reason").isNull(),
-        F.when(start == 0, F.col("items")).otherwise(F.slice("items", 1, start - 1)),
-    )
-    st_rev, ids_rev = F.col("st_rev"), F.col("ids_rev")
-    kept_rows = F.transform(kept, lambda x: row(
-        KIND_READINGS, x["timestamp"], x["station_id"], x["value"],
-        F.get(st_rev, F.array_position(ids_rev, x["station_id"]).cast("int") - 1),
-        null_i, null_s, null_s))
-    no_station = F.get(st_rev, F.lit(-1))        # NULL of the station struct type
-    lost = F.slice("items", start, F.size("items") - start + 1)
-    rejected = (
-        F.when(F.col("day_reason").isNotNull(),
-               F.array(row(KIND_REJECTS, null_s, null_s, null_d, no_station, null_i, null_s,
-                           F.col("day_reason"))))
-        .when(start > 0, F.transform(lost, lambda x, i: row(
-            KIND_REJECTS, x["timestamp"], x["station_id"], null_d, no_station, start + i,
-            x["raw_value"], F.coalesce(x["reason"], F.lit(ITEM_AFTER_BAD)))))
-    )
-    rows = F.flatten(F.array_compact(F.array(kept_rows, rejected)))
+    no_station = F.get(F.col("st_rev"), F.lit(-1))   # NULL of the station struct type
+
+    def tagged(kind: str, x: Column, st: Column, value: Column, reject: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), x["timestamp"].alias("timestamp"),
+                        x["station_id"].alias("station_id"), value.alias("value"),
+                        st.alias("st"), reject.alias("reject"))
+
+    no_reject = F.lit(None).cast("struct<position:int,raw_value:string,reason:string>")
+    kept_rows = F.transform(_kept(), lambda x: tagged(
+        KIND_READINGS, x, _with_station(x, F.col("st_rev"), F.col("ids_rev"))["st"],
+        x["value"], no_reject))
+    reject_rows = F.transform(_rejected(), lambda j: tagged(
+        KIND_REJECTS, j, no_station, F.lit(None).cast("double"),
+        F.struct(j["position"], j["raw_value"], j["reason"])))
+    rows = F.flatten(F.array_compact(F.array(kept_rows, reject_rows)))
     r = F.col("r")
     is_reading = r["kind"] == KIND_READINGS
     return (
@@ -233,14 +235,12 @@ def split_of(a: DataFrame) -> DataFrame:
             text_date(r["timestamp"]).alias("date"),
             r["timestamp"].alias("timestamp"),
             r["station_id"].alias("station_id"),
-            F.when(is_reading, F.coalesce(r["st"]["name"], F.lit(""))).alias("station_name"),
-            F.when(is_reading, F.coalesce(r["st"]["location"]["latitude"], F.lit(0.0))).alias("latitude"),
-            F.when(is_reading, F.coalesce(r["st"]["location"]["longitude"], F.lit(0.0))).alias("longitude"),
+            *[F.when(is_reading, c).alias(name) for name, c in _station_values(r["st"]).items()],
             r["value"].alias("value"),
             F.when(~is_reading, F.col("source_file")).alias("source_file"),
             F.when(~is_reading, F.col("day_id")).alias("day_id"),
-            r["position"].alias("position"),
-            r["raw_value"].alias("raw_value"),
-            r["reason"].alias("reason"),
+            r["reject"]["position"].alias("position"),
+            r["reject"]["raw_value"].alias("raw_value"),
+            r["reject"]["reason"].alias("reason"),
         )
     )
