@@ -236,3 +236,14 @@ def test_day_documents_group_equal_timestamps_into_one_reading(spark, tmp_dir):
     assert rows(flat, "metric", "station_id", "station_name", "latitude", "value") == [
         ("air_temperature", "7", "Supplier#7", 10.5, 1.5), ("air_temperature", "7", "Supplier#7", 10.5, 3.5),
         ("air_temperature", "8", "", 0.0, 2.5), ("relative_humidity", "7", "Supplier#7", 10.5, 9.0)]
+
+
+def test_per_day_arrays_are_not_recomputed_per_item(fixture_days):
+    """The item lambda must reference the day's station arrays as attributes
+    (computed once below the Generate), not re-derive them per item."""
+    plan = flatten_readings(fixture_days)._jdf.queryExecution().optimizedPlan().toString()
+    generate = [l for l in plan.split("\n") if "Generate" in l][0]
+    assert "reverse(" not in generate and "transform(st_rev" not in generate, generate
+    assert "st_rev#" in generate and "ids_rev#" in generate
+    # the value is parsed once per item, while items are built
+    assert plan.count("RLIKE") == 1, plan
