@@ -124,6 +124,13 @@ def q_raw_json_scan(spark, sf):
     return flatten.flatten_readings(read_raw_days(spark, path, multiline=False))
 
 
+def q_raw_json_scan_strict(spark, sf):
+    """As raw_json_scan, read with exact null-vs-absent semantics."""
+    root = shared_dir(spark, "raw-scan-strict")
+    path = lake.publish_raw(ev.day_documents(spark, sf), root)
+    return flatten.flatten_readings(read_raw_days(spark, path, multiline=False, strict=True))
+
+
 def q_layer_publish(spark, sf):
     root = _publish_lake(spark, sf)
     return lake.read_parquet(spark, lake.layer_path(root, lake.CURATED, "rainiest_days"))
@@ -197,6 +204,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "last_7_days": q_last_7_days,
         "raw_flatten": q_raw_flatten,
         "raw_json_scan": q_raw_json_scan,
+        "raw_json_scan_strict": q_raw_json_scan_strict,
         "typed_cast": q_typed_cast,
         "flatten_prefix_keep": q_flatten_prefix_keep,
         "flatten_rejects": q_flatten_rejects,
@@ -355,6 +363,7 @@ WHERE metric = 'air_temperature' AND date > (SELECT MAX(date) - 7 FROM readings)
 GROUP BY date, station_name""",
         "raw_flatten": CLEAN_SQL,
         "raw_json_scan": CLEAN_SQL,
+        "raw_json_scan_strict": CLEAN_SQL,
         "typed_cast": f"""
 SELECT event_id, raw_value,
        CASE WHEN regexp_matches(raw_value, '{_NUMERIC}') THEN TRY_CAST(trim(raw_value) AS DOUBLE) END AS value

@@ -81,8 +81,11 @@ def _with_reason(x: Column) -> Column:
 def annotate_days(days: DataFrame) -> DataFrame:
     """Per day: id, day-level reason, items with reasons, first bad position.
 
-    Input columns: `metric`, `source_file`, `data` (RAW_SCHEMA's struct).
+    Input columns: `metric`, `source_file`, `data` (RAW_SCHEMA's struct, or
+    RAW_STRICT_SCHEMA's for exact null-vs-absent semantics).
     """
+    if _is_strict(days):
+        return _annotate_strict(days)
     return (
         days.select(
             "metric",
@@ -103,6 +106,143 @@ def annotate_days(days: DataFrame) -> DataFrame:
     )
 
 
+# ------------------------------------------------------------------ strict --
+# Exact null-vs-absent semantics (raw days read with RAW_STRICT_SCHEMA):
+# - a present-but-null `timestamp` or `stationId` is kept as NULL, an absent
+#   one cuts the day there;
+# - station `name` absent → "", present-but-null → NULL;
+# - `location` absent → coordinates 0.0; present but NULL or not an object, or
+#   a coordinate present but NULL or not numeric → the item that uses that
+#   station cuts the day there (reasons bad_station_location / _latitude /
+#   _longitude).
+ITEM_MALFORMED = "malformed_item"
+STATION_BAD_LOCATION = "bad_station_location"
+STATION_BAD_LATITUDE = "bad_station_latitude"
+STATION_BAD_LONGITUDE = "bad_station_longitude"
+
+_STRMAP = "map<string,string>"
+
+
+def _is_strict(days: DataFrame) -> bool:
+    from pyspark.sql.types import MapType
+    readings = days.schema["data"].dataType["readings"].dataType
+    return isinstance(readings.elementType, MapType)
+
+
+def _strict_day_reason() -> Column:
+    data = F.col("data")
+    return (
+        F.when(data.isNull(), F.lit(DAY_MISSING_DATA))
+        .when(data["readings"].isNull(), F.lit(DAY_MISSING_READINGS))
+        .when(data["stations"].isNull(), F.lit(DAY_MISSING_STATIONS))
+        .when(F.exists(data["stations"],
+                       lambda s: s.isNull() | ~F.map_contains_key(s, "id")),
+              F.lit(DAY_STATION_WITHOUT_ID))
+    )
+
+
+def _strict_station(s: Column) -> Column:
+    """Station map → id, name, location(latitude, longitude), bad."""
+    return F.struct(
+        s["id"].alias("id"),
+        F.map_contains_key(s, "name").alias("has_name"),
+        s["name"].alias("name"),
+        F.map_contains_key(s, "location").alias("has_loc"),
+        F.from_json(s["location"], _STRMAP).alias("loc"),
+    )
+
+
+def _strict_station_resolved(t: Column) -> Column:
+    def coord(key: str) -> tuple[Column, Column]:
+        present = F.map_contains_key(t["loc"], key)
+        v = parse_value(t["loc"][key])
+        value = F.when(~t["has_loc"] | ~present, F.lit(0.0)).otherwise(v)
+        bad = t["has_loc"] & t["loc"].isNotNull() & present & v.isNull()
+        return value, bad
+
+    lat, lat_bad = coord("latitude")
+    lon, lon_bad = coord("longitude")
+    bad = (
+        F.when(t["has_loc"] & t["loc"].isNull(), F.lit(STATION_BAD_LOCATION))
+        .when(lat_bad, F.lit(STATION_BAD_LATITUDE))
+        .when(lon_bad, F.lit(STATION_BAD_LONGITUDE))
+    )
+    return F.struct(
+        t["id"].alias("id"),
+        F.when(t["has_name"], t["name"]).otherwise(F.lit("")).alias("name"),
+        F.struct(lat.alias("latitude"), lon.alias("longitude")).alias("location"),
+        bad.alias("bad"),
+    )
+
+
+def _strict_items() -> Column:
+    """All items of a day in document order, with presence-aware checks."""
+    parsed = F.transform(F.col("data.readings"), lambda r: F.struct(
+        r.alias("r"), F.from_json(r["data"], f"array<{_STRMAP}>").alias("items")))
+
+    def per_reading(p: Column) -> Column:
+        r = p["r"]
+        broken = (r.isNull() | ~F.map_contains_key(r, "timestamp")
+                  | ~F.map_contains_key(r, "data") | p["items"].isNull())
+        null_s = F.lit(None).cast("string")
+
+        def item(i: Column) -> Column:
+            pre = (
+                F.when(i.isNull(), F.lit(ITEM_MALFORMED))
+                .when(~F.map_contains_key(i, "stationId"), F.lit(ITEM_MISSING_STATION_ID))
+                .when(~F.map_contains_key(i, "value"), F.lit(ITEM_BAD_VALUE))
+            )
+            return F.struct(r["timestamp"].alias("timestamp"), i["stationId"].alias("station_id"),
+                            i["value"].alias("raw_value"), pre.alias("pre"),
+                            parse_value(i["value"]).alias("value"))
+
+        return F.when(
+            broken,
+            F.array(F.struct(r["timestamp"].alias("timestamp"), null_s.alias("station_id"),
+                             null_s.alias("raw_value"), F.lit(ITEM_MALFORMED_READING).alias("pre"),
+                             F.lit(None).cast("double").alias("value"))),
+        ).otherwise(F.transform(p["items"], item))
+
+    return F.flatten(F.transform(parsed, per_reading))
+
+
+def _annotate_strict(days: DataFrame) -> DataFrame:
+    per_day = days.select(
+        "metric",
+        "source_file",
+        F.xxhash64("metric", "source_file", F.to_json("data")).alias("day_id"),
+        _strict_day_reason().alias("day_reason"),
+        F.reverse(F.transform(F.transform("data.stations", _strict_station),
+                              _strict_station_resolved)).alias("st_rev"),
+        F.reverse(F.transform("data.stations", lambda s: s["id"])).alias("ids_rev"),
+        _strict_items().alias("raw_items"),
+    )
+    st_rev, ids_rev = F.col("st_rev"), F.col("ids_rev")
+    with_st = F.transform("raw_items", lambda x: F.struct(
+        x["timestamp"], x["station_id"], x["raw_value"], x["pre"], x["value"],
+        F.get(st_rev, F.array_position(ids_rev, x["station_id"]).cast("int") - 1).alias("st")))
+
+    def finish(y: Column) -> Column:
+        reason = F.coalesce(
+            y["pre"],
+            F.when(y["value"].isNull(), F.lit(ITEM_BAD_VALUE)),
+            y["st"]["bad"],
+        )
+        return F.struct(y["timestamp"], y["station_id"], y["raw_value"], y["value"],
+                        reason.alias("reason"), y["st"].alias("st"))
+
+    # `size(st_rev)` references the per-day arrays a second time in the same
+    # expression, so Catalyst keeps them as attributes of the projection below
+    # instead of inlining (and recomputing) them inside the item lambda.
+    items = F.when(F.size(st_rev) + F.size(ids_rev) >= 0, F.transform(with_st, finish))
+    return (
+        per_day.select("metric", "source_file", "day_id", "day_reason", "st_rev", "ids_rev",
+                       items.alias("items"))
+        .withColumn("first_bad", F.array_position(
+            F.transform("items", lambda x: x["reason"].isNotNull()), True).cast("int"))
+    )
+
+
 def _with_station(x: Column, st_rev: Column, ids_rev: Column) -> Column:
     """Attach the item's station: one compiled scan of the day's station ids.
 
@@ -159,8 +299,20 @@ def _rejected() -> Column:
     )
 
 
-def _station_values(st: Column) -> dict[str, Column]:
-    """Station attributes of a looked-up station struct, defaults when absent."""
+def _station_values(st: Column, strict: bool = False) -> dict[str, Column]:
+    """Station attributes of a looked-up station struct, defaults when absent.
+
+    Strict stations are already resolved (absent name → "", absent
+    coordinates → 0.0, a present NULL name stays NULL); only a station that
+    is not found takes the defaults.
+    """
+    if strict:
+        missing = st.isNull()
+        return {
+            "station_name": F.when(missing, F.lit("")).otherwise(st["name"]),
+            "latitude": F.when(missing, F.lit(0.0)).otherwise(st["location"]["latitude"]),
+            "longitude": F.when(missing, F.lit(0.0)).otherwise(st["location"]["longitude"]),
+        }
     return {
         "station_name": F.coalesce(st["name"], F.lit("")),
         "latitude": F.coalesce(st["location"]["latitude"], F.lit(0.0)),
@@ -168,10 +320,23 @@ def _station_values(st: Column) -> dict[str, Column]:
     }
 
 
+def _strict_items_of(a: DataFrame) -> bool:
+    """Strict annotations carry each item's resolved station (`st`)."""
+    return "st" in a.schema["items"].dataType.elementType.fieldNames()
+
+
+def _item_station(x: Column, strict: bool) -> Column:
+    if strict:
+        return x["st"]
+    return _with_station(x, F.col("st_rev"), F.col("ids_rev"))["st"]
+
+
 def readings_of(a: DataFrame) -> DataFrame:
     """Clean readings from `annotate_days` output."""
+    strict = _strict_items_of(a)
     # Station lookup inside the row, no shuffle.
-    enriched = F.transform(_kept(), lambda x: _with_station(x, F.col("st_rev"), F.col("ids_rev")))
+    enriched = F.transform(_kept(), lambda x: F.struct(
+        x["timestamp"], x["station_id"], x["value"], _item_station(x, strict).alias("st")))
     r = F.col("r")
     return (
         a.select("metric", F.explode(enriched).alias("r"))
@@ -180,7 +345,7 @@ def readings_of(a: DataFrame) -> DataFrame:
             text_date(r["timestamp"]).alias("date"),
             r["timestamp"].alias("timestamp"),
             r["station_id"].alias("station_id"),
-            *[c.alias(name) for name, c in _station_values(r["st"]).items()],
+            *[c.alias(name) for name, c in _station_values(r["st"], strict).items()],
             r["value"].alias("value"),
         )
     )
@@ -209,7 +374,7 @@ def split_of(a: DataFrame) -> DataFrame:
     columns, then source_file, day_id, position, raw_value, reason (NULL
     where they do not apply to the kind).
     """
-    null_s = F.lit(None).cast("string")
+    strict = _strict_items_of(a)
     no_station = F.get(F.col("st_rev"), F.lit(-1))   # NULL of the station struct type
 
     def tagged(kind: str, x: Column, st: Column, value: Column, reject: Column) -> Column:
@@ -219,8 +384,7 @@ def split_of(a: DataFrame) -> DataFrame:
 
     no_reject = F.lit(None).cast("struct<position:int,raw_value:string,reason:string>")
     kept_rows = F.transform(_kept(), lambda x: tagged(
-        KIND_READINGS, x, _with_station(x, F.col("st_rev"), F.col("ids_rev"))["st"],
-        x["value"], no_reject))
+        KIND_READINGS, x, _item_station(x, strict), x["value"], no_reject))
     reject_rows = F.transform(_rejected(), lambda j: tagged(
         KIND_REJECTS, j, no_station, F.lit(None).cast("double"),
         F.struct(j["position"], j["raw_value"], j["reason"])))
@@ -235,7 +399,8 @@ def split_of(a: DataFrame) -> DataFrame:
             text_date(r["timestamp"]).alias("date"),
             r["timestamp"].alias("timestamp"),
             r["station_id"].alias("station_id"),
-            *[F.when(is_reading, c).alias(name) for name, c in _station_values(r["st"]).items()],
+            *[F.when(is_reading, c).alias(name)
+              for name, c in _station_values(r["st"], strict).items()],
             r["value"].alias("value"),
             F.when(~is_reading, F.col("source_file")).alias("source_file"),
             F.when(~is_reading, F.col("day_id")).alias("day_id"),

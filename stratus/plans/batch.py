@@ -21,8 +21,8 @@ PARTITIONING = {"daily_temp": ["date"]}
 
 
 def run_batch(spark: SparkSession, raw: str | list[str], root: str,
-              multiline: bool = True) -> dict[str, str]:
-    days = read_raw_days(spark, raw, multiline=multiline)
+              multiline: bool = True, strict: bool = False) -> dict[str, str]:
+    days = read_raw_days(spark, raw, multiline=multiline, strict=strict)
     clean_path, rejects_path = lake.ingest_clean(spark, days, root)
     clean = lake.read_clean(spark, clean_path)
     out = {"clean": clean_path, "rejects": rejects_path}
@@ -50,9 +50,11 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--raw", required=True, nargs="+")
     p.add_argument("--root", required=True)
     p.add_argument("--ndjson", action="store_true", help="one day response per line")
+    p.add_argument("--strict", action="store_true",
+                   help="tell present-but-null fields from absent ones, as the original loop did")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("stratus-batch").getOrCreate()
-    for k, v in run_batch(spark, a.raw, a.root, multiline=not a.ndjson).items():
+    for k, v in run_batch(spark, a.raw, a.root, multiline=not a.ndjson, strict=a.strict).items():
         print(f"{k}\t{v}")
 
 

@@ -60,6 +60,16 @@ RAW_SCHEMA = T.StructType([
     ])),
 ])
 
+# Raw day response read for exact null-vs-absent semantics: stations and
+# readings as string maps keep which keys are present (a present key may hold
+# NULL); nested objects and arrays arrive as their JSON text.
+RAW_STRICT_SCHEMA = T.StructType([
+    T.StructField("data", T.StructType([
+        T.StructField("stations", T.ArrayType(T.MapType(T.StringType(), T.StringType()))),
+        T.StructField("readings", T.ArrayType(T.MapType(T.StringType(), T.StringType()))),
+    ])),
+])
+
 # Clean layer, long form: one row per reading of one metric at one station.
 CLEAN_SCHEMA = T.StructType([
     T.StructField("metric", T.StringType()),

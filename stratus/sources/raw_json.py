@@ -18,17 +18,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.schemas import RAW_SCHEMA
+from stratus.schemas import RAW_SCHEMA, RAW_STRICT_SCHEMA
 
 FILE_METRIC = r"([A-Za-z0-9_]+)_raw\.json$"
 
 
 def read_raw_days(spark: SparkSession, path: str | list[str],
-                  multiline: bool = True) -> DataFrame:
-    """Columns: metric, source_file, data."""
+                  multiline: bool = True, strict: bool = False) -> DataFrame:
+    """Columns: metric, source_file, data.
+
+    `strict=True` reads stations and readings as string maps
+    (RAW_STRICT_SCHEMA) so the flatten can tell a present-but-null field
+    from an absent one, exactly as the original per-day loop did.
+    """
     paths = [path] if isinstance(path, str) else list(path)
     reader = (
-        spark.read.schema(RAW_SCHEMA)
+        spark.read.schema(RAW_STRICT_SCHEMA if strict else RAW_SCHEMA)
         .option("multiLine", multiline)
         .option("mode", "PERMISSIVE")
     )

@@ -247,3 +247,56 @@ def test_per_day_arrays_are_not_recomputed_per_item(fixture_days):
     assert "st_rev#" in generate and "ids_rev#" in generate
     # the value is parsed once per item, while items are built
     assert plan.count("RLIKE") == 1, plan
+
+
+# ------------------------------------------------------------------ strict --
+
+def test_strict_fixture_rows_and_rejects(spark, tmp_dir):
+    write_raw(tmp_dir, "air_temperature", FIXTURE)
+    raw = read_raw_days(spark, tmp_dir, strict=True)
+    got = rows(flatten_readings(raw), "timestamp", "station_id", "station_name", "latitude",
+               "longitude", "value")
+    assert got == [
+        ("2026-03-01T00:05:00+08:00", "S1", "A2", 0.0, 0.0, 27.5),
+        ("2026-03-01T00:05:00+08:00", "S2", "", 0.0, 0.0, 28.0),
+        ("2026-03-01T00:10:00+08:00", "S3", "C", 0.0, 0.0, 1.0),
+        ("2026-03-02T00:05:00+08:00", "S1", "", 0.0, 0.0, 5.0),
+    ]
+    assert rows(flatten_rejects(raw), "position", "reason") == sorted(
+        [(None, "missing_data"), (4, "bad_value"), (5, "after_bad_item"), (6, "after_bad_item")], key=_key)
+
+
+def test_strict_null_is_not_absent(spark, tmp_dir):
+    day = {"data": {
+        "stations": [{"id": "N", "name": None},                       # present NULL name
+                     {"id": "L", "name": "L", "location": None},       # NULL location
+                     {"id": "T", "name": "T", "location": {"latitude": None, "longitude": 1}}],
+        "readings": [
+            {"timestamp": None, "data": [{"stationId": "N", "value": 1}]},      # NULL ts kept
+            {"timestamp": "2026-03-01T00:10:00+08:00",
+             "data": [{"stationId": None, "value": 2}, {"stationId": "L", "value": 3},
+                      {"stationId": "N", "value": 4}]},
+        ]}}
+    write_raw(tmp_dir, "rainfall", [day])
+    raw = read_raw_days(spark, tmp_dir, strict=True)
+    assert rows(flatten_readings(raw), "timestamp", "station_id", "station_name", "value") == sorted([
+        (None, "N", None, 1.0),
+        ("2026-03-01T00:10:00+08:00", None, "", 2.0),
+    ], key=_key)
+    assert rows(flatten_rejects(raw), "position", "station_id", "reason") == [
+        (3, "L", "bad_station_location"), (4, "N", "after_bad_item")]
+    # the default reader treats the same NULLs as absent
+    loose = read_raw_days(spark, tmp_dir)
+    assert rows(flatten_rejects(loose), "position", "reason") == [
+        (1, "malformed_reading"), (2, "missing_station_id"), (3, "after_bad_item"),
+        (4, "after_bad_item")]
+
+
+def test_strict_per_day_arrays_are_not_recomputed_per_item(spark, tmp_dir):
+    write_raw(tmp_dir, "air_temperature", FIXTURE)
+    raw = read_raw_days(spark, tmp_dir, strict=True)
+    plan = flatten_readings(raw)._jdf.queryExecution().optimizedPlan().toString()
+    item_lambdas = [l for l in plan.split("\n") if "raw_items" in l and "array_position" in l]
+    assert item_lambdas, plan
+    for l in item_lambdas:
+        assert "reverse(" not in l and "from_json(lambda" not in l, l

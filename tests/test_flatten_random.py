@@ -170,3 +170,130 @@ def test_split_equals_separate_outputs(spark, tmp_dir):
     assert got_r == Counter(tuple(x) for x in readings_of(a).collect())
     assert got_j == Counter(tuple(x) for x in rejects_of(a).select(*rj_cols).collect())
     assert sum(got_r.values()) > 50 and sum(got_j.values()) > 20
+
+
+# ------------------------------------------------------------------ strict --
+
+def rand_day_strict(rng, d):
+    """Like rand_day, plus present-but-null fields, null items and odd locations."""
+    day = rand_day(rng, d)
+    data = day.get("data")
+    if not isinstance(data, dict) or data.get("readings") is None or data.get("stations") is None:
+        return day
+    for s in data["stations"]:
+        p = rng.random()
+        if p < 0.1:
+            s["name"] = None
+        elif p < 0.15:
+            s["location"] = None
+        elif p < 0.2:
+            s["location"] = "somewhere"
+        elif p < 0.25 and isinstance(s.get("location"), dict):
+            s["location"]["longitude"] = rng.choice([None, "east", "7.5"])
+    for r in data["readings"]:
+        p = rng.random()
+        if p < 0.08 and "timestamp" in r:
+            r["timestamp"] = None
+        elif p < 0.12:
+            r["data"] = None
+        for i, it in enumerate(r.get("data") or []):
+            q = rng.random()
+            if q < 0.05 and "stationId" in it:
+                it["stationId"] = None
+            elif q < 0.08:
+                del it["value"]
+            elif q < 0.1:
+                r["data"][i] = None
+    return day
+
+
+def model_strict(metric, days):
+    """The original per-day loop, key presence and all (numeric text as documented)."""
+    rows, rejects = [], []
+
+    def num(v):
+        t = value_text(v)
+        return None if t is None or not NUMERIC.match(t) else float(t)
+
+    for day in days:
+        data = day.get("data")
+        if data is None:
+            rejects.append((None, "missing_data", None)); continue
+        if data.get("readings") is None:
+            rejects.append((None, "missing_readings", None)); continue
+        if data.get("stations") is None:
+            rejects.append((None, "missing_stations", None)); continue
+        if any(s is None or "id" not in s for s in data["stations"]):
+            rejects.append((None, "station_without_id", None)); continue
+        station = {s["id"]: s for s in data["stations"]}
+        items = []                                   # (ts, sid, reason, row)
+        for r in data["readings"]:
+            if r is None or "timestamp" not in r or not isinstance(r.get("data"), list):
+                items.append((None, None, "malformed_reading", None)); continue
+            ts = r["timestamp"]
+            for it in r["data"]:
+                if it is None:
+                    items.append((ts, None, "malformed_item", None)); continue
+                if "stationId" not in it:
+                    items.append((ts, None, "missing_station_id", None)); continue
+                sid = it["stationId"]
+                if "value" not in it or num(it["value"]) is None:
+                    items.append((ts, sid, "bad_value", None)); continue
+                s = station.get(sid, {}) if sid is not None else {}
+                name = s.get("name", "")
+                reason, lat, lon = None, 0.0, 0.0
+                if "location" in s:
+                    loc = s["location"]
+                    if not isinstance(loc, dict):
+                        reason = "bad_station_location"
+                    else:
+                        if "latitude" in loc:
+                            lat = num(loc["latitude"])
+                            reason = "bad_station_latitude" if lat is None else None
+                        if reason is None and "longitude" in loc:
+                            lon = num(loc["longitude"])
+                            reason = "bad_station_longitude" if lon is None else None
+                row = None if reason else (metric, ts[:10] if ts else None, ts, sid, name,
+                                           lat, lon, num(it["value"]))
+                items.append((ts, sid, reason, row))
+        cut = next((i for i, x in enumerate(items) if x[2] is not None), len(items))
+        rows += [x[3] for x in items[:cut]]
+        for i, (ts, sid, reason, _) in enumerate(items[cut:]):
+            rejects.append((cut + i + 1, reason or "after_bad_item", sid))
+    return rows, rejects
+
+
+@pytest.mark.parametrize("seed", [5, 6, 7])
+def test_strict_flatten_matches_original_loop(spark, tmp_dir, seed):
+    rng = random.Random(seed)
+    days = [rand_day_strict(rng, 1 + i % 28) for i in range(300)]
+    with open(os.path.join(tmp_dir, "rainfall_raw.json"), "w") as f:
+        json.dump(days, f)
+    raw = read_raw_days(spark, tmp_dir, strict=True)
+    got_rows = Counter(
+        (r["metric"], str(r["date"]) if r["date"] else None, r["timestamp"], r["station_id"],
+         r["station_name"], r["latitude"], r["longitude"], r["value"])
+        for r in flatten_readings(raw).collect())
+    got_rejects = Counter((r["position"], r["reason"], r["station_id"])
+                          for r in flatten_rejects(raw).collect())
+    want_rows, want_rejects = model_strict("rainfall", days)
+    assert got_rows == Counter(want_rows)
+    assert got_rejects == Counter(want_rejects)
+    assert any(r[2] is None for r in want_rows) and any(r[4] is None for r in want_rows)
+
+
+def test_strict_split_equals_separate_outputs(spark, tmp_dir):
+    from pyspark.sql import functions as F
+    from stratus.operators.flatten import annotate_days, readings_of, rejects_of, split_of
+    from stratus.schemas import CLEAN_COLUMNS, REJECT_SCHEMA
+    rng = random.Random(13)
+    days = [rand_day_strict(rng, 1 + i % 28) for i in range(300)]
+    with open(os.path.join(tmp_dir, "wind_speed_raw.json"), "w") as f:
+        json.dump(days, f)
+    a = annotate_days(read_raw_days(spark, tmp_dir, strict=True))
+    s = split_of(a)
+    rj_cols = [f.name for f in REJECT_SCHEMA.fields]
+    got_r = Counter(tuple(x) for x in s.where(F.col("kind") == "readings").select(*CLEAN_COLUMNS).collect())
+    got_j = Counter(tuple(x) for x in s.where(F.col("kind") == "rejects").select(*rj_cols).collect())
+    assert got_r == Counter(tuple(x) for x in readings_of(a).collect())
+    assert got_j == Counter(tuple(x) for x in rejects_of(a).select(*rj_cols).collect())
