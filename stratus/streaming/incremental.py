@@ -150,11 +150,33 @@ def run_incremental(spark: SparkSession, landing: str, root: str,
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     q = writer.start()
-    q.awaitTermination(timeout_s)
-    if q.exception() is not None:
-        raise q.exception()
+    q.awaitTermination(timeout_s)      # raises if a micro-batch failed
     return curated
 
 
 def read_curated(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     return spark.read.parquet(path).select(*columns)
+
+
+def main(argv: list[str] | None = None) -> None:
+    """Scheduled run: process every landed file not processed yet, then stop.
+
+        python -m stratus.streaming.incremental --landing <dir> --root <lake root> \
+            --tables daily_temp hottest_stations rainiest_days daily_humidity
+    """
+    import argparse
+
+    p = argparse.ArgumentParser(description=main.__doc__)
+    p.add_argument("--landing", required=True)
+    p.add_argument("--root", required=True)
+    p.add_argument("--tables", nargs="+", default=list(SUPPORTED), choices=list(SUPPORTED))
+    p.add_argument("--files-per-batch", type=int, default=100)
+    a = p.parse_args(argv)
+    spark = SparkSession.builder.appName("stratus-incremental").getOrCreate()
+    for table, path in run_incremental(spark, a.landing, a.root, a.tables,
+                                       files_per_batch=a.files_per_batch).items():
+        print(f"{table}\t{path}")
+
+
+if __name__ == "__main__":
+    main()

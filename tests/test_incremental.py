@@ -78,3 +78,43 @@ def test_recompute_prunes_to_touched_dates(spark, tmp_dir):
     nb = spark.createDataFrame([(None,)], "date date")
     got = incremental.touched_filter(nb)(spark.createDataFrame([(None,), (dt.date(2024, 1, 1),)], "date date"))
     assert [x[0] for x in got.collect()] == [None]
+
+
+def test_crash_mid_batch_then_restart_equals_batch(spark, tmp_dir):
+    """A run dies inside a micro-batch after the clean layer was written; the
+    restarted stream replays that batch from its checkpoint, the idempotent
+    writes absorb the replay, and the result equals the batch run."""
+    from pyspark.errors import StreamingQueryException
+    from stratus.schemas import CLEAN_SCHEMA
+    r = ev.readings(spark, SF001, metrics=["relative_humidity"])
+    landing = os.path.join(tmp_dir, "landing")
+    incremental.land(r, landing)
+    clean = os.path.join(tmp_dir, "clean")
+    curated = {"daily_humidity": os.path.join(tmp_dir, "daily_humidity")}
+    partials = os.path.join(tmp_dir, "partials")
+    ckpt = os.path.join(tmp_dir, "_checkpoint")
+
+    def run(handler):
+        q = (spark.readStream.schema(CLEAN_SCHEMA).option("maxFilesPerTrigger", 10)
+             .parquet(landing).writeStream.foreachBatch(handler)
+             .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+        try:
+            q.awaitTermination()
+        except StreamingQueryException as e:
+            return e
+        return None
+
+    good = incremental.make_batch_handler(spark, clean, curated, partials)
+
+    def crashing(batch, batch_id):
+        if batch_id == 1:
+            batch.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite") \
+                .option("partitionOverwriteMode", "dynamic").partitionBy("date", "batch_id").parquet(clean)
+            raise RuntimeError("executor lost")
+        good(batch, batch_id)
+
+    assert run(crashing) is not None
+    assert run(good) is None
+    assert spark.read.parquet(clean).count() == r.count()
+    got = _curated(spark, curated["daily_humidity"], ["date", "avg_humidity_pct", "max_humidity_pct"])
+    assert got == sorted(tuple(x) for x in C.daily_humidity(r).collect())
