@@ -77,13 +77,19 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 # ------------------------------------------------------------------ layers --
 
 def publish_raw(days: DataFrame, root: str) -> str:
-    """Land day responses as newline-delimited JSON partitioned by metric."""
+    """Land day responses as newline-delimited JSON partitioned by metric.
+
+    Rebalanced on the metric first: a metric holding most days is split over
+    several tasks and files by AQE instead of one file per task per metric.
+    """
     path = layer_path(root, RAW)
-    days.select("metric", "data").write.mode("overwrite").partitionBy("metric").json(path)
+    (days.select("metric", "data").hint("rebalance", "metric")
+     .write.mode("overwrite").partitionBy("metric").json(path))
     return path
 
 
-def ingest_clean(spark: SparkSession, raw_days: DataFrame, root: str) -> tuple[str, str]:
+def ingest_clean(spark: SparkSession, raw_days: DataFrame, root: str,
+                 rebalance: bool = True) -> tuple[str, str]:
     """Flatten raw days into the clean layer; returns (readings path, rejects path).
 
     One job: the JSON is parsed once and clean readings and rejects leave the
@@ -91,9 +97,19 @@ def ingest_clean(spark: SparkSession, raw_days: DataFrame, root: str) -> tuple[s
     `clean/weather/flattened/kind={readings,rejects}/metric=…/date=…`.
     Nothing is persisted, so the job's footprint does not grow with the
     input beyond what the write itself needs.
+
+    `rebalance` (default) adds one shuffle on the partition columns before the
+    write (the REBALANCE hint): AQE then coalesces small partitions and splits
+    a hot date into several tasks, so the file count follows the data volume
+    instead of tasks × dates.  Without it, raw files that each span many dates
+    make every task write a file into every date it saw.
     """
     base = layer_path(root, CLEAN, "flattened")
-    write_parquet(split_of(annotate_days(raw_days)), base, ["kind", "metric", "date"])
+    parts = ["kind", "metric", "date"]
+    rows = split_of(annotate_days(raw_days))
+    if rebalance:
+        rows = rows.hint("rebalance", *parts)
+    write_parquet(rows, base, parts)
     return f"{base}/kind={KIND_READINGS}", f"{base}/kind={KIND_REJECTS}"
 
 

@@ -107,7 +107,8 @@ def make_batch_handler(spark: SparkSession, clean: str, curated: dict[str, str],
         batch = batch.select(*CLEAN_COLUMNS).persist()
         try:
             only_touched = touched_filter(batch)
-            _dynamic_overwrite(batch.withColumn(BATCH_COL, F.lit(batch_id).cast("long")),
+            _dynamic_overwrite(batch.withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
+                               .hint("rebalance", "date"),
                                clean, ["date", BATCH_COL])
             whole = only_touched(
                 spark.read.schema(_clean_schema_with_batch()).parquet(clean)
