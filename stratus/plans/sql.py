@@ -12,16 +12,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratus.plans.curated import metric_view
+from stratus.plans.curated import CURATED, metric_view
 from stratus.schemas import METRICS
 
 
-def register_views(readings: DataFrame) -> list[str]:
-    """One temp view per metric (temperature, humidity, rainfall, ...)."""
+def register_views(readings: DataFrame, curated: bool = False) -> list[str]:
+    """One temp view per metric (temperature, humidity, rainfall, ...), and
+    with `curated=True` one per curated table (daily_temp, ...)."""
     names = []
     for m in METRICS:
         metric_view(readings, m.name).createOrReplaceTempView(m.view)
         names.append(m.view)
+    if curated:
+        for name, fn in CURATED.items():
+            fn(readings).createOrReplaceTempView(name)
+            names.append(name)
     return names
 
 

@@ -154,3 +154,11 @@ def test_absurd_values_do_not_fail_or_skew_the_average(spark):
     df = spark.createDataFrame([("a", 10.0), ("a", 1e15), ("a", float("nan")), ("a", 20.0)],
                                "k string, v double")
     assert df.groupBy("k").agg(exact_avg("v").alias("a")).first()["a"] == 15.0
+
+
+def test_curated_tables_as_views(spark):
+    r = ev.readings(spark, SF001)
+    names = S.register_views(r, curated=True)
+    assert {"temperature", "daily_temp", "hottest_stations", "rainiest_days", "daily_humidity"} <= set(names)
+    top = spark.sql("SELECT station_name FROM hottest_stations LIMIT 1").first()[0]
+    assert top == C.hottest_stations(r).first()["station_name"]
