@@ -78,6 +78,18 @@ def _with_reason(x: Column) -> Column:
                     reason.alias("reason"))
 
 
+def _with_day_id(a: DataFrame, digest: Column) -> DataFrame:
+    """Add `day_id` (a hash of the whole day) only for days that have rejects.
+
+    Rejects need a day identity; clean rows do not.  Hashing every document
+    would cost another full pass over the nested data, so good days skip it.
+    """
+    has_rejects = F.col("day_reason").isNotNull() | (F.col("first_bad") > 0)
+    return (a.withColumn("day_id", F.when(has_rejects, digest))
+            .select("metric", "source_file", "day_id", "day_reason", "st_rev", "ids_rev",
+                    "items", "first_bad"))
+
+
 def annotate_days(days: DataFrame) -> DataFrame:
     """Per day: id, day-level reason, items with reasons, first bad position.
 
@@ -86,11 +98,11 @@ def annotate_days(days: DataFrame) -> DataFrame:
     """
     if _is_strict(days):
         return _annotate_strict(days)
-    return (
+    return _with_day_id(
         days.select(
             "metric",
             "source_file",
-            F.xxhash64("metric", "source_file", "data").alias("day_id"),
+            "data",
             _day_reason().alias("day_reason"),
             # Stations reversed so that the first match is the last entry
             # (duplicate ids: last one wins).  Computed once per day here,
@@ -102,7 +114,8 @@ def annotate_days(days: DataFrame) -> DataFrame:
             F.transform(_items(), _with_reason).alias("items"),
         )
         .withColumn("first_bad", F.array_position(
-            F.transform("items", lambda x: x["reason"].isNotNull()), True).cast("int"))
+            F.transform("items", lambda x: x["reason"].isNotNull()), True).cast("int")),
+        F.xxhash64("metric", "source_file", "data"),
     )
 
 
@@ -210,7 +223,7 @@ def _annotate_strict(days: DataFrame) -> DataFrame:
     per_day = days.select(
         "metric",
         "source_file",
-        F.xxhash64("metric", "source_file", F.to_json("data")).alias("day_id"),
+        "data",
         _strict_day_reason().alias("day_reason"),
         F.reverse(F.transform(F.transform("data.stations", _strict_station),
                               _strict_station_resolved)).alias("st_rev"),
@@ -235,11 +248,13 @@ def _annotate_strict(days: DataFrame) -> DataFrame:
     # expression, so Catalyst keeps them as attributes of the projection below
     # instead of inlining (and recomputing) them inside the item lambda.
     items = F.when(F.size(st_rev) + F.size(ids_rev) >= 0, F.transform(with_st, finish))
-    return (
-        per_day.select("metric", "source_file", "day_id", "day_reason", "st_rev", "ids_rev",
+    return _with_day_id(
+        per_day.select("metric", "source_file", "data", "day_reason", "st_rev", "ids_rev",
                        items.alias("items"))
         .withColumn("first_bad", F.array_position(
-            F.transform("items", lambda x: x["reason"].isNotNull()), True).cast("int"))
+            F.transform("items", lambda x: x["reason"].isNotNull()), True).cast("int")),
+        # maps cannot be hashed directly; their JSON text can
+        F.xxhash64("metric", "source_file", F.to_json("data")),
     )
 
 
