@@ -4,7 +4,8 @@
 
 Each stage is one Spark job over the layer before it, written to the lake;
 nothing passes through the driver.  Curated tables are written as Parquet
-(daily_temp partitioned by date) plus a CSV export.
+(daily_temp partitioned by date) plus a CSV export, together with this
+run's quality report (per metric) and rejects report (per metric, reason).
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from stratus.operators import quality
 from stratus.plans import curated as C
 from stratus.sinks import lake
 from stratus.sources.raw_json import read_raw_days
@@ -37,8 +39,11 @@ def run_batch(spark: SparkSession, raw: str | list[str], root: str,
         "hottest_stations": C.hottest_from_partials(stored),
         "rainiest_days": C.rainiest_days(clean, ordered=False),
         "daily_humidity": C.daily_humidity(clean, ordered=False),
+        # data-quality reports of this run, next to the tables they describe
+        "quality_report": quality.quality_report(clean),
+        "rejects_report": quality.rejects_report(lake.read_rejects(spark, rejects_path)),
     }
-    order = {name: C.ORDER[name]() for name in tables}
+    order = {name: C.ORDER[name]() for name in tables if name in C.ORDER}
     for name, (pq, csv) in lake.publish_curated_all(tables, root, PARTITIONING, order).items():
         out[name] = pq
         out[f"{name}_csv"] = csv

@@ -94,5 +94,9 @@ def test_batch_run_from_multiline_files(spark, tmp_dir):
     import datetime as dt
     assert temp == [(dt.date(2026, 3, 1), "", 1.0, 1.0), (dt.date(2026, 3, 1), "A", 22.0, 23.0),
                     (dt.date(2026, 3, 2), "", 1.0, 1.0), (dt.date(2026, 3, 2), "A", 23.0, 24.0)]
+    q = {r["metric"]: r["n_rows"] for r in spark.read.parquet(out["quality_report"]).collect()}
+    assert q == {m: 12 for m in ["air_temperature", "relative_humidity", "rainfall",
+                                  "wind_speed", "wind_direction"]}
+    assert spark.read.parquet(out["rejects_report"]).count() == 0
     csv_rows = lake.read_csv(spark, out["rainiest_days_csv"], spark.read.parquet(out["rainiest_days"]).schema).collect()
     assert [(str(r["date"]), r["total_rainfall_mm"]) for r in csv_rows] == [("2026-03-02", 72.0), ("2026-03-01", 69.0)]
