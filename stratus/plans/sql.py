@@ -17,9 +17,11 @@ from stratus.schemas import METRICS
 
 
 def register_views(readings: DataFrame, curated: bool = False) -> list[str]:
-    """One temp view per metric (temperature, humidity, rainfall, ...), and
-    with `curated=True` one per curated table (daily_temp, ...)."""
-    names = []
+    """The long table as `readings`, one temp view per metric (temperature,
+    humidity, rainfall, ...), and with `curated=True` one per curated table
+    (daily_temp, ...)."""
+    readings.createOrReplaceTempView("readings")
+    names = ["readings"]
     for m in METRICS:
         metric_view(readings, m.name).createOrReplaceTempView(m.view)
         names.append(m.view)

@@ -159,6 +159,8 @@ def test_absurd_values_do_not_fail_or_skew_the_average(spark):
 def test_curated_tables_as_views(spark):
     r = ev.readings(spark, SF001)
     names = S.register_views(r, curated=True)
-    assert {"temperature", "daily_temp", "hottest_stations", "rainiest_days", "daily_humidity"} <= set(names)
+    assert {"readings", "temperature", "daily_temp", "hottest_stations", "rainiest_days",
+            "daily_humidity"} <= set(names)
+    assert spark.sql("SELECT COUNT(*) FROM readings").first()[0] == r.count()
     top = spark.sql("SELECT station_name FROM hottest_stations LIMIT 1").first()[0]
     assert top == C.hottest_stations(r).first()["station_name"]
