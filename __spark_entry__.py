@@ -148,6 +148,10 @@ def q_file_manifest(spark, sf):
     return lake.file_manifest(spark, _publish_lake(spark, sf))
 
 
+def q_output_listing(spark, sf):
+    return lake.file_listing(spark, lake.layer_path(_publish_lake(spark, sf), lake.CURATED))
+
+
 def q_dedup_readings(spark, sf):
     r = ev.readings(spark, sf)
     again = C.metric_rows(r, RAINFALL)          # a whole metric delivered twice
@@ -221,6 +225,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "csv_roundtrip": q_csv_roundtrip,
         "layer_publish": q_layer_publish,
         "file_manifest": q_file_manifest,
+        "output_listing": q_output_listing,
         "dedup_readings": q_dedup_readings,
         "null_policy": q_null_policy,
         "quality_report": lambda s, sf: quality.quality_report(ev.readings(s, sf)),

@@ -190,6 +190,20 @@ def file_manifest(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def file_listing(spark: SparkSession, root: str) -> DataFrame:
+    """Top-level entries of `root` with their size in bytes, a directory as 0
+    (the local listing of the output folder); built from the manifest with
+    one small aggregation."""
+    m = file_manifest(spark, root)
+    parts = F.split(F.col("path"), "/")            # [root name, entry, ...]
+    is_dir = F.size(parts) > 2
+    return (
+        m.select(F.element_at(parts, 2).alias("name"),
+                 F.when(is_dir, F.lit(0)).otherwise(F.col("length")).cast("long").alias("length"))
+        .groupBy("name").agg(F.max("length").alias("length"))
+    )
+
+
 def _tail(base: str) -> str:
     """Last component of the root, regex-quoted (paths are listed as URIs)."""
     return re.escape(base.rsplit("/", 1)[-1])

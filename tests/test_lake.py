@@ -100,3 +100,14 @@ def test_batch_run_from_multiline_files(spark, tmp_dir):
     assert spark.read.parquet(out["rejects_report"]).count() == 0
     csv_rows = lake.read_csv(spark, out["rainiest_days_csv"], spark.read.parquet(out["rainiest_days"]).schema).collect()
     assert [(str(r["date"]), r["total_rainfall_mm"]) for r in csv_rows] == [("2026-03-02", 72.0), ("2026-03-01", 69.0)]
+
+
+def test_output_listing_top_level_dirs_as_zero(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "curated_data")
+    os.makedirs(os.path.join(d, "daily_temp"))
+    with open(os.path.join(d, "daily_temp", "part-0.parquet"), "wb") as f:
+        f.write(b"p" * 50)
+    with open(os.path.join(d, "daily_temp.csv"), "wb") as f:
+        f.write(b"x" * 4197)
+    got = {r["name"]: r["length"] for r in lake.file_listing(spark, d).collect()}
+    assert got == {"daily_temp": 0, "daily_temp.csv": 4197}
