@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratus.functions.columns import parse_value, text_date
+from stratus.functions.columns import numeric_text, parse_value, text_date
 
 # Reasons attached to rejects.
 DAY_MISSING_DATA = "missing_data"
@@ -47,9 +47,19 @@ def _day_reason() -> Column:
 
 
 def _item(ts: Column, sid: Column, raw: Column, broken: Column) -> Column:
-    return F.struct(ts.alias("timestamp"), sid.alias("station_id"),
-                    raw.alias("raw_value"), broken.alias("broken"),
-                    parse_value(raw).alias("value"))
+    """One item with its reason, built in a single pass.
+
+    The numeric-text check runs once, inside the reason.  `value` is a plain
+    `try_cast`: it is only ever used for items without a reason, i.e. whose
+    text passed that check, where it equals `parse_value`.
+    """
+    reason = (
+        F.when(broken, F.lit(ITEM_MALFORMED_READING))
+        .when(sid.isNull(), F.lit(ITEM_MISSING_STATION_ID))
+        .when(~F.coalesce(numeric_text(raw), F.lit(False)), F.lit(ITEM_BAD_VALUE))
+    )
+    return F.struct(ts.alias("timestamp"), sid.alias("station_id"), raw.alias("raw_value"),
+                    raw.try_cast("double").alias("value"), reason.alias("reason"))
 
 
 def _items() -> Column:
@@ -68,14 +78,14 @@ def _items() -> Column:
     return F.flatten(F.transform(F.col("data.readings"), per_reading))
 
 
-def _with_reason(x: Column) -> Column:
-    reason = (
-        F.when(x["broken"], F.lit(ITEM_MALFORMED_READING))
-        .when(x["station_id"].isNull(), F.lit(ITEM_MISSING_STATION_ID))
-        .when(x["value"].isNull(), F.lit(ITEM_BAD_VALUE))
-    )
-    return F.struct(x["timestamp"], x["station_id"], x["raw_value"], x["value"],
-                    reason.alias("reason"))
+def _first_bad() -> Column:
+    """1-based position of the day's first item with a reason, 0 if none.
+
+    Scans the extracted reason strings (`items.reason`), not the item
+    structs, so the pass is light.
+    """
+    return F.array_position(
+        F.transform(F.col("items.reason"), lambda r: r.isNotNull()), True).cast("int")
 
 
 def _with_day_id(a: DataFrame, digest: Column) -> DataFrame:
@@ -109,12 +119,9 @@ def annotate_days(days: DataFrame) -> DataFrame:
             # below the explode, and only referenced from the item lambdas.
             F.reverse(F.col("data.stations")).alias("st_rev"),
             F.reverse(F.col("data.stations.id")).alias("ids_rev"),
-            # The reason is its own pass so that the parsed value, computed
-            # once per item, is not re-evaluated where the reason needs it.
-            F.transform(_items(), _with_reason).alias("items"),
+            _items().alias("items"),
         )
-        .withColumn("first_bad", F.array_position(
-            F.transform("items", lambda x: x["reason"].isNotNull()), True).cast("int")),
+        .withColumn("first_bad", _first_bad()),
         F.xxhash64("metric", "source_file", "data"),
     )
 
@@ -251,24 +258,12 @@ def _annotate_strict(days: DataFrame) -> DataFrame:
     return _with_day_id(
         per_day.select("metric", "source_file", "data", "day_reason", "st_rev", "ids_rev",
                        items.alias("items"))
-        .withColumn("first_bad", F.array_position(
-            F.transform("items", lambda x: x["reason"].isNotNull()), True).cast("int")),
+        .withColumn("first_bad", _first_bad()),
         # maps cannot be hashed directly; their JSON text can
         F.xxhash64("metric", "source_file", F.to_json("data")),
     )
 
 
-def _with_station(x: Column, st_rev: Column, ids_rev: Column) -> Column:
-    """Attach the item's station: one compiled scan of the day's station ids.
-
-    `get` is 0-based and NULL out of range, so "not found" (position 0)
-    yields NULL without a second evaluation of the position.
-    """
-    pos = F.array_position(ids_rev, x["station_id"]).cast("int")
-    return F.struct(x["timestamp"], x["station_id"], x["value"],
-                    F.get(st_rev, pos - 1).alias("st"))
-
-
 def flatten_readings(days: DataFrame) -> DataFrame:
     """Clean long readings (CLEAN_SCHEMA) of the kept prefix of every good day."""
     return readings_of(annotate_days(days))
@@ -294,24 +289,27 @@ def _kept() -> Column:
     )
 
 
-def _reject(pos: Column, ts: Column, sid: Column, raw: Column, reason: Column) -> Column:
-    return F.struct(pos.cast("int").alias("position"), ts.alias("timestamp"),
-                    sid.alias("station_id"), raw.alias("raw_value"), reason.alias("reason"))
-
+def _lost(a: DataFrame) -> Column:
+    """The day's rejected part, as item structs (the element type of `items`).
 
-def _rejected() -> Column:
-    """The day's rejects: one row for a malformed day, else the lost suffix
-    (1-based positions); NULL when nothing was rejected."""
-    null_s = F.lit(None).cast("string")
+    One placeholder item for a malformed day (its reason is the day's);
+    otherwise the suffix from the first bad item on, where an item lost only
+    because of an earlier one gets `after_bad_item`.  NULL when nothing was
+    rejected.  The transform runs over rejected items only.
+    """
+    fields = a.schema["items"].dataType.elementType.fields
     start = F.col("first_bad")
     lost = F.slice("items", start, F.size("items") - start + 1)
-    return (
-        F.when(F.col("day_reason").isNotNull(),
-               F.array(_reject(F.lit(None), null_s, null_s, null_s, F.col("day_reason"))))
-        .when(start > 0, F.transform(lost, lambda x, i: _reject(
-            start + i, x["timestamp"], x["station_id"], x["raw_value"],
-            F.coalesce(x["reason"], F.lit(ITEM_AFTER_BAD)))))
-    )
+
+    def fix(x: Column) -> Column:
+        return F.struct(*[
+            (F.coalesce(x["reason"], F.lit(ITEM_AFTER_BAD)) if f.name == "reason" else x[f.name])
+            .alias(f.name) for f in fields])
+
+    day = F.array(F.struct(*[
+        (F.col("day_reason") if f.name == "reason" else F.lit(None).cast(f.dataType))
+        .alias(f.name) for f in fields]))
+    return F.when(F.col("day_reason").isNotNull(), day).when(start > 0, F.transform(lost, fix))
 
 
 def _station_values(st: Column, strict: bool = False) -> dict[str, Column]:
@@ -340,39 +338,50 @@ def _strict_items_of(a: DataFrame) -> bool:
     return "st" in a.schema["items"].dataType.elementType.fieldNames()
 
 
-def _item_station(x: Column, strict: bool) -> Column:
+def _with_station(df: DataFrame, x: Column, strict: bool, when: Column | None = None) -> DataFrame:
+    """Add `st`, the item's station, to exploded item rows.
+
+    Strict items carry their resolved station.  Otherwise the day's station
+    arrays travel with each row and the lookup is compiled code after the
+    explode: the position is its own column (computed once), then read with
+    the 0-based, null-safe `get`.
+    """
     if strict:
-        return x["st"]
-    return _with_station(x, F.col("st_rev"), F.col("ids_rev"))["st"]
+        return df.withColumn("st", x["st"])
+    pos = F.array_position(F.col("ids_rev"), x["station_id"]).cast("int")
+    if when is not None:
+        pos = F.when(when, pos)
+    return (df.withColumn("_pos", pos)
+              .withColumn("st", F.get(F.col("st_rev"), F.col("_pos") - 1)))
 
 
 def readings_of(a: DataFrame) -> DataFrame:
-    """Clean readings from `annotate_days` output."""
+    """Clean readings from `annotate_days` output (one explode, no shuffle)."""
     strict = _strict_items_of(a)
-    # Station lookup inside the row, no shuffle.
-    enriched = F.transform(_kept(), lambda x: F.struct(
-        x["timestamp"], x["station_id"], x["value"], _item_station(x, strict).alias("st")))
-    r = F.col("r")
-    return (
-        a.select("metric", F.explode(enriched).alias("r"))
-        .select(
-            "metric",
-            text_date(r["timestamp"]).alias("date"),
-            r["timestamp"].alias("timestamp"),
-            r["station_id"].alias("station_id"),
-            *[c.alias(name) for name, c in _station_values(r["st"], strict).items()],
-            r["value"].alias("value"),
-        )
+    x = F.col("x")
+    rows = _with_station(a.select("metric", "st_rev", "ids_rev", F.explode(_kept()).alias("x")),
+                         x, strict)
+    return rows.select(
+        "metric",
+        text_date(x["timestamp"]).alias("date"),
+        x["timestamp"].alias("timestamp"),
+        x["station_id"].alias("station_id"),
+        *[c.alias(name) for name, c in _station_values(F.col("st"), strict).items()],
+        x["value"].alias("value"),
     )
 
 
 def rejects_of(a: DataFrame) -> DataFrame:
-    """Rejects from `annotate_days` output, in one pass (one explode)."""
+    """Rejects from `annotate_days` output (one explode over rejected items)."""
+    x = F.col("x")
+    position = F.when(F.col("day_reason").isNull(), F.col("first_bad") + F.col("i"))
     return (
         a.where(F.col("day_reason").isNotNull() | (F.col("first_bad") > 0))
-        .select("metric", "source_file", "day_id", F.explode(_rejected()).alias("x"))
-        .select("metric", "source_file", "day_id", "x.position", "x.timestamp",
-                "x.station_id", "x.raw_value", "x.reason")
+        .select("metric", "source_file", "day_id", "day_reason", "first_bad",
+                F.posexplode(_lost(a)).alias("i", "x"))
+        .select("metric", "source_file", "day_id", position.cast("int").alias("position"),
+                x["timestamp"].alias("timestamp"), x["station_id"].alias("station_id"),
+                x["raw_value"].alias("raw_value"), x["reason"].alias("reason"))
     )
 
 
@@ -383,44 +392,36 @@ KIND_REJECTS = "rejects"
 def split_of(a: DataFrame) -> DataFrame:
     """Clean readings and rejects of `annotate_days` output as ONE DataFrame.
 
-    Each day yields one array of tagged rows (kept items, then rejects) and
-    one `explode`, so a single job over the raw input writes both — no second
-    parse and no persisted copy of the input.  Columns: kind, the clean
-    columns, then source_file, day_id, position, raw_value, reason (NULL
-    where they do not apply to the kind).
+    Each day's kept items and rejected items are one array and one
+    `posexplode`: the position in it tells a reading from a reject, so a
+    single job over the raw input writes both — no second parse, no
+    persisted copy of the input, and no per-item pass on the good path.
+    Columns: kind, the clean columns, then source_file, day_id, position,
+    raw_value, reason (NULL where they do not apply to the kind).
     """
     strict = _strict_items_of(a)
-    no_station = F.get(F.col("st_rev"), F.lit(-1))   # NULL of the station struct type
-
-    def tagged(kind: str, x: Column, st: Column, value: Column, reject: Column) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), x["timestamp"].alias("timestamp"),
-                        x["station_id"].alias("station_id"), value.alias("value"),
-                        st.alias("st"), reject.alias("reject"))
-
-    no_reject = F.lit(None).cast("struct<position:int,raw_value:string,reason:string>")
-    kept_rows = F.transform(_kept(), lambda x: tagged(
-        KIND_READINGS, x, _item_station(x, strict), x["value"], no_reject))
-    reject_rows = F.transform(_rejected(), lambda j: tagged(
-        KIND_REJECTS, j, no_station, F.lit(None).cast("double"),
-        F.struct(j["position"], j["raw_value"], j["reason"])))
-    rows = F.flatten(F.array_compact(F.array(kept_rows, reject_rows)))
-    r = F.col("r")
-    is_reading = r["kind"] == KIND_READINGS
-    return (
-        a.select("metric", "source_file", "day_id", F.explode(rows).alias("r"))
-        .select(
-            r["kind"].alias("kind"),
-            "metric",
-            text_date(r["timestamp"]).alias("date"),
-            r["timestamp"].alias("timestamp"),
-            r["station_id"].alias("station_id"),
-            *[F.when(is_reading, c).alias(name)
-              for name, c in _station_values(r["st"], strict).items()],
-            r["value"].alias("value"),
-            F.when(~is_reading, F.col("source_file")).alias("source_file"),
-            F.when(~is_reading, F.col("day_id")).alias("day_id"),
-            r["reject"]["position"].alias("position"),
-            r["reject"]["raw_value"].alias("raw_value"),
-            r["reject"]["reason"].alias("reason"),
-        )
+    kept = _kept()
+    n_kept = F.when(kept.isNull(), F.lit(0)).otherwise(F.size(kept))
+    rows = F.flatten(F.array_compact(F.array(kept, _lost(a))))
+    exploded = a.select("metric", "source_file", "day_id", "day_reason", "first_bad",
+                        "st_rev", "ids_rev", n_kept.alias("n_kept"),
+                        F.posexplode(rows).alias("i", "x"))
+    is_reading = F.col("i") < F.col("n_kept")
+    x = F.col("x")
+    position = F.when(~is_reading & F.col("day_reason").isNull(),
+                      F.col("first_bad") + F.col("i") - F.col("n_kept"))
+    return _with_station(exploded, x, strict, when=is_reading).select(
+        F.when(is_reading, F.lit(KIND_READINGS)).otherwise(F.lit(KIND_REJECTS)).alias("kind"),
+        "metric",
+        text_date(x["timestamp"]).alias("date"),
+        x["timestamp"].alias("timestamp"),
+        x["station_id"].alias("station_id"),
+        *[F.when(is_reading, c).alias(name)
+          for name, c in _station_values(F.col("st"), strict).items()],
+        F.when(is_reading, x["value"]).alias("value"),
+        F.when(~is_reading, F.col("source_file")).alias("source_file"),
+        F.when(~is_reading, F.col("day_id")).alias("day_id"),
+        position.cast("int").alias("position"),
+        F.when(~is_reading, x["raw_value"]).alias("raw_value"),
+        F.when(~is_reading, x["reason"]).alias("reason"),
     )
