@@ -12,6 +12,7 @@ written quoted), so that NULL, NaN and "" all survive a round trip.
 
 from __future__ import annotations
 
+import os
 import re
 
 from pyspark.errors import AnalysisException
@@ -173,7 +174,8 @@ def file_manifest(spark: SparkSession, root: str) -> DataFrame:
     """Every data file under `root`: path relative to root, bytes, KB.
 
     Listing and sizes come from Spark's file source (`binaryFile`); the
-    content column is never selected, so no file is read.
+    content column is never selected, so no file is read.  Paths are
+    relative to `root` (like object keys under a bucket).
     """
     base = root.rstrip("/")
     files = (
@@ -182,7 +184,7 @@ def file_manifest(spark: SparkSession, root: str) -> DataFrame:
         .load(base)
         .select("path", "length")
     )
-    rel = F.regexp_extract(F.col("path"), r".*?/(" + _tail(base) + r"/.*)$", 1)
+    rel = F.regexp_extract(F.col("path"), "^.*?" + re.escape(_without_scheme(base)) + "/(.*)$", 1)
     return files.select(
         rel.alias("path"),
         F.col("length"),
@@ -195,15 +197,19 @@ def file_listing(spark: SparkSession, root: str) -> DataFrame:
     (the local listing of the output folder); built from the manifest with
     one small aggregation."""
     m = file_manifest(spark, root)
-    parts = F.split(F.col("path"), "/")            # [root name, entry, ...]
-    is_dir = F.size(parts) > 2
+    parts = F.split(F.col("path"), "/")            # [entry, ...]
+    is_dir = F.size(parts) > 1
     return (
-        m.select(F.element_at(parts, 2).alias("name"),
+        m.select(F.element_at(parts, 1).alias("name"),
                  F.when(is_dir, F.lit(0)).otherwise(F.col("length")).cast("long").alias("length"))
         .groupBy("name").agg(F.max("length").alias("length"))
     )
 
 
-def _tail(base: str) -> str:
-    """Last component of the root, regex-quoted (paths are listed as URIs)."""
-    return re.escape(base.rsplit("/", 1)[-1])
+def _without_scheme(base: str) -> str:
+    """The root as it appears inside listed URIs: scheme dropped, local paths absolute."""
+    m = re.match(r"^[A-Za-z][A-Za-z0-9+.-]*:(.*)$", base)
+    if m:
+        rest = m.group(1)
+        return rest if rest.startswith("//") else "/" + rest.lstrip("/")
+    return os.path.abspath(base)

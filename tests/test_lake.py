@@ -60,13 +60,23 @@ def test_manifest_sizes(spark, tmp_dir):
             f.write(b"x" * n)
     got = {r["path"]: (r["length"], r["size_kb"]) for r in lake.file_manifest(spark, d).collect()}
     assert got == {
-        "curated_data/daily_humidity.csv": (199, 0.19),
-        "curated_data/daily_temp.csv": (4197, 4.1),
-        "curated_data/hottest_stations.csv": (336, 0.33),
-        "curated_data/rainiest_days.csv": (136, 0.13),
+        "daily_humidity.csv": (199, 0.19),
+        "daily_temp.csv": (4197, 4.1),
+        "hottest_stations.csv": (336, 0.33),
+        "rainiest_days.csv": (136, 0.13),
     }
 
 
+def test_manifest_paths_are_relative_to_the_root_even_with_a_same_named_ancestor(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "lake", "x", "lake")
+    os.makedirs(os.path.join(d, "curated", "weather"))
+    with open(os.path.join(d, "curated", "weather", "t.csv"), "wb") as f:
+        f.write(b"z" * 3)
+    for root in (d, "file:" + d, d + "/"):
+        got = [(r["path"], r["length"]) for r in lake.file_manifest(spark, root).collect()]
+        assert got == [("curated/weather/t.csv", 3)], (root, got)
+
+
 def test_manifest_does_not_read_content(spark, tmp_dir):
     with open(os.path.join(tmp_dir, "f.bin"), "wb") as f:
         f.write(b"y" * 10)
