@@ -60,7 +60,9 @@ def station_lookup(readings: DataFrame, stations: DataFrame,
     """readings(station_id, ...) ⟕ stations(station_id, station_name, latitude, longitude).
 
     The station columns are default-filled; the readings' own columns come
-    first, in their order.
+    first, in their order.  `stations` must hold one row per station_id (a
+    dictionary, as in the original); `unique_stations` makes it so when a
+    source repeats ids, so that a reading is never duplicated by the join.
     """
     dim = stations.selectExpr("station_id AS _sid", "station_name AS _name",
                               "latitude AS _lat", "longitude AS _lon")
