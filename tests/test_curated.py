@@ -164,3 +164,22 @@ def test_curated_tables_as_views(spark):
     assert spark.sql("SELECT COUNT(*) FROM readings").first()[0] == r.count()
     top = spark.sql("SELECT station_name FROM hottest_stations LIMIT 1").first()[0]
     assert top == C.hottest_stations(r).first()["station_name"]
+
+
+def test_plain_user_sql_runs_over_the_views(spark):
+    """A user's own SQL written against the per-metric views (plain DATE and
+    ROUND(AVG)) runs unchanged; it groups exactly like the curated table and
+    differs at most in the last rounded digit (double vs exact decimal)."""
+    r = ev.readings(spark, SF01)
+    S.register_views(r)
+    user = spark.sql("""
+        SELECT DATE(timestamp) AS date, station_name,
+               ROUND(AVG(temperature_c), 2) AS avg_temp_c, ROUND(MAX(temperature_c), 2) AS max_temp_c
+        FROM temperature GROUP BY DATE(timestamp), station_name
+    """)
+    ours = {(x["date"], x["station_name"]): x for x in C.daily_temp(r).collect()}
+    got = {(x["date"], x["station_name"]): x for x in user.collect()}
+    assert got.keys() == ours.keys()
+    for k, x in got.items():
+        assert x["max_temp_c"] == ours[k]["max_temp_c"]
+        assert abs(x["avg_temp_c"] - ours[k]["avg_temp_c"]) <= 0.0100001
