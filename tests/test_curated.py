@@ -183,3 +183,28 @@ def test_plain_user_sql_runs_over_the_views(spark):
     for k, x in got.items():
         assert x["max_temp_c"] == ours[k]["max_temp_c"]
         assert abs(x["avg_temp_c"] - ours[k]["avg_temp_c"]) <= 0.0100001
+
+
+def test_exact_avg_and_sum_match_decimal_half_up(spark):
+    """Many random groups in one job against Python's decimal arithmetic."""
+    import random
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from stratus.functions.columns import exact_sum
+    rng = random.Random(3)
+    rows = []
+    for g in range(2000):
+        for _ in range(rng.randint(1, 40)):
+            rows.append((g, round(rng.uniform(-50, 500), rng.choice([0, 1, 2]))))
+    df = spark.createDataFrame(rows, "g int, v double")
+    got = {r["g"]: (r["a"], r["s"]) for r in
+           df.groupBy("g").agg(exact_avg("v").alias("a"), exact_sum("v").alias("s")).collect()}
+    q = Decimal("0.01")
+    groups = {}
+    for g, v in rows:
+        groups.setdefault(g, []).append(Decimal(repr(v)))
+    for g, vals in groups.items():
+        total = sum(vals)
+        want_avg = float((total / len(vals)).quantize(q, rounding=ROUND_HALF_UP))
+        want_sum = float(total.quantize(q, rounding=ROUND_HALF_UP))
+        assert got[g] == (want_avg, want_sum), (g, vals)
