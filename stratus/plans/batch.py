@@ -17,7 +17,7 @@ from pyspark.sql import SparkSession
 from stratus.operators import quality
 from stratus.plans import curated as C
 from stratus.sinks import lake
-from stratus.sources.raw_json import read_raw_days
+from stratus.sources.raw_json import read_raw_days, spread_days
 
 PARTITIONING = {"daily_temp": ["date"]}
 
@@ -25,6 +25,8 @@ PARTITIONING = {"daily_temp": ["date"]}
 def run_batch(spark: SparkSession, raw: str | list[str], root: str,
               multiline: bool = True, strict: bool = False) -> dict[str, str]:
     days = read_raw_days(spark, raw, multiline=multiline, strict=strict)
+    if multiline:                 # one task per file: spread the flatten
+        days = spread_days(days)
     clean_path, rejects_path = lake.ingest_clean(spark, days, root)
     clean = lake.read_clean(spark, clean_path)
     out = {"clean": clean_path, "rejects": rejects_path}

@@ -48,3 +48,18 @@ def read_raw_days(spark: SparkSession, path: str | list[str],
         metric = F.regexp_extract(file_name, FILE_METRIC, 1)
     return df.select(metric.cast("string").alias("metric"),
                      file_name.alias("source_file"), "data")
+
+
+def spread_days(days: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread parsed day responses over at least `min_partitions` tasks.
+
+    A multiLine JSON array file is parsed by one task, and the flatten runs
+    in the task that parsed it.  When there are fewer such tasks than cores
+    (a handful of large files), a round-robin repartition of the parsed days
+    lets the flatten and everything after it use the whole cluster; the
+    parse itself stays one task per file.  Default: the default parallelism.
+    """
+    want = min_partitions or days.sparkSession.sparkContext.defaultParallelism
+    if days.rdd.getNumPartitions() >= want:
+        return days
+    return days.repartition(want)

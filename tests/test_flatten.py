@@ -303,3 +303,15 @@ def test_strict_per_day_arrays_are_not_recomputed_per_item(spark, tmp_dir):
     assert item_lambdas, plan
     for l in item_lambdas:
         assert "reverse(" not in l and "from_json(lambda" not in l, l
+
+
+def test_spread_days_parallelises_a_single_file(spark, tmp_dir):
+    from stratus.sources.raw_json import spread_days
+    write_raw(tmp_dir, "rainfall", [{"data": {"stations": [], "readings": [
+        _reading(f"2026-03-01T00:{i:02d}:00+08:00", [{"stationId": "S1", "value": i}])]}} for i in range(40)])
+    days = read_raw_days(spark, tmp_dir)
+    assert days.rdd.getNumPartitions() == 1
+    spread = spread_days(days, 4)
+    assert spread.rdd.getNumPartitions() == 4
+    assert sorted(r["value"] for r in flatten_readings(spread).collect()) == [float(i) for i in range(40)]
+    assert spread_days(spread, 2) is spread
