@@ -58,15 +58,19 @@ def cluster_conf(input_bytes: int, total_cores: int,
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder; sets a local one only when none is set."""
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:             # e.g. a Spark Connect session: no SparkContext here
+        sc = None
+    root = sc.getCheckpointDir() if sc is not None else None
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None) or None
         if not root:
             # Only reached in local tests: the cluster always names one.
             root = tempfile.mkdtemp(prefix="stratus-ckpt-")
-        sc.setCheckpointDir(root)
-        root = sc.getCheckpointDir() or root
+        if sc is not None:
+            sc.setCheckpointDir(root)
+            root = sc.getCheckpointDir() or root
     return root
 
 

@@ -59,7 +59,9 @@ def spread_days(days: DataFrame, min_partitions: int | None = None) -> DataFrame
     lets the flatten and everything after it use the whole cluster; the
     parse itself stays one task per file.  Default: the default parallelism.
     """
-    want = min_partitions or days.sparkSession.sparkContext.defaultParallelism
-    if days.rdd.getNumPartitions() >= want:
+    try:
+        want = min_partitions or days.sparkSession.sparkContext.defaultParallelism
+        have = days.rdd.getNumPartitions()
+    except Exception:             # no RDD view (e.g. Spark Connect): leave as is
         return days
-    return days.repartition(want)
+    return days if have >= want else days.repartition(want)
