@@ -44,6 +44,9 @@ def test_stream_equals_batch_with_late_files_and_rerun(spark, tmp_dir):
     assert _curated(spark, paths["hottest_stations"], hot) == sorted(
         tuple(x) for x in C.hottest_stations(everything).collect())
 
+    # nothing keeps running after an availableNow run
+    assert spark.streams.active == []
+
     # a re-run with nothing new changes nothing
     paths = incremental.run_incremental(spark, landing, root, tables)
     assert _curated(spark, paths["daily_humidity"], hum) == sorted(
