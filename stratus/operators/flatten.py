@@ -1,10 +1,12 @@
 """Nested day responses → long readings, with prefix-keep error policy.
 
 A day response is one row: `data.readings[*].data[*]` holds the items and
-`data.stations` the station dimension *of that day*.  Everything below is
-a per-row expression (higher-order array functions) followed by one
-`explode`, so the flatten is narrow: no shuffle, any number of partitions,
-work proportional to the input.
+`data.stations` the station dimension *of that day*.  `annotate_days` is a
+per-row expression (higher-order array functions) that builds the day's
+items with their reject reasons and finds the first bad one; the outputs
+are one `explode` each, with the station lookup as compiled code after it.
+The flatten is narrow: no shuffle, any number of partitions, work
+proportional to the input.
 
 Error policy (same as the original loop, which wrapped a whole day in one
 try/except): a malformed day yields no rows; inside a day, items are
@@ -14,7 +16,9 @@ returns it with the day, position and reason.
 
 Null and absent fields cannot be told apart by a struct schema.  Null
 `name` / `location` / coordinates take the defaults ("" and 0.0); null
-`timestamp`, `stationId` or `value` make the item bad.
+`timestamp`, `stationId` or `value` make the item bad.  Days read with
+RAW_STRICT_SCHEMA (string maps) get the original loop's exact semantics
+instead; see the strict section below.
 """
 
 from __future__ import annotations
