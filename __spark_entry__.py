@@ -338,7 +338,8 @@ keys AS (
              (metric = 'rainfall' AND (value < 0 OR value > 300)) OR
              (metric = 'wind_speed' AND (value < 0 OR value > 250)) OR
              (metric = 'wind_direction' AND (value < 0 OR value > 360)))) AS n_range,
-         COUNT(*) FILTER (WHERE station_name = '') AS n_unknown
+         COUNT(*) FILTER (WHERE station_name = '') AS n_unknown,
+         COUNT(*) FILTER (WHERE date IS NULL) AS n_no_date
   FROM readings GROUP BY metric, station_id, timestamp
 )""") + """
 SELECT metric,
@@ -347,6 +348,7 @@ SELECT metric,
        CAST(SUM(n_nan) AS BIGINT) AS n_nan_value,
        CAST(SUM(n_range) AS BIGINT) AS n_out_of_range,
        CAST(SUM(n_unknown) AS BIGINT) AS n_unknown_station,
+       CAST(SUM(n_no_date) AS BIGINT) AS n_null_date,
        COUNT(*) AS n_keys,
        CAST(SUM(n - 1) AS BIGINT) AS n_duplicate_rows
 FROM keys GROUP BY metric"""

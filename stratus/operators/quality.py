@@ -1,8 +1,9 @@
 """Data-quality report: one row per metric.
 
 Counts rows, NULL and NaN values, values outside the metric's plausible
-range, readings whose station is unknown (empty name), and extra copies of
-a reading key.  Two chained aggregations, both combined map-side: first per
+range, readings whose station is unknown (empty name), readings whose
+timestamp text has no date (they form a NULL-date group in the daily
+tables), and extra copies of a reading key.  Two chained aggregations, both combined map-side: first per
 reading key (metric, station_id, timestamp) — which also counts copies —
 then per metric.  No join, no window, no collect.
 """
@@ -38,6 +39,7 @@ def quality_report(readings: DataFrame) -> DataFrame:
         F.count_if(F.isnan(v)).alias("n_nan"),
         F.count_if(_out_of_range(F.col("metric"), v) & ~F.isnan(v)).alias("n_range"),
         F.count_if(F.col("station_name") == "").alias("n_unknown"),
+        F.count_if(F.col("date").isNull()).alias("n_no_date"),
     )
     return per_key.groupBy("metric").agg(
         F.sum("n").alias("n_rows"),
@@ -45,6 +47,7 @@ def quality_report(readings: DataFrame) -> DataFrame:
         F.sum("n_nan").alias("n_nan_value"),
         F.sum("n_range").alias("n_out_of_range"),
         F.sum("n_unknown").alias("n_unknown_station"),
+        F.sum("n_no_date").alias("n_null_date"),
         F.count(F.lit(1)).alias("n_keys"),
         F.sum(F.col("n") - 1).alias("n_duplicate_rows"),
     )

@@ -49,13 +49,15 @@ def test_quality_report(spark):
         ("air_temperature", "S2", "t1", "", 99.0),
         ("air_temperature", "S3", "t1", "C", None),
         ("relative_humidity", "S1", "t1", "A", float("nan")),
-    ], "metric string, station_id string, timestamp string, station_name string, value double")
+    ], "metric string, station_id string, timestamp string, station_name string, value double") \
+        .withColumn("date", F.expr("try_cast(timestamp AS DATE)"))
     got = {r["metric"]: r.asDict() for r in quality.quality_report(df).collect()}
     t = got["air_temperature"]
     assert (t["n_rows"], t["n_null_value"], t["n_nan_value"], t["n_out_of_range"],
             t["n_unknown_station"], t["n_keys"], t["n_duplicate_rows"]) == (4, 1, 0, 1, 1, 3, 1)
     h = got["relative_humidity"]
     assert (h["n_nan_value"], h["n_out_of_range"]) == (1, 0)
+    assert t["n_null_date"] == 4 and h["n_null_date"] == 1          # "t1" is not a date
 
 
 def test_station_lookup_defaults_and_size_check(spark):
