@@ -148,6 +148,17 @@ def q_file_manifest(spark, sf):
     return lake.file_manifest(spark, _publish_lake(spark, sf))
 
 
+def q_batch_run(spark, sf):
+    """The whole batch job (raw NDJSON → clean/rejects → partials → curated and
+    reports); daily_temp read back from its date-partitioned Parquet."""
+    from stratus.plans.batch import run_batch
+    root = shared_dir(spark, "batch")
+    raw = lake.publish_raw(ev.day_documents(spark, sf), root)
+    out = run_batch(spark, raw, root, multiline=False)
+    return spark.read.parquet(out["daily_temp"]).select(
+        "date", "station_name", "avg_temp_c", "max_temp_c")
+
+
 def q_output_listing(spark, sf):
     return lake.file_listing(spark, lake.layer_path(_publish_lake(spark, sf), lake.CURATED))
 
@@ -224,6 +235,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "parquet_roundtrip": q_parquet_roundtrip,
         "csv_roundtrip": q_csv_roundtrip,
         "layer_publish": q_layer_publish,
+        "batch_run": q_batch_run,
         "file_manifest": q_file_manifest,
         "output_listing": q_output_listing,
         "dedup_readings": q_dedup_readings,
@@ -393,6 +405,7 @@ FROM ordered WHERE n_bad > 0""",
         "parquet_roundtrip": DAILY_TEMP_SQL,
         "csv_roundtrip": DAILY_TEMP_SQL,
         "layer_publish": RAINIEST_SQL,
+        "batch_run": DAILY_TEMP_SQL,
         "dedup_readings": _with() + f"""
 SELECT DISTINCT {_CLEAN} FROM (
   SELECT {_CLEAN} FROM readings
