@@ -145,6 +145,9 @@ STATION_BAD_LATITUDE = "bad_station_latitude"
 STATION_BAD_LONGITUDE = "bad_station_longitude"
 
 _STRMAP = "map<string,string>"
+# Stand-in for a JSON-null station id, so that a JSON-null stationId finds
+# that station the way a dictionary keyed by None does.
+_NULL_ID = "\u0000null"
 
 
 def _is_strict(days: DataFrame) -> bool:
@@ -238,13 +241,15 @@ def _annotate_strict(days: DataFrame) -> DataFrame:
         _strict_day_reason().alias("day_reason"),
         F.reverse(F.transform(F.transform("data.stations", _strict_station),
                               _strict_station_resolved)).alias("st_rev"),
-        F.reverse(F.transform("data.stations", lambda s: s["id"])).alias("ids_rev"),
+        F.reverse(F.transform("data.stations", lambda s: F.coalesce(s["id"], F.lit(_NULL_ID))))
+        .alias("ids_rev"),
         _strict_items().alias("raw_items"),
     )
     st_rev, ids_rev = F.col("st_rev"), F.col("ids_rev")
     with_st = F.transform("raw_items", lambda x: F.struct(
         x["timestamp"], x["station_id"], x["raw_value"], x["pre"], x["value"],
-        F.get(st_rev, F.array_position(ids_rev, x["station_id"]).cast("int") - 1).alias("st")))
+        F.get(st_rev, F.array_position(
+            ids_rev, F.coalesce(x["station_id"], F.lit(_NULL_ID))).cast("int") - 1).alias("st")))
 
     def finish(y: Column) -> Column:
         reason = F.coalesce(

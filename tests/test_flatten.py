@@ -315,3 +315,14 @@ def test_spread_days_parallelises_a_single_file(spark, tmp_dir):
     assert spread.rdd.getNumPartitions() == 4
     assert sorted(r["value"] for r in flatten_readings(spread).collect()) == [float(i) for i in range(40)]
     assert spread_days(spread, 2) is spread
+
+
+def test_strict_null_station_id_matches_null_station(spark, tmp_dir):
+    day = {"data": {"stations": [{"id": None, "name": "Z", "location": {"latitude": 1, "longitude": 2}},
+                                 {"id": "S1", "name": "A"}],
+                    "readings": [_reading(items=[{"stationId": None, "value": 5},
+                                                 {"stationId": "S1", "value": 6}])]}}
+    write_raw(tmp_dir, "rainfall", [day])
+    out = flatten_readings(read_raw_days(spark, tmp_dir, strict=True))
+    assert rows(out, "station_id", "station_name", "latitude", "longitude", "value") == sorted([
+        (None, "Z", 1.0, 2.0, 5.0), ("S1", "A", 0.0, 0.0, 6.0)], key=_key)

@@ -182,7 +182,9 @@ def rand_day_strict(rng, d):
         return day
     for s in data["stations"]:
         p = rng.random()
-        if p < 0.1:
+        if p < 0.03 and "id" in s:
+            s["id"] = None                                  # a JSON-null station id
+        elif p < 0.1:
             s["name"] = None
         elif p < 0.15:
             s["location"] = None
@@ -239,7 +241,7 @@ def model_strict(metric, days):
                 sid = it["stationId"]
                 if "value" not in it or num(it["value"]) is None:
                     items.append((ts, sid, "bad_value", None)); continue
-                s = station.get(sid, {}) if sid is not None else {}
+                s = station.get(sid, {})                    # None finds a null-id station
                 name = s.get("name", "")
                 reason, lat, lon = None, 0.0, 0.0
                 if "location" in s:
