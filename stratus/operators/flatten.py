@@ -135,6 +135,7 @@ def annotate_days(days: DataFrame) -> DataFrame:
 # - a present-but-null `timestamp` or `stationId` is kept as NULL, an absent
 #   one cuts the day there;
 # - station `name` absent → "", present-but-null → NULL;
+# - a JSON true/false value is 1.0 / 0.0, as Python's float() makes it;
 # - `location` absent → coordinates 0.0; present but NULL or not an object, or
 #   a coordinate present but NULL or not numeric → the item that uses that
 #   station cuts the day there (reasons bad_station_location / _latitude /
@@ -204,8 +205,13 @@ def _strict_station_resolved(t: Column) -> Column:
 
 def _strict_items() -> Column:
     """All items of a day in document order, with presence-aware checks."""
+    # Each reading's items are parsed twice: as string maps (key presence,
+    # text of every value) and with `value` typed BOOLEAN, which is non-NULL
+    # exactly for JSON true/false (a string "true" stays NULL) — the values
+    # Python's float() turns into 1.0 / 0.0.
     parsed = F.transform(F.col("data.readings"), lambda r: F.struct(
-        r.alias("r"), F.from_json(r["data"], f"array<{_STRMAP}>").alias("items")))
+        r.alias("r"), F.from_json(r["data"], f"array<{_STRMAP}>").alias("items"),
+        F.from_json(r["data"], "array<struct<value: boolean>>").alias("bools")))
 
     def per_reading(p: Column) -> Column:
         r = p["r"]
@@ -213,22 +219,23 @@ def _strict_items() -> Column:
                   | ~F.map_contains_key(r, "data") | p["items"].isNull())
         null_s = F.lit(None).cast("string")
 
-        def item(i: Column) -> Column:
+        def item(i: Column, k: Column) -> Column:
             pre = (
                 F.when(i.isNull(), F.lit(ITEM_MALFORMED))
                 .when(~F.map_contains_key(i, "stationId"), F.lit(ITEM_MISSING_STATION_ID))
                 .when(~F.map_contains_key(i, "value"), F.lit(ITEM_BAD_VALUE))
             )
+            flag = F.get(p["bools"], k)["value"]
+            value = F.when(flag.isNotNull(), flag.cast("double")).otherwise(parse_value(i["value"]))
             return F.struct(r["timestamp"].alias("timestamp"), i["stationId"].alias("station_id"),
-                            i["value"].alias("raw_value"), pre.alias("pre"),
-                            parse_value(i["value"]).alias("value"))
+                            i["value"].alias("raw_value"), pre.alias("pre"), value.alias("value"))
 
         return F.when(
             broken,
             F.array(F.struct(r["timestamp"].alias("timestamp"), null_s.alias("station_id"),
                              null_s.alias("raw_value"), F.lit(ITEM_MALFORMED_READING).alias("pre"),
                              F.lit(None).cast("double").alias("value"))),
-        ).otherwise(F.transform(p["items"], item))
+        ).otherwise(F.transform(p["items"], lambda i, k: item(i, k)))
 
     return F.flatten(F.transform(parsed, per_reading))
 

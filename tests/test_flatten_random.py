@@ -33,6 +33,8 @@ def rand_value(rng):
         return rng.choice(BAD_TEXT)
     if p < 0.9:
         return None
+    if p < 0.93:
+        return rng.choice([True, False])
     return rng.randint(0, 30)
 
 
@@ -214,6 +216,8 @@ def model_strict(metric, days):
     rows, rejects = [], []
 
     def num(v):
+        if isinstance(v, bool):                  # float(True) == 1.0
+            return float(v)
         t = value_text(v)
         return None if t is None or not NUMERIC.match(t) else float(t)
 
