@@ -209,7 +209,26 @@ def _sql(name):
     return run
 
 
+def _llm() -> tuple[dict, dict]:
+    """Queries and oracles of the training-data operators and their pipeline;
+    empty when that subpackage isn't there."""
+    try:
+        import corpus_pipeline
+        from stratus.llm import entry as llm
+    except ImportError:
+        return {}, {}
+    qs, oracles = llm.queries(), llm.oracle_sql()
+    qs["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL:
+        oracles["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return qs, oracles
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {**_queries(), **_llm()[0]}
+
+
+def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     temp = [TEMPERATURE]
     return {
         "daily_temp": lambda s, sf: C.daily_temp(ev.readings(s, sf, metrics=temp)),
@@ -367,6 +386,10 @@ FROM keys GROUP BY metric"""
 
 
 def oracle_sql() -> dict[str, str]:
+    return {**_oracles(), **_llm()[1]}
+
+
+def _oracles() -> dict[str, str]:
     return {
         "daily_temp": DAILY_TEMP_SQL,
         "hottest_stations": _hottest(10),
