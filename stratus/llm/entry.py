@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stratus.llm import exact_dedup, mixing, packing, quality, simhash, token_files
+from stratus.llm import exact_dedup, language_model, mixing, packing, pii, quality, secrets, simhash, token_files, topk
 from stratus.llm.common import table
 
 
@@ -10,7 +10,11 @@ def queries():
     docs = lambda s, sf: table(s, sf, "documents")
     return {
         "op1_exact_dedup": lambda s, sf: exact_dedup.query(docs(s, sf)),
+        "op2_secret_scan": lambda s, sf: secrets.query(docs(s, sf)),
+        "op3_topk": lambda s, sf: topk.query(table(s, sf, "embeddings")),
+        "op4_language_model": lambda s, sf: language_model.query(docs(s, sf)),
         "op5_mixing": lambda s, sf: mixing.query(docs(s, sf)),
+        "op6_pii": lambda s, sf: pii.query(docs(s, sf)),
         "op7_token_files": lambda s, sf: token_files.query(docs(s, sf)),
         "op8_packing": lambda s, sf: packing.query(docs(s, sf)),
         "op9_quality_classifier": lambda s, sf: quality.query(docs(s, sf), table(s, sf, "labels")),
@@ -19,4 +23,4 @@ def queries():
 
 
 def oracle_sql():
-    return {"op1_exact_dedup": exact_dedup.ORACLE}
+    return {"op1_exact_dedup": exact_dedup.ORACLE, "op3_topk": topk.ORACLE}
