@@ -1,0 +1,363 @@
+"""Each operator against brute force, on odd rows, and on empty tables."""
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from stratus.llm import (exact_dedup, language_model, mixing, packing, pii, quality, secrets,
+                         simhash, token_files, tokens, topk)
+from tests.llm.conftest import ROWS
+
+SF = "/root/testdata/sf0.001"
+BYTE, WORD = tokens.vocabulary("byte_bpe_50k.json"), tokens.vocabulary("word_bpe_49k.json")
+
+
+def docs_of(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+def texts_of(df):
+    return [(r.doc_id, r.text or "") for r in df.select("doc_id", "text").collect()]
+
+
+@pytest.mark.parametrize("op", [exact_dedup, language_model, mixing, packing, pii, secrets, simhash, token_files])
+def test_empty_table(op, empty):
+    assert op.query(empty).collect() == []
+
+
+# ------------------------------------------------------------- exact dedup --
+
+@pytest.mark.parametrize("counters", [1, 3, 1023])
+def test_exact_dedup(odd, counters):
+    got = exact_dedup.exact_dedup(odd, counters=counters).collect()
+    norm = lambda t: (t or "").encode().lower()
+    groups = Counter(norm(t) for _, t, *_ in ROWS)
+    top = {}
+    for i, t, *_ in ROWS:
+        k = hashlib.sha256(norm(t)).digest()
+        top[k] = max(top.get(k, -1), -1 if i is None else i)
+    assert len(got) == len(ROWS)
+    assert sum(r.kept for r in got) == len(groups)
+    sizes = {hashlib.sha256(k).digest(): n for k, n in groups.items()}
+    for r in got:
+        assert r.group_size == sizes[bytes(r.digest)]
+        assert (-1 if r.keep_id is None else r.keep_id) == top[bytes(r.digest)]
+        assert not r.kept or r.doc_id == r.keep_id
+
+
+def test_misra_gries_bound():
+    rng = np.random.default_rng(1)
+    stream = [int(x) for x in rng.zipf(1.3, 20000) % 5000]
+    summary = Counter()
+    for k in range(0, len(stream), 777):
+        summary = exact_dedup.merge_counts(summary, Counter(stream[k:k + 777]), 50)
+        assert len(summary) <= 50
+    for value, n in Counter(stream).items():
+        assert n - len(stream) / 51 <= summary[value] <= n
+
+
+# ----------------------------------------------------------------- secrets --
+
+def brute_secrets(text):
+    kinds = [("assign", re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), 12),
+             ("access", re.compile("(AKIA[A-Z0-9]+)"), 18), ("hex", re.compile("([0-9a-f]+)"), 16)]
+    out = [(m.start(), i, m.end(), k) for i, (k, p, n) in enumerate(kinds) for m in p.finditer(text) if len(m[1]) >= n]
+    return [(a, b, k) for a, _, b, k in sorted(out)]
+
+
+def test_secrets_base_and_random(spark, odd):
+    rng = np.random.default_rng(5)
+    b64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    key = "".join(rng.choice(list(b64), 64))
+    upper = "".join(rng.choice(list("0123456789ABCDEF"), 64))
+    extra = [(100, f'🙂 Password = "hunter2hunter2" API-KEY: x api_key=={key[:30]} é'),
+             (101, f"bearer {key} end"), (102, f"id {upper}."),
+             (103, "aaaaaaaaaaaaaaaaaaaaaaaa1 AbcAbcAbcAbcAbcAbcAbc123 internationalisation2internationalisation2"),
+             (104, "AKIA" + "Q" * 14 + " deadbeef00000000 x=0123456789abcdef0 " + "f" * 15)]
+    df = odd.select("doc_id", "text").unionByName(spark.createDataFrame(extra, "doc_id long, text string"))
+    for r in secrets.scan(df).join(df, "doc_id").collect():
+        assert [tuple(s) for s in r.base] == brute_secrets(r.text or "")
+        assert [tuple(s) for s in r.spans if s.kind != "random"] == brute_secrets(r.text or "")
+        added = [(r.text or "")[s.start:s.end] for s in r.spans if s.kind == "random"]
+        assert added == {101: [key], 102: [upper]}.get(r.doc_id, [])
+
+
+# ------------------------------------------------------------------- top k --
+
+@pytest.mark.parametrize("block,chunk,pivots", [(7, 3, 4), (2048, 512, 32)])
+def test_topk(spark, block, chunk, pivots):
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.normal(size=6) * 0.5]) for i in range(150)]
+    rows += [(200 + i, [0.25] * 6) for i in range(30)]                   # ties
+    rows += [(50, [9.0] * 6), (50, [9.0] * 6), (7, [1.0, 2.0]), (300, []),   # repeated, short, empty
+             (301, None), (302, [float("nan")] * 6), (303, [float("inf")] * 6), (304, [None] * 6), (None, [5.0] * 6)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk.top_k(topk.integer_vectors(df), block=block, chunk=chunk, n_pivots=pivots).collect()
+    ok = [(i, np.array([math.floor(256 * x) for x in v] + [0] * (6 - len(v)))) for i, v in rows
+          if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    want = []
+    for a, (q, x) in enumerate(ok):
+        if q % 50 == 0:
+            best = sorted(((-int(x @ y), c) for b, (c, y) in enumerate(ok) if b != a))[:5]
+            want += [(q, n + 1, c, -s) for n, (s, c) in enumerate(best)]
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_topk_empty(spark):
+    assert topk.query(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
+
+
+# ---------------------------------------------------------- language model --
+
+def test_language_model(spark, odd):
+    df = docs_of(spark).select("doc_id", "text").unionByName(odd.select("doc_id", "text"))
+    rows = [(i, [*t.encode().lower().split(), b"\n"]) for i, t in texts_of(df)]
+    held = lambda i: zlib.crc32(str("" if i is None else i).encode()) % 7 == 2
+    count = Counter(w for i, ws in rows if not held(i) for w in ws)
+    n, v = sum(count.values()), len(count)
+    want = sorted((-1 if i is None else i, held(i), len(ws), sum(count[w] > 0 for w in ws), n,
+                   round(sum(math.log10((count[w] + 1) / (n + v + 1)) for w in ws), 4)) for i, ws in rows)
+    got = language_model.query(df).collect()
+    assert sorted((-1 if r.doc_id is None else r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens,
+                   round(r.base_score, 4)) for r in got) == want
+    assert all(r.score < 0 for r in got)
+    out = [r for r in got if r.held_out]
+    assert sum(r.score for r in out) > sum(r.base_score for r in out)
+
+
+def test_softmax_sums_to_one():
+    rng = np.random.default_rng(0)
+    w = rng.normal(size=(language_model.BUCKETS, language_model.CLASSES)).astype(np.float32)
+    f = language_model.features(rng.integers(0, 1 << 32, 50).astype(np.uint64), np.arange(50))
+    assert np.allclose(np.exp(language_model.log_softmax(w, f)).sum(axis=1), 1, atol=1e-5)
+
+
+# ------------------------------------------------------------------ mixing --
+
+def test_sainte_lague_is_highest_quotients():
+    rng = np.random.default_rng(2)
+    for _ in range(60):
+        votes, seats = rng.integers(0, 1000, rng.integers(1, 9)), int(rng.integers(0, 60))
+        got = mixing.sainte_lague(votes, seats)
+        if votes.sum() == 0 or seats == 0:
+            assert got.sum() == 0
+            continue
+        assert got.sum() == seats
+        given = [v / (2 * g - 1) for v, g in zip(votes, got, strict=True) if g]
+        left = [v / (2 * g + 1) for v, g in zip(votes, got, strict=True)]
+        assert min(given) >= max(left) - 1e-9
+
+
+def test_targets_by_resharing():
+    size, weight = np.array([100, 10, 500, 0]), np.array([3, 1, 2, 3])
+    t = mixing.targets(size, weight)
+    assert math.isclose(t.sum(), 1.5 * size.sum()) and (t <= 2 * size + 1e-9).all()
+    assert t[0] == 200 and t[1] == 20 and t[3] == 0 and math.isclose(t[2], 695)
+
+
+def test_mixing(spark, odd):
+    df = docs_of(spark).select((F.col("doc_id") + 100).alias("doc_id"), "text", "source").unionByName(
+        odd.select("doc_id", "text", "source"))
+    got = mixing.query(df).collect()
+    assert sorted(map(str, got)) == sorted(map(str, mixing.query(df.repartition(7)).collect()))
+    source = {r.doc_id: r.source for r in df.collect()}
+    size = Counter()
+    for i, t in texts_of(df):
+        size[source[i]] += len(t.encode().split())
+    taken = Counter()
+    for r in got:
+        assert 0 <= r.taken <= 2 * r.size and r.source_size == size[source[r.doc_id]]
+        taken[source[r.doc_id]] += r.taken
+    goal = {source[r.doc_id]: r.target for r in got}
+    assert math.isclose(sum(goal.values()), 1.5 * sum(size.values()))
+    assert all(abs(taken[s] - goal[s]) <= 2 * mixing.BLOCK for s in goal)
+
+
+def test_mixing_splits_a_source_into_shards(spark):
+    df = docs_of(spark)
+    got = mixing.mix(df, shard_docs=8).groupBy("source_size", "target").agg({"taken": "sum"}).collect()
+    assert all(abs(r[2] - r.target) <= 16 * mixing.BLOCK for r in got)
+
+
+# --------------------------------------------------------------------- PII --
+
+def brute_pii(t):
+    digits = lambda s: re.sub("[^0-9]", "", s)
+    rules = [(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda s: True),
+             (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda s: all(int(p) <= 255 for p in s.split("."))),
+             (r"[0-9]([\x20-]?[0-9])+", lambda s: 12 <= len(digits(s)) <= 19 and pii.luhn(digits(s))),
+             (r"\+[0-9][\x20().0-9-]+[0-9]", lambda s: 9 <= len(digits(s)) <= 15)]
+    return sorted((m.start(), k, m.end()) for k, (p, ok) in enumerate(rules) for m in re.finditer(p, t) if ok(m[0]))
+
+
+def test_pii_base_spans_fuzzed():
+    rng = np.random.default_rng(4)
+    bits = ["1", "2", "25", "4111111111111111", "@", "a", "b.c", ".", "+", "-", " ", "(", ")", "_", "é", "%", "300", "001"]
+    for _ in range(4000):
+        t = "".join(rng.choice(bits, rng.integers(0, 24)))
+        assert pii.base_spans(t) == brute_pii(t)
+    pii.base_spans("a" * 300_000 + "@" + "1" * 300_000)
+
+
+def test_pii_terms_that_tell(spark, odd):
+    fill = [(1000 + i, f"ordinary words about nothing number{i % 7} and more ordinary words") for i in range(60)]
+    told = [(2000 + i, f"ordinary words zanzibarite writes to zan@example.com and more {i} ordinary words") for i in range(4)]
+    df = odd.select("doc_id", "text").unionByName(spark.createDataFrame(fill + told, "doc_id long, text string"))
+    text = dict(texts_of(df))
+    for r in pii.find(df).collect():
+        assert [tuple(s) for s in r.base] == brute_pii(text[r.doc_id])
+        terms = {text[r.doc_id][s.start:s.end] for s in r.spans if s.kind >= 4}
+        assert terms == ({"zanzibarite", "writes"} if (r.doc_id or 0) >= 2000 else set())
+    assert pii.redacted("to zan@example.com from zan 42", [(3, 0, 18), (24, 5, 27), (28, 4, 30)]) == "to <EMAIL> from  <NUMBER>"
+
+
+# ------------------------------------------------------------------ tokens --
+
+def test_cached_encoding_equals_whole_texts():
+    rng = np.random.default_rng(6)
+    alphabet = list(" \n\t\r a b'sé1.,\x1c\x85\xa0   ßΣ́漢🙂") + ["<|endoftext|>", "hello", " world"]
+    for path, enc in ((BYTE, tokens.ByteEncoder(BYTE)), (WORD, tokens.WordEncoder(WORD))):
+        for _ in range(1500):
+            t = "".join(rng.choice(alphabet, rng.integers(0, 30)))
+            assert enc.ids(t) == np.array(enc._tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes(), (path, t)
+
+
+@pytest.mark.parametrize("bits", [1, 7, 16, 33, 60, 61, 64])
+def test_simple8b_round_trip(bits):
+    rng = np.random.default_rng(bits)
+    for n in (0, 1, 2, 59, 60, 61, 5000):
+        ids = rng.integers(0, 1 << min(bits, 63), n, dtype=np.uint64, endpoint=bits < 63) >> rng.integers(0, bits, n).astype(np.uint64)
+        if bits == 64 and n:
+            ids[0] = np.uint64(2 ** 64 - 1)
+        assert (token_files.decode(token_files.encode(ids)) == ids).all()
+
+
+def test_token_files(spark, odd):
+    df = docs_of(spark).select((F.col("doc_id") + 100).alias("doc_id"), "text").unionByName(odd.select("doc_id", "text"))
+    enc, at, want = tokens.WordEncoder(WORD), 0, []
+    rows = texts_of(df)
+    for i, t in sorted(rows, key=lambda r: (-1 if r[0] is None else r[0], r[1])):
+        ids = enc._tok.encode(t, add_special_tokens=False).ids + [2]
+        want.append((i, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        at += len(ids)
+    got = sorted((tuple(r) for r in token_files.query(df).collect()), key=lambda r: r[1])
+    assert got == want
+
+
+# ----------------------------------------------------------------- packing --
+
+def test_packing(spark, odd):
+    df = docs_of(spark).select((F.col("doc_id") + 100).alias("doc_id"), "text").unionByName(odd.select("doc_id", "text"))
+    tok = tokens.ByteEncoder(BYTE)._tok
+    got = packing.query(df).collect()
+    ids = {i: np.array(tok.encode(t, add_special_tokens=False).ids + [0], "<u4") for i, t in texts_of(df)}
+    where = {}
+    for r in got:
+        part = ids[r.doc_id][r.start:r.start + r.length]
+        assert len(part) == r.length and zlib.crc32(part.tobytes()) == r.ids_crc32
+        assert r.piece == 0 or r.length == packing.CAPACITY
+        where.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for places in where.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= packing.CAPACITY
+    assert sum(r.length for r in got) == sum(len(ids[i]) for i, _ in texts_of(df))
+    assert len(where) <= math.ceil(sum(r.length for r in got) / packing.CAPACITY) * 1.02 + 1
+
+
+def test_sweep_is_best_fit_decreasing():
+    rng = np.random.default_rng(8)
+    for _ in range(40):
+        lengths = rng.integers(1, 65, rng.integers(1, 200)).tolist()
+        gaps = []
+        for n in sorted(lengths, reverse=True):
+            fit = [g for g in gaps if g >= n]
+            if fit:
+                gaps.remove(min(fit))
+            gaps.append((min(fit) if fit else 64) - n)
+        assert packing.sweep(Counter(lengths), 64)[1] == len(gaps)
+
+
+# ----------------------------------------------------------------- quality --
+
+def test_quality_held_out_and_inputs(spark, odd):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    weights = quality.train(docs, labels)
+    assert (weights == quality.train(docs.repartition(5), labels)).all()
+    score = quality.score_udf(spark, weights)
+    rows = [r for r in docs.join(labels, "doc_id").select(
+        "quality", (F.crc32(docs.doc_id.cast("string").cast("binary")) % 5 == 0).alias("held"),
+        score(docs.text).alias("score")).collect() if r.held]
+    assert np.mean([(r.score >= quality.THRESHOLD) == r.quality for r in rows]) > 0.93
+    assert np.mean([r.score >= quality.THRESHOLD for r in rows if r.quality == 1]) > 0.98
+    odd_scores = [r.score for r in odd.select(score(odd.text).alias("score")).collect()]
+    assert all(0 <= s <= 1 for s in odd_scores)
+    none = quality.train(docs.limit(0), labels.limit(0))
+    assert not none.any()
+
+
+# ----------------------------------------------------------------- SimHash --
+
+def brute_fingerprint(text):
+    ws = text.encode().lower().split()
+    if not ws:
+        return 0
+    h = [xxhash.xxh64_intdigest(b" ".join(ws[i:i + 4]), 42) for i in range(max(1, len(ws) - 3))]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def union(n, links):
+    root = list(range(n))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    for a, b in links:
+        root[max(find(a), find(b))] = min(find(a), find(b))
+    return [find(i) for i in range(n)]
+
+
+def test_simhash(spark, odd):
+    df = docs_of(spark).select((F.col("doc_id") + 100).alias("doc_id"), "text").unionByName(odd.select("doc_id", "text"))
+    rows = texts_of(df)
+    fps = [brute_fingerprint(t) for _, t in rows]
+    low = union(len(fps), [(i, j) for i in range(len(fps)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 4])
+    least = {}
+    for (i, _), c in zip(rows, low, strict=True):
+        if i is not None:
+            least[c] = min(least.get(c, i), i)
+    want = Counter((i, f"{f:016x}", least.get(c)) for (i, _), f, c in zip(rows, fps, low, strict=True))
+    assert Counter(tuple(r) for r in simhash.query(df).collect()) == want
+
+
+@pytest.mark.parametrize("tile,bits", [(8192, 4), (16, 4), (16, 7)])
+def test_grid_links_lose_no_link(spark, monkeypatch, tile, bits):
+    monkeypatch.setattr(simhash, "TILE", tile)
+    rng = np.random.default_rng(9)
+    base = rng.integers(0, 1 << 63, 40, dtype=np.uint64)
+    fps = set(base.tolist()) | {0}
+    for f in list(fps):
+        for _ in range(12):
+            g = f
+            for b in rng.choice(64, rng.integers(1, 7), replace=False):
+                g ^= 1 << int(b)
+            fps.add(g)
+    fps = sorted(fps)
+    want = union(len(fps), [(i, j) for i in range(len(fps)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= bits])
+    signed = np.array(fps, np.uint64).view(np.int64).tolist()
+    df = spark.createDataFrame([(x,) for x in signed], "fp long")
+    found = {r.node: r.root for r in simhash.link_fingerprints(df, bits).collect()}
+    ours = [found.get(x, x) for x in signed]
+    groups = lambda labels: sorted(map(sorted, ({j for j, y in enumerate(labels) if y == x} for x in set(labels))))
+    assert groups(ours) == groups(want)
