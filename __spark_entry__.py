@@ -186,7 +186,7 @@ def q_last_7_days(spark, sf):
 def q_stream_daily_equals_batch(spark, sf):
     root = shared_dir(spark, "incremental")
     landing = f"{root}/landing"
-    incremental.land(ev.readings(spark, sf, metrics=[HUMIDITY]), landing)
+    incremental.land(ev.readings(spark, sf), landing)
     paths = incremental.run_incremental(spark, landing, root, ["daily_humidity"],
                                         files_per_batch=10)
     return incremental.read_curated(spark, paths["daily_humidity"],
@@ -196,7 +196,7 @@ def q_stream_daily_equals_batch(spark, sf):
 def q_stream_hottest_equals_batch(spark, sf):
     root = shared_dir(spark, "incremental-hot")
     landing = f"{root}/landing"
-    incremental.land(ev.readings(spark, sf, metrics=[TEMPERATURE]), landing)
+    incremental.land(ev.readings(spark, sf), landing)
     paths = incremental.run_incremental(spark, landing, root, ["hottest_stations"],
                                         files_per_batch=10)
     return incremental.read_curated(spark, paths["hottest_stations"],
@@ -233,16 +233,16 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "daily_temp": lambda s, sf: C.daily_temp(ev.readings(s, sf, metrics=temp)),
         "hottest_stations": lambda s, sf: C.hottest_stations(ev.readings(s, sf, metrics=temp)),
-        "rainiest_days": lambda s, sf: C.rainiest_days(ev.readings(s, sf, metrics=[RAINFALL])),
-        "daily_humidity": lambda s, sf: C.daily_humidity(ev.readings(s, sf, metrics=[HUMIDITY])),
-        "metric_counts": lambda s, sf: C.metric_counts(ev.readings(s, sf)),
+        "rainiest_days": lambda s, sf: C.rainiest_days(ev.event_readings(s, sf, metrics=[RAINFALL])),
+        "daily_humidity": lambda s, sf: C.daily_humidity(ev.event_readings(s, sf, metrics=[HUMIDITY])),
+        "metric_counts": lambda s, sf: C.metric_counts(ev.event_readings(s, sf)),
         "view_sql": _sql("daily_temp"),
         "view_sql_hottest": _sql("hottest_stations"),
         "view_sql_rainiest": _sql("rainiest_days"),
         "view_sql_humidity": _sql("daily_humidity"),
         "preview_top5": lambda s, sf: C.preview(
             C.hottest_stations(ev.readings(s, sf, metrics=temp)), 5),
-        "rainiest_ranked": lambda s, sf: C.rainiest_ranked(ev.readings(s, sf, metrics=[RAINFALL])),
+        "rainiest_ranked": lambda s, sf: C.rainiest_ranked(ev.event_readings(s, sf, metrics=[RAINFALL])),
         "last_7_days": q_last_7_days,
         "raw_flatten": q_raw_flatten,
         "raw_json_scan": q_raw_json_scan,
@@ -345,15 +345,15 @@ ordered AS (
 _TYPED_RAW = """
 CASE event_id % 41
   WHEN 3 THEN 'n/a'
-  WHEN 5 THEN ' ' || printf('%.2f', value) || ' '
-  WHEN 9 THEN printf('%.2f', value) || 'd'
+  WHEN 5 THEN ' ' || CAST(value AS VARCHAR) || ' '
+  WHEN 9 THEN CAST(value AS VARCHAR) || 'd'
   WHEN 11 THEN '1e2'
   WHEN 13 THEN ''
-  WHEN 17 THEN '+' || printf('%.2f', value)
+  WHEN 17 THEN '+' || CAST(value AS VARCHAR)
   WHEN 19 THEN '.5'
   WHEN 23 THEN 'NaN'
   WHEN 29 THEN '-inf'
-  ELSE printf('%.2f', value) END"""
+  ELSE CAST(value AS VARCHAR) END"""
 
 _NUMERIC = r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
@@ -421,7 +421,7 @@ FROM (SELECT event_id, {_TYPED_RAW} AS raw_value FROM events) t""",
         "flatten_prefix_keep": _with(_PREFIX_DOCS) + f"\nSELECT {_CLEAN} FROM ordered WHERE n_bad = 0",
         "flatten_rejects": _with(_PREFIX_DOCS) + """
 SELECT metric, metric || '_raw.json' AS source_file, position, timestamp, station_id,
-       CASE WHEN bad THEN 'n/a' ELSE printf('%.2f', value) END AS raw_value,
+       CASE WHEN bad THEN 'n/a' ELSE CAST(value AS VARCHAR) END AS raw_value,
        CASE WHEN bad THEN 'bad_value' ELSE 'after_bad_item' END AS reason
 FROM ordered WHERE n_bad > 0""",
         "station_lookup": CLEAN_SQL,

@@ -52,5 +52,8 @@ def null_policy(df: DataFrame, fill: dict | None = None,
     if present:
         out = out.na.fill(present)
     if required:
-        out = out.na.drop(subset=[c for c in required if c in df.columns])
+        # Not na.drop, which takes NaN for missing; a NaN reading is a value.
+        for c in required:
+            if c in df.columns:
+                out = out.where(F.col(c).isNotNull())
     return out

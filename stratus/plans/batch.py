@@ -32,10 +32,11 @@ def run_batch(spark: SparkSession, raw: str | list[str], root: str,
     out = {"clean": clean_path, "rejects": rejects_path}
     # Temperature is scanned once: both temperature tables follow from the
     # stored per-(date, station) partials.
-    partials = lake.write_parquet(C.temperature_partials(clean),
+    by_station = C.temperature_partials(clean)
+    partials = lake.write_parquet(by_station,
                                   lake.layer_path(root, lake.CURATED, "_temperature_partials"),
                                   ["date"])
-    stored = spark.read.parquet(partials)
+    stored = lake.read_parquet(spark, partials, by_station.columns, by_station.schema)
     tables = {
         "daily_temp": C.daily_temp_from_partials(stored, ordered=False),
         "hottest_stations": C.hottest_from_partials(stored),

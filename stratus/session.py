@@ -11,6 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 
 
@@ -50,7 +51,6 @@ def cluster_conf(input_bytes: int, total_cores: int,
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.shuffle.partitions": str(shuffle),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.parquet.filterPushdown": "true",
         "spark.sql.session.timeZone": "UTC",
     }
@@ -60,13 +60,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder; sets a local one only when none is set."""
     try:
         sc = spark.sparkContext
-    except Exception:             # e.g. a Spark Connect session: no SparkContext here
+    except PySparkException:      # a Spark Connect session has no SparkContext
         sc = None
     root = sc.getCheckpointDir() if sc is not None else None
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None) or None
         if not root:
-            # Only reached in local tests: the cluster always names one.
+            # Local tests may go without; on a cluster a machine-local folder
+            # would hold files that the other machines cannot see.
+            if sc is not None and not sc.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             root = tempfile.mkdtemp(prefix="stratus-ckpt-")
         if sc is not None:
             sc.setCheckpointDir(root)

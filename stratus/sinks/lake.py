@@ -26,6 +26,8 @@ from stratus.schemas import CLEAN_COLUMNS, CLEAN_SCHEMA, REJECT_SCHEMA
 RAW, CLEAN, CURATED = "raw", "clean", "curated"
 DOMAIN = "weather"
 CSV_NULL = "\\N"
+# Blanks, quotes and line ends in a text come back as they were.
+CSV_FAITHFUL = {"escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 def layer_path(root: str, layer: str, table: str | None = None) -> str:
@@ -36,8 +38,13 @@ def layer_path(root: str, layer: str, table: str | None = None) -> str:
 # ---------------------------------------------------------------- parquet --
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                  mode: str = "overwrite") -> str:
-    w = df.write.mode(mode)
+                  mode: str = "overwrite", rebalance: bool = True) -> str:
+    """A full rebuild replaces the whole table, whatever the session says about
+    partition overwrites.  `rebalance` shuffles on the partition columns, so a
+    partition's file count follows its size."""
+    if partition_by and rebalance:
+        df = df.hint("rebalance", *partition_by)
+    w = df.write.mode(mode).option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -64,6 +71,7 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False,
     (out.write.mode(mode)
         .option("header", True)
         .option("nullValue", CSV_NULL)
+        .options(**CSV_FAITHFUL)
         .csv(path))
     return path
 
@@ -72,6 +80,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return (spark.read.schema(schema)
             .option("header", True)
             .option("nullValue", CSV_NULL)
+            .options(multiLine=True, **CSV_FAITHFUL)
             .csv(path))
 
 
@@ -85,7 +94,8 @@ def publish_raw(days: DataFrame, root: str) -> str:
     """
     path = layer_path(root, RAW)
     (days.select("metric", "data").hint("rebalance", "metric")
-     .write.mode("overwrite").partitionBy("metric").json(path))
+     .write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy("metric").json(path))
     return path
 
 
@@ -108,26 +118,28 @@ def ingest_clean(spark: SparkSession, raw_days: DataFrame, root: str,
     base = layer_path(root, CLEAN, "flattened")
     parts = ["kind", "metric", "date"]
     rows = split_of(annotate_days(raw_days))
-    if rebalance:
-        rows = rows.hint("rebalance", *parts)
-    write_parquet(rows, base, parts)
+    write_parquet(rows, base, parts, rebalance=rebalance)
     return f"{base}/kind={KIND_READINGS}", f"{base}/kind={KIND_REJECTS}"
 
 
 def read_clean(spark: SparkSession, path: str) -> DataFrame:
     """Clean readings with their declared schema and column order."""
-    return spark.read.schema(CLEAN_SCHEMA).parquet(path).select(*CLEAN_COLUMNS)
+    return _read_or_empty(spark, path, CLEAN_SCHEMA)
 
 
 def read_rejects(spark: SparkSession, path: str) -> DataFrame:
     """Rejects with their declared schema (empty when none were written)."""
-    cols = [f.name for f in REJECT_SCHEMA.fields]
+    return _read_or_empty(spark, path, REJECT_SCHEMA)
+
+
+def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The table with its declared schema; empty when nothing was written."""
     try:
-        return spark.read.schema(REJECT_SCHEMA).parquet(path).select(*cols)
+        return spark.read.schema(schema).parquet(path).select(*schema.names)
     except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
+        if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], REJECT_SCHEMA)
+        return spark.createDataFrame([], schema)
 
 
 def publish_curated(df: DataFrame, root: str, table: str,
@@ -138,10 +150,10 @@ def publish_curated(df: DataFrame, root: str, table: str,
     sorts them for presentation when `order_by` is given)."""
     spark = df.sparkSession
     pq = write_parquet(df, layer_path(root, CURATED, table), partition_by)
-    written = spark.read.parquet(pq).select(*df.columns)
+    written = spark.read.schema(df.schema).parquet(pq).select(*df.columns)
     if order_by:
         written = written.orderBy(*order_by)
-    csv = write_csv(written, layer_path(root, CURATED, f"{table}_csv"), single_file=True)
+    csv = write_csv(written, layer_path(root, CURATED, f"{table}_csv"), single_file=not partition_by)
     return pq, csv
 
 

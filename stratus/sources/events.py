@@ -56,8 +56,8 @@ def timestamp_text(ts: Column) -> Column:
 
 
 def value_text(value: Column) -> Column:
-    """Reading value as the text a JSON source would carry (2 decimals)."""
-    return F.format_string("%.2f", value)
+    """Reading value as the text a JSON source would carry, all its digits."""
+    return value.cast("string")
 
 
 def stations(spark: SparkSession, sf_dir: str) -> DataFrame:

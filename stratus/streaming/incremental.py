@@ -27,12 +27,12 @@ continues where it stopped.
 from __future__ import annotations
 
 from typing import Callable
+from zlib import crc32
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratus.operators.lookup import maybe_broadcast
 from stratus.plans import curated as C
 from stratus.schemas import CLEAN_COLUMNS, CLEAN_SCHEMA
 
@@ -49,26 +49,23 @@ PARTIALS = "_temperature_partials"
 
 BATCH_COL = "batch_id"
 
-# Most distinct dates one micro-batch may touch for the recompute to prune
-# partitions by a literal list; beyond it, a semi-join on the touched dates.
-MAX_PRUNED_DATES = 5_000
-
-
 def land(readings: DataFrame, landing: str) -> str:
     """Append clean readings to a landing directory, one folder per date."""
-    readings.select(*CLEAN_COLUMNS).write.mode("append").partitionBy("date").parquet(landing)
+    (readings.select(*CLEAN_COLUMNS).hint("rebalance", "date").write.mode("append").partitionBy("date").parquet(landing))
     return landing
 
 
 def _dynamic_overwrite(df: DataFrame, path: str, partition_by: list[str]) -> None:
-    (df.write.mode("overwrite")
+    # Rebalanced on the partition columns: file counts follow the data, not
+    # tasks x dates.
+    (df.hint("rebalance", *partition_by).write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .partitionBy(*partition_by)
        .parquet(path))
 
 
 def _clean_schema_with_batch() -> T.StructType:
-    return T.StructType(CLEAN_SCHEMA.fields + [T.StructField(BATCH_COL, T.LongType())])
+    return T.StructType(CLEAN_SCHEMA.fields + [T.StructField(BATCH_COL, T.StringType())])
 
 
 def touched_filter(batch: DataFrame):
@@ -76,16 +73,11 @@ def touched_filter(batch: DataFrame):
 
     Returns a function DataFrame -> DataFrame.  Dynamic partition pruning
     does not fire when the filtering side is a persisted micro-batch (no
-    selective predicate), so a bounded list of the batch's distinct dates
-    (at most MAX_PRUNED_DATES values, read with a limit) becomes a literal
-    IN filter that prunes partitions at planning time.  A batch touching
-    more dates uses a size-checked semi-join instead.
+    selective predicate), so the batch's distinct dates, one value per
+    calendar day, become a literal filter that prunes partitions at planning
+    time.  The NULL date is one of them.
     """
-    distinct = batch.select("date").distinct()
-    dates = [r[0] for r in distinct.limit(MAX_PRUNED_DATES + 1).collect()]
-    if len(dates) > MAX_PRUNED_DATES:
-        touched = maybe_broadcast(distinct)
-        return lambda df: df.join(touched, "date", "left_semi")
+    dates = [r[0] for r in batch.select("date").distinct().collect()]
     known = [d for d in dates if d is not None]
     cond = F.col("date").isin(known)
     if len(known) < len(dates):
@@ -94,8 +86,9 @@ def touched_filter(batch: DataFrame):
 
 
 def make_batch_handler(spark: SparkSession, clean: str, curated: dict[str, str],
-                       partials: str | None = None):
-    """foreachBatch body.  `partials` (a path) is required when daily_temp or
+                       partials: str | None = None, feed: str = "feed"):
+    """foreachBatch body.  `feed` names the landing folder, so that batches of
+    different feeds never overwrite each other in the clean layer.  `partials` (a path) is required when daily_temp or
     hottest_stations is maintained."""
     unknown = set(curated) - set(SUPPORTED)
     if unknown:
@@ -107,8 +100,7 @@ def make_batch_handler(spark: SparkSession, clean: str, curated: dict[str, str],
         batch = batch.select(*CLEAN_COLUMNS).persist()
         try:
             only_touched = touched_filter(batch)
-            _dynamic_overwrite(batch.withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
-                               .hint("rebalance", "date"),
+            _dynamic_overwrite(batch.withColumn(BATCH_COL, F.lit(f"{feed}-{batch_id}")),
                                clean, ["date", BATCH_COL])
             whole = only_touched(
                 spark.read.schema(_clean_schema_with_batch()).parquet(clean)
@@ -139,6 +131,7 @@ def run_incremental(spark: SparkSession, landing: str, root: str,
     clean = f"{root.rstrip('/')}/clean/readings"
     curated = {t: f"{root.rstrip('/')}/curated/{t}" for t in tables}
     partials = f"{root.rstrip('/')}/curated/{PARTIALS}"
+    feed = f"{crc32(landing.rstrip('/').encode()):08x}"
     stream = (
         spark.readStream.schema(CLEAN_SCHEMA)
         .option("maxFilesPerTrigger", files_per_batch)
@@ -146,12 +139,15 @@ def run_incremental(spark: SparkSession, landing: str, root: str,
     )
     writer = (
         stream.writeStream
-        .foreachBatch(make_batch_handler(spark, clean, curated, partials))
-        .option("checkpointLocation", f"{root.rstrip('/')}/_checkpoint")
+        .foreachBatch(make_batch_handler(spark, clean, curated, partials, feed))
+        .option("checkpointLocation", f"{root.rstrip('/')}/_checkpoint/{feed}")
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     q = writer.start()
-    q.awaitTermination(timeout_s)      # raises if a micro-batch failed
+    # Raises if a micro-batch failed; a run that isn't over in time is stopped.
+    if q.awaitTermination(timeout_s) is False:
+        q.stop()
+        raise TimeoutError(f"incremental run not finished within {timeout_s} s")
     return curated
 
 

@@ -16,15 +16,15 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle_or_is_listed():
-    no_oracle = set(E.queries()) - set(E.oracle_sql())
+    no_oracle = set(E._queries()) - set(E._oracles())
     assert no_oracle == {"file_manifest", "output_listing"}
-    assert set(E.oracle_sql()) <= set(E.queries())
+    assert set(E._oracles()) <= set(E._queries())
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(E._queries()))
 def test_query_matches_oracle(spark, key):
     res = compare(spark, SF01, [key], verbose=False)[key]
-    if key in E.oracle_sql():
+    if key in E._oracles():
         assert res["cols_match"], res
         assert res["rows"] == res["oracle_rows"], res
         assert res["hash_match"], res
@@ -36,9 +36,9 @@ BANNED = ["CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "BatchEval
           "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"]
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(E._queries()))
 def test_plan_has_no_cross_join_or_python(spark, key):
     from conftest import SF001
-    df = E.queries()[key](spark, SF001)
+    df = E._queries()[key](spark, SF001)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not [b for b in BANNED if b in plan], plan

@@ -68,7 +68,7 @@ def test_retried_batch_does_not_append_twice(spark, tmp_dir):
 def test_recompute_prunes_to_touched_dates(spark, tmp_dir):
     r = ev.readings(spark, SF001, metrics=["relative_humidity"])
     clean = os.path.join(tmp_dir, "clean")
-    r.withColumn("batch_id", F.lit(0).cast("long")).write.partitionBy("date", "batch_id").parquet(clean)
+    r.withColumn("batch_id", F.lit("feed-0")).write.partitionBy("date", "batch_id").parquet(clean)
     batch = spark.createDataFrame(r.where(F.dayofmonth("date") == 3).collect(), r.schema).persist()
     pick = incremental.touched_filter(batch)
     whole = pick(spark.read.parquet(clean))
@@ -111,7 +111,7 @@ def test_crash_mid_batch_then_restart_equals_batch(spark, tmp_dir):
 
     def crashing(batch, batch_id):
         if batch_id == 1:
-            batch.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite") \
+            batch.withColumn("batch_id", F.lit(f"feed-{batch_id}")).write.mode("overwrite") \
                 .option("partitionOverwriteMode", "dynamic").partitionBy("date", "batch_id").parquet(clean)
             raise RuntimeError("executor lost")
         good(batch, batch_id)
