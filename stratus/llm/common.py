@@ -53,6 +53,19 @@ def words(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
+_cache = None
+
+
+def use_cache(cache) -> None:
+    """Say that this process is about to use `cache` (it has clear()).  Worker
+    processes serve one operator after another; only one's cache is kept."""
+    global _cache
+    if cache is not _cache:
+        if _cache is not None:
+            _cache.clear()
+        _cache = cache
+
+
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]],
                 schema: str) -> DataFrame:
     """mapInArrow with a function that yields dicts of columns."""
@@ -66,5 +79,6 @@ def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator
             yield pa.RecordBatch.from_arrays(
                 [c if isinstance(c, pa.Array) and c.type == f.type else pa.array(c, type=f.type)
                  for f, c in ((f, cols[f.name]) for f in arrow)], schema=arrow)
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)

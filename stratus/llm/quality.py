@@ -20,19 +20,20 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.llm.common import id_crc, words
+from stratus.llm.common import id_crc, use_cache, words
 
 BITS = 18
 MAX_LABELLED = 12_000
 THRESHOLD = 0.3
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _cache: dict[bytes, int] = {}
-_CACHE_MAX = 400_000
+_CACHE_MAX = 250_000
 
 
 def features(text: bytes, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
     """Bucket numbers and values of one text; bucket 2**bits is the bias."""
     ws = words(text)
+    use_cache(_cache)
     if len(_cache) > _CACHE_MAX:
         _cache.clear()
     for w in set(ws).difference(_cache):

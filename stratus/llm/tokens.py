@@ -10,11 +10,13 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 from functools import lru_cache
 
-import numpy as np
+from stratus.llm.common import use_cache
 
-_CACHE_MAX = 400_000
+_CACHE_MAX = 250_000
 _BLANKS = re.compile(r" (?:\s|\Z)")
 _LONG = 64        # longer parts are not worth a place in the cache
 
@@ -32,8 +34,13 @@ class _Known(dict):
 
     def turn(self) -> None:
         if len(self) > _CACHE_MAX:
-            self._old = dict(self)
+            old = dict(self)
             self.clear()
+            self._old = old
+
+    def clear(self) -> None:
+        super().clear()
+        self._old = {}
 
     def __missing__(self, part: str) -> bytes:
         ids = self._old.get(part)
@@ -56,9 +63,13 @@ class _Encoder:
         self._known = _Known(lambda part: self._encode(self.prefix + part))
 
     def _encode(self, part: str) -> bytes:
-        return np.array(self._tok.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
+        ids = array("I", self._tok.encode(part, add_special_tokens=False).ids)
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
     def _joined(self, parts: list[str]) -> bytes:
+        use_cache(self._known)
         self._known.turn()
         return b"".join(map(self._known.__getitem__, parts))
 
