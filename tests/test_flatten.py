@@ -229,7 +229,7 @@ def test_day_documents_group_equal_timestamps_into_one_reading(spark, tmp_dir):
     temp = docs["air_temperature"]
     assert [(r["timestamp"], [(i["stationId"], i["value"]) for i in r["data"]]) for r in temp["readings"]] == [
         ("2024-01-02T03:04:05.600000+08:00", [("7", "1.5"), ("8", "2.5")]),
-        ("2024-01-02T03:09:00.000000+08:00", [("7", "3.50")]),
+        ("2024-01-02T03:09:00.000000+08:00", [("7", "3.5")]),
     ]
     assert [s["id"] for s in temp["stations"]] == ["7"]
     flat = flatten_readings(ev.day_documents(spark, tmp_dir))
