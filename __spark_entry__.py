@@ -28,6 +28,7 @@ if _HERE not in sys.path:
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratus.functions.columns import exact_avg, exact_sum
 from stratus.operators import cleaning, flatten, quality
 from stratus.operators.lookup import maybe_broadcast
 from stratus.plans import curated as C
@@ -89,6 +90,26 @@ def q_flatten_prefix_keep(spark, sf):
     return flatten.flatten_readings(ev.day_documents(spark, sf, bad_value=_prefix_bad()))
 
 
+def q_flatten_nonfinite(spark, sf):
+    """Value texts that only float()'s full grammar reads; no reading is lost."""
+    k = F.col("event_id") % 59
+    text = (F.when(k == 3, F.lit("NaN")).when(k == 5, F.lit("-Infinity")).when(k == 7, F.lit("1_000"))
+            .when(k == 11, F.lit(" 1e400 ")).when(k == 13, F.lit("+nan"))
+            .otherwise(ev.value_text(F.col("value"))))
+    return flatten.flatten_readings(ev.day_documents(spark, sf, text=text))
+
+
+def q_agg_wide_values(spark, sf):
+    """Average, sum and maximum per metric and date with some values very large,
+    very small or not finite."""
+    k, rare = F.col("event_id") % 97, F.col("event_id") % 997
+    value = (F.when(rare == 1, F.lit(float("nan"))).when(rare == 2, F.lit(float("inf")))
+             .when(k == 3, F.lit(2e12)).when(k == 5, F.lit(1e-7)).otherwise(F.col("value")))
+    return ev.event_readings(spark, sf).withColumn("value", value).groupBy("metric", "date").agg(
+        exact_avg("value").alias("avg_value"), exact_sum("value").alias("sum_value"),
+        F.max("value").alias("max_value"))
+
+
 def q_flatten_rejects(spark, sf):
     return flatten.flatten_rejects(ev.day_documents(spark, sf, bad_value=_prefix_bad())).drop("day_id")
 
@@ -250,6 +271,8 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "typed_cast": q_typed_cast,
         "flatten_prefix_keep": q_flatten_prefix_keep,
         "flatten_rejects": q_flatten_rejects,
+        "flatten_nonfinite": q_flatten_nonfinite,
+        "agg_wide_values": q_agg_wide_values,
         "station_lookup": lambda s, sf: ev.readings(s, sf),
         "parquet_roundtrip": q_parquet_roundtrip,
         "csv_roundtrip": q_csv_roundtrip,
@@ -355,7 +378,30 @@ CASE event_id % 41
   WHEN 29 THEN '-inf'
   ELSE CAST(value AS VARCHAR) END"""
 
-_NUMERIC = r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+# What float() makes of the injected texts, one by one.
+_NONFINITE_SQL = f"""
+SELECT {_CLEAN.replace(', value', '')},
+       CASE event_id % 59
+         WHEN 3 THEN 'nan'::DOUBLE WHEN 13 THEN 'nan'::DOUBLE
+         WHEN 5 THEN '-inf'::DOUBLE WHEN 11 THEN 'inf'::DOUBLE
+         WHEN 7 THEN 1000.0 ELSE value END AS value
+FROM readings"""
+
+# Finite values are summed as integers of 1e-8; 2e12, 1e-7 and values of two
+# decimals are all whole numbers of that unit.
+_WIDE_SQL = """
+wide AS (
+  SELECT metric, date,
+         CASE WHEN event_id % 997 = 1 THEN 'nan'::DOUBLE WHEN event_id % 997 = 2 THEN 'inf'::DOUBLE
+              WHEN event_id % 97 = 3 THEN 2e12 WHEN event_id % 97 = 5 THEN 1e-7 ELSE value END AS v
+  FROM readings
+),
+sums AS (
+  SELECT metric, date, COUNT(v) AS n, MAX(v) AS max_value,
+         SUM(CASE WHEN isfinite(v) THEN CAST(ROUND(v * 1e8) AS HUGEINT) END) AS s,
+         COALESCE(bool_or(isnan(v)), FALSE) AS has_nan, COALESCE(bool_or(isinf(v)), FALSE) AS has_inf
+  FROM wide GROUP BY metric, date
+)"""
 
 QUALITY_SQL = _with("""
 keys AS (
@@ -416,14 +462,24 @@ GROUP BY date, station_name""",
         "raw_json_scan_strict": CLEAN_SQL,
         "typed_cast": f"""
 SELECT event_id, raw_value,
-       CASE WHEN regexp_matches(raw_value, '{_NUMERIC}') THEN TRY_CAST(trim(raw_value) AS DOUBLE) END AS value
-FROM (SELECT event_id, {_TYPED_RAW} AS raw_value FROM events) t""",
+       CASE event_id % 41 WHEN 3 THEN NULL WHEN 9 THEN NULL WHEN 13 THEN NULL WHEN 11 THEN 100.0
+            WHEN 19 THEN 0.5 WHEN 23 THEN 'nan'::DOUBLE WHEN 29 THEN '-inf'::DOUBLE
+            ELSE event_value END AS value
+FROM (SELECT event_id, value AS event_value, {_TYPED_RAW} AS raw_value FROM events) t""",
         "flatten_prefix_keep": _with(_PREFIX_DOCS) + f"\nSELECT {_CLEAN} FROM ordered WHERE n_bad = 0",
         "flatten_rejects": _with(_PREFIX_DOCS) + """
 SELECT metric, metric || '_raw.json' AS source_file, position, timestamp, station_id,
        CASE WHEN bad THEN 'n/a' ELSE CAST(value AS VARCHAR) END AS raw_value,
        CASE WHEN bad THEN 'bad_value' ELSE 'after_bad_item' END AS reason
 FROM ordered WHERE n_bad > 0""",
+        "flatten_nonfinite": _with() + _NONFINITE_SQL,
+        "agg_wide_values": _with(_WIDE_SQL) + """
+SELECT metric, date, max_value,
+       CASE WHEN has_nan THEN 'nan'::DOUBLE WHEN has_inf THEN 'inf'::DOUBLE
+            ELSE CAST(sign(s) * ((2 * abs(s) + n * 1000000) // (2 * n * 1000000)) AS DOUBLE) / 100 END AS avg_value,
+       CASE WHEN has_nan THEN 'nan'::DOUBLE WHEN has_inf THEN 'inf'::DOUBLE
+            ELSE CAST(sign(s) * ((2 * abs(s) + 1000000) // 2000000) AS DOUBLE) / 100 END AS sum_value
+FROM sums""",
         "station_lookup": CLEAN_SQL,
         "parquet_roundtrip": DAILY_TEMP_SQL,
         "csv_roundtrip": DAILY_TEMP_SQL,

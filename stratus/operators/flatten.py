@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratus.functions.columns import numeric_text, parse_value, text_date
+from stratus.functions.columns import numeric_text, parse_value, text_date, text_to_double
 
 # Reasons attached to rejects.
 DAY_MISSING_DATA = "missing_data"
@@ -53,9 +53,9 @@ def _day_reason() -> Column:
 def _item(ts: Column, sid: Column, raw: Column, broken: Column) -> Column:
     """One item with its reason, built in a single pass.
 
-    The numeric-text check runs once, inside the reason.  `value` is a plain
-    `try_cast`: it is only ever used for items without a reason, i.e. whose
-    text passed that check, where it equals `parse_value`.
+    The numeric-text check runs once, inside the reason.  `value` is only ever
+    used for items without a reason, i.e. whose text passed that check, where
+    it equals `parse_value`.
     """
     reason = (
         F.when(broken, F.lit(ITEM_MALFORMED_READING))
@@ -63,7 +63,7 @@ def _item(ts: Column, sid: Column, raw: Column, broken: Column) -> Column:
         .when(~F.coalesce(numeric_text(raw), F.lit(False)), F.lit(ITEM_BAD_VALUE))
     )
     return F.struct(ts.alias("timestamp"), sid.alias("station_id"), raw.alias("raw_value"),
-                    raw.try_cast("double").alias("value"), reason.alias("reason"))
+                    text_to_double(raw).alias("value"), reason.alias("reason"))
 
 
 def _items() -> Column:

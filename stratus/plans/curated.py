@@ -16,7 +16,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratus.functions.columns import as_sum_decimal, exact_avg, exact_sum, round2
+from stratus.functions.columns import (
+    TOTAL_TYPE,
+    as_sum_decimal,
+    avg_of,
+    exact_avg,
+    exact_sum,
+    misfits,
+    round2,
+)
 from stratus.schemas import HUMIDITY, METRIC_BY_NAME, RAINFALL, TEMPERATURE
 
 
@@ -59,43 +67,44 @@ def hottest_stations(readings: DataFrame, k: int = 10, by: str = "station_name")
 
 
 def temperature_partials(readings: DataFrame, by: str = "station_name") -> DataFrame:
-    """Exact, mergeable partials per (date, station): decimal sum, count, max.
+    """Mergeable partials per (date, station): exact sum, double sum, count,
+    values the exact sum can't hold, max.
 
     `daily_temp` and `hottest_stations` both follow from this one small
     table, so a batch run scans the temperature rows once, and the
     incremental mode can keep a non-date-keyed table (hottest) current by
     re-aggregating the stored per-date partials.
     """
-    d = as_sum_decimal("value")
     return (
         metric_rows(readings, TEMPERATURE)
         .groupBy("date", by)
-        .agg(F.sum(d).alias("sum_value"),
-             F.count(d).alias("n_values"),
+        .agg(F.try_sum(as_sum_decimal("value")).alias("sum_value"),
+             F.sum("value").alias("sum_double"),
+             F.count("value").alias("n_values"),
+             misfits("value").alias("n_misfits"),
              F.max("value").alias("max_value"))
     )
 
 
-def _avg_of(total: str, n: str):
-    return F.round(F.try_divide(F.col(total), F.col(n)), 2).cast("double")
-
-
 def daily_temp_from_partials(partials: DataFrame, by: str = "station_name",
                              ordered: bool = True) -> DataFrame:
     out = partials.select(
         "date", by,
-        _avg_of("sum_value", "n_values").alias("avg_temp_c"),
+        avg_of(F.col("sum_value"), F.col("sum_double"), F.col("n_values"),
+               F.col("n_misfits")).alias("avg_temp_c"),
         round2("max_value").alias("max_temp_c"),
     )
     return out.orderBy(F.asc("date"), F.desc("avg_temp_c"), F.asc(by)) if ordered else out
 
 
 def hottest_from_partials(partials: DataFrame, k: int = 10, by: str = "station_name") -> DataFrame:
+    # The sum keeps the type of a single scan's, so the quotient is the same.
     return (
         partials.groupBy(by)
-        .agg(F.sum("sum_value").alias("s"), F.sum("n_values").alias("n"),
-             F.max("max_value").alias("m"))
-        .select(by, _avg_of("s", "n").alias("avg_temp_c"), round2("m").alias("max_temp_c"))
+        .agg(F.try_sum("sum_value").try_cast(TOTAL_TYPE).alias("s"), F.sum("sum_double").alias("d"),
+             F.sum("n_values").alias("n"), F.sum("n_misfits").alias("x"), F.max("max_value").alias("m"))
+        .select(by, avg_of(F.col("s"), F.col("d"), F.col("n"), F.col("x")).alias("avg_temp_c"),
+                round2("m").alias("max_temp_c"))
         .orderBy(F.desc("avg_temp_c"), F.asc(by))
         .limit(k)
     )

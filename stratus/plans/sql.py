@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stratus.functions.columns import SUM_TYPE
 from stratus.plans.curated import CURATED, metric_view
 from stratus.schemas import METRICS
 
@@ -32,13 +33,22 @@ def register_views(readings: DataFrame, curated: bool = False) -> list[str]:
     return names
 
 
+def _exact_or_double(c: str, exact: str, double: str) -> str:
+    """The exact aggregate if the decimal type holds every value, else the double one."""
+    misfits = f"COUNT_IF({c} IS NOT NULL AND COALESCE(CAST({_dec(c)} AS DOUBLE) <> {c}, TRUE))"
+    return f"COALESCE(CASE WHEN {misfits} = 0 THEN CAST(ROUND({exact}, 2) AS DOUBLE) END, ROUND({double}, 2))"
+
+
+def _dec(c: str) -> str:
+    return f"try_cast({c} AS {SUM_TYPE})"
+
+
 def _avg(c: str) -> str:
-    d = f"try_cast({c} AS DECIMAL(18,6))"
-    return f"CAST(ROUND(try_divide(SUM({d}), COUNT({d})), 2) AS DOUBLE)"
+    return _exact_or_double(c, f"try_divide(try_sum({_dec(c)}), COUNT({c}))", f"AVG({c})")
 
 
 def _sum(c: str) -> str:
-    return f"CAST(ROUND(SUM(try_cast({c} AS DECIMAL(18,6))), 2) AS DOUBLE)"
+    return _exact_or_double(c, f"try_sum({_dec(c)})", f"SUM({c})")
 
 
 DAILY_TEMP = f"""

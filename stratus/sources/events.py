@@ -105,17 +105,18 @@ def readings(spark: SparkSession, sf_dir: str, metrics=None,
 
 
 def day_documents(spark: SparkSession, sf_dir: str,
-                  bad_value: Column | None = None) -> DataFrame:
+                  bad_value: Column | None = None, text: Column | None = None) -> DataFrame:
     """Nested day responses (RAW_SCHEMA) built from events, one per
     (metric, date, event-id span): columns metric, source_file, data.
 
     Readings are grouped by timestamp, items ordered by event id, stations
     are those of the supplier table the document's items refer to.
     `bad_value`, a boolean over `events` columns, replaces the value text of
-    matching events with "n/a" (to exercise the error policy).
+    matching events with "n/a" (to exercise the error policy); `text` gives
+    the value texts, over `events` columns, in place of the values' own.
     """
     e = table(spark, sf_dir, "events")
-    text = value_text(F.col("value"))
+    text = value_text(F.col("value")) if text is None else text
     if bad_value is not None:
         text = F.when(bad_value, F.lit("n/a")).otherwise(text)
     ev = e.select(

@@ -37,9 +37,19 @@ def test_null_policy_fills_and_drops(spark):
 
 
 def test_typed_cast(spark):
-    df = spark.createDataFrame([("1",), (" 2.5 ",), ("x",), ("3d",), (None,), ("NaN",)], "v string")
-    got = [r[0] for r in cleaning.typed_cast(df, "v", "d").select("d").collect()]
-    assert got == [1.0, 2.5, None, None, None, None]
+    """Text is read as float() reads it; what it refuses is NULL."""
+    texts = ["1", " 2.5 ", "x", "3d", None, "NaN", "+nan", "-inf", "Infinity", "1_000", "1__0", "_1", "1_",
+             "1e400", "1_0.5_0e1_0", ".5", "5.", ".", "e5", "", " ", "0x10", "1e", "\t7\n", "-.5E-2"]
+    df = spark.createDataFrame([(t,) for t in texts], "v string").coalesce(1)
+
+    def read(t):
+        try:
+            return repr(float(t))
+        except (TypeError, ValueError):
+            return "None"
+
+    got = [repr(r[0]) for r in cleaning.typed_cast(df, "v", "d").select("d").collect()]
+    assert got == [read(t) for t in texts]
 
 
 def test_quality_report(spark):
