@@ -1,9 +1,11 @@
 """Token ids of whole texts with the public tokenizers, as little-endian uint32.
 
-Both tokenizers treat parts between certain blanks independently, so the ids
-of each part are looked up in a bounded per-process cache and only parts that
-are not in it are encoded.  tests/llm checks that the result equals encoding
-the whole text.
+Both tokenizers treat parts of a text independently, so the ids of each part
+are looked up in a bounded per-process cache and only parts that are not in it
+are encoded.  Texts of Latin letters are parted as the tokenizers themselves
+do before their merges (word, number, punctuation), which keeps parts short and
+often seen; other texts are parted between blanks.  tests/llm checks that the
+result equals encoding the whole text.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ from __future__ import annotations
 import os
 import re
 import sys
+import unicodedata
 from array import array
 from functools import lru_cache
 
@@ -21,6 +24,20 @@ _BLANKS = re.compile(r" (?:\s|\Z)")
 _LONG = 64        # longer parts are not worth a place in the cache
 
 
+def _latin(*categories: str) -> str:
+    """The characters before U+0180 of these categories, for a character set."""
+    return "".join(re.escape(c) for c in map(chr, range(0x180)) if unicodedata.category(c)[0] in categories)
+
+
+# Below U+0180 no category depends on the Unicode version, composition changes
+# nothing and lower-casing goes letter by letter, but for U+0130.
+_OTHER_SCRIPT = re.compile("[\u0130\u0180-\U0010ffff]")
+_L, _N, _S = _latin("L"), _latin("N"), r"\t-\r \x85\xa0"
+_SHORT = "'(?:s|t|re|ve|m|ll|d)"
+_WORD_PARTS = re.compile(f"[{_L}]+|[{_N}]|{_SHORT}|[^{_S}{_L}{_N}]+")
+_BYTE_PARTS = re.compile(f" ?[{_L}]+| ?[{_N}]+|{_SHORT}| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
+
+
 class _Known(dict):
     """part -> its ids; parts not seen yet are encoded when looked up.
 
@@ -52,7 +69,10 @@ class _Known(dict):
 
 
 class _Encoder:
-    prefix = ""
+    # A part that the tokenizer takes as it is, as one: it goes straight to the
+    # merges.  Of ASCII letters and a blank, the byte-level alphabet spells
+    # the blank alone differently.
+    _SPELT = re.compile("(?!)")
 
     def __init__(self, path: str):
         # Spark runs a task on each core; the library's own threads add nothing.
@@ -60,10 +80,15 @@ class _Encoder:
         from tokenizers import Tokenizer
         self._tok = Tokenizer.from_file(path)
         self._tok.encode_special_tokens = True      # their strings in a text are ordinary text
-        self._known = _Known(lambda part: self._encode(self.prefix + part))
+        self._model = self._tok.model
+        self._known = _Known(self._encode)
 
     def _encode(self, part: str) -> bytes:
-        ids = array("I", self._tok.encode(part, add_special_tokens=False).ids)
+        if self._SPELT.fullmatch(part):
+            ids = [t.id for t in self._model.tokenize(part.replace(" ", "\u0120"))]
+        else:
+            ids = self._tok.encode(part, add_special_tokens=False).ids
+        ids = array("I", ids)
         if sys.byteorder == "big":
             ids.byteswap()
         return ids.tobytes()
@@ -77,7 +102,11 @@ class _Encoder:
 class WordEncoder(_Encoder):
     """Tokenizers that drop white space: words are independent."""
 
+    _SPELT = re.compile("[a-z]+")
+
     def ids(self, text: str) -> bytes:
+        if not _OTHER_SCRIPT.search(text):
+            return self._joined(_WORD_PARTS.findall(text.lower()))
         return self._joined(text.replace("\n", " ").split(" "))
 
 
@@ -85,13 +114,15 @@ class ByteEncoder(_Encoder):
     """Byte-level BPE: a token never spans the place before a single space that
     something other than white space follows."""
 
-    prefix = " "
+    _SPELT = re.compile(" ?[A-Za-z]+")
 
     def ids(self, text: str) -> bytes:
+        if not _OTHER_SCRIPT.search(text):
+            return self._joined(_BYTE_PARTS.findall(text))
         first, *parts = text.split(" ")
         if _BLANKS.search(text):
             first, parts = _rejoin(first, parts)
-        return self._encode(first) + self._joined(parts)
+        return self._joined([first, *[" " + part for part in parts]])
 
 
 def _rejoin(first: str, parts: list[str]) -> tuple[str, list[str]]:
