@@ -229,6 +229,15 @@ def test_cached_encoding_equals_whole_texts():
             assert enc.ids(t) == np.array(enc._tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes(), (path, t)
 
 
+def test_latin_parts_equal_whole_texts():
+    rng = np.random.default_rng(8)
+    alphabet = list("aAzZéÉœŒßſŉÿŸ012²½ªº   '" + "''sstrevmldSTREVMLD.,!?&_-$#\n\t\r\x0b\x00\x1c\x1f\x85\xa0\xad")
+    every = [chr(c) + mid + last for c in range(0x181) for mid in ("", "a", " ", "'s") for last in (" ", "A", "1", "'")]
+    for path, enc in ((BYTE, tokens.ByteEncoder(BYTE)), (WORD, tokens.WordEncoder(WORD))):
+        for t in every + ["".join(rng.choice(alphabet, rng.integers(0, 30))) for _ in range(1500)]:
+            assert enc.ids(t) == np.array(enc._tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes(), (path, t)
+
+
 @pytest.mark.parametrize("bits", [1, 7, 16, 33, 60, 61, 64])
 def test_simple8b_round_trip(bits):
     rng = np.random.default_rng(bits)
