@@ -30,7 +30,6 @@ from pyspark.sql import functions as F
 
 from stratus.functions.columns import exact_avg, exact_sum
 from stratus.operators import cleaning, flatten, quality
-from stratus.operators.lookup import maybe_broadcast
 from stratus.plans import curated as C
 from stratus.plans import sql as S
 from stratus.schemas import CLEAN_COLUMNS, HUMIDITY, RAINFALL, TEMPERATURE
@@ -196,7 +195,7 @@ def q_null_policy(spark, sf):
     r = ev.event_readings(spark, sf)
     r = r.withColumn("value", F.when(~_null_value(), F.col("value")))
     st = ev.stations(spark, sf)
-    joined = r.join(maybe_broadcast(st), "station_id", "left")
+    joined = r.join(st, "station_id", "left")
     return cleaning.null_policy(joined).select(*CLEAN_COLUMNS)
 
 

@@ -1,45 +1,17 @@
 """Station lookup: left-outer equi-join of readings to a station dimension.
 
-The dimension is broadcast only after a bounded row-count check
-(`limit(n + 1).count()` stops reading after n + 1 rows).  A larger
-dimension goes through Spark's ordinary join selection (sort-merge with
-AQE skew-join splitting of hot station keys).  A missing station keeps the
+Spark chooses the join: it broadcasts a dimension whose size in bytes is under
+its threshold, by the statistics of the plan or, with AQE, by the size measured
+at run time.  A larger one is sort-merge joined, and AQE splits hot station
+keys.  No job runs while the plan is built.  A missing station keeps the
 reading with name "" and coordinates 0.0.
 """
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension (rows) that is broadcast.  A station row is ~100 bytes,
-# so the broadcast relation stays under ~50 MB.
-BROADCAST_MAX_ROWS = 500_000
-
-# A size decision is reused for the same logical plan (same sources and
-# operators, by `semanticHash`) for this long; a dimension that grows is
-# checked again after it.
-CHECK_TTL_SECONDS = 600.0
-_checked: dict[tuple[int, int, int], tuple[float, bool]] = {}
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when `df` has at most `max_rows` rows (reads at most max_rows + 1)."""
-    key = (id(df.sparkSession), df.semanticHash(), max_rows)
-    now = time.monotonic()
-    hit = _checked.get(key)
-    if hit is not None and now - hit[0] < CHECK_TTL_SECONDS:
-        return hit[1]
-    ok = df.limit(max_rows + 1).count() <= max_rows
-    _checked[key] = (now, ok)
-    return ok
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
-
 
 def unique_stations(stations: DataFrame, key: str = "station_id",
                     order_by: str | None = None) -> DataFrame:
@@ -55,8 +27,7 @@ def unique_stations(stations: DataFrame, key: str = "station_id",
     )
 
 
-def station_lookup(readings: DataFrame, stations: DataFrame,
-                   max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def station_lookup(readings: DataFrame, stations: DataFrame) -> DataFrame:
     """readings(station_id, ...) ⟕ stations(station_id, station_name, latitude, longitude).
 
     The station columns are default-filled; the readings' own columns come
@@ -66,7 +37,6 @@ def station_lookup(readings: DataFrame, stations: DataFrame,
     """
     dim = stations.selectExpr("station_id AS _sid", "station_name AS _name",
                               "latitude AS _lat", "longitude AS _lon")
-    dim = maybe_broadcast(dim, max_broadcast_rows)
     base = [c for c in readings.columns
             if c not in ("station_name", "latitude", "longitude")]
     return (

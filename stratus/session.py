@@ -40,8 +40,7 @@ def cluster_conf(input_bytes: int, total_cores: int,
     Shuffle partitions start at about one per `target_partition_bytes` of
     input (at least 2 per core) and AQE coalesces the small ones and splits
     skewed ones at run time; scans split files into ~256 MB tasks.  Joins
-    keep Spark's own broadcast threshold; this library adds broadcast hints
-    only after a row-count check (operators/lookup.py).
+    keep Spark's own broadcast threshold, in bytes.
     """
     shuffle = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
     return {

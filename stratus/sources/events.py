@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratus.operators.lookup import maybe_broadcast, station_lookup
+from stratus.operators.lookup import station_lookup
 from stratus.schemas import CLEAN_COLUMNS
 
 # Which event type stands for which metric.
@@ -128,7 +128,7 @@ def day_documents(spark: SparkSession, sf_dir: str,
         F.col("user_id").cast("string").alias("station_id"),
         text.alias("value"),
     )
-    st = maybe_broadcast(stations(spark, sf_dir))
+    st = stations(spark, sf_dir)
     ev = ev.join(st.select("station_id", F.struct(
         F.col("station_id").alias("id"),
         F.col("station_name").alias("name"),

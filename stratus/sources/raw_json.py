@@ -9,18 +9,24 @@ Two layouts are read with the same fixed schema (no inference):
   `metric=<name>/` directories (what `sinks.lake.publish_raw` writes).
   Splittable: large raw layers spread over many tasks.
 
+Files named one by one are read whatever their name; of a folder only
+`{metric}_raw.json` and `{metric}_raw.json.gz` files are arrays.
+
 The metric comes from the `metric=` directory when present, else from the
 file name.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratus.schemas import RAW_SCHEMA, RAW_STRICT_SCHEMA
 
-FILE_METRIC = r"([A-Za-z0-9_]+)_raw\.json$"
+FILE_METRIC = r"^([A-Za-z0-9_]+?)(?:_raw)?\.json(?:\.gz)?$"
+FILE_NAMED = re.compile(r"\.json(\.gz)?/?$")
 
 
 def read_raw_days(spark: SparkSession, path: str | list[str],
@@ -37,10 +43,21 @@ def read_raw_days(spark: SparkSession, path: str | list[str],
         .option("multiLine", multiline)
         .option("mode", "PERMISSIVE")
     )
-    if multiline:
-        # Only `{metric}_raw.json` files of a directory are day-response arrays.
-        reader = reader.option("pathGlobFilter", "*_raw.json")
-    df = reader.json(paths)
+    named = [p for p in paths if FILE_NAMED.search(p)]
+    folders = [p for p in paths if p not in named]
+    if multiline and folders:
+        # Only `{metric}_raw.json` files of a folder are day-response arrays.
+        # The filter would drop named files too, so those are read without it.
+        df = reader.option("pathGlobFilter", "*_raw.json{,.gz}").json(folders)
+        if named:
+            return (_raw_columns(df).unionByName(
+                read_raw_days(spark, named, multiline=True, strict=strict)))
+    else:
+        df = reader.json(paths)
+    return _raw_columns(df)
+
+
+def _raw_columns(df: DataFrame) -> DataFrame:
     file_name = F.col("_metadata.file_name")
     if "metric" in df.columns:
         metric = F.col("metric")

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from stratus.operators import cleaning, quality
-from stratus.operators.lookup import fits_broadcast, station_lookup, unique_stations
+from stratus.operators.lookup import station_lookup, unique_stations
 from stratus.sources import events as ev
 
 from conftest import SF001
@@ -70,17 +70,33 @@ def test_quality_report(spark):
     assert t["n_null_date"] == 4 and h["n_null_date"] == 1          # "t1" is not a date
 
 
-def test_station_lookup_defaults_and_size_check(spark):
+def test_station_lookup_defaults(spark):
     readings = spark.createDataFrame([("S1", 1.0), ("S9", 2.0)], "station_id string, value double")
     stations = spark.createDataFrame([("S1", "A", 1.5, 2.5)],
                                      "station_id string, station_name string, latitude double, longitude double")
     got = sorted(tuple(r) for r in station_lookup(readings, stations).collect())
     assert got == [("S1", 1.0, "A", 1.5, 2.5), ("S9", 2.0, "", 0.0, 0.0)]
-    # over the row bound: no broadcast hint, ordinary join selection
-    assert fits_broadcast(stations, 1) and not fits_broadcast(stations.union(stations), 1)
-    big = station_lookup(readings, stations.union(stations.withColumn("station_id", F.lit("S2"))),
-                         max_broadcast_rows=1)
-    assert big.count() == 2
+
+
+def test_station_lookup_leaves_the_join_to_spark(spark, tmp_path):
+    """No hint and no job while the plan is built: bytes decide."""
+    path = str(tmp_path / "stations")
+    (spark.range(5000).selectExpr("CAST(id AS STRING) AS station_id", "CONCAT('S', id) AS station_name",
+                                  "0.0D AS latitude", "0.0D AS longitude").write.parquet(path))
+    readings = spark.range(100).selectExpr("CAST(id AS STRING) AS station_id", "1.0D AS value")
+
+    def plan():
+        out = station_lookup(readings, spark.read.parquet(path))
+        assert out.count() == 100
+        return out._jdf.queryExecution().sparkPlan().toString()
+
+    assert "BroadcastHashJoin" in plan()
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
+        assert "SortMergeJoin" in plan()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
 def test_unique_stations_last_wins(spark):
@@ -125,7 +141,7 @@ def test_hot_station_on_the_sort_merge_path_is_split_by_aqe(spark):
             "CAST(id AS STRING) AS station_id", "CONCAT('S', id) AS station_name",
             "0.0D AS latitude", "0.0D AS longitude").union(
             spark.createDataFrame([("HOT", "Hot", 1.0, 2.0)], "station_id string, station_name string, latitude double, longitude double"))
-        out = station_lookup(readings, stations, max_broadcast_rows=10)
+        out = station_lookup(readings, stations)
         got = out.groupBy("station_name").count().where("station_name = 'Hot'").first()["count"]
         assert got == n // 3
         assert out.count() == n

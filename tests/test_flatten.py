@@ -327,3 +327,22 @@ def test_strict_null_station_id_matches_null_station(spark, tmp_dir):
     out = flatten_readings(read_raw_days(spark, tmp_dir, strict=True))
     assert rows(out, "station_id", "station_name", "latitude", "longitude", "value") == sorted([
         (None, "Z", 1.0, 2.0, 5.0), ("S1", "A", 0.0, 0.0, 6.0)], key=_key)
+
+
+def test_named_and_compressed_files_are_read(spark, tmp_path):
+    import gzip
+    import json
+    text = json.dumps(FIXTURE)
+    (tmp_path / "rain.json").write_text(text)
+    (tmp_path / "folder").mkdir()
+    (tmp_path / "folder" / "rainfall_raw.json").write_text(text)
+    (tmp_path / "folder" / "notes.json").write_text(text)
+    (tmp_path / "folder" / "wind_speed_raw.json.gz").write_bytes(gzip.compress(text.encode()))
+
+    def counts(path):
+        return {r["metric"]: r["count"] for r in read_raw_days(spark, path).groupBy("metric").count().collect()}
+
+    named, folder = str(tmp_path / "rain.json"), str(tmp_path / "folder")
+    assert counts(named) == {"rain": 3}
+    assert counts(folder) == {"rainfall": 3, "wind_speed": 3}
+    assert counts([named, folder]) == {"rain": 3, "rainfall": 3, "wind_speed": 3}
