@@ -156,7 +156,9 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                        "ids_crc32": [crc32(raw[4 * a:4 * b]) for a, b in cuts],
                        "ids": pa.ListArray.from_arrays(pa.array(np.r_[0, end], pa.int32()), pa.array(ids.astype(np.int64)))}
 
-    placed = blocks.join(files, "part").select((F.col("before") + F.col("base")).alias("start"),
+    # One line of two numbers per file, and a file per task of the write: a
+    # proven bound, so the blocks need no shuffle.
+    placed = blocks.join(F.broadcast(files), "part").select((F.col("before") + F.col("base")).alias("start"),
                                                "doc_ids", "lengths", "payload")
     return map_batches(placed, documents, f"doc_id {id_type}, start long, n_tokens long, ids_crc32 long, ids array<long>")
 
