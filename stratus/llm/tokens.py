@@ -69,23 +69,26 @@ class _Known(dict):
 
 
 class _Encoder:
-    # A part that the tokenizer takes as it is, as one: it goes straight to the
-    # merges.  Of ASCII letters and a blank, the byte-level alphabet spells
-    # the blank alone differently.
+    # A part that the tokenizer takes as it is, as one: spelt in the byte-level
+    # alphabet it goes straight to the merges.  Of ASCII letters and a blank,
+    # that alphabet spells the blank alone differently.
     _SPELT = re.compile("(?!)")
 
     def __init__(self, path: str):
         # Spark runs a task on each core; the library's own threads add nothing.
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self._tok = Tokenizer.from_file(path)
         self._tok.encode_special_tokens = True      # their strings in a text are ordinary text
         self._model = self._tok.model
+        self._bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self._known = _Known(self._encode)
 
     def _encode(self, part: str) -> bytes:
         if self._SPELT.fullmatch(part):
-            ids = [t.id for t in self._model.tokenize(part.replace(" ", "\u0120"))]
+            spelt = (part.replace(" ", "\u0120") if part.isascii()
+                     else self._bytes.pre_tokenize_str(part)[0][0])
+            ids = [t.id for t in self._model.tokenize(spelt)]
         else:
             ids = self._tok.encode(part, add_special_tokens=False).ids
         ids = array("I", ids)
@@ -102,7 +105,7 @@ class _Encoder:
 class WordEncoder(_Encoder):
     """Tokenizers that drop white space: words are independent."""
 
-    _SPELT = re.compile("[a-z]+")
+    _SPELT = re.compile(f"[{''.join(c for c in _L if c == c.lower())}]+")
 
     def ids(self, text: str) -> bytes:
         if not _OTHER_SCRIPT.search(text):
@@ -114,7 +117,7 @@ class ByteEncoder(_Encoder):
     """Byte-level BPE: a token never spans the place before a single space that
     something other than white space follows."""
 
-    _SPELT = re.compile(" ?[A-Za-z]+")
+    _SPELT = re.compile(f" ?[{_L}]+")
 
     def ids(self, text: str) -> bytes:
         if not _OTHER_SCRIPT.search(text):
