@@ -4,8 +4,9 @@ Both tokenizers treat parts of a text independently, so the ids of each part
 are looked up in a bounded per-process cache and only parts that are not in it
 are encoded.  Texts of Latin letters are parted as the tokenizers themselves
 do before their merges (word, number, punctuation), which keeps parts short and
-often seen; other texts are parted between blanks.  tests/llm checks that the
-result equals encoding the whole text.
+often seen; other texts are parted between blanks.  Before that, texts are
+split at the tokenizers' added tokens (<|endoftext|>), each of which is one id.
+tests/llm checks that the result equals encoding the whole text.
 """
 
 from __future__ import annotations
@@ -79,10 +80,20 @@ class _Encoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, pre_tokenizers
         self._tok = Tokenizer.from_file(path)
-        self._tok.encode_special_tokens = True      # their strings in a text are ordinary text
         self._model = self._tok.model
         self._bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self._known = _Known(self._encode)
+        # All of them are found in the text as it is, before it is normalised.
+        self._added = {t.content: self._packed([k]) for k, t in self._tok.get_added_tokens_decoder().items()}
+        longest_first = sorted(self._added, key=len, reverse=True)
+        self._split = re.compile(f"({'|'.join(map(re.escape, longest_first)) or '(?!)'})").split
+
+    @staticmethod
+    def _packed(ids: list[int]) -> bytes:
+        ids = array("I", ids)
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
     def _encode(self, part: str) -> bytes:
         if self._SPELT.fullmatch(part):
@@ -91,10 +102,12 @@ class _Encoder:
             ids = [t.id for t in self._model.tokenize(spelt)]
         else:
             ids = self._tok.encode(part, add_special_tokens=False).ids
-        ids = array("I", ids)
-        if sys.byteorder == "big":
-            ids.byteswap()
-        return ids.tobytes()
+        return self._packed(ids)
+
+    def ids(self, text: str) -> bytes:
+        if not any(map(text.__contains__, self._added)):
+            return self._plain(text)
+        return b"".join(self._added[t] if k % 2 else self._plain(t) for k, t in enumerate(self._split(text)) if t)
 
     def _joined(self, parts: list[str]) -> bytes:
         use_cache(self._known)
@@ -107,7 +120,7 @@ class WordEncoder(_Encoder):
 
     _SPELT = re.compile(f"[{''.join(c for c in _L if c == c.lower())}]+")
 
-    def ids(self, text: str) -> bytes:
+    def _plain(self, text: str) -> bytes:
         if not _OTHER_SCRIPT.search(text):
             return self._joined(_WORD_PARTS.findall(text.lower()))
         return self._joined(text.replace("\n", " ").split(" "))
@@ -119,7 +132,7 @@ class ByteEncoder(_Encoder):
 
     _SPELT = re.compile(f" ?[{_L}]+")
 
-    def ids(self, text: str) -> bytes:
+    def _plain(self, text: str) -> bytes:
         if not _OTHER_SCRIPT.search(text):
             return self._joined(_BYTE_PARTS.findall(text))
         first, *parts = text.split(" ")

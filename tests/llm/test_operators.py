@@ -238,6 +238,18 @@ def test_latin_parts_equal_whole_texts():
             assert enc.ids(t) == np.array(enc._tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes(), (path, t)
 
 
+def test_added_tokens_are_one_id():
+    from tokenizers import Tokenizer
+    rng = np.random.default_rng(9)
+    alphabet = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext", "|>", "<", *" \n\t a's1.\xa0e\u0301漢İ", "hello", " world"]
+    for path, kind, end in ((BYTE, tokens.ByteEncoder, 50256), (WORD, tokens.WordEncoder, 49407)):
+        library, enc = Tokenizer.from_file(path), kind(path)
+        assert np.frombuffer(enc.ids("a<|endoftext|>"), "<u4")[1:].tolist() == [end]
+        for _ in range(3000):
+            t = "".join(rng.choice(alphabet, rng.integers(0, 20)))
+            assert enc.ids(t) == np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes(), (path, t)
+
+
 @pytest.mark.parametrize("bits", [1, 7, 16, 33, 60, 61, 64])
 def test_simple8b_round_trip(bits):
     rng = np.random.default_rng(bits)
