@@ -1,16 +1,25 @@
 """Personal data, with information-theoretic sanitisation.
 
 Base spans are e-mail addresses, IPv4 addresses, payment cards and phone
-numbers.  They are the protected entities.  How strongly a term near one
-reveals it is estimated from the whole corpus: with document frequencies,
+numbers.  They are the protected entities.  How strongly a term reveals one is
+estimated from the whole corpus: with document frequencies,
 
     IC(e)      = log(N / df(e))
     PMI(e, t)  = log(N * df(e, t) / (df(e) * df(t)))
 
-where df(e, t) counts documents with t among the WINDOW words beside e and
-df(t) all documents with t.  PMI reaches IC when t is found only beside e.
-A term with PMI >= `generalise` * IC and df(e, t) >= `support` is generalised
-(kind `term`), from `remove` * IC on it is removed (kind `drop`).
+where df(e, t) counts documents that hold e and, outside base spans, t, and
+df(t) all documents with t.  PMI reaches IC when t is found only with e.
+A term with PMI >= `generalise` * IC is a candidate.  It is telling if the two
+meet more often than by chance: the chance that df(e, t) of the df(t) documents
+are among those of e is at most
+
+    p = C(df(e), df(e, t)) * C(df(t), df(e, t)) / C(N, df(e, t))
+
+and Benjamini-Hochberg at level `fdr` over all pairs of an entity and a term of
+the corpus sets the cut, from a histogram of 0.05-decade bins (each counted by
+its upper edge).  A telling term is generalised (kind `term`), from `remove` *
+IC on it is removed (kind `drop`), wherever it stands outside base spans, in
+all documents.  Terms are words of three or more characters, lower-cased.
 
 Defined results: NULL text is the empty text; without findings counts are zero
 and strings empty; repeated rows are documents of their own, in the counts
@@ -19,9 +28,11 @@ too; an empty table gives no rows.  Spans are code points, end exclusive.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 
+import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -29,14 +40,18 @@ from pyspark.sql import functions as F
 
 from stratus.llm.common import map_batches, materialize, text_of
 
-WINDOW = 8            # words on either side, within REACH characters
-REACH = 200
-SUPPORT = 3
+FDR = 0.01
 GENERALISE = 0.8
 REMOVE = 0.95
 KINDS = ("email", "ip", "card", "phone")
 TERM, DROP = "term", "drop"
 _FLUSH = 200_000
+_PAIRS = 20_000       # pairs given on at a time
+_COMMON = 1 << 16     # terms that are broadcast as too common for any entity
+_MOST_BITS = 1 << 24  # of the filter that finds where telling terms may stand
+_SHIFTS = (0, 20, 40) # its bits of a term: these places of the hash
+_BIN = 0.05           # decades of a p-value per bin
+_MOST = 1 << 13       # bins
 
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]*\Z")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -92,17 +107,15 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def _beside(text: str, a: int, b: int):
-    """Words in the window on both sides of a span."""
-    low, high = max(0, a - REACH), min(len(text), b + REACH)
-    left = [(m.start(), m.end()) for m in _WORD.finditer(text, low, a)][-WINDOW:]
-    right = [(m.start(), m.end()) for m in _WORD.finditer(text, b, high)][:WINDOW]
-    for s, e in left + right:
-        if (s == low > 0 and _WORD.match(text[s - 1])) or (e == high < len(text) and _WORD.match(text[e])):
-            continue                             # only part of it is in reach
-        if s == b and _WORD.match(text[b - 1]) or e == a and _WORD.match(text[a]):
-            continue                             # the rest of the span's own word
-        if e - s >= 3:
+def _terms(text: str, spans: list[tuple[int, int, int]]):
+    """(start, end) of the words of three or more characters outside the spans."""
+    k, reach = 0, 0                              # spans before k start before the word ends
+    for m in _WORD.finditer(text):
+        s, e = m.span()
+        while k < len(spans) and spans[k][0] < e:
+            reach = max(reach, spans[k][2])
+            k += 1
+        if e - s >= 3 and reach <= s:
             yield s, e
 
 
@@ -111,65 +124,133 @@ def _entity(text: str, kind: int, a: int, b: int) -> int:
     return xxhash.xxh64_intdigest(f"{kind}:{value}") - (1 << 63)
 
 
+def _log10_p(n_pair: pd.Series, n_entity: pd.Series, n_term: pd.Series, rows: pd.Series) -> pd.Series:
+    def choose(n, k):
+        return math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
+    return pd.Series([min(0.0, (choose(e, k) + choose(t, k) - choose(n, k)) / math.log(10))
+                      for k, e, t, n in zip(n_pair, n_entity, n_term, rows, strict=True)], dtype=float)
+
+
+def _telling(source: DataFrame, generalise: float, remove: float, fdr: float) -> DataFrame | None:
+    """term, kind: the terms to generalise (4) and to remove (5)."""
+    def count_terms(batches):
+        """Documents per term, summed in the task and given on in bounded parts."""
+        seen: Counter = Counter()
+        for batch in batches:
+            for t in batch.column(0):
+                seen.update({w.lower() for w in set(_WORD.findall(t.as_py())) if len(w) >= 3})
+                if len(seen) > _FLUSH:
+                    yield {"term": list(seen), "n": list(seen.values())}
+                    seen.clear()
+        yield {"term": list(seen), "n": list(seen.values())}
+
+    def detect(batches):
+        for batch in batches:
+            out = {"entities": [], "terms": []}
+            for t in batch.column(0):
+                text = t.as_py()
+                if spans := base_spans(text):
+                    out["entities"].append(list({_entity(text, k, a, b) for a, k, b in spans}))
+                    out["terms"].append(list({text[s:e].lower() for s, e in _terms(text, spans)}))
+            yield out
+
+    texts = source.select("text")
+    rows = texts.count()
+    held = materialize(map_batches(texts, detect, "entities array<long>, terms array<string>"), "op6-held")
+    known = materialize(held.select(F.explode("entities").alias("entity")).groupBy("entity").agg(
+        F.count(F.lit(1)).alias("n_entity")), "op6-entities")
+    entities, most = known.agg(F.count(F.lit(1)), F.max("n_entity")).first()
+    if not entities:
+        return None
+    terms = materialize(map_batches(texts, count_terms, "term string, n long").groupBy("term").agg(
+        F.sum("n").alias("n_term")), "op6-terms")
+    # PMI >= generalise * IC asks for df(t) <= df(e, t) * (N / df(e)) ** (1 - generalise),
+    # and df(e, t) <= df(e): beyond the bound of the most frequent entity no pair needs to be made.
+    bound = most ** generalise * rows ** (1 - generalise) * (1 + 1e-9) if 0 <= generalise <= 1 else math.inf
+    common = source.sparkSession.sparkContext.broadcast({r.term for r in terms.filter(
+        F.col("n_term") > F.lit(float(bound))).orderBy(F.desc("n_term"), "term").limit(_COMMON).collect()})
+
+    def pair(batches):
+        """A document's pairs, in bounded parts."""
+        for batch in batches:
+            entity, term = [], []
+            for es, ts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                ts = [t for t in ts if t not in common.value]
+                for e in es:
+                    entity += [e] * len(ts)
+                    term += ts
+                    if len(term) > _PAIRS:
+                        yield {"entity": entity, "term": term}
+                        entity, term = [], []
+            yield {"entity": entity, "term": term}
+
+    pairs = map_batches(held, pair, "entity long, term string").groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_pair"))
+    n = F.lit(float(rows))
+    ic = F.log(n / F.col("n_entity"))
+    pmi = F.log(n * F.col("n_pair") / (F.col("n_entity") * F.col("n_term")))
+    candidates = materialize(
+        pairs.join(terms, "term").join(known, "entity").filter((ic > 0) & (pmi >= generalise * ic))
+        .select("term", F.when(pmi >= remove * ic, 5).otherwise(4).alias("kind"), "n_pair", "n_entity", "n_term")
+        .select("term", "kind", F.least(F.floor(-F.pandas_udf(_log10_p, "double")("n_pair", "n_entity", "n_term", n) / _BIN), F.lit(_MOST))
+                .cast("int").alias("bin")), "op6-candidates")
+    tests = math.log10(entities) + math.log10(max(1, terms.count()))
+    cut, rank = None, 0
+    for r in sorted(candidates.groupBy("bin").agg(F.count(F.lit(1)).alias("n")).collect(), key=lambda r: -r.bin):
+        rank += r.n
+        if -r.bin * _BIN <= math.log10(fdr) + math.log10(rank) - tests:
+            cut = r.bin
+    if cut is None:
+        return None
+    return materialize(candidates.filter(F.col("bin") >= cut).groupBy("term").agg(F.max("kind").alias("kind")), "op6-telling")
+
+
+def _filter(telling: DataFrame) -> bytes:
+    """Bloom filter of the terms.  16 bits a term keep what it lets through in
+    proportion to the words, up to 2 MB; a fuller one only passes more."""
+    bits = 1 << 16
+    while bits < min(16 * telling.count(), _MOST_BITS):
+        bits *= 2
+    at = F.explode(F.array(*[F.shiftrightunsigned(F.xxhash64("term"), k).bitwiseAND(F.lit(bits - 1).cast("long")) for k in _SHIFTS]))
+    out = np.zeros(bits // 64, "<i8")
+    for r in telling.select(at.alias("bit")).groupBy(F.expr("bit div 64").alias("at")).agg(
+            F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits")).collect():
+        out[r["at"]] = r.bits
+    return out.tobytes()
+
+
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", generalise: float = GENERALISE,
-         remove: float = REMOVE, support: int = SUPPORT) -> DataFrame:
+         remove: float = REMOVE, fdr: float = FDR) -> DataFrame:
     """doc_id, base and spans: arrays of (start, kind number, end); kinds 4 and
     5 are terms to generalise and to remove."""
     id_type = docs.schema[id_col].dataType.simpleString()
     source = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
+    telling = _telling(source, generalise, remove, fdr)
+    bits = docs.sparkSession.sparkContext.broadcast(None if telling is None else _filter(telling))
+
+    def mark(batches):
+        """Base spans, and the words that may be telling: the join decides."""
+        def may(word):
+            h, top = xxhash.xxh64_intdigest(word.encode(), 42), len(bits.value) * 8 - 1    # 42: as xxhash64 does
+            return all(bits.value[(h >> k & top) >> 3] >> (h >> k & 7) & 1 for k in _SHIFTS)
 
-    def detect(batches):
         for batch in batches:
-            base, near, entities = [], [], []
+            base, near = [], []
             for t in batch.column(1):
                 text = t.as_py()
                 spans = base_spans(text)
                 base.append([{"start": a, "kind": k, "end": b} for a, k, b in spans])
-                seen, rows, ents = set(), [], set()
-                for a, k, b in spans:
-                    e = _entity(text, k, a, b)
-                    ents.add(e)
-                    for s, stop in _beside(text, a, b):
-                        if any(x < stop and s < y for x, _, y in spans if x < stop + 64 and y > s - 64):
-                            continue
-                        term = text[s:stop].lower()
-                        rows.append({"entity": e, "term": term, "start": s, "end": stop, "first": (e, term) not in seen})
-                        seen.add((e, term))
-                near.append(rows)
-                entities.append(list(ents))
-            yield {"doc_id": batch.column(0), "base": base, "near": near, "entities": entities}
+                hits = bits.value and {w for w in set(_WORD.findall(text)) if len(w) >= 3 and may(w.lower())}
+                near.append([{"term": text[s:e].lower(), "start": s, "end": e} for s, e in _terms(text, spans)
+                             if text[s:e] in hits] if hits else [])
+            yield {"doc_id": batch.column(0), "base": base, "near": near}
 
     found = materialize(map_batches(
-        source, detect, f"doc_id {id_type}, base array<struct<start:int,kind:int,end:int>>, "
-        "near array<struct<entity:long,term:string,start:int,end:int,first:boolean>>, entities array<long>")
+        source, mark, f"doc_id {id_type}, base array<struct<start:int,kind:int,end:int>>, "
+        "near array<struct<term:string,start:int,end:int>>")
         .withColumn("rid", F.monotonically_increasing_id()), "op6-found")
-
-    def count_terms(batches):
-        """Documents per term, summed in the task and given on in bounded parts."""
-        seen: Counter = Counter()
-        for batch in batches:
-            for t in batch.column(0):
-                seen.update(set(_WORD.findall(t.as_py().lower())))
-                if len(seen) > _FLUSH:
-                    yield {"term": list(seen), "n": list(seen.values())}
-                    seen.clear()
-        yield {"term": list(seen), "n": list(seen.values())}
-
-    near = found.select("rid", F.explode("near").alias("x")).select("rid", "x.*")
-    pairs = near.filter("first").groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_pair")).filter(
-        F.col("n_pair") >= support)
-    known = found.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    terms = map_batches(source.select("text"), count_terms, "term string, n long").groupBy("term").agg(
-        F.sum("n").alias("n_term"))
-    rows = found.count()
-    ic = F.log(F.lit(float(max(rows, 1))) / F.col("n_entity"))
-    pmi = F.log(F.lit(float(max(rows, 1))) * F.col("n_pair") / (F.col("n_entity") * F.col("n_term")))
-    telling = materialize(
-        pairs.join(known, "entity").join(terms, "term")
-        .filter((ic > 0) & (pmi >= generalise * ic))
-        .select("entity", "term", F.when(pmi >= remove * ic, 5).otherwise(4).alias("kind")), "op6-terms")
-    added = (near.join(telling, ["entity", "term"])
-             .groupBy("rid", "start", "end").agg(F.max("kind").alias("kind"))
+    if telling is None:
+        return found.select("doc_id", "base", F.col("base").alias("spans"))
+    added = (found.select("rid", F.explode("near").alias("x")).select("rid", "x.*").join(telling, "term")
              .groupBy("rid").agg(F.collect_list(F.struct("start", "kind", "end")).alias("more")))
     return found.join(added, "rid", "left").select(
         "doc_id", "base", F.array_sort(F.concat("base", F.coalesce("more", F.array().cast(

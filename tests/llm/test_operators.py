@@ -218,6 +218,19 @@ def test_pii_terms_that_tell(spark, odd):
     assert pii.redacted("to zan@example.com from zan 42", [(3, 0, 18), (24, 5, 27), (28, 4, 30)]) == "to <EMAIL> from  <NUMBER>"
 
 
+def test_pii_terms_far_away_of_rare_entities_and_in_other_documents(spark, odd):
+    fill = [(1000 + i, f"ordinary words about nothing number{i % 7} and more ordinary words") for i in range(400)]
+    far = "ordinary words and more " * 200
+    told = [(2000 + i, f"Zanzibarite {far} zan@example.com {far} and zanzibarite") for i in range(2)]
+    other = [(3000, "ordinary words about zanzibarite and more")]
+    df = odd.select("doc_id", "text").unionByName(spark.createDataFrame(fill + told + other, "doc_id long, text string"))
+    text = dict(texts_of(df))
+    marked = {r.doc_id: [text[r.doc_id][s.start:s.end] for s in r.spans if s.kind >= 4] for r in pii.find(df).collect()}
+    assert marked.pop(2000) == marked.pop(2001) == ["Zanzibarite", "zanzibarite"]
+    assert marked.pop(3000) == ["zanzibarite"]
+    assert not any(marked.values())
+
+
 # ------------------------------------------------------------------ tokens --
 
 def test_cached_encoding_equals_whole_texts():
