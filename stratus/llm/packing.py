@@ -1,17 +1,18 @@
-"""Best-fit packing of token documents into sequences, in bulk rounds.
+"""Best-fit packing of token documents into sequences, swept on the driver.
 
 Documents longer than a sequence are cut into full pieces (the first may be
-shorter).  Documents and gaps are range-sorted by size; sizes are integers up
+shorter).  Documents and gaps are kept by size; sizes are integers up
 to the sequence length, and pieces of one length, like gaps of one size, are
 interchangeable, so the sorted order is kept as runs: (length, how many) and
-(gap, first sequence, how many).  Round by round, longest first, the pieces of
+(gap, first sequence, how many).  In one loop on the driver, longest first, the pieces of
 one length sweep the gaps from their own size upward (the successor), runs are
 matched rank for rank, so no two pieces meet in a place, matched gaps are
 updated, and what finds no gap opens new sequences.
 
 What grows with the data is distributed: encoding, the rank of each piece
 among those of its length (task by task, then prefix sums over tasks), and
-the look-up of its place by rank.  The sweep sees at most `capacity` counts.
+the look-up of its place by rank.  The sweep sees at most `capacity` counts, so
+it is one sequential loop in place of distributed bulk-synchronous rounds.
 
 Defined results: NULL text is the empty text, a document of the end id alone;
 repeated rows are packed each by itself; an empty table gives no rows.
