@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from stratus.llm import exact_dedup, language_model, mixing, packing, pii, quality, secrets, simhash, token_files, topk
+from stratus.llm import (
+    alignment,
+    bpe_tree,
+    exact_dedup,
+    language_model,
+    mixing,
+    packing,
+    pii,
+    quality,
+    repair,
+    secrets,
+    simhash,
+    token_files,
+    topk,
+)
 from stratus.llm.common import table
 
 
@@ -19,6 +33,9 @@ def queries():
         "op8_packing": lambda s, sf: packing.query(docs(s, sf)),
         "op9_quality_classifier": lambda s, sf: quality.query(docs(s, sf), table(s, sf, "labels")),
         "op10_simhash": lambda s, sf: simhash.query(docs(s, sf)),
+        "op11_cross_align": lambda s, sf: alignment.query(docs(s, sf)),
+        "op12_repair": lambda s, sf: repair.query(table(s, sf, "conversations")),
+        "op13_bpe_tree": lambda s, sf: bpe_tree.query(docs(s, sf)),
     }
 
 
