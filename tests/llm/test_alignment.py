@@ -11,6 +11,7 @@ from stratus.llm import alignment
 from stratus.llm.tokens import vocabulary
 
 BYTE, PIECE = vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model")
+RANKS = vocabulary("byte_bpe_50k.tiktoken")
 BITS = ["a", "b ", "  ", " ", "\n", "\t", " \n", "the", " The", "漢字", "é", "🙂", "<s>", "</s>", "<0x41>",
         "<|endoftext|>", "q", "12", ".", "\x00", "\x85", "\xa0", "    ", "'s", "\x1c", " ", "ation", "====="]
 
@@ -104,7 +105,7 @@ def test_align_divides_at_every_cut():
 
 
 def test_parts_are_whole_texts():
-    tools = alignment.aligner(BYTE, PIECE)
+    tools = alignment.aligner(RANKS, PIECE)
     for text in texts(1500, 7) + texts(200, 8, BITS + ["▁"]) + ["漢字x" * 3000, "a" * 5000, " " * 300, "=" * 999]:
         parts, whole = tools.document(text), tools.document(text, False)
         assert (parts is None) == (whole is None), text
@@ -132,9 +133,19 @@ def test_documents_against_whole_texts(spark, whole):
     assert sorted(map(tuple, got)) == sorted(want)
 
 
+def test_ranks_give_the_ids_of_the_json_file():
+    from tokenizers import Tokenizer
+    json_tok, ranks = Tokenizer.from_file(BYTE), alignment.aligner(RANKS, PIECE)._a
+    json_tok.encode_special_tokens = True
+    blocks = ["".join(f" a{chr(c)}1{chr(c)} {chr(c)}{chr(c)}!" for c in range(lo, lo + 512) if not 0xD800 <= c < 0xE000)
+              for lo in range(0, 0x110000, 512)]
+    for text in [b for b in blocks if b] + texts(300, 21):
+        assert ranks.encode_ordinary(text) == json_tok.encode(text, add_special_tokens=False).ids
+
+
 def test_long_group_keeps_distinct_pairs():
     # A cutless group of many tokens costs its distinct pairs, not its links.
-    tools = alignment.aligner(BYTE, PIECE)
+    tools = alignment.aligner(RANKS, PIECE)
     text = " " + "b" * 0x50
     (a, b), = tools.tokens([text])
     shown, n_a, n_b, groups, pairs, often = tools._groups(text, a, b)
