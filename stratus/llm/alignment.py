@@ -140,33 +140,35 @@ class Aligner:
         return zip(map(self._a.encode_ordinary, spaced), self._b.encode([s[1:] for s in spaced], num_threads=1), strict=True)
 
     def _groups(self, spaced: str, a: list[int], b: list[int]):
-        """(groups as text, tokens of A, of B, groups, pairs, how often each);
-        None if the tokens don't spell the part."""
+        """(groups as text, tokens of A, of B, groups, pairs, how often each,
+        empty for once); None if the tokens don't spell the part."""
         if not b"".join(map(self._a_bytes.__getitem__, a)) == spaced.encode() == b"".join(map(self._b_bytes.__getitem__, b)):
             return None
         groups = align(list(accumulate(map(self._a_size.__getitem__, a))), list(accumulate(map(self._b_size.__getitem__, b))))
         a_text, b_text = list(map(self._a_text.__getitem__, a)), list(map(self._b_text.__getitem__, b))
-        shown, links = [], {}
+        shown, links, often = [], [], []
         for a_lo, a_hi, b_lo, b_hi in groups:
-            if a_hi - a_lo == b_hi - b_lo == 1:
-                shown.append(f"{a_text[a_lo]}|{b_text[b_lo]}")
-                pair = a[a_lo] << 32 | b[b_lo]
-                links[pair] = links.get(pair, 0) + 1
+            if a_hi - a_lo == 1:
+                x = a[a_lo]
+                if b_hi - b_lo == 1:
+                    shown.append(a_text[a_lo] + "|" + b_text[b_lo])
+                    links.append(x << 32 | b[b_lo])
+                else:
+                    shown.append(a_text[a_lo] + "|" + ",".join(b_text[b_lo:b_hi]))
+                    links += [x << 32 | y for y in b[b_lo:b_hi]]
                 continue
-            shown.append(f"{','.join(a_text[a_lo:a_hi])}|{','.join(b_text[b_lo:b_hi])}")
-            if (a_hi - a_lo) * (b_hi - b_lo) < 16:
-                for x in a[a_lo:a_hi]:
-                    for y in b[b_lo:b_hi]:
-                        pair = x << 32 | y
-                        links[pair] = links.get(pair, 0) + 1
+            shown.append(",".join(a_text[a_lo:a_hi]) + "|" + ",".join(b_text[b_lo:b_hi]))
+            if (a_hi - a_lo) * (b_hi - b_lo) < 64:
+                links += [x << 32 | y for x in a[a_lo:a_hi] for y in b[b_lo:b_hi]]
             else:
                 in_b = Counter(b[b_lo:b_hi])
+                often += [1] * (len(links) - len(often))
                 for x, n in Counter(a[a_lo:a_hi]).items():
-                    for y, m in in_b.items():
-                        pair = x << 32 | y
-                        links[pair] = links.get(pair, 0) + n * m
-        return (";".join(shown), len(a), len(b), len(groups),
-                array("q", links).tobytes(), array("q", links.values()).tobytes())
+                    links += [x << 32 | y for y in in_b]
+                    often += [n * m for m in in_b.values()]
+        if often:
+            often += [1] * (len(links) - len(often))
+        return (";".join(shown), len(a), len(b), len(groups), array("q", links).tobytes(), array("q", often).tobytes())
 
     def parts(self, text: str) -> list[str]:
         if text[0].isspace() or _RUNS.search(text):
@@ -189,11 +191,16 @@ class Aligner:
             return self.document(text, False) if len(parts) > 1 else None
         shown, a, b, groups, pairs, often = zip(*found, strict=True)
         pair = np.frombuffer(b"".join(pairs), np.int64)
-        order = np.argsort(pair)
-        pair = pair[order]
-        first = np.flatnonzero(np.diff(pair, prepend=-1))
-        n = np.add.reduceat(np.frombuffer(b"".join(often), np.int64)[order], first)
-        return ";".join(shown), sum(a), sum(b), sum(groups), pair[first], n
+        if not any(often):
+            pair, n = np.unique(pair, return_counts=True)
+        else:
+            weights = np.concatenate([np.frombuffer(o, np.int64) if o else np.ones(len(p) // 8, np.int64)
+                                      for p, o in zip(pairs, often, strict=True)])
+            order = np.argsort(pair)
+            pair, weights = pair[order], weights[order]
+            first = np.flatnonzero(np.diff(pair, prepend=-1))
+            pair, n = pair[first], np.add.reduceat(weights, first)
+        return ";".join(shown), sum(a), sum(b), sum(groups), pair, n
 
 
 @lru_cache(maxsize=2)
