@@ -49,6 +49,7 @@ from stratus.llm.common import map_batches, materialize, text_of, use_cache
 from stratus.llm.tokens import vocabulary
 
 CHUNK = 8_000_000          # pairs (and 16 a document) of a chunk
+_ONE = array("q", [1]).tobytes()
 _RUNS = re.compile(r" (?: |\Z)|[^\S ] ")
 _CUT = re.compile(r"(?<=\S)(?= +\S)")
 
@@ -102,9 +103,11 @@ class _Parts(dict):
 
     def missing(self, parts: list[str]) -> list[str]:
         """The parts to be made, each once."""
-        new = [p for p in set(parts) if p not in self]
-        self.update((p, self._old[p]) for p in new if p in self._old)
-        return [p for p in new if p not in self._old]
+        new = {p for p in parts if p not in self}
+        if new and self._old:
+            self.update((p, self._old[p]) for p in new if p in self._old)
+            new = {p for p in new if p not in self}
+        return list(new)
 
     def turn(self, made: list[str]) -> None:
         """A text is done: `made` parts too long to be met again go."""
@@ -134,6 +137,13 @@ class Aligner:
         self._a_size, self._b_size = list(map(len, self._a_bytes)), list(map(len, self._b_bytes))
         self._a_text, self._b_text = list(map(str, range(len(self._a_bytes)))), list(map(str, range(len(self._b_bytes))))
         self._known = _Parts()
+        # A letter and a stop or comma behind it: A's pattern parts them, and so
+        # does B if no piece holds both.  Words then share their groups.
+        pieces = "\n".join(self._b.id_to_piece(k) for k in range(len(self._b)))
+        self._marks = {c: (f"{ranks[c.encode()]}|{self._b.piece_to_id(c)}",
+                           array("q", [ranks[c.encode()] << 32 | self._b.piece_to_id(c)]).tobytes())
+                       for c in ".," if c.encode() in ranks and not self._b.is_unknown(self._b.piece_to_id(c))
+                       and not re.search(f"[A-Za-z]{re.escape(c)}", pieces)}
 
     def tokens(self, spaced: list[str]) -> Iterator[tuple[list[int], list[int]]]:
         """Ids of A and B of texts, each of which stands behind its space."""
@@ -170,6 +180,20 @@ class Aligner:
             often += [1] * (len(links) - len(often))
         return (";".join(shown), len(a), len(b), len(groups), array("q", links).tobytes(), array("q", often).tobytes())
 
+    def _learn(self, parts: list[str]) -> list[str]:
+        """Make the groups of parts; returns the words that were made besides."""
+        known = self._known
+        marked = [p for p in parts if p[-1] in self._marks and p[-2].isascii() and p[-2].isalpha()]
+        words = known.missing([p[:-1] for p in marked])
+        plain = list(set(parts).difference(marked).union(words))
+        known.update((p, self._groups(p, a, b)) for p, (a, b) in zip(plain, self.tokens(plain), strict=True))
+        for p in marked:
+            word = known[p[:-1]]
+            shown, pair = self._marks[p[-1]]
+            known[p] = word and (f"{word[0]};{shown}", word[1] + 1, word[2] + 1, word[3] + 1, word[4] + pair,
+                                 word[5] and word[5] + _ONE)
+        return list(set(words).difference(parts))
+
     def parts(self, text: str) -> list[str]:
         if text[0].isspace() or _RUNS.search(text):
             return _CUT.split(" " + text)
@@ -184,7 +208,7 @@ class Aligner:
         parts = self.parts(text) if parted else [" " + text]
         new = self._known.missing(parts)
         if new:
-            self._known.update((p, self._groups(p, a, b)) for p, (a, b) in zip(new, self.tokens(new), strict=True))
+            new += self._learn(new)
         found = list(map(self._known.__getitem__, parts))
         self._known.turn(new)
         if None in found:

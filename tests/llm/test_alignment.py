@@ -12,7 +12,7 @@ from stratus.llm.tokens import vocabulary
 
 BYTE, PIECE = vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model")
 RANKS = vocabulary("byte_bpe_50k.tiktoken")
-BITS = ["a", "b ", "  ", " ", "\n", "\t", " \n", "the", " The", "漢字", "é", "🙂", "<s>", "</s>", "<0x41>",
+BITS = ["a", "b ", "ab.", "z,", "ing.\n", "e, ", "  ", " ", "\n", "\t", " \n", "the", " The", "漢字", "é", "🙂", "<s>", "</s>", "<0x41>",
         "<|endoftext|>", "q", "12", ".", "\x00", "\x85", "\xa0", "    ", "'s", "\x1c", " ", "ation", "====="]
 
 
