@@ -20,7 +20,8 @@ Defined results: rows whose id or vector is NULL, or whose vector holds a NULL
 or non-finite component, take no part.  Shorter vectors count as padded with
 zeros.  Repeated rows are rows of their own: each is a candidate for the
 other.  Ties go to the smaller id.  Fewer than k candidates: all of them.  An
-empty table gives no rows.
+empty table gives no rows.  Finite components so large that a score could leave
+62 bits are refused with an error: the score column is a long.
 """
 
 from __future__ import annotations
@@ -42,6 +43,7 @@ BLOCK = 2048           # vectors a block
 CHUNK = 512            # queries a chunk
 _IDX = 12              # bits of a row number within a block
 _LOW = -(1 << 62)
+_KEYED = 1 << 48       # smaller scores, of either sign, leave room for a row number
 
 
 def integer_vectors(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
@@ -129,6 +131,8 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, n_pivots: int = PI
           block: int = BLOCK, chunk: int = CHUNK) -> DataFrame:
     """query_id, rank, vec_id, score for rows of integer_vectors(); queries are
     the rows whose id is divisible by `every`."""
+    if not 0 < block <= 1 << _IDX:
+        raise ValueError(f"a block holds 1 to {1 << _IDX} vectors")
     spark = vectors.sparkSession
     schema = "query_id long, rank int, vec_id long, score long"
     sq = F.aggregate("v", F.lit(0.0), lambda s, c: s + c.cast("double") * c)
@@ -137,6 +141,8 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, n_pivots: int = PI
     if stats.dims is None:
         return spark.createDataFrame([], schema)
     dims, norm2 = max(1, stats.dims), stats.norm2
+    if dims * stats.top ** 2 >= 2 ** 62:
+        raise ValueError(f"scores of components up to {stats.top:g} in {dims} dimensions don't fit into a long")
     exact_floats = dims * stats.top ** 2 < 2 ** 53
     few = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).collect()
     fit = np.zeros((len(few), dims), np.int64)
@@ -254,16 +260,14 @@ def _owners(chunks: DataFrame) -> DataFrame:
 def _best(ids, x, block, q_ids, q_uids, q, floor, k, exact_floats) -> dict:
     """The k best (ties to the smaller id) of one block for each query."""
     score = (q.astype(float) @ x.T.astype(float)).astype(np.int64) if exact_floats else q @ x.T
+    short = -_KEYED < score.min(initial=0) and score.max(initial=0) < _KEYED
     own = np.flatnonzero(q_uids >> _IDX == block)
     score[own, q_uids[own] & ((1 << _IDX) - 1)] = _LOW
     n = len(ids)
-    if exact_floats and n > k:           # rows ascend by id: one key holds score and place
-        order = (score << _IDX) + (n - 1 - np.arange(n)) if score.max(initial=0) < 1 << 48 else None
-        if order is not None:
-            order[own, q_uids[own] & ((1 << _IDX) - 1)] = np.iinfo(np.int64).min
-            col = np.argpartition(order, n - k, axis=1)[:, n - k:]
-        else:
-            col = np.argsort(-score, axis=1, kind="stable")[:, :k]
+    if short and n > k:                  # rows ascend by id: one key holds score and place
+        order = (score << _IDX) + (n - 1 - np.arange(n))
+        order[own, q_uids[own] & ((1 << _IDX) - 1)] = np.iinfo(np.int64).min
+        col = np.argpartition(order, n - k, axis=1)[:, n - k:]
     else:
         col = np.argsort(-score, axis=1, kind="stable")[:, :k]
     value = np.take_along_axis(score, col, axis=1)

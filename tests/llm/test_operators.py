@@ -110,6 +110,40 @@ def test_topk(spark, block, chunk, pivots):
     assert sorted(map(tuple, got)) == sorted(want)
 
 
+@pytest.mark.parametrize("size", [2.0 ** 15, 2.0 ** 17, 2.0 ** 18, 2.0 ** 18.6, 2.0 ** 21])
+def test_topk_large_scores(spark, size):
+    # Scores on both sides of 2^48, 2^51 and 2^53, of either sign.
+    rng = np.random.default_rng(int(size))
+    rows = [(i, [float(size * s * rng.uniform(0.5, 1)), float(rng.uniform(-1, 1))]) for i, s in
+            enumerate(rng.choice([-1, 1], 200))]
+    rows += [(1000 + i, [-size * (1 + i / 64), 0.0]) for i in range(60)] + [(2000, [size, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    vecs = [(i, [math.floor(256 * x) for x in v]) for i, v in rows]
+    want = []
+    for q, x in vecs:
+        if q % 50 == 0:
+            best = sorted((-sum(a * b for a, b in zip(x, y)), c) for c, y in vecs if c != q)[:5]
+            want += [(q, n + 1, c, -s) for n, (s, c) in enumerate(best)]
+    assert sorted(map(tuple, topk.query(df).collect())) == sorted(want)
+
+
+def test_topk_all_scores_low(spark):
+    # One query far from everything: all of its scores lie below -2^51.
+    rows = [(0, [250_000.0])] + [(i, [-(137_000.0 + i)]) for i in range(1, 1206)]
+    df = spark.createDataFrame([(i if i % 50 or not i else i + 10_001, v) for i, v in rows], "vec_id long, embedding array<double>")
+    got = topk.query(df).filter("query_id = 0").orderBy("rank").collect()
+    assert [r.vec_id for r in got] == [1, 2, 3, 4, 5]
+    assert [r.score for r in got] == [64_000_000 * -256 * (137_000 + i) for i in range(1, 6)]
+
+
+def test_topk_refuses_what_no_long_holds(spark):
+    df = spark.createDataFrame([(0, [1e9]), (1, [1e9])], "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError):
+        topk.query(df)
+    with pytest.raises(ValueError):
+        topk.top_k(topk.integer_vectors(df), block=5000)
+
+
 def test_topk_empty(spark):
     assert topk.query(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
 
