@@ -99,17 +99,21 @@ def _with_day_id(a: DataFrame, digest: Column) -> DataFrame:
     would cost another full pass over the nested data, so good days skip it.
     """
     has_rejects = F.col("day_reason").isNotNull() | (F.col("first_bad") > 0)
+    kept = ["day_text"] if "day_text" in a.columns else []
     return (a.withColumn("day_id", F.when(has_rejects, digest))
             .select("metric", "source_file", "day_id", "day_reason", "st_rev", "ids_rev",
-                    "items", "first_bad"))
+                    "items", "first_bad", *kept))
 
 
 def annotate_days(days: DataFrame) -> DataFrame:
     """Per day: id, day-level reason, items with reasons, first bad position.
 
     Input columns: `metric`, `source_file`, `data` (RAW_SCHEMA's struct, or
-    RAW_STRICT_SCHEMA's for exact null-vs-absent semantics).
+    RAW_STRICT_SCHEMA's for exact null-vs-absent semantics), or the days of
+    `read_raw_variants` (exact for elements of any type).
     """
+    if "day" in days.columns:
+        return _annotate_variant(days)
     if _is_strict(days):
         return _annotate_strict(days)
     return _with_day_id(
@@ -280,6 +284,130 @@ def _annotate_strict(days: DataFrame) -> DataFrame:
     )
 
 
+# ----------------------------------------------------------------- variant --
+# Days of any JSON type (read_raw_variants).  Every access is checked on its
+# element, as a loop over dictionaries would fail there and no earlier:
+# - what isn't an object where one is needed, or isn't a list where elements are
+#   taken, cuts the day from that element on (before the first item: all of it);
+# - station ids are compared by type and value, so the text "108" isn't the
+#   number 108, which is 108.0; lists and objects are no ids;
+# - values and coordinates may be numbers, numeric texts or true / false.
+DAY_UNREADABLE = "unreadable_json"
+DAY_BAD_STATIONS = "malformed_stations"
+DAY_BAD_READINGS = "malformed_readings"
+ITEM_BAD_STATION_ID = "bad_station_id"
+
+_LIST = "array<variant>"
+_OBJECT = "map<string,variant>"
+
+
+def _at(v: Column, path: str = "", kind: str = "variant") -> Column:
+    """The element at `path` (dot, names) as `kind`; NULL where there is none."""
+    return F.try_variant_get(v, f"${path}", kind)
+
+
+def _elements(v: Column) -> Column:
+    """What a loop over `v` takes, as an array; NULL if it can't be looped over.
+    Of texts and objects the elements are texts, of which nothing can be got."""
+    kind = F.schema_of_variant(v)
+    none = F.array().cast(_LIST)
+    nothing = F.array(F.parse_json(F.lit("null")))
+    return F.coalesce(
+        _at(v, kind=_LIST),
+        F.when(v.isNull(), F.lit(None).cast(_LIST))
+        .when(kind == "STRING", F.when(_at(v, kind="string") == "", none).otherwise(nothing))
+        .when(kind.startswith("OBJECT"), F.when(kind == "OBJECT<>", none).otherwise(nothing)))
+
+
+def _number(v: Column) -> Column:
+    """The DOUBLE that float() makes of an element; NULL where it raises."""
+    return F.when(F.schema_of_variant(v) == "STRING", parse_value(_at(v, kind="string"))).otherwise(
+        _at(v, kind="double"))
+
+
+def _id_key(v: Column) -> Column:
+    """A text that is equal for ids a dictionary takes as equal; NULL if it takes none."""
+    kind = F.schema_of_variant(v)
+    x, whole = _at(v, kind="double"), _at(v, kind="decimal(38,0)")
+    number = F.when((x == F.floor(x)) & whole.isNotNull(), whole.cast("string")).otherwise(x.cast("string"))
+    return (F.when(F.is_variant_null(v), F.lit("null"))
+            .when(kind == "STRING", F.concat(F.lit("text "), _at(v, kind="string")))
+            .when(x.isNotNull(), F.concat(F.lit("number "), number)))
+
+
+def _variant_station(s: Column) -> Column:
+    name, loc = _at(s, ".name"), _at(s, ".location")
+    lat, lon = _at(s, ".location.latitude"), _at(s, ".location.longitude")
+    bad = (F.when(loc.isNotNull() & _at(loc, kind=_OBJECT).isNull(), F.lit(STATION_BAD_LOCATION))
+           .when(lat.isNotNull() & _number(lat).isNull(), F.lit(STATION_BAD_LATITUDE))
+           .when(lon.isNotNull() & _number(lon).isNull(), F.lit(STATION_BAD_LONGITUDE)))
+    return F.struct(
+        _id_key(_at(s, ".id")).alias("id"),
+        F.when(name.isNull(), F.lit("")).otherwise(_at(name, kind="string")).alias("name"),
+        F.struct(F.when(lat.isNull(), F.lit(0.0)).otherwise(_number(lat)).alias("latitude"),
+                 F.when(lon.isNull(), F.lit(0.0)).otherwise(_number(lon)).alias("longitude")).alias("location"),
+        bad.alias("bad"))
+
+
+def _variant_items(readings: Column) -> Column:
+    null_s, null_d = F.lit(None).cast("string"), F.lit(None).cast("double")
+
+    def item(r: Column, i: Column) -> Column:
+        sid, raw = _at(i, ".stationId"), _at(i, ".value")
+        value, key = _number(raw), _id_key(sid)
+        pre = (F.when(sid.isNull(), F.when(_at(i, kind=_OBJECT).isNull(), F.lit(ITEM_MALFORMED))
+                      .otherwise(F.lit(ITEM_MISSING_STATION_ID)))
+               .when(raw.isNull() | value.isNull(), F.lit(ITEM_BAD_VALUE))
+               .when(key.isNull(), F.lit(ITEM_BAD_STATION_ID)))
+        return F.struct(_at(r["r"], ".timestamp", "string").alias("timestamp"), _at(sid, kind="string").alias("station_id"),
+                        _at(raw, kind="string").alias("raw_value"), pre.alias("pre"), value.alias("value"), key.alias("key"))
+
+    def per_reading(r: Column) -> Column:
+        broken = _at(r["r"], ".timestamp").isNull() | r["items"].isNull()
+        return F.when(broken, F.array(F.struct(
+            _at(r["r"], ".timestamp", "string").alias("timestamp"), null_s.alias("station_id"), null_s.alias("raw_value"),
+            F.lit(ITEM_MALFORMED_READING).alias("pre"), null_d.alias("value"), null_s.alias("key"),
+        ))).otherwise(F.transform(r["items"], lambda i: item(r, i)))
+
+    return F.flatten(F.transform(
+        F.transform(readings, lambda r: F.struct(r.alias("r"), _elements(_at(r, ".data")).alias("items"))), per_reading))
+
+
+def _annotate_variant(days: DataFrame) -> DataFrame:
+    day = F.col("day")
+    readings, stations = F.col("readings"), F.col("stations")
+    reason = (
+        F.when(F.col("day_text").isNotNull(), F.lit(DAY_UNREADABLE))
+        .when(_at(day, ".data").isNull(), F.lit(DAY_MISSING_DATA))
+        .when(_at(day, ".data.readings").isNull(), F.lit(DAY_MISSING_READINGS))
+        .when(_at(day, ".data.stations").isNull(), F.lit(DAY_MISSING_STATIONS))
+        .when(stations.isNull(), F.lit(DAY_BAD_STATIONS))
+        .when(F.exists(stations, lambda s: _id_key(_at(s, ".id")).isNull()), F.lit(DAY_STATION_WITHOUT_ID))
+        .when(readings.isNull(), F.lit(DAY_BAD_READINGS)))
+    per_day = (
+        days.select("metric", "source_file", "place", "day", "day_text",
+                    _elements(_at(day, ".data.readings")).alias("readings"),
+                    _elements(_at(day, ".data.stations")).alias("stations"))
+        .select("metric", "source_file", "place", "day", "day_text", reason.alias("day_reason"),
+                F.reverse(F.transform(stations, _variant_station)).alias("st_rev"),
+                _variant_items(readings).alias("raw_items"))
+        .withColumn("ids_rev", F.col("st_rev.id")))
+    st_rev, ids_rev = F.col("st_rev"), F.col("ids_rev")
+    with_st = F.transform("raw_items", lambda x: F.struct(
+        x["timestamp"], x["station_id"], x["raw_value"], x["pre"], x["value"],
+        F.get(st_rev, F.array_position(ids_rev, x["key"]).cast("int") - 1).alias("st")))
+    finished = F.transform(with_st, lambda y: F.struct(
+        y["timestamp"], y["station_id"], y["raw_value"], y["value"],
+        F.coalesce(y["pre"], y["st"]["bad"]).alias("reason"), y["st"].alias("st")))
+    # As in the strict form: the sizes keep the per-day arrays attributes below.
+    items = F.when(F.size(st_rev) + F.size(ids_rev) >= 0, finished)
+    annotated = per_day.withColumn("items", items).withColumn("first_bad", _first_bad())
+    rejected = F.col("day_reason").isNotNull()
+    return _with_day_id(
+        annotated.withColumn("day_text", F.when(rejected, F.coalesce("day_text", F.to_json("day")))),
+        F.xxhash64("metric", "place", F.coalesce("day_text", F.to_json("day"))))
+
+
 def flatten_readings(days: DataFrame) -> DataFrame:
     """Clean long readings (CLEAN_SCHEMA) of the kept prefix of every good day."""
     return readings_of(annotate_days(days))
@@ -322,9 +450,10 @@ def _lost(a: DataFrame) -> Column:
             (F.coalesce(x["reason"], F.lit(ITEM_AFTER_BAD)) if f.name == "reason" else x[f.name])
             .alias(f.name) for f in fields])
 
-    day = F.array(F.struct(*[
-        (F.col("day_reason") if f.name == "reason" else F.lit(None).cast(f.dataType))
-        .alias(f.name) for f in fields]))
+    known = {"reason": F.col("day_reason")}
+    if "day_text" in a.columns:                # the rejected day's own text
+        known["raw_value"] = F.col("day_text")
+    day = F.array(F.struct(*[known.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in fields]))
     return F.when(F.col("day_reason").isNotNull(), day).when(start > 0, F.transform(lost, fix))
 
 

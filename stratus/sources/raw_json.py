@@ -5,6 +5,8 @@ Two layouts are read with the same fixed schema (no inference):
 * `{metric}_raw.json` files holding a top-level array of day responses
   (the original download format).  `multiLine` mode turns each array
   element into one row; such a file is not splittable, so it is one task.
+  `read_raw_variants` reads the same files without a schema, element by
+  element, so that a wrongly typed element costs nothing but itself.
 * newline-delimited JSON, one day response per line, under
   `metric=<name>/` directories (what `sinks.lake.publish_raw` writes).
   Splittable: large raw layers spread over many tasks.
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import re
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,6 +70,56 @@ def _raw_columns(df: DataFrame) -> DataFrame:
                      file_name.alias("source_file"), "data")
 
 
+VARIANT_SCHEMA = "body VARIANT, _corrupt_record STRING"
+
+
+def read_raw_variants(spark: SparkSession, path: str | list[str], multiline: bool = True,
+                      on_unreadable: str = "keep") -> DataFrame:
+    """Day responses as they are, of any JSON type: metric, source_file, place,
+    day (VARIANT), day_text.
+
+    A file of an array (`multiline`) is one VARIANT, whose elements become rows
+    in order; otherwise each line is a day response.  What isn't JSON (a file cut
+    short) and files that hold no array keep their text in `day_text`, with
+    `day` NULL; `on_unreadable="fail"` stops the job there instead.  `place`
+    says where a day stands: the file's path and the element's position.
+    Objects with a key twice are read if the session sets
+    `spark.sql.variant.allowDuplicateKeys` (the last one counts), else they
+    are unreadable.  A file's array must fit into one VARIANT (128 MB); land
+    larger ones as lines.
+    """
+    if on_unreadable not in ("keep", "fail"):
+        raise ValueError(f"on_unreadable is keep or fail, not {on_unreadable!r}")
+    paths = [path] if isinstance(path, str) else list(path)
+    named = [p for p in paths if FILE_NAMED.search(p)]
+    folders = [p for p in paths if p not in named]
+    if multiline and named and folders:
+        return read_raw_variants(spark, named, True, on_unreadable).unionByName(
+            read_raw_variants(spark, folders, True, on_unreadable))
+    reader = (spark.read.schema(VARIANT_SCHEMA).option("singleVariantColumn", "body")
+              .option("multiLine", multiline).option("mode", "PERMISSIVE"))
+    return variant_days(reader.json(paths), multiline, on_unreadable)
+
+
+def variant_days(raw: DataFrame, multiline: bool, on_unreadable: str = "keep") -> DataFrame:
+    """The days of `raw` (VARIANT_SCHEMA, read as files or as lines, batch or stream)."""
+    metric = F.col("metric") if "metric" in raw.columns else F.regexp_extract(F.col("_metadata.file_name"), FILE_METRIC, 1)
+    days = raw.select(metric.cast("string").alias("metric"), F.col("_metadata.file_name").alias("source_file"),
+                      F.col("_metadata.file_path").alias("file"), "body", F.col("_corrupt_record").alias("cut"))
+    if on_unreadable == "fail":
+        days = days.withColumn("cut", F.when(F.col("cut").isNotNull(), F.raise_error(
+            F.concat(F.lit("unreadable JSON in "), F.col("file")))).cast("string"))
+    if not multiline:
+        return days.select("metric", "source_file", F.col("file").alias("place"),
+                           F.col("body").alias("day"), F.col("cut").alias("day_text"))
+    elements = F.try_variant_get("body", "$", "array<variant>")
+    return (days.withColumn("elements", elements).filter("elements IS NULL OR size(elements) > 0")
+            .select("metric", "source_file", "file", F.when(F.col("elements").isNull(), F.coalesce(
+                "cut", F.to_json("body"))).alias("day_text"), F.posexplode_outer("elements").alias("nth", "day"))
+            .select("metric", "source_file", F.concat_ws("#", "file", F.col("nth").cast("string")).alias("place"),
+                    "day", "day_text"))
+
+
 def spread_days(days: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Spread parsed day responses over at least `min_partitions` tasks.
 
@@ -79,6 +132,6 @@ def spread_days(days: DataFrame, min_partitions: int | None = None) -> DataFrame
     try:
         want = min_partitions or days.sparkSession.sparkContext.defaultParallelism
         have = days.rdd.getNumPartitions()
-    except Exception:             # no RDD view (e.g. Spark Connect): leave as is
+    except PySparkException:      # no RDD view (Spark Connect): leave as is
         return days
     return days if have >= want else days.repartition(want)
