@@ -36,7 +36,7 @@ from stratus.schemas import CLEAN_COLUMNS, HUMIDITY, RAINFALL, TEMPERATURE
 from stratus.session import shared_dir
 from stratus.sinks import lake
 from stratus.sources import events as ev
-from stratus.sources.raw_json import read_raw_days
+from stratus.sources.raw_json import read_raw_days, read_raw_variants
 from stratus.streaming import incremental
 
 FLAGSHIP_SF = "/root/testdata/sf0.001"
@@ -159,6 +159,28 @@ def q_raw_json_scan_strict(spark, sf):
     return flatten.flatten_readings(read_raw_days(spark, path, multiline=False, strict=True))
 
 
+def q_raw_json_scan_multiline(spark, sf):
+    """The original's own input form: files of one JSON array each."""
+    path = lake.publish_raw_arrays(ev.day_texts(spark, sf), shared_dir(spark, "raw-arrays"))
+    return flatten.flatten_readings(read_raw_variants(spark, path))
+
+
+def _mistyped_days(spark, sf):
+    """Array files with wrongly typed days, readings, items, ids, values and
+    coordinates (ev.day_texts), and files cut short."""
+    cut = (F.col("metric") == "wind_direction") & (F.dayofmonth("date") == 17)
+    path = lake.publish_raw_arrays(ev.day_texts(spark, sf, faults=True), shared_dir(spark, "raw-mistyped"), cut)
+    return read_raw_variants(spark, path)
+
+
+def q_raw_json_mistyped(spark, sf):
+    return flatten.flatten_readings(_mistyped_days(spark, sf))
+
+
+def q_raw_json_mistyped_rejects(spark, sf):
+    return quality.rejects_report(flatten.flatten_rejects(_mistyped_days(spark, sf)))
+
+
 def q_layer_publish(spark, sf):
     root = _publish_lake(spark, sf)
     return lake.read_parquet(spark, lake.layer_path(root, lake.CURATED, "rainiest_days"))
@@ -235,7 +257,9 @@ def _llm() -> tuple[dict, dict]:
     try:
         import corpus_pipeline
         from stratus.llm import entry as llm
-    except ImportError:
+    except ImportError as e:
+        if (e.name or "").split(".")[:2] not in (["corpus_pipeline"], ["stratus", "llm"]):
+            raise
         return {}, {}
     qs, oracles = llm.queries(), llm.oracle_sql()
     qs["pipeline"] = corpus_pipeline.run
@@ -267,6 +291,9 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "raw_flatten": q_raw_flatten,
         "raw_json_scan": q_raw_json_scan,
         "raw_json_scan_strict": q_raw_json_scan_strict,
+        "raw_json_scan_multiline": q_raw_json_scan_multiline,
+        "raw_json_mistyped": q_raw_json_mistyped,
+        "raw_json_mistyped_rejects": q_raw_json_mistyped_rejects,
         "typed_cast": q_typed_cast,
         "flatten_prefix_keep": q_flatten_prefix_keep,
         "flatten_rejects": q_flatten_rejects,
@@ -364,6 +391,31 @@ ordered AS (
   WINDOW w AS (PARTITION BY metric, date, span ORDER BY timestamp, event_id)
 )"""
 
+# What the faults of events.day_texts make of each event.  A broken reading is
+# one element, whatever it held.
+_MISTYPED = """
+faulty AS (
+  SELECT *, event_id // 1024 AS span, event_id % 101 AS k,
+         MIN(event_id) OVER (PARTITION BY metric, date, event_id // 1024, timestamp) AS first_event
+  FROM readings
+),
+marked AS (
+  SELECT *,
+         CASE WHEN first_event % 211 = 3 THEN 'malformed_reading' WHEN k = 11 THEN 'malformed_item'
+              WHEN k = 3 THEN 'bad_value'
+              WHEN k <> 7 AND station_name <> '' AND CAST(station_id AS BIGINT) % 50 = 7
+              THEN 'bad_station_longitude' END AS own,
+         CASE (span + day(date)) % 13 WHEN 4 THEN 'missing_data' WHEN 9 THEN 'missing_readings' END AS day_reason,
+         metric = 'wind_direction' AND day(date) = 17 AS cut
+  FROM faulty
+),
+elements AS (
+  SELECT *, SUM(CASE WHEN own IS NOT NULL THEN 1 ELSE 0 END) OVER (
+      PARTITION BY metric, date, span ORDER BY timestamp, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS n_bad
+  FROM marked
+  WHERE NOT cut AND day_reason IS NULL AND (first_event % 211 <> 3 OR event_id = first_event)
+)"""
+
 _TYPED_RAW = """
 CASE event_id % 41
   WHEN 3 THEN 'n/a'
@@ -459,6 +511,23 @@ GROUP BY date, station_name""",
         "raw_flatten": CLEAN_SQL,
         "raw_json_scan": CLEAN_SQL,
         "raw_json_scan_strict": CLEAN_SQL,
+        "raw_json_scan_multiline": CLEAN_SQL,
+        "raw_json_mistyped": _with(_MISTYPED) + """
+SELECT metric, date, timestamp, station_id,
+       CASE WHEN k = 7 THEN '' ELSE station_name END AS station_name,
+       CASE WHEN k = 7 THEN 0.0 ELSE latitude END AS latitude,
+       CASE WHEN k = 7 THEN 0.0 ELSE longitude END AS longitude,
+       CASE k WHEN 5 THEN 1.0 WHEN 13 THEN 12.5 ELSE value END AS value
+FROM elements WHERE n_bad = 0""",
+        "raw_json_mistyped_rejects": _with(_MISTYPED) + """
+SELECT metric, reason, COUNT(*) AS n_rejects, COUNT(DISTINCT day) AS n_days FROM (
+  SELECT metric, COALESCE(own, 'after_bad_item') AS reason, concat_ws(' ', date, span) AS day
+  FROM elements WHERE n_bad > 0
+  UNION ALL
+  SELECT DISTINCT metric, day_reason, concat_ws(' ', date, span) FROM marked WHERE NOT cut AND day_reason IS NOT NULL
+  UNION ALL
+  SELECT DISTINCT metric, 'unreadable_json', concat_ws(' ', date) FROM marked WHERE cut) t
+GROUP BY metric, reason""",
         "typed_cast": f"""
 SELECT event_id, raw_value,
        CASE event_id % 41 WHEN 3 THEN NULL WHEN 9 THEN NULL WHEN 13 THEN NULL WHEN 11 THEN 100.0

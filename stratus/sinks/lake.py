@@ -99,6 +99,24 @@ def publish_raw(days: DataFrame, root: str) -> str:
     return path
 
 
+def publish_raw_arrays(days: DataFrame, root: str, cut_short=None) -> str:
+    """Land day responses (metric, date, span, text) in the original download's
+    form: files that hold one JSON array each, here one per metric and date,
+    under `metric=` folders.  `cut_short`, a boolean over metric and date, drops
+    the last characters of files, as a broken transfer does.
+    """
+    path = layer_path(root, RAW, "arrays")
+    text = F.col("body")
+    if cut_short is not None:
+        text = F.when(cut_short, F.expr("left(body, length(body) - 3)")).otherwise(F.col("body"))
+    files = days.groupBy("metric", "date").agg(F.array_sort(F.collect_list(F.struct("span", "text"))).alias("days"))
+    files = files.withColumn("body", F.concat(F.lit("["), F.array_join(F.col("days.text"), ","), F.lit("]")))
+    (files.select("metric", text.alias("value"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "static").option("maxRecordsPerFile", 1)
+     .partitionBy("metric").text(path))
+    return path
+
+
 def ingest_clean(spark: SparkSession, raw_days: DataFrame, root: str,
                  rebalance: bool = True) -> tuple[str, str]:
     """Flatten raw days into the clean layer; returns (readings path, rejects path).

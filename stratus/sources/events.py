@@ -163,3 +163,58 @@ def day_documents(spark: SparkSession, sf_dir: str,
         F.concat(F.col("metric"), F.lit("_raw.json")).alias("source_file"),
         F.struct(F.col("stations"), readings.alias("readings")).alias("data"),
     )
+
+
+def day_texts(spark: SparkSession, sf_dir: str, faults: bool = False) -> DataFrame:
+    """The same day responses as JSON text: metric, date, span, text.
+
+    `faults` gives some elements another type than the loop over them expects,
+    by rules over ids (every event and station still goes in):
+    event_id % 101 of an item: 3 an object as value, 5 true as value, 7 a
+    number as stationId, 11 a text in place of the item, 13 a value as text;
+    a reading whose smallest event_id % 211 = 3 is a number; stations:
+    latitude as text where the key % 3 = 1, null longitude where it % 50 = 7;
+    days: with (span + day of month) % 13 = 4 a number, = 9 a text as data.
+    """
+    def quoted(c: Column) -> Column:
+        # to_json of a one-field struct, without the field around the text
+        return F.regexp_replace(F.to_json(F.struct(c.alias("x"))), r'^\{"x":|\}$', "")
+
+    e = table(spark, sf_dir, "events").select(
+        metric_of().alias("metric"), F.to_date("ts").alias("date"),
+        F.floor(F.col("event_id") / DOC_EVENT_SPAN).alias("span"),
+        timestamp_text(F.col("ts")).alias("ts_text"), "event_id",
+        F.col("user_id").cast("string").alias("station_id"), value_text(F.col("value")).alias("value"))
+    k = F.col("event_id") % 101 if faults else F.lit(-1)
+    value = (F.when(k == 3, F.lit('{"x":1}')).when(k == 5, F.lit("true")).when(k == 13, F.lit('" 12.5 "'))
+             .otherwise(F.col("value")))
+    sid = F.when(k == 7, F.col("station_id")).otherwise(quoted(F.col("station_id")))
+    item = F.when(k == 11, F.lit('"x"')).otherwise(
+        F.concat(F.lit('{"stationId":'), sid, F.lit(',"value":'), value, F.lit("}")))
+
+    number = F.col("station_id").cast("long")
+    lat, lon = F.col("latitude").cast("string"), F.col("longitude").cast("string")
+    if faults:
+        lat = F.when(number % 3 == 1, F.concat(F.lit('"'), lat, F.lit('"'))).otherwise(lat)
+        lon = F.when(number % 50 == 7, F.lit("null")).otherwise(lon)
+    station = F.concat(F.lit('{"id":'), quoted(F.col("station_id")), F.lit(',"name":'), quoted(F.col("station_name")),
+                       F.lit(',"location":{"latitude":'), lat, F.lit(',"longitude":'), lon, F.lit("}}"))
+    st = stations(spark, sf_dir).select("station_id", station.alias("station"))
+    doc = ["metric", "date", "span"]
+    readings = (e.withColumn("item", item).join(st, "station_id", "left")
+                .groupBy(*doc, "ts_text").agg(
+                    F.array_sort(F.collect_list(F.struct("event_id", "item"))).alias("items"),
+                    F.collect_set("station").alias("stations")))
+    text = F.concat(F.lit('{"timestamp":'), quoted(F.col("ts_text")), F.lit(',"data":['),
+                    F.array_join(F.col("items.item"), ","), F.lit("]}"))
+    if faults:
+        text = F.when(F.get("items", F.lit(0))["event_id"] % 211 == 3, F.lit("7")).otherwise(text)
+    days = (readings.select(*doc, "ts_text", text.alias("text"), "stations").groupBy(*doc).agg(
+        F.array_sort(F.collect_list(F.struct("ts_text", "text"))).alias("readings"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("stations")))).alias("stations")))
+    body = F.concat(F.lit('{"data":{"stations":['), F.array_join("stations", ","), F.lit('],"readings":['),
+                    F.array_join(F.col("readings.text"), ","), F.lit("]}}"))
+    if faults:
+        place = (F.col("span") + F.dayofmonth("date")) % 13
+        body = F.when(place == 4, F.lit("5")).when(place == 9, F.lit('{"data":"none"}')).otherwise(body)
+    return days.select(*doc, body.alias("text"))
