@@ -32,12 +32,12 @@ from stratus.functions.columns import exact_avg, exact_sum
 from stratus.operators import cleaning, flatten, quality
 from stratus.plans import curated as C
 from stratus.plans import sql as S
-from stratus.schemas import CLEAN_COLUMNS, HUMIDITY, RAINFALL, TEMPERATURE
+from stratus.schemas import CLEAN_COLUMNS, FLATTENED_SCHEMA, HUMIDITY, RAINFALL, TEMPERATURE
 from stratus.session import shared_dir
-from stratus.sinks import lake
+from stratus.sinks import lake, snapshots
 from stratus.sources import events as ev
 from stratus.sources.raw_json import read_raw_days, read_raw_variants
-from stratus.streaming import incremental
+from stratus.streaming import incremental, raw_ingest
 
 FLAGSHIP_SF = "/root/testdata/sf0.001"
 
@@ -162,15 +162,57 @@ def q_raw_json_scan_strict(spark, sf):
 def q_raw_json_scan_multiline(spark, sf):
     """The original's own input form: files of one JSON array each."""
     path = lake.publish_raw_arrays(ev.day_texts(spark, sf), shared_dir(spark, "raw-arrays"))
-    return flatten.flatten_readings(read_raw_variants(spark, path))
+    return flatten.flatten_readings(read_raw_variants(spark, path, pattern="*.txt"))
 
 
-def _mistyped_days(spark, sf):
+def _mistyped_files(spark, sf, root):
     """Array files with wrongly typed days, readings, items, ids, values and
     coordinates (ev.day_texts), and files cut short."""
     cut = (F.col("metric") == "wind_direction") & (F.dayofmonth("date") == 17)
-    path = lake.publish_raw_arrays(ev.day_texts(spark, sf, faults=True), shared_dir(spark, "raw-mistyped"), cut)
-    return read_raw_variants(spark, path)
+    return lake.publish_raw_arrays(ev.day_texts(spark, sf, faults=True), root, cut)
+
+
+def _mistyped_days(spark, sf):
+    return read_raw_variants(spark, _mistyped_files(spark, sf, shared_dir(spark, "raw-mistyped")), pattern="*.txt")
+
+
+def _streamed(spark, sf) -> str:
+    """The same files taken up by the raw stream in several micro-batches, then
+    once more under another feed, compacted, and taken up again."""
+    root = shared_dir(spark, "raw-stream")
+    files = _mistyped_files(spark, sf, root)
+    raw_ingest.run_raw_incremental(spark, files, root, pattern="*.txt", files_per_batch=100)
+    snapshots.compact(spark, lake.layer_path(root, lake.CLEAN, "flattened"), FLATTENED_SCHEMA, 2)
+    raw_ingest.run_raw_incremental(spark, f"{files}/*", root, pattern="*.txt", files_per_batch=1000)
+    return root
+
+
+def q_stream_raw_clean(spark, sf):
+    return lake.read_clean(spark, lake.layer_path(_streamed(spark, sf), lake.CLEAN, "flattened") + "/kind=readings")
+
+
+def q_stream_raw_rejects(spark, sf):
+    return quality.rejects_report(lake.read_rejects(
+        spark, lake.layer_path(_streamed(spark, sf), lake.CLEAN, "flattened") + "/kind=rejects"))
+
+
+def q_stream_raw_tables(spark, sf):
+    """The four curated tables of the raw stream, one under the other."""
+    root = _streamed(spark, sf)
+    no = F.lit(None)
+    shape = {"daily_temp": ("date", "station_name", "avg_temp_c", "max_temp_c"),
+             "hottest_stations": (no, "station_name", "avg_temp_c", "max_temp_c"),
+             "rainiest_days": ("date", no, "total_rainfall_mm", no),
+             "daily_humidity": ("date", no, "avg_humidity_pct", "max_humidity_pct")}
+    out = None
+    for name, cols in shape.items():
+        rows = raw_ingest.read_table(spark, root, name, [c for c in cols if isinstance(c, str)])
+        rows = rows.select(F.lit(name).alias("table_name"), *[
+            (F.col(c) if isinstance(c, str) else c).cast(t).alias(n)
+            for c, n, t in zip(cols, ("date", "station_name", "first_value", "second_value"),
+                               ("date", "string", "double", "double"), strict=True)])
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def q_raw_json_mistyped(spark, sf):
@@ -294,6 +336,9 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "raw_json_scan_multiline": q_raw_json_scan_multiline,
         "raw_json_mistyped": q_raw_json_mistyped,
         "raw_json_mistyped_rejects": q_raw_json_mistyped_rejects,
+        "stream_raw_clean": q_stream_raw_clean,
+        "stream_raw_rejects": q_stream_raw_rejects,
+        "stream_raw_equals_batch": q_stream_raw_tables,
         "typed_cast": q_typed_cast,
         "flatten_prefix_keep": q_flatten_prefix_keep,
         "flatten_rejects": q_flatten_rejects,
@@ -414,8 +459,26 @@ elements AS (
       PARTITION BY metric, date, span ORDER BY timestamp, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS n_bad
   FROM marked
   WHERE NOT cut AND day_reason IS NULL AND (first_event % 211 <> 3 OR event_id = first_event)
+),
+kept AS (
+  SELECT metric, date, timestamp, station_id,
+         CASE WHEN k = 7 THEN '' ELSE station_name END AS station_name,
+         CASE WHEN k = 7 THEN 0.0 ELSE latitude END AS latitude,
+         CASE WHEN k = 7 THEN 0.0 ELSE longitude END AS longitude,
+         CASE k WHEN 5 THEN 1.0 WHEN 13 THEN 12.5 ELSE value END AS value
+  FROM elements WHERE n_bad = 0
 )"""
 
+_MISTYPED_REJECTS_SQL = _with(_MISTYPED) + """
+SELECT metric, reason, COUNT(*) AS n_rejects, COUNT(DISTINCT day) AS n_days FROM (
+  SELECT metric, COALESCE(own, 'after_bad_item') AS reason, concat_ws(' ', date, span) AS day
+  FROM elements WHERE n_bad > 0
+  UNION ALL
+  SELECT DISTINCT metric, day_reason, concat_ws(' ', date, span) FROM marked WHERE NOT cut AND day_reason IS NOT NULL
+  UNION ALL
+  SELECT DISTINCT metric, 'unreadable_json', concat_ws(' ', date) FROM marked WHERE cut) t
+GROUP BY metric, reason"""
+
 _TYPED_RAW = """
 CASE event_id % 41
   WHEN 3 THEN 'n/a'
@@ -512,22 +575,24 @@ GROUP BY date, station_name""",
         "raw_json_scan": CLEAN_SQL,
         "raw_json_scan_strict": CLEAN_SQL,
         "raw_json_scan_multiline": CLEAN_SQL,
-        "raw_json_mistyped": _with(_MISTYPED) + """
-SELECT metric, date, timestamp, station_id,
-       CASE WHEN k = 7 THEN '' ELSE station_name END AS station_name,
-       CASE WHEN k = 7 THEN 0.0 ELSE latitude END AS latitude,
-       CASE WHEN k = 7 THEN 0.0 ELSE longitude END AS longitude,
-       CASE k WHEN 5 THEN 1.0 WHEN 13 THEN 12.5 ELSE value END AS value
-FROM elements WHERE n_bad = 0""",
-        "raw_json_mistyped_rejects": _with(_MISTYPED) + """
-SELECT metric, reason, COUNT(*) AS n_rejects, COUNT(DISTINCT day) AS n_days FROM (
-  SELECT metric, COALESCE(own, 'after_bad_item') AS reason, concat_ws(' ', date, span) AS day
-  FROM elements WHERE n_bad > 0
-  UNION ALL
-  SELECT DISTINCT metric, day_reason, concat_ws(' ', date, span) FROM marked WHERE NOT cut AND day_reason IS NOT NULL
-  UNION ALL
-  SELECT DISTINCT metric, 'unreadable_json', concat_ws(' ', date) FROM marked WHERE cut) t
-GROUP BY metric, reason""",
+        "raw_json_mistyped": _with(_MISTYPED) + f"\nSELECT {_CLEAN} FROM kept",
+        "raw_json_mistyped_rejects": _MISTYPED_REJECTS_SQL,
+        "stream_raw_clean": _with(_MISTYPED) + f"\nSELECT {_CLEAN} FROM kept",
+        "stream_raw_rejects": _MISTYPED_REJECTS_SQL,
+        "stream_raw_equals_batch": _with(_MISTYPED) + f"""
+SELECT 'daily_temp' AS table_name, date, station_name, {_avg('value')} AS first_value, ROUND(MAX(value), 2) AS second_value
+FROM kept WHERE metric = 'air_temperature' GROUP BY date, station_name
+UNION ALL
+SELECT * FROM (
+  SELECT 'hottest_stations', CAST(NULL AS DATE), station_name, {_avg('value')} AS a, ROUND(MAX(value), 2) AS b
+  FROM kept WHERE metric = 'air_temperature' GROUP BY station_name
+  ORDER BY a DESC NULLS LAST, station_name ASC NULLS FIRST LIMIT 10) t
+UNION ALL
+SELECT 'rainiest_days', date, CAST(NULL AS VARCHAR), {_sum('value')}, CAST(NULL AS DOUBLE)
+FROM kept WHERE metric = 'rainfall' GROUP BY date
+UNION ALL
+SELECT 'daily_humidity', date, CAST(NULL AS VARCHAR), {_avg('value')}, ROUND(MAX(value), 2)
+FROM kept WHERE metric = 'relative_humidity' GROUP BY date""",
         "typed_cast": f"""
 SELECT event_id, raw_value,
        CASE event_id % 41 WHEN 3 THEN NULL WHEN 9 THEN NULL WHEN 13 THEN NULL WHEN 11 THEN 100.0

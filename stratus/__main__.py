@@ -1,4 +1,4 @@
-"""Command line: `python -m stratus batch ...` or `python -m stratus incremental ...`."""
+"""Command line: `python -m stratus {batch|incremental|raw-incremental} ...`."""
 
 from __future__ import annotations
 
@@ -7,9 +7,10 @@ import sys
 
 def main(argv: list[str] | None = None) -> None:
     argv = list(sys.argv[1:] if argv is None else argv)
-    commands = {"batch": "stratus.plans.batch", "incremental": "stratus.streaming.incremental"}
+    commands = {"batch": "stratus.plans.batch", "incremental": "stratus.streaming.incremental",
+                "raw-incremental": "stratus.streaming.raw_ingest"}
     if not argv or argv[0] not in commands:
-        print("usage: python -m stratus {batch|incremental} [options]  (--help per command)")
+        print("usage: python -m stratus {batch|incremental|raw-incremental} [options]  (--help per command)")
         raise SystemExit(2)
     import importlib
     importlib.import_module(commands[argv[0]]).main(argv[1:])

@@ -15,7 +15,8 @@ after it are lost.  Here the lost part is not silent: `flatten_rejects`
 returns it with the day, position and reason.
 
 Null and absent fields cannot be told apart by a struct schema.  Null
-`name` / `location` / coordinates take the defaults ("" and 0.0); null
+`name` / `location` / coordinates, and coordinates that are no numbers, take
+the defaults ("" and 0.0); numeric text is a coordinate; null
 `timestamp`, `stationId` or `value` make the item bad.  Days read with
 RAW_STRICT_SCHEMA (string maps) get the original loop's exact semantics
 instead; see the strict section below.
@@ -99,12 +100,22 @@ def _with_day_id(a: DataFrame, digest: Column) -> DataFrame:
     would cost another full pass over the nested data, so good days skip it.
     """
     has_rejects = F.col("day_reason").isNotNull() | (F.col("first_bad") > 0)
-    kept = ["day_text"] if "day_text" in a.columns else []
+    kept = [c for c in ("day_text", "origin") if c in a.columns]
     return (a.withColumn("day_id", F.when(has_rejects, digest))
             .select("metric", "source_file", "day_id", "day_reason", "st_rev", "ids_rev",
                     "items", "first_bad", *kept))
 
 
+def _stations(days: DataFrame) -> Column:
+    """The day's stations, coordinates read from text parsed once per station."""
+    location = days.schema["data"].dataType["stations"].dataType.elementType["location"].dataType
+    if location["latitude"].dataType.simpleString() != "string":
+        return F.col("data.stations")
+    return F.transform(F.col("data.stations"), lambda s: F.struct(
+        s["id"].alias("id"), s["name"].alias("name"),
+        F.struct(*[parse_value(s["location"][c]).alias(c) for c in ("latitude", "longitude")]).alias("location")))
+
+
 def annotate_days(days: DataFrame) -> DataFrame:
     """Per day: id, day-level reason, items with reasons, first bad position.
 
@@ -125,7 +136,7 @@ def annotate_days(days: DataFrame) -> DataFrame:
             # Stations reversed so that the first match is the last entry
             # (duplicate ids: last one wins).  Computed once per day here,
             # below the explode, and only referenced from the item lambdas.
-            F.reverse(F.col("data.stations")).alias("st_rev"),
+            F.reverse(_stations(days)).alias("st_rev"),
             F.reverse(F.col("data.stations.id")).alias("ids_rev"),
             _items().alias("items"),
         )
@@ -384,11 +395,12 @@ def _annotate_variant(days: DataFrame) -> DataFrame:
         .when(stations.isNull(), F.lit(DAY_BAD_STATIONS))
         .when(F.exists(stations, lambda s: _id_key(_at(s, ".id")).isNull()), F.lit(DAY_STATION_WITHOUT_ID))
         .when(readings.isNull(), F.lit(DAY_BAD_READINGS)))
+    origin = [c for c in ("origin",) if c in days.columns]
     per_day = (
-        days.select("metric", "source_file", "place", "day", "day_text",
+        days.select("metric", "source_file", "place", "day", "day_text", *origin,
                     _elements(_at(day, ".data.readings")).alias("readings"),
                     _elements(_at(day, ".data.stations")).alias("stations"))
-        .select("metric", "source_file", "place", "day", "day_text", reason.alias("day_reason"),
+        .select("metric", "source_file", "place", "day", "day_text", *origin, reason.alias("day_reason"),
                 F.reverse(F.transform(stations, _variant_station)).alias("st_rev"),
                 _variant_items(readings).alias("raw_items"))
         .withColumn("ids_rev", F.col("st_rev.id")))
@@ -542,14 +554,16 @@ def split_of(a: DataFrame) -> DataFrame:
     single job over the raw input writes both — no second parse, no
     persisted copy of the input, and no per-item pass on the good path.
     Columns: kind, the clean columns, then source_file, day_id, position,
-    raw_value, reason (NULL where they do not apply to the kind).
+    raw_value, reason (NULL where they do not apply to the kind), and `origin`
+    where the days have it.
     """
     strict = _strict_items_of(a)
+    origin = [c for c in ("origin",) if c in a.columns]
     kept = _kept()
     n_kept = F.when(kept.isNull(), F.lit(0)).otherwise(F.size(kept))
     rows = F.flatten(F.array_compact(F.array(kept, _lost(a))))
     exploded = a.select("metric", "source_file", "day_id", "day_reason", "first_bad",
-                        "st_rev", "ids_rev", n_kept.alias("n_kept"),
+                        "st_rev", "ids_rev", *origin, n_kept.alias("n_kept"),
                         F.posexplode(rows).alias("i", "x"))
     is_reading = F.col("i") < F.col("n_kept")
     x = F.col("x")
@@ -569,4 +583,5 @@ def split_of(a: DataFrame) -> DataFrame:
         position.cast("int").alias("position"),
         F.when(~is_reading, x["raw_value"]).alias("raw_value"),
         F.when(~is_reading, x["reason"]).alias("reason"),
+        *origin,
     )

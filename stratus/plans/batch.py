@@ -17,14 +17,20 @@ from pyspark.sql import SparkSession
 from stratus.operators import quality
 from stratus.plans import curated as C
 from stratus.sinks import lake
-from stratus.sources.raw_json import read_raw_days, spread_days
+from stratus.sources.raw_json import read_raw_days, read_raw_variants, spread_days
 
 PARTITIONING = {"daily_temp": ["date"]}
 
 
 def run_batch(spark: SparkSession, raw: str | list[str], root: str,
-              multiline: bool = True, strict: bool = False) -> dict[str, str]:
-    days = read_raw_days(spark, raw, multiline=multiline, strict=strict)
+              multiline: bool = True, strict: bool = False, exact: bool = False,
+              on_unreadable: str = "keep") -> dict[str, str]:
+    """`exact` reads days as they are, of any JSON type (read_raw_variants);
+    `on_unreadable` is its choice for files that aren't JSON."""
+    if exact:
+        days = read_raw_variants(spark, raw, multiline, on_unreadable)
+    else:
+        days = read_raw_days(spark, raw, multiline=multiline, strict=strict)
     if multiline:                 # one task per file: spread the flatten
         days = spread_days(days)
     clean_path, rejects_path = lake.ingest_clean(spark, days, root)
@@ -60,9 +66,13 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--ndjson", action="store_true", help="one day response per line")
     p.add_argument("--strict", action="store_true",
                    help="tell present-but-null fields from absent ones, as the original loop did")
+    p.add_argument("--exact", action="store_true",
+                   help="read days of any JSON type; an element of the wrong type cuts only from itself on")
+    p.add_argument("--fail-unreadable", action="store_true", help="with --exact: stop at a file that isn't JSON")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("stratus-batch").getOrCreate()
-    for k, v in run_batch(spark, a.raw, a.root, multiline=not a.ndjson, strict=a.strict).items():
+    for k, v in run_batch(spark, a.raw, a.root, multiline=not a.ndjson, strict=a.strict, exact=a.exact,
+                          on_unreadable="fail" if a.fail_unreadable else "keep").items():
         print(f"{k}\t{v}")
 
 

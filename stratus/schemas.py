@@ -32,14 +32,15 @@ RAINFALL = "rainfall"
 WIND_SPEED = "wind_speed"
 WIND_DIRECTION = "wind_direction"
 
-# Raw day response: only the fields the flatten reads.  `value` is a string so
-# that both JSON numbers and numeric text survive the read; it is parsed later.
+# Raw day response: only the fields the flatten reads.  `value` and the
+# coordinates are strings so that both JSON numbers and numeric text survive
+# the read; they are parsed later.
 RAW_STATION = T.StructType([
     T.StructField("id", T.StringType()),
     T.StructField("name", T.StringType()),
     T.StructField("location", T.StructType([
-        T.StructField("latitude", T.DoubleType()),
-        T.StructField("longitude", T.DoubleType()),
+        T.StructField("latitude", T.StringType()),
+        T.StructField("longitude", T.StringType()),
     ])),
 ])
 
@@ -95,3 +96,15 @@ REJECT_SCHEMA = T.StructType([
     T.StructField("raw_value", T.StringType()),
     T.StructField("reason", T.StringType()),
 ])
+
+# The clean layer as it is stored: readings and rejects side by side, told
+# apart by `kind`; partition columns last.  `batch_id` names the run that wrote
+# a folder ("full" for a rebuild).
+FLATTENED_SCHEMA = T.StructType([
+    *[f for f in CLEAN_SCHEMA.fields if f.name not in ("metric", "date")],
+    *[f for f in REJECT_SCHEMA.fields if f.name in ("source_file", "day_id", "position", "raw_value", "reason")],
+    T.StructField("kind", T.StringType()),
+    T.StructField("metric", T.StringType()),
+    T.StructField("date", T.DateType()),
+    T.StructField("batch_id", T.StringType()),
+])

@@ -2,12 +2,14 @@
 
 Layout: `{root}/{layer}/weather/{table}` with layers raw / clean / curated;
 the clean layer holds the flattened readings and the rejects side by side
-(`clean/weather/flattened/kind=readings|rejects`).  `root` may be any Hadoop path (`s3a://bucket`, `hdfs://…`,
+(`clean/weather/flattened/kind=readings|rejects/metric=/date=/batch_id=`), for
+batch and incremental runs alike.  `root` may be any Hadoop path (`s3a://bucket`, `hdfs://…`,
 `file:/…`); credentials come from the Hadoop configuration, not code.
 
 Parquet is the system of record; CSV is an export.  CSV is written and read
 with `nullValue="\\N"` (the empty string, a valid station name, is then
-written quoted), so that NULL, NaN and "" all survive a round trip.
+written quoted), and a text that starts with a backslash gets one more, so that
+NULL, NaN, "" and a station called `\\N` all survive a round trip.
 """
 
 from __future__ import annotations
@@ -21,7 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratus.operators.flatten import KIND_READINGS, KIND_REJECTS, annotate_days, split_of
-from stratus.schemas import CLEAN_COLUMNS, CLEAN_SCHEMA, REJECT_SCHEMA
+from stratus.schemas import CLEAN_SCHEMA, FLATTENED_SCHEMA, REJECT_SCHEMA
+from stratus.sinks import snapshots
 
 RAW, CLEAN, CURATED = "raw", "clean", "curated"
 DOMAIN = "weather"
@@ -67,6 +70,7 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False,
               mode: str = "overwrite") -> str:
     """Header row, `\\N` for NULL.  `single_file` only for small curated
     tables: it funnels the (already aggregated) rows through one task."""
+    df = _texts(df, lambda c: F.when(c.startswith("\\"), F.concat(F.lit("\\"), c)).otherwise(c))
     out = df.coalesce(1) if single_file else df
     (out.write.mode(mode)
         .option("header", True)
@@ -77,11 +81,18 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False,
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return (spark.read.schema(schema)
-            .option("header", True)
-            .option("nullValue", CSV_NULL)
-            .options(multiLine=True, **CSV_FAITHFUL)
-            .csv(path))
+    df = (spark.read.schema(schema)
+          .option("header", True)
+          .option("nullValue", CSV_NULL)
+          .options(multiLine=True, **CSV_FAITHFUL)
+          .csv(path))
+    return _texts(df, lambda c: F.when(c.startswith("\\"), F.substring(c, 2, 1 << 30)).otherwise(c))
+
+
+def _texts(df: DataFrame, change) -> DataFrame:
+    """`change` applied to the text columns."""
+    return df.select(*[change(df[f"`{f.name}`"]).alias(f.name) if isinstance(f.dataType, T.StringType) else df[f"`{f.name}`"]
+                       for f in df.schema.fields])
 
 
 # ------------------------------------------------------------------ layers --
@@ -123,7 +134,7 @@ def ingest_clean(spark: SparkSession, raw_days: DataFrame, root: str,
 
     One job: the JSON is parsed once and clean readings and rejects leave the
     same `explode` (`flatten.split_of`), written under
-    `clean/weather/flattened/kind={readings,rejects}/metric=…/date=…`.
+    `clean/weather/flattened/kind={readings,rejects}/metric=…/date=…/batch_id=full`.
     Nothing is persisted, so the job's footprint does not grow with the
     input beyond what the write itself needs.
 
@@ -134,8 +145,8 @@ def ingest_clean(spark: SparkSession, raw_days: DataFrame, root: str,
     make every task write a file into every date it saw.
     """
     base = layer_path(root, CLEAN, "flattened")
-    parts = ["kind", "metric", "date"]
-    rows = split_of(annotate_days(raw_days))
+    parts = snapshots.PARTITIONS
+    rows = split_of(annotate_days(raw_days)).withColumn(snapshots.BATCH, F.lit("full"))
     write_parquet(rows, base, parts, rebalance=rebalance)
     return f"{base}/kind={KIND_READINGS}", f"{base}/kind={KIND_REJECTS}"
 
@@ -151,9 +162,12 @@ def read_rejects(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The table with its declared schema; empty when nothing was written."""
+    """The rows of a kind that count (see snapshots), with their declared
+    schema; empty when nothing was written."""
+    base = path.rsplit("/kind=", 1)[0]
     try:
-        return spark.read.schema(schema).parquet(path).select(*schema.names)
+        rows = spark.read.schema(FLATTENED_SCHEMA).option("basePath", base).parquet(path)
+        return rows.where(snapshots.live_filter(spark, base)).select(*schema.names)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from stratus.schemas import RAW_SCHEMA, RAW_STRICT_SCHEMA
 
 FILE_METRIC = r"^([A-Za-z0-9_]+?)(?:_raw)?\.json(?:\.gz)?$"
+RAW_FILES = "*_raw.json{,.gz}"       # day-response arrays of a folder
 FILE_NAMED = re.compile(r"\.json(\.gz)?/?$")
 
 
@@ -51,7 +52,7 @@ def read_raw_days(spark: SparkSession, path: str | list[str],
     if multiline and folders:
         # Only `{metric}_raw.json` files of a folder are day-response arrays.
         # The filter would drop named files too, so those are read without it.
-        df = reader.option("pathGlobFilter", "*_raw.json{,.gz}").json(folders)
+        df = reader.option("pathGlobFilter", RAW_FILES).json(folders)
         if named:
             return (_raw_columns(df).unionByName(
                 read_raw_days(spark, named, multiline=True, strict=strict)))
@@ -74,12 +75,12 @@ VARIANT_SCHEMA = "body VARIANT, _corrupt_record STRING"
 
 
 def read_raw_variants(spark: SparkSession, path: str | list[str], multiline: bool = True,
-                      on_unreadable: str = "keep") -> DataFrame:
+                      on_unreadable: str = "keep", pattern: str = RAW_FILES) -> DataFrame:
     """Day responses as they are, of any JSON type: metric, source_file, place,
     day (VARIANT), day_text.
 
-    A file of an array (`multiline`) is one VARIANT, whose elements become rows
-    in order; otherwise each line is a day response.  What isn't JSON (a file cut
+    A file of an array (`multiline`; of folders only those whose names match
+    `pattern`) is one VARIANT, whose elements become rows in order; otherwise each line is a day response.  What isn't JSON (a file cut
     short) and files that hold no array keep their text in `day_text`, with
     `day` NULL; `on_unreadable="fail"` stops the job there instead.  `place`
     says where a day stands: the file's path and the element's position.
@@ -95,29 +96,36 @@ def read_raw_variants(spark: SparkSession, path: str | list[str], multiline: boo
     folders = [p for p in paths if p not in named]
     if multiline and named and folders:
         return read_raw_variants(spark, named, True, on_unreadable).unionByName(
-            read_raw_variants(spark, folders, True, on_unreadable))
+            read_raw_variants(spark, folders, True, on_unreadable, pattern))
     reader = (spark.read.schema(VARIANT_SCHEMA).option("singleVariantColumn", "body")
               .option("multiLine", multiline).option("mode", "PERMISSIVE"))
+    if multiline and folders:
+        reader = reader.option("pathGlobFilter", pattern)
     return variant_days(reader.json(paths), multiline, on_unreadable)
 
 
-def variant_days(raw: DataFrame, multiline: bool, on_unreadable: str = "keep") -> DataFrame:
-    """The days of `raw` (VARIANT_SCHEMA, read as files or as lines, batch or stream)."""
+def variant_days(raw: DataFrame, multiline: bool, on_unreadable: str = "keep", with_origin: bool = False) -> DataFrame:
+    """The days of `raw` (VARIANT_SCHEMA, read as files or as lines, batch or
+    stream); `with_origin` adds `origin`, the file's path, length and time."""
     metric = F.col("metric") if "metric" in raw.columns else F.regexp_extract(F.col("_metadata.file_name"), FILE_METRIC, 1)
+    origin = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("length"),
+                      F.col("_metadata.file_modification_time").alias("modified"))
+    keep = ["origin"] if with_origin else []
     days = raw.select(metric.cast("string").alias("metric"), F.col("_metadata.file_name").alias("source_file"),
-                      F.col("_metadata.file_path").alias("file"), "body", F.col("_corrupt_record").alias("cut"))
+                      F.col("_metadata.file_path").alias("file"), "body", F.col("_corrupt_record").alias("cut"),
+                      *[origin.alias(n) for n in keep])
     if on_unreadable == "fail":
         days = days.withColumn("cut", F.when(F.col("cut").isNotNull(), F.raise_error(
             F.concat(F.lit("unreadable JSON in "), F.col("file")))).cast("string"))
     if not multiline:
         return days.select("metric", "source_file", F.col("file").alias("place"),
-                           F.col("body").alias("day"), F.col("cut").alias("day_text"))
+                           F.col("body").alias("day"), F.col("cut").alias("day_text"), *keep)
     elements = F.try_variant_get("body", "$", "array<variant>")
     return (days.withColumn("elements", elements).filter("elements IS NULL OR size(elements) > 0")
-            .select("metric", "source_file", "file", F.when(F.col("elements").isNull(), F.coalesce(
+            .select("metric", "source_file", "file", *keep, F.when(F.col("elements").isNull(), F.coalesce(
                 "cut", F.to_json("body"))).alias("day_text"), F.posexplode_outer("elements").alias("nth", "day"))
             .select("metric", "source_file", F.concat_ws("#", "file", F.col("nth").cast("string")).alias("place"),
-                    "day", "day_text"))
+                    "day", "day_text", *keep))
 
 
 def spread_days(days: DataFrame, min_partitions: int | None = None) -> DataFrame:

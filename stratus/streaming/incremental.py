@@ -35,6 +35,7 @@ from pyspark.sql import types as T
 
 from stratus.plans import curated as C
 from stratus.schemas import CLEAN_COLUMNS, CLEAN_SCHEMA
+from stratus.sinks import snapshots
 
 # Curated tables that are keyed by date and so can be maintained per date.
 # daily_temp is derived from the stored temperature partials instead.
@@ -109,16 +110,16 @@ def make_batch_handler(spark: SparkSession, clean: str, curated: dict[str, str],
                 if table in DATE_KEYED:
                     _dynamic_overwrite(DATE_KEYED[table](whole), path, ["date"])
             if partials is not None and set(curated) & set(FROM_PARTIALS):
-                _dynamic_overwrite(C.temperature_partials(whole), partials, ["date"])
-                stored = spark.read.parquet(partials)
+                fresh_partials = C.temperature_partials(whole)
+                _dynamic_overwrite(fresh_partials, partials, ["date"])
+                stored = spark.read.schema(fresh_partials.schema).parquet(partials)
                 if "daily_temp" in curated:
                     fresh = only_touched(stored)
                     _dynamic_overwrite(C.daily_temp_from_partials(fresh, ordered=False),
                                        curated["daily_temp"], ["date"])
                 if "hottest_stations" in curated:
                     # Small: one row per (date, station) partial.
-                    (C.hottest_from_partials(stored).write.mode("overwrite")
-                     .parquet(curated["hottest_stations"]))
+                    snapshots.publish(C.hottest_from_partials(stored), curated["hottest_stations"])
         finally:
             batch.unpersist()
     return handle
@@ -131,7 +132,8 @@ def run_incremental(spark: SparkSession, landing: str, root: str,
     clean = f"{root.rstrip('/')}/clean/readings"
     curated = {t: f"{root.rstrip('/')}/curated/{t}" for t in tables}
     partials = f"{root.rstrip('/')}/curated/{PARTIALS}"
-    feed = f"{crc32(landing.rstrip('/').encode()):08x}"
+    landing = snapshots.qualified(spark, landing)      # one feed, however the folder is spelt
+    feed = f"{crc32(landing.encode()):08x}"
     stream = (
         spark.readStream.schema(CLEAN_SCHEMA)
         .option("maxFilesPerTrigger", files_per_batch)
@@ -152,7 +154,8 @@ def run_incremental(spark: SparkSession, landing: str, root: str,
 
 
 def read_curated(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    return spark.read.parquet(path).select(*columns)
+    """A curated table; of hottest_stations its live snapshot."""
+    return spark.read.parquet(snapshots.current(spark, path)).select(*columns)
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -77,3 +77,10 @@ def test_partitioned_write_has_a_file_per_date(spark, tmp_dir):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     files = [f for _, _, names in os.walk(tmp_dir + "/t") for f in names if f.endswith(".parquet")]
     assert len(files) == 30
+
+
+def test_csv_keeps_names_like_the_null_mark(spark, tmp_dir):
+    rows = [(n, float(k)) for k, n in enumerate(["\\N", "\\\\N", "\\", "", None, "a\\N", 'q"\\', "\\\n"])]
+    df = spark.createDataFrame(rows, "station_name string, `a.b` double")
+    path = lake.write_csv(df, os.path.join(tmp_dir, "odd"))
+    assert sorted(map(tuple, lake.read_csv(spark, path, df.schema).collect()), key=str) == sorted(rows, key=str)

@@ -161,3 +161,23 @@ def test_named_files_and_narrow_plan(spark, tmp_dir):
     assert [r.metric for r in flatten_readings(days).collect()] == ["humidity"]
     plan = flatten_readings(days)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_text_coordinates_without_variant(spark, tmp_dir):
+    from stratus.sources.raw_json import read_raw_days
+    day = json.loads(json.dumps(GOOD))
+    day["data"]["stations"][0]["location"]["longitude"] = 103.5
+    write(tmp_dir, "rainfall_raw.json", json.dumps([day]))
+    for strict in (False, True):
+        got = flatten_readings(read_raw_days(spark, tmp_dir, strict=strict)).collect()
+        assert [(r.latitude, r.longitude) for r in got] == [(1.35, 103.5)]
+
+
+def test_batch_run_of_any_type(spark, tmp_dir):
+    from stratus.plans.batch import run_batch
+    write(tmp_dir, "rainfall_raw.json", json.dumps([GOOD, 5, GOOD]))
+    write(tmp_dir, "wind_speed_raw.json", json.dumps([GOOD])[:-5])
+    out = run_batch(spark, tmp_dir, os.path.join(tmp_dir, "lake"), exact=True)
+    assert [r.total_rainfall_mm for r in spark.read.parquet(out["rainiest_days"]).collect()] == [5.0]
+    reasons = {(r.metric, r.reason, r.n_days) for r in spark.read.parquet(out["rejects_report"]).collect()}
+    assert reasons == {("rainfall", "missing_data", 1), ("wind_speed", "unreadable_json", 1)}
