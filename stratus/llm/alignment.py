@@ -50,6 +50,7 @@ from stratus.llm.tokens import vocabulary
 
 CHUNK = 8_000_000          # pairs (and 16 a document) of a chunk
 _ONE = array("q", [1]).tobytes()
+_UNSPELT = ()              # stands for a part that its tokens don't spell
 _RUNS = re.compile(r" (?: |\Z)|[^\S ] ")
 _CUT = re.compile(r"(?<=\S)(?= +\S)")
 
@@ -152,9 +153,11 @@ class Aligner:
     def _groups(self, spaced: str, a: list[int], b: list[int]):
         """(groups as text, tokens of A, of B, groups, pairs, how often each,
         empty for once); None if the tokens don't spell the part."""
-        if not b"".join(map(self._a_bytes.__getitem__, a)) == spaced.encode() == b"".join(map(self._b_bytes.__getitem__, b)):
+        # A always spells the part: its merges only ever join the part's bytes.
+        if b"".join(map(self._b_bytes.__getitem__, b)) != spaced.encode():
             return None
-        groups = align(list(accumulate(map(self._a_size.__getitem__, a))), list(accumulate(map(self._b_size.__getitem__, b))))
+        groups = ((0, len(a), 0, len(b)),) if len(a) == 1 or len(b) == 1 else align(
+            list(accumulate(map(self._a_size.__getitem__, a))), list(accumulate(map(self._b_size.__getitem__, b))))
         a_text, b_text = list(map(self._a_text.__getitem__, a)), list(map(self._b_text.__getitem__, b))
         shown, links, often = [], [], []
         for a_lo, a_hi, b_lo, b_hi in groups:
@@ -178,7 +181,8 @@ class Aligner:
                     often += [n * m for m in in_b.values()]
         if often:
             often += [1] * (len(links) - len(often))
-        return (";".join(shown), len(a), len(b), len(groups), array("q", links).tobytes(), array("q", often).tobytes())
+        return (";".join(shown), len(a), len(b), len(groups), array("q", links).tobytes(),
+                array("q", often).tobytes() if often else b"")
 
     def _learn(self, parts: list[str]) -> list[str]:
         """Make the groups of parts; returns the words that were made besides."""
@@ -186,11 +190,11 @@ class Aligner:
         marked = [p for p in parts if p[-1] in self._marks and p[-2].isascii() and p[-2].isalpha()]
         words = known.missing([p[:-1] for p in marked])
         plain = list(set(parts).difference(marked).union(words))
-        known.update((p, self._groups(p, a, b)) for p, (a, b) in zip(plain, self.tokens(plain), strict=True))
+        known.update((p, self._groups(p, a, b) or _UNSPELT) for p, (a, b) in zip(plain, self.tokens(plain), strict=True))
         for p in marked:
             word = known[p[:-1]]
             shown, pair = self._marks[p[-1]]
-            known[p] = word and (f"{word[0]};{shown}", word[1] + 1, word[2] + 1, word[3] + 1, word[4] + pair,
+            known[p] = word if word is _UNSPELT else (f"{word[0]};{shown}", word[1] + 1, word[2] + 1, word[3] + 1, word[4] + pair,
                                  word[5] and word[5] + _ONE)
         return list(set(words).difference(parts))
 
@@ -206,12 +210,15 @@ class Aligner:
             return None
         use_cache(self._known)
         parts = self.parts(text) if parted else [" " + text]
-        new = self._known.missing(parts)
-        if new:
-            new += self._learn(new)
-        found = list(map(self._known.__getitem__, parts))
-        self._known.turn(new)
+        found = list(map(self._known.get, parts))
         if None in found:
+            places = [k for k, f in enumerate(found) if f is None]
+            new = self._known.missing([parts[k] for k in places])
+            new += self._learn(new)
+            for k in places:
+                found[k] = self._known[parts[k]]
+            self._known.turn(new)
+        if _UNSPELT in found:
             return self.document(text, False) if len(parts) > 1 else None
         shown, a, b, groups, pairs, often = zip(*found, strict=True)
         pair = np.frombuffer(b"".join(pairs), np.int64)
