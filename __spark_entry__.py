@@ -287,6 +287,45 @@ def q_stream_hottest_equals_batch(spark, sf):
                                     ["station_name", "avg_temp_c", "max_temp_c"])
 
 
+def _corrected(r: DataFrame) -> DataFrame:
+    """Readings as a second delivery brings them: whole, some values corrected."""
+    k = F.col("event_id") % 43
+    return r.withColumn("value", F.when(k == 7, F.col("value") + 1.5).when(k == 9, F.col("value") - 1.5)
+                        .otherwise(F.col("value")))
+
+
+def _landed_twice(spark, sf) -> tuple[str, dict[str, str]]:
+    """All readings, then all once more with corrections, kept once across runs."""
+    root = shared_dir(spark, "incremental-dedup")
+    r = ev.readings(spark, sf, with_event_id=True)
+    for rows in (r, _corrected(r)):
+        incremental.land(rows, f"{root}/landing")
+        paths = incremental.run_incremental(spark, f"{root}/landing", root, ["hottest_stations"],
+                                            files_per_batch=100, dedup=True)
+    return root, paths
+
+
+def q_stream_dedup_equals_batch(spark, sf):
+    return incremental.read_clean(spark, _landed_twice(spark, sf)[0], dedup=True)
+
+
+def q_stream_dedup_hottest(spark, sf):
+    return incremental.read_curated(spark, _landed_twice(spark, sf)[1]["hottest_stations"],
+                                    ["station_name", "avg_temp_c", "max_temp_c"])
+
+
+def q_quality_report_faults(spark, sf):
+    """The report over readings with NULLs, NaNs, timestamps without a date,
+    values out of range, and one metric delivered twice."""
+    k = F.col("event_id") % 61
+    r = ev.readings(spark, sf, with_event_id=True)
+    r = r.withColumn("value", F.when(k == 1, F.lit(None)).when(k == 2, F.lit(float("nan")))
+                     .when(k == 3, F.lit(-999.0)).otherwise(F.col("value")))
+    r = r.withColumn("date", F.when(k != 4, F.col("date"))).withColumn(
+        "timestamp", F.when(k == 4, F.lit("never")).otherwise(F.col("timestamp")))
+    return quality.quality_report(r.unionByName(C.metric_rows(r, RAINFALL)).drop("event_id"))
+
+
 def _sql(name):
     def run(spark, sf):
         return S.curated_sql(spark, ev.readings(spark, sf), name)
@@ -357,6 +396,9 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rejects_report": q_rejects_report,
         "stream_daily_equals_batch": q_stream_daily_equals_batch,
         "stream_hottest_equals_batch": q_stream_hottest_equals_batch,
+        "stream_dedup_equals_batch": q_stream_dedup_equals_batch,
+        "stream_dedup_hottest": q_stream_dedup_hottest,
+        "quality_report_faults": q_quality_report_faults,
     }
 
 
@@ -405,10 +447,10 @@ FROM readings WHERE metric = 'air_temperature'
 GROUP BY date, station_name"""
 
 
-def _hottest(k: int) -> str:
-    return _with() + f"""
+def _hottest(k: int, rows: str = "readings", *ctes: str) -> str:
+    return _with(*ctes) + f"""
 SELECT station_name, {_avg('value')} AS avg_temp_c, ROUND(MAX(value), 2) AS max_temp_c
-FROM readings WHERE metric = 'air_temperature'
+FROM {rows} WHERE metric = 'air_temperature'
 GROUP BY station_name
 ORDER BY avg_temp_c DESC NULLS LAST, station_name ASC NULLS FIRST
 LIMIT {k}"""
@@ -517,7 +559,8 @@ sums AS (
   FROM wide GROUP BY metric, date
 )"""
 
-QUALITY_SQL = _with("""
+def _quality(rows: str, *ctes: str) -> str:
+    return _with(*ctes, f"""
 keys AS (
   SELECT metric, station_id, timestamp,
          COUNT(*) AS n,
@@ -531,7 +574,7 @@ keys AS (
              (metric = 'wind_direction' AND (value < 0 OR value > 360)))) AS n_range,
          COUNT(*) FILTER (WHERE station_name = '') AS n_unknown,
          COUNT(*) FILTER (WHERE date IS NULL) AS n_no_date
-  FROM readings GROUP BY metric, station_id, timestamp
+  FROM {rows} GROUP BY metric, station_id, timestamp
 )""") + """
 SELECT metric,
        CAST(SUM(n) AS BIGINT) AS n_rows,
@@ -545,6 +588,29 @@ SELECT metric,
 FROM keys GROUP BY metric"""
 
 
+# All readings, and once more with some values corrected: the largest copy stays.
+_TWICE = """
+twice AS (
+  SELECT metric, date, timestamp, station_id, station_name, latitude, longitude, MAX(value) AS value FROM (
+    SELECT * FROM readings
+    UNION ALL
+    SELECT * REPLACE (CASE event_id % 43 WHEN 7 THEN value + 1.5 WHEN 9 THEN value - 1.5 ELSE value END AS value)
+    FROM readings) t
+  GROUP BY ALL
+)"""
+
+_FAULTS = """
+injected AS (
+  SELECT * REPLACE (CASE event_id % 61 WHEN 1 THEN NULL WHEN 2 THEN 'nan'::DOUBLE WHEN 3 THEN -999.0 ELSE value END AS value,
+                    CASE WHEN event_id % 61 <> 4 THEN date END AS date,
+                    CASE WHEN event_id % 61 = 4 THEN 'never' ELSE timestamp END AS timestamp)
+  FROM readings
+),
+faulty AS (
+  SELECT * FROM injected UNION ALL SELECT * FROM injected WHERE metric = 'rainfall'
+)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {**_oracles(), **_llm()[1]}
 
@@ -624,7 +690,7 @@ SELECT DISTINCT {_CLEAN} FROM (
   UNION ALL
   SELECT {_CLEAN} FROM readings WHERE metric = 'rainfall') t""",
         "null_policy": _with() + f"\nSELECT {_CLEAN} FROM readings WHERE NOT (event_id % 47 = 5)",
-        "quality_report": QUALITY_SQL,
+        "quality_report": _quality("readings"),
         "rejects_report": _with(_PREFIX_DOCS) + """
 SELECT metric,
        CASE WHEN bad THEN 'bad_value' ELSE 'after_bad_item' END AS reason,
@@ -633,4 +699,7 @@ FROM ordered WHERE n_bad > 0
 GROUP BY 1, 2""",
         "stream_daily_equals_batch": HUMIDITY_SQL,
         "stream_hottest_equals_batch": _hottest(10),
+        "stream_dedup_equals_batch": _with(_TWICE) + f"\nSELECT {_CLEAN} FROM twice",
+        "stream_dedup_hottest": _hottest(10, "twice", _TWICE),
+        "quality_report_faults": _quality("faulty", _FAULTS),
     }

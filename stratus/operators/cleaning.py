@@ -42,6 +42,22 @@ def dedup_readings(df: DataFrame, key: list[str] | None = None,
     return df.groupBy(*key).agg(pick.alias("_r")).select(*key, "_r.*").select(*df.columns)
 
 
+def new_copies(batch: DataFrame, kept: DataFrame, key: list[str] | None = None) -> DataFrame:
+    """The rows of `batch` to add to `kept` so that `dedup_readings` of all of
+    them is what it is over both deliveries: one per key, the largest copy, and
+    none where `kept` has one as large.
+
+    The largest copy wins whichever run brought it, so the result doesn't depend
+    on the order of arrival.  One aggregation, combined map-side; no join, so NULL
+    keys and a key repeated millions of times need no care.
+    """
+    key, cols = key or READING_KEY, batch.columns
+    rest = [c for c in cols if c not in key]
+    both = kept.select(*cols, F.lit(True).alias("_old")).unionByName(batch.select(*cols, F.lit(False).alias("_old")))
+    best = both.groupBy(*key).agg(F.max(F.struct(*rest, "_old")).alias("_r")).where(~F.col("_r._old"))
+    return best.select(*[F.col(c) if c in key else F.col(f"_r.{c}").alias(c) for c in cols])
+
+
 def null_policy(df: DataFrame, fill: dict | None = None,
                 required: list[str] | None = None) -> DataFrame:
     """Fill defaults, then drop rows still missing a required column."""

@@ -18,6 +18,7 @@ from stratus.operators import quality
 from stratus.plans import curated as C
 from stratus.sinks import lake
 from stratus.sources.raw_json import read_raw_days, read_raw_variants, spread_days
+from stratus.streaming import rollups
 
 PARTITIONING = {"daily_temp": ["date"]}
 
@@ -39,9 +40,9 @@ def run_batch(spark: SparkSession, raw: str | list[str], root: str,
     # Temperature is scanned once: both temperature tables follow from the
     # stored per-(date, station) partials.
     by_station = C.temperature_partials(clean)
-    partials = lake.write_parquet(by_station,
-                                  lake.layer_path(root, lake.CURATED, "_temperature_partials"),
-                                  ["date"])
+    partials = lake.layer_path(root, lake.CURATED, "_temperature_partials")
+    rollups.drop(spark, partials)          # of an incremental run on this lake
+    lake.write_parquet(by_station, partials, ["date"])
     stored = lake.read_parquet(spark, partials, by_station.columns, by_station.schema)
     tables = {
         "daily_temp": C.daily_temp_from_partials(stored, ordered=False),

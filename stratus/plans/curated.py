@@ -97,14 +97,25 @@ def daily_temp_from_partials(partials: DataFrame, by: str = "station_name",
     return out.orderBy(F.asc("date"), F.desc("avg_temp_c"), F.asc(by)) if ordered else out
 
 
+def merge_partials(partials: DataFrame, *keys: str, by: str = "station_name") -> DataFrame:
+    """Partials of several periods as one per `keys` and station.  The sum keeps
+    the type of a single scan's, so the quotient is the same; a sum beyond that
+    type counts as a value it can't hold."""
+    lost = F.col("sum_value").isNull() & (F.col("n_values") > 0)
+    return partials.groupBy(*keys, by).agg(
+        F.try_sum("sum_value").try_cast(TOTAL_TYPE).alias("sum_value"), F.sum("sum_double").alias("sum_double"),
+        F.sum("n_values").alias("n_values"),
+        F.sum(F.greatest(F.col("n_misfits"), lost.cast("long"))).alias("n_misfits"),
+        F.max("max_value").alias("max_value"))
+
+
 def hottest_from_partials(partials: DataFrame, k: int = 10, by: str = "station_name") -> DataFrame:
-    # The sum keeps the type of a single scan's, so the quotient is the same.
+    """Top-k stations from partials of any period."""
     return (
-        partials.groupBy(by)
-        .agg(F.try_sum("sum_value").try_cast(TOTAL_TYPE).alias("s"), F.sum("sum_double").alias("d"),
-             F.sum("n_values").alias("n"), F.sum("n_misfits").alias("x"), F.max("max_value").alias("m"))
-        .select(by, avg_of(F.col("s"), F.col("d"), F.col("n"), F.col("x")).alias("avg_temp_c"),
-                round2("m").alias("max_temp_c"))
+        merge_partials(partials, by=by)
+        .select(by, avg_of(F.col("sum_value"), F.col("sum_double"), F.col("n_values"),
+                           F.col("n_misfits")).alias("avg_temp_c"),
+                round2("max_value").alias("max_temp_c"))
         .orderBy(F.desc("avg_temp_c"), F.asc(by))
         .limit(k)
     )

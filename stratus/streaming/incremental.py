@@ -16,8 +16,13 @@ for scheduled runs, or a processing-time trigger), and each micro-batch:
 Temperature is kept as exact per-(date, station) partials (decimal sum,
 count, max; `curated.temperature_partials`), maintained per date like the
 tables above.  daily_temp follows from the touched dates' partials, and
-hottest_stations — not keyed by date — is re-aggregated from all stored
-partials, a table of one row per station and day, never the readings.
+hottest_stations — not keyed by date — from their rollup to years
+(`rollups.py`), of which only the touched months and years are merged again.
+
+With `dedup` readings are kept once across runs: of a batch only the copies
+that win over the stored ones are added (`cleaning.new_copies`), and the tables
+are made of one row per reading key.  The largest copy wins, whichever run
+brought it.
 
 Late files simply touch older dates again.  Progress is kept in the
 stream checkpoint under the shared checkpoint folder, so a restarted job
@@ -29,13 +34,16 @@ from __future__ import annotations
 from typing import Callable
 from zlib import crc32
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratus.operators.cleaning import dedup_readings, new_copies
 from stratus.plans import curated as C
-from stratus.schemas import CLEAN_COLUMNS, CLEAN_SCHEMA
+from stratus.schemas import CLEAN_COLUMNS, CLEAN_SCHEMA, TEMPERATURE
 from stratus.sinks import snapshots
+from stratus.streaming import rollups
 
 # Curated tables that are keyed by date and so can be maintained per date.
 # daily_temp is derived from the stored temperature partials instead.
@@ -86,11 +94,21 @@ def touched_filter(batch: DataFrame):
     return lambda df: df.where(cond)
 
 
+def _stored(spark: SparkSession, clean: str) -> DataFrame:
+    """The clean layer with its batch ids; empty before the first batch."""
+    try:
+        return spark.read.schema(_clean_schema_with_batch()).parquet(clean)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], _clean_schema_with_batch())
+
+
 def make_batch_handler(spark: SparkSession, clean: str, curated: dict[str, str],
-                       partials: str | None = None, feed: str = "feed"):
+                       partials: str | None = None, feed: str = "feed", dedup: bool = False):
     """foreachBatch body.  `feed` names the landing folder, so that batches of
     different feeds never overwrite each other in the clean layer.  `partials` (a path) is required when daily_temp or
-    hottest_stations is maintained."""
+    hottest_stations is maintained.  `dedup` keeps readings once across runs."""
     unknown = set(curated) - set(SUPPORTED)
     if unknown:
         raise ValueError(f"not maintainable incrementally: {sorted(unknown)}")
@@ -99,37 +117,54 @@ def make_batch_handler(spark: SparkSession, clean: str, curated: dict[str, str],
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch = batch.select(*CLEAN_COLUMNS).persist()
+        name = f"{feed}-{batch_id}"
         try:
             only_touched = touched_filter(batch)
-            _dynamic_overwrite(batch.withColumn(BATCH_COL, F.lit(f"{feed}-{batch_id}")),
-                               clean, ["date", BATCH_COL])
-            whole = only_touched(
-                spark.read.schema(_clean_schema_with_batch()).parquet(clean)
-            ).select(*CLEAN_COLUMNS)
+            added = batch
+            if dedup:      # a retried batch is held against what the others brought
+                others = only_touched(_stored(spark, clean)).where(F.col(BATCH_COL) != name)
+                added = new_copies(batch, others.select(*CLEAN_COLUMNS))
+            _dynamic_overwrite(added.withColumn(BATCH_COL, F.lit(name)), clean, ["date", BATCH_COL])
+            whole = only_touched(_stored(spark, clean)).select(*CLEAN_COLUMNS)
+            if dedup:
+                whole = dedup_readings(whole)
             for table, path in curated.items():
                 if table in DATE_KEYED:
                     _dynamic_overwrite(DATE_KEYED[table](whole), path, ["date"])
             if partials is not None and set(curated) & set(FROM_PARTIALS):
                 fresh_partials = C.temperature_partials(whole)
                 _dynamic_overwrite(fresh_partials, partials, ["date"])
-                stored = spark.read.schema(fresh_partials.schema).parquet(partials)
                 if "daily_temp" in curated:
-                    fresh = only_touched(stored)
-                    _dynamic_overwrite(C.daily_temp_from_partials(fresh, ordered=False),
+                    stored = spark.read.schema(fresh_partials.schema).parquet(partials)
+                    _dynamic_overwrite(C.daily_temp_from_partials(only_touched(stored), ordered=False),
                                        curated["daily_temp"], ["date"])
                 if "hottest_stations" in curated:
-                    # Small: one row per (date, station) partial.
-                    snapshots.publish(C.hottest_from_partials(stored), curated["hottest_stations"])
+                    # One value per calendar day of the batch's temperatures.
+                    dates = [r.date for r in C.metric_rows(batch, TEMPERATURE).select("date").distinct().collect()]
+                    years = rollups.refresh(spark, partials, dates)
+                    snapshots.publish(C.hottest_from_partials(years), curated["hottest_stations"])
         finally:
             batch.unpersist()
     return handle
 
 
+def clean_path(root: str) -> str:
+    return f"{root.rstrip('/')}/clean/readings"
+
+
+def read_clean(spark: SparkSession, root: str, dedup: bool = False) -> DataFrame:
+    """The clean rows of a lake; with `dedup` one per reading key."""
+    rows = _stored(spark, clean_path(root)).select(*CLEAN_COLUMNS)
+    return dedup_readings(rows) if dedup else rows
+
+
 def run_incremental(spark: SparkSession, landing: str, root: str,
                     tables: list[str], files_per_batch: int = 10,
-                    available_now: bool = True, timeout_s: float | None = None) -> dict[str, str]:
-    """Process everything in `landing` not yet processed; return curated paths."""
-    clean = f"{root.rstrip('/')}/clean/readings"
+                    available_now: bool = True, timeout_s: float | None = None,
+                    dedup: bool = False) -> dict[str, str]:
+    """Process everything in `landing` not yet processed; return curated paths.
+    A lake is kept with `dedup` from its first run on, or without."""
+    clean = clean_path(root)
     curated = {t: f"{root.rstrip('/')}/curated/{t}" for t in tables}
     partials = f"{root.rstrip('/')}/curated/{PARTIALS}"
     landing = snapshots.qualified(spark, landing)      # one feed, however the folder is spelt
@@ -141,7 +176,7 @@ def run_incremental(spark: SparkSession, landing: str, root: str,
     )
     writer = (
         stream.writeStream
-        .foreachBatch(make_batch_handler(spark, clean, curated, partials, feed))
+        .foreachBatch(make_batch_handler(spark, clean, curated, partials, feed, dedup))
         .option("checkpointLocation", f"{root.rstrip('/')}/_checkpoint/{feed}")
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
@@ -154,8 +189,11 @@ def run_incremental(spark: SparkSession, landing: str, root: str,
 
 
 def read_curated(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """A curated table; of hottest_stations its live snapshot."""
-    return spark.read.parquet(snapshots.current(spark, path)).select(*columns)
+    """A curated table, with its declared schema, so that one without rows reads
+    as empty; of hottest_stations its live snapshot."""
+    table = C.CURATED[path.rstrip("/").rsplit("/", 1)[-1]]
+    schema = table(spark.createDataFrame([], CLEAN_SCHEMA)).schema
+    return spark.read.schema(schema).parquet(snapshots.current(spark, path)).select(*columns)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -171,10 +209,11 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--root", required=True)
     p.add_argument("--tables", nargs="+", default=list(SUPPORTED), choices=list(SUPPORTED))
     p.add_argument("--files-per-batch", type=int, default=100)
+    p.add_argument("--dedup", action="store_true", help="keep readings once across runs")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("stratus-incremental").getOrCreate()
     for table, path in run_incremental(spark, a.landing, a.root, a.tables,
-                                       files_per_batch=a.files_per_batch).items():
+                                       files_per_batch=a.files_per_batch, dedup=a.dedup).items():
         print(f"{table}\t{path}")
 
 

@@ -33,6 +33,7 @@ from stratus.plans import curated as C
 from stratus.schemas import CLEAN_COLUMNS, FLATTENED_SCHEMA, HUMIDITY, RAINFALL, TEMPERATURE
 from stratus.sinks import lake, snapshots
 from stratus.sources.raw_json import RAW_FILES, VARIANT_SCHEMA, variant_days
+from stratus.streaming import rollups
 
 LEDGER_SCHEMA = "file STRING, length BIGINT, modified TIMESTAMP, batch_id STRING"
 _FILE = ["file", "length", "modified"]
@@ -123,11 +124,12 @@ def make_handler(spark: SparkSession, root: str, feed: str, tables: tuple[str, .
                 fresh_partials = C.temperature_partials(rows)
                 _replace(fresh_partials, table[PARTIALS], ["date"])
                 dates = [t.date for t in touched if t.metric == TEMPERATURE]
-                stored = spark.read.schema(fresh_partials.schema).parquet(table[PARTIALS])
                 if "daily_temp" in tables:
+                    stored = spark.read.schema(fresh_partials.schema).parquet(table[PARTIALS])
                     _replace(C.daily_temp_from_partials(stored.where(_on(dates)), ordered=False), table["daily_temp"], ["date"])
                 if "hottest_stations" in tables:
-                    snapshots.publish(C.hottest_from_partials(stored), table["hottest_stations"])
+                    years = rollups.refresh(spark, table[PARTIALS], dates)
+                    snapshots.publish(C.hottest_from_partials(years), table["hottest_stations"])
             (files.withColumn("batch_id", F.lit(name)).write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(ledger))
         finally:
