@@ -89,6 +89,85 @@ def test_secrets_base_and_random(spark, odd):
         assert added == {101: [key], 102: [upper]}.get(r.doc_id, [])
 
 
+ALPHABETS = {"base36": "0123456789abcdefghijklmnopqrstuvwxyz", "HEX": "0123456789ABCDEF", "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
+             "base58": "123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz",
+             "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"}
+
+
+def test_secrets_keys_among_paths(spark):
+    """Keys of 32 and more characters in common alphabets are found, paths and
+    names in every spelling aren't."""
+    rng = np.random.default_rng(8)
+    words = "data user main config build report value module index server client table query cache".split()
+    rows, keys = [], {}
+    for name, letters in ALPHABETS.items():
+        for n in (32, 40, 64):
+            for _ in range(20):
+                i = len(rows)
+                keys[i] = (name, n, "".join(rng.choice(list(letters), n)))
+                rows.append((i, f"note {keys[i][2]} end"))
+    first_path = len(rows)
+    for _ in range(500):
+        p = "/".join(str(rng.choice(words)) + (str(rng.integers(2026)) if rng.random() < 0.5 else "") for _ in range(rng.integers(4, 9)))
+        rows.append((len(rows), f"see {p} or {p.title().replace('/', '')}, {p.replace('/', '_')} {p.replace('/', '-')}"))
+    hits, wrong = Counter(), 0
+    for r in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        found = [rows[r.doc_id][1][s.start:s.end] for s in r.spans if s.kind == "random"]
+        if r.doc_id < first_path:
+            hits[keys[r.doc_id][:2]] += keys[r.doc_id][2] in found
+        else:
+            wrong += len(found)
+    assert wrong <= 0.01 * 4 * 500
+    for n, least in ((32, 0.75), (40, 0.9), (64, 0.9)):
+        assert sum(hits[a, n] for a in ALPHABETS) >= least * 20 * len(ALPHABETS), (n, hits)
+
+
+def test_secrets_battery(spark):
+    """The battery against its formulas, token by token."""
+    rng = np.random.default_rng(9)
+    tokens_ = ["".join(rng.choice(list(a), n)) for a in ALPHABETS.values() for n in (20, 33, 64)] + ["Aa1" * 10, "config/main2024/" * 3]
+    df = spark.createDataFrame([(t,) for t in tokens_], "t string").select("t", secrets._encoding(F.col("t")).alias("enc"))
+    letters = {n: a for n, a, _ in secrets.ENCODINGS}
+    kind = lambda c: "0" if c.isdigit() else "a" if c.islower() else "A" if c.isupper() else c
+    rows = df.filter("enc IS NOT NULL").select("t", "enc", secrets.battery(F.col("t"), F.col("enc")).alias("z")).collect()
+    assert len(rows) >= len(tokens_) - 2
+    for t, enc, z in rows:
+        code, n, m = [letters[enc].index(c) for c in t], len(t), len(letters[enc])
+        count = np.array(list(Counter(code).values()), float)
+        chi = (count ** 2).sum() * m / n - n
+        up = [c >= m / 2 for c in code]
+        n1, n0 = sum(up), n - sum(up)
+        mu = 2 * n0 * n1 / n + 1
+        runs = 1 + sum(a != b for a, b in zip(up, up[1:]))
+        c = np.array(code) - np.mean(code)
+        serial = ((c[1:] * c[:-1]).sum() / (c ** 2).sum() + 1 / (n - 1)) * n ** 0.5
+        want = ((chi - m + 1) / (2 * (m - 1) * (n - 1) / n) ** 0.5,
+                (runs - mu) / ((mu - 1) * (mu - 2) / (n - 1)) ** 0.5 if (mu - 1) * (mu - 2) > 0 else 99.0, serial,
+                (count * (count - 1)).sum() / (n * (n - 1)), sum(kind(a) != kind(b) for a, b in zip(t, t[1:])) / (n - 1))
+        assert tuple(z) == pytest.approx(want), t
+
+
+def test_secrets_false_discovery_cut(spark):
+    """Benjamini-Hochberg over bins against its definition."""
+    rng = np.random.default_rng(10)
+    bins = [("a", int(b)) for b in rng.integers(0, 30, 300)] + [("a", int(b)) for b in rng.integers(50, 90, 40)] + [("b", 3), ("c", 399)]
+    df = spark.createDataFrame([([b],) for b in bins], "candidates array<struct<stratum:string,bin:int>>")
+    want = {}
+    for name in "abc":
+        own = [b for k, b in bins if k == name]
+        ok = [b for b in own if 10 ** (-b * secrets.BIN) <= secrets.FDR * sum(x >= b for x in own) / len(own)]
+        if ok:
+            want[name] = min(ok)
+    assert secrets.cuts(df) == want and set(want) == {"a", "c"}
+
+
+def test_secrets_many_hits_in_one_text(spark):
+    rng = np.random.default_rng(11)
+    text = " ".join(f"é{x:016x}" if k % 3 else f"token={x:016x}" for k, x in enumerate(rng.integers(1 << 60, 1 << 62, 5000)))
+    got = secrets.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()[0]
+    assert [tuple(s) for s in got.base] == brute_secrets(text)
+
+
 # ------------------------------------------------------------------- top k --
 
 @pytest.mark.parametrize("block,chunk,pivots", [(7, 3, 4), (2048, 512, 32)])
