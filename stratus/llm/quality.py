@@ -8,7 +8,9 @@ dot product with the weights.
 
 Defined results: NULL text is the empty text; a text without words has no
 features but the bias and scores the same as any other such text.  Without
-training rows every score is 0.5.  Labels that are NULL are left out.
+training rows every score is 0.5.  Labels that are NULL are left out; of several
+labels of one id the smallest counts.  Repeated rows are scored each by itself,
+rows with a NULL id too; an empty table gives no rows.
 """
 
 from __future__ import annotations

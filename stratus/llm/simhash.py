@@ -19,7 +19,8 @@ to the shared folder.
 
 Defined results: NULL text is the empty text; texts without words have the
 fingerprint 0 and link like any other; rows with a NULL id take part, and a
-component with no id but NULL has component_id NULL.
+component with no id but NULL has component_id NULL; repeated rows are members
+each by itself; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -453,6 +453,49 @@ def test_quality_held_out_and_inputs(spark, odd):
     assert not none.any()
 
 
+def test_quality_ftrl_against_its_definition():
+    """Each weight is the minimum of the sum of linear losses, the proximal terms
+    to all former weights, and both penalties; from the whole history."""
+    rng = np.random.default_rng(12)
+    bits, alpha, beta, l1, l2, size = 5, 1.0, 1.0, 0.02, 0.1, 33
+    texts = [" ".join(rng.choice(list("abcdefghij"), rng.integers(0, 9))).encode() for _ in range(14)]
+    rows = [(*quality.features(t, bits), int(t.count(b"a") > 0)) for t in texts]
+    past = []                                  # (gradient, sigma, weights) by step
+    squares = np.zeros(size)
+
+    def leader():
+        lin = sum((g - s * w for g, s, w in past), np.zeros(size))
+        curve = sum((s for _, s, _ in past), np.zeros(size)) + beta / alpha + l2
+        return np.where(np.abs(lin) <= l1, 0.0, -(lin - np.sign(lin) * l1) / curve)
+
+    order = np.random.default_rng(7)
+    for _ in range(4):
+        for r in order.permutation(len(rows)):
+            x = np.zeros(size)
+            x[rows[r][0]] = rows[r][1]
+            w = leader()
+            g = (1 / (1 + np.exp(-w @ x)) - rows[r][2]) * x
+            past.append((g, (np.sqrt(squares + g * g) - np.sqrt(squares)) / alpha, w))
+            squares += g * g
+    assert np.allclose(quality.fit_ftrl(rows, bits), leader(), atol=1e-6)
+    assert np.abs(leader()).max() > 0.1
+
+
+def test_quality_query_over_odd_rows(spark, odd, empty):
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (2, 1, 0), (8, 1, 0), (None, 1, 0), (5, None, 0), (7, 0, 1), (99, 1, 0)],
+                                   "doc_id long, quality int, toxic int").withColumn("score", F.lit("clash"))
+    got = quality.query(odd, labels).collect()
+    assert sorted(str(r.doc_id) for r in got) == sorted(str(r[0]) for r in ROWS)
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in got)
+    assert all(r.held_out == (zlib.crc32(str("" if r.doc_id is None else r.doc_id).encode()) % 5 == 0) for r in got)
+    by_id = {}
+    for r in got:
+        by_id.setdefault(r.doc_id, set()).add(r.score)
+    assert len(by_id[8]) == 1 and by_id[3] == by_id[4] == by_id[6]     # copies; no words
+    assert quality.query(empty, labels).collect() == []
+    assert {r.score for r in quality.query(odd, labels.limit(0)).collect()} == {0.5}
+
+
 # ----------------------------------------------------------------- SimHash --
 
 def brute_fingerprint(text):
