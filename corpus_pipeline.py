@@ -2,6 +2,12 @@
 
 Each stage takes (spark, docs, sf_dir), works on all that the stage before it
 kept and returns a DataFrame; stages are written as Parquet and read again.
+
+Defined results: NULL text is the empty text in every stage, and the mix, which
+takes words, leaves texts without any out; a NULL source is a source of its own.
+Rows that repeat an id and a text are one document to the exact stage, which
+keeps one of them; ties go as the operators' docstrings say.  Other columns are
+carried along as they are.  An empty table passes every stage and packs to no rows.
 """
 
 from __future__ import annotations
