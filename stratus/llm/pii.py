@@ -124,6 +124,47 @@ def _entity(text: str, kind: int, a: int, b: int) -> int:
     return xxhash.xxh64_intdigest(f"{kind}:{value}") - (1 << 63)
 
 
+class Lowered(dict):
+    """Lower-case forms of words, None for short ones; bounded."""
+
+    def __missing__(self, word: str) -> str | None:
+        if len(self) > _FLUSH:
+            self.clear()
+        form = self[word] = word.lower() if len(word) >= 3 else None
+        return form
+
+    def words(self, text: str) -> set[str]:
+        """The text's different terms."""
+        out = set(map(self.__getitem__, set(_WORD.findall(text))))
+        out.discard(None)
+        return out
+
+
+class MayBe:
+    """Which words the filter lets through; what was asked is kept, bounded."""
+
+    def __init__(self, bits: bytes):
+        self.bits, self.top = bits, len(bits) * 8 - 1
+        self.yes: set[str] = set()
+        self.no: set[str] = set()
+
+    def _asked(self, word: str) -> bool:
+        if len(word) < 3:
+            return False
+        h = xxhash.xxh64_intdigest(word.lower().encode(), 42)      # 42: as xxhash64 does
+        return all(self.bits[(h >> k & self.top) >> 3] >> (h >> k & 7) & 1 for k in _SHIFTS)
+
+    def of(self, words: set[str]) -> set[str]:
+        new = words - self.no
+        for w in new - self.yes:
+            (self.yes if self._asked(w) else self.no).add(w)
+        hits = new & self.yes
+        for kept in (self.yes, self.no):
+            if len(kept) > _FLUSH:
+                kept.clear()
+        return hits
+
+
 def _log10_p(n_pair: pd.Series, n_entity: pd.Series, n_term: pd.Series, rows: pd.Series) -> pd.Series:
     def choose(n, k):
         return math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
@@ -133,37 +174,40 @@ def _log10_p(n_pair: pd.Series, n_entity: pd.Series, n_term: pd.Series, rows: pd
 
 def _telling(source: DataFrame, generalise: float, remove: float, fdr: float) -> DataFrame | None:
     """term, kind: the terms to generalise (4) and to remove (5)."""
-    def count_terms(batches):
-        """Documents per term, summed in the task and given on in bounded parts."""
+    def read(batches):
+        """One pass: documents per term, summed in the task and given on in
+        bounded parts, and the entities and terms of texts that hold any."""
         seen: Counter = Counter()
-        for batch in batches:
-            for t in batch.column(0):
-                seen.update({w.lower() for w in set(_WORD.findall(t.as_py())) if len(w) >= 3})
-                if len(seen) > _FLUSH:
-                    yield {"term": list(seen), "n": list(seen.values())}
-                    seen.clear()
-        yield {"term": list(seen), "n": list(seen.values())}
 
-    def detect(batches):
+        def counted():
+            out = {"entities": [None] * len(seen), "terms": [None] * len(seen), "term": list(seen), "n": list(seen.values())}
+            seen.clear()
+            return out
+
+        lower = Lowered()
         for batch in batches:
-            out = {"entities": [], "terms": []}
+            entities, terms = [], []
             for t in batch.column(0):
                 text = t.as_py()
+                seen.update(lower.words(text))
                 if spans := base_spans(text):
-                    out["entities"].append(list({_entity(text, k, a, b) for a, k, b in spans}))
-                    out["terms"].append(list({text[s:e].lower() for s, e in _terms(text, spans)}))
-            yield out
+                    entities.append(list({_entity(text, k, a, b) for a, k, b in spans}))
+                    terms.append(list({text[s:e].lower() for s, e in _terms(text, spans)}))
+                if len(seen) > _FLUSH:
+                    yield counted()
+            yield {"entities": entities, "terms": terms, "term": [None] * len(terms), "n": [None] * len(terms)}
+        yield counted()
 
     texts = source.select("text")
     rows = texts.count()
-    held = materialize(map_batches(texts, detect, "entities array<long>, terms array<string>"), "op6-held")
+    both = materialize(map_batches(texts, read, "entities array<long>, terms array<string>, term string, n long"), "op6-read")
+    held = both.filter("entities IS NOT NULL").select("entities", "terms")
     known = materialize(held.select(F.explode("entities").alias("entity")).groupBy("entity").agg(
         F.count(F.lit(1)).alias("n_entity")), "op6-entities")
     entities, most = known.agg(F.count(F.lit(1)), F.max("n_entity")).first()
     if not entities:
         return None
-    terms = materialize(map_batches(texts, count_terms, "term string, n long").groupBy("term").agg(
-        F.sum("n").alias("n_term")), "op6-terms")
+    terms = materialize(both.filter("term IS NOT NULL").groupBy("term").agg(F.sum("n").alias("n_term")), "op6-terms")
     # PMI >= generalise * IC asks for df(t) <= df(e, t) * (N / df(e)) ** (1 - generalise),
     # and df(e, t) <= df(e): beyond the bound of the most frequent entity no pair needs to be made.
     bound = most ** generalise * rows ** (1 - generalise) * (1 + 1e-9) if 0 <= generalise <= 1 else math.inf
@@ -229,17 +273,14 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", genera
 
     def mark(batches):
         """Base spans, and the words that may be telling: the join decides."""
-        def may(word):
-            h, top = xxhash.xxh64_intdigest(word.encode(), 42), len(bits.value) * 8 - 1    # 42: as xxhash64 does
-            return all(bits.value[(h >> k & top) >> 3] >> (h >> k & 7) & 1 for k in _SHIFTS)
-
+        maybe = MayBe(bits.value) if bits.value else None
         for batch in batches:
             base, near = [], []
             for t in batch.column(1):
                 text = t.as_py()
                 spans = base_spans(text)
                 base.append([{"start": a, "kind": k, "end": b} for a, k, b in spans])
-                hits = bits.value and {w for w in set(_WORD.findall(text)) if len(w) >= 3 and may(w.lower())}
+                hits = maybe and maybe.of(set(_WORD.findall(text)))
                 near.append([{"term": text[s:e].lower(), "start": s, "end": e} for s, e in _terms(text, spans)
                              if text[s:e] in hits] if hits else [])
             yield {"doc_id": batch.column(0), "base": base, "near": near}
