@@ -49,6 +49,7 @@ _FLUSH = 200_000
 _PAIRS = 20_000       # pairs given on at a time
 _COMMON = 1 << 16     # terms that are broadcast as too common for any entity
 _MOST_BITS = 1 << 24  # of the filter that finds where telling terms may stand
+_SENT = 1 << 16       # telling terms that are broadcast as they are
 _SHIFTS = (0, 20, 40) # its bits of a term: these places of the hash
 _BIN = 0.05           # decades of a p-value per bin
 _MOST = 1 << 13       # bins
@@ -60,6 +61,7 @@ _DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
+_DIGITS = re.compile(r"[0-9](?:[ .-]?[0-9]){3}")    # every address and card holds this
 _NOT_DIGIT = re.compile("[^0-9]+")
 _WORD = re.compile(r"\w+")
 
@@ -91,14 +93,15 @@ def luhn(digits: str) -> bool:
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind number, end), sorted."""
     out = [(a, 0, b) for a, b in emails(text)] if "@" in text else []
-    for m in _IP.finditer(text):
+    digits = _DIGITS.search(text) is not None
+    for m in _IP.finditer(text) if digits else ():
         parts = [p.lstrip("0") for p in m[0].split(".")]
         if all(len(p) <= 3 and int(p or 0) <= 255 for p in parts):
             out.append((m.start(), 1, m.end()))
-    for m in _CARD.finditer(text):
+    for m in _CARD.finditer(text) if digits else ():
         if m.end() - m.start() >= 12:
-            digits = m[0].replace(" ", "").replace("-", "")
-            if 12 <= len(digits) <= 19 and luhn(digits):
+            number = m[0].replace(" ", "").replace("-", "")
+            if 12 <= len(number) <= 19 and luhn(number):
                 out.append((m.start(), 2, m.end()))
     if "+" in text:
         for m in _PHONE.finditer(text):
@@ -124,45 +127,37 @@ def _entity(text: str, kind: int, a: int, b: int) -> int:
     return xxhash.xxh64_intdigest(f"{kind}:{value}") - (1 << 63)
 
 
-class Lowered(dict):
-    """Lower-case forms of words, None for short ones; bounded."""
-
-    def __missing__(self, word: str) -> str | None:
-        if len(self) > _FLUSH:
-            self.clear()
-        form = self[word] = word.lower() if len(word) >= 3 else None
-        return form
-
-    def words(self, text: str) -> set[str]:
-        """The text's different terms."""
-        out = set(map(self.__getitem__, set(_WORD.findall(text))))
-        out.discard(None)
-        return out
+def terms_of(text: str) -> set[str]:
+    """The text's different terms.  Lower-casing the text first gives the words'
+    own lower-case forms but for two letters: one grows, one looks beyond its word."""
+    if "\u0130" in text or "\u03a3" in text:
+        return {w.lower() for w in set(_WORD.findall(text)) if len(w) >= 3}
+    return {w for w in set(_WORD.findall(text.lower())) if len(w) >= 3}
 
 
 class MayBe:
-    """Which words the filter lets through; what was asked is kept, bounded."""
+    """Which terms may be telling: all telling ones where they are few enough to
+    be sent, else those that a filter lets through; answers are kept, bounded."""
 
-    def __init__(self, bits: bytes):
-        self.bits, self.top = bits, len(bits) * 8 - 1
-        self.yes: set[str] = set()
+    def __init__(self, sent: set[str] | bytes):
+        self.exact = not isinstance(sent, bytes)
+        self.yes: set[str] = sent if self.exact else set()
         self.no: set[str] = set()
+        if not self.exact:
+            self.bits, self.top = sent, len(sent) * 8 - 1
 
-    def _asked(self, word: str) -> bool:
-        if len(word) < 3:
-            return False
-        h = xxhash.xxh64_intdigest(word.lower().encode(), 42)      # 42: as xxhash64 does
+    def _asked(self, term: str) -> bool:
+        h = xxhash.xxh64_intdigest(term.encode(), 42)      # 42: as xxhash64 does
         return all(self.bits[(h >> k & self.top) >> 3] >> (h >> k & 7) & 1 for k in _SHIFTS)
 
-    def of(self, words: set[str]) -> set[str]:
-        new = words - self.no
-        for w in new - self.yes:
-            (self.yes if self._asked(w) else self.no).add(w)
-        hits = new & self.yes
-        for kept in (self.yes, self.no):
-            if len(kept) > _FLUSH:
-                kept.clear()
-        return hits
+    def of(self, terms: set[str]) -> set[str]:
+        if not self.exact:
+            for kept in (self.yes, self.no):
+                if len(kept) > _FLUSH:
+                    kept.clear()
+            for t in terms - self.no - self.yes:
+                (self.yes if self._asked(t) else self.no).add(t)
+        return terms & self.yes
 
 
 def _log10_p(n_pair: pd.Series, n_entity: pd.Series, n_term: pd.Series, rows: pd.Series) -> pd.Series:
@@ -184,12 +179,11 @@ def _telling(source: DataFrame, generalise: float, remove: float, fdr: float) ->
             seen.clear()
             return out
 
-        lower = Lowered()
         for batch in batches:
             entities, terms = [], []
             for t in batch.column(0):
                 text = t.as_py()
-                seen.update(lower.words(text))
+                seen.update(terms_of(text))
                 if spans := base_spans(text):
                     entities.append(list({_entity(text, k, a, b) for a, k, b in spans}))
                     terms.append(list({text[s:e].lower() for s, e in _terms(text, spans)}))
@@ -262,6 +256,12 @@ def _filter(telling: DataFrame) -> bytes:
     return out.tobytes()
 
 
+def _sent(telling: DataFrame) -> set[str] | bytes:
+    """The telling terms, up to _SENT of them, or their filter: the same results."""
+    few = telling.select("term").limit(_SENT + 1).collect()
+    return _filter(telling) if len(few) > _SENT else {r.term for r in few}
+
+
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", generalise: float = GENERALISE,
          remove: float = REMOVE, fdr: float = FDR) -> DataFrame:
     """doc_id, base and spans: arrays of (start, kind number, end); kinds 4 and
@@ -269,20 +269,20 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", genera
     id_type = docs.schema[id_col].dataType.simpleString()
     source = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     telling = _telling(source, generalise, remove, fdr)
-    bits = docs.sparkSession.sparkContext.broadcast(None if telling is None else _filter(telling))
+    sent = docs.sparkSession.sparkContext.broadcast(None if telling is None else _sent(telling))
 
     def mark(batches):
         """Base spans, and the words that may be telling: the join decides."""
-        maybe = MayBe(bits.value) if bits.value else None
+        maybe = MayBe(sent.value) if sent.value else None
         for batch in batches:
             base, near = [], []
             for t in batch.column(1):
                 text = t.as_py()
                 spans = base_spans(text)
                 base.append([{"start": a, "kind": k, "end": b} for a, k, b in spans])
-                hits = maybe and maybe.of(set(_WORD.findall(text)))
+                hits = maybe and maybe.of(terms_of(text))
                 near.append([{"term": text[s:e].lower(), "start": s, "end": e} for s, e in _terms(text, spans)
-                             if text[s:e] in hits] if hits else [])
+                             if text[s:e].lower() in hits] if hits else [])
             yield {"doc_id": batch.column(0), "base": base, "near": near}
 
     found = materialize(map_batches(

@@ -551,3 +551,23 @@ def test_grid_links_lose_no_link(spark, monkeypatch, tile, bits):
     ours = [found.get(x, x) for x in signed]
     groups = lambda labels: sorted(map(sorted, ({j for j, y in enumerate(labels) if y == x} for x in set(labels))))
     assert groups(ours) == groups(want)
+
+
+def test_pii_terms_of_a_text_are_its_words_lower_cased():
+    """Every letter whose lower case is more than itself, in and at the end of words."""
+    for c in map(chr, range(0x110000)):
+        if c.lower() != c:
+            text = f"ab{c}cd x{c}yz{c}\u0301'{c}B ab{c}"
+            assert pii.terms_of(text) == {w.lower() for w in re.findall(r"\w+", text) if len(w) >= 3}, hex(ord(c))
+
+
+@pytest.mark.parametrize("sent", [0, 1 << 16])
+def test_pii_marks_the_same_terms_by_filter_and_by_list(spark, monkeypatch, sent):
+    """3 texts hold an address with a rare term, 400 neither."""
+    monkeypatch.setattr(pii, "_SENT", sent)
+    df = spark.createDataFrame(
+        [(i, "Zanzibarin writes from zan@example.com today") for i in range(3)]
+        + [(i, f"plain words number w{i} today") for i in range(3, 400)] + [(400, "here ZANZIBARIN alone")],
+        "doc_id long, text string")
+    got = {r.doc_id: [s.start for s in r.spans if s.kind >= 4] for r in pii.find(df).collect()}
+    assert got[400] == [5] and all(0 in got[i] for i in range(3)) and not any(got[i] for i in range(3, 400))
