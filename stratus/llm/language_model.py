@@ -77,6 +77,19 @@ def count_words(texts: DataFrame) -> DataFrame:
     return map_batches(texts, run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def _most_frequent(vocabulary: DataFrame, most: int) -> list:
+    """At most `most` (word, n), by n.  A histogram of counts (16 bins a
+    doubling) sets the cut, so that no task sends its own longest list."""
+    size = F.floor(F.log2("n") * 16)
+    cut, kept = 0, 0
+    for r in sorted(vocabulary.groupBy(size.alias("bin")).agg(F.count(F.lit(1)).alias("n")).collect(), key=lambda r: -r.bin):
+        kept += r.n
+        if kept > most:
+            cut = r.bin + 1
+            break
+    return sorted(vocabulary.filter(size >= F.lit(cut)).collect(), key=lambda r: (-r.n, bytes(r.word)))
+
+
 def buckets_of(tokens: int) -> int:
     """Buckets for a corpus: a power of two near the root of 8 * tokens."""
     n = BUCKETS
@@ -179,9 +192,9 @@ def features(codes: np.ndarray, starts: np.ndarray, buckets: int = BUCKETS) -> n
 
 
 def log_softmax(weights: np.ndarray, feats: np.ndarray) -> np.ndarray:
-    z = weights[feats[:, 0]]
+    z = weights.take(feats[:, 0], axis=0)
     for j in range(1, feats.shape[1]):
-        z = z + weights[feats[:, j]]
+        z += weights.take(feats[:, j], axis=0)
     z -= z.max(axis=1, keepdims=True)
     z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
     return z
@@ -200,10 +213,10 @@ def _update(weights, hits, feats, target, rate) -> None:
     n = np.bincount(at, minlength=len(rows)).astype(np.float32)
     hits[rows] += n
     step = rate / np.sqrt(n * hits[rows])
-    total = np.empty((len(rows), weights.shape[1]), np.float32)
+    total = np.empty((weights.shape[1], len(rows)), np.float32)
     for c, g in enumerate(grad.T.astype(float)):
-        total[:, c] = np.bincount(at, np.tile(g, feats.shape[1]), len(rows))
-    weights[rows] -= step[:, None] * total
+        total[c] = np.bincount(at, np.tile(g, feats.shape[1]), len(rows))
+    weights[rows] -= (step * total).T
 
 
 def _blocks(codes: pa.Array):
@@ -274,7 +287,7 @@ def score(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "te
     is_end = F.col("word") == F.lit(END)
     size = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v"),
                           F.coalesce(F.sum(F.when(is_end, F.col("n"))), F.lit(0)).alias("ends")).first()
-    top = vocabulary.filter(~is_end).orderBy(F.desc("n"), "word").limit(FREQUENT - 1).collect()
+    top = _most_frequent(vocabulary.filter(~is_end), FREQUENT - 1)
     frequent = [END, *(bytes(r.word) for r in top)]
     numbers = np.array([size.ends, *(r.n for r in top)], float)
     shared = sc.broadcast(frequent)

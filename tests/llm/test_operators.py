@@ -571,3 +571,32 @@ def test_pii_marks_the_same_terms_by_filter_and_by_list(spark, monkeypatch, sent
         "doc_id long, text string")
     got = {r.doc_id: [s.start for s in r.spans if s.kind >= 4] for r in pii.find(df).collect()}
     assert got[400] == [5] and all(0 in got[i] for i in range(3)) and not any(got[i] for i in range(3, 400))
+
+
+def test_language_model_frequent_words_and_buckets(spark):
+    v = spark.createDataFrame([(f"w{n}".encode(), n) for n in range(1, 200)] + [(f"one{k}".encode(), 1) for k in range(50)],
+                              "word binary, n long")
+    for most in (0, 1, 20, 248, 249):
+        got = [(r.n, bytes(r.word)) for r in language_model._most_frequent(v, most)]
+        whole = sorted(((r.n, bytes(r.word)) for r in v.collect()), key=lambda r: (-r[0], r[1]))
+        assert len(got) <= most and got == whole[:len(got)]
+        assert most < 249 or len(got) == 249
+    sizes = [language_model.buckets_of(10 ** k) for k in range(16)]
+    assert sizes == sorted(sizes) and sizes[0] == language_model.BUCKETS and sizes[-1] == language_model.MAX_BUCKETS
+
+
+def test_language_model_update_is_a_gradient_step():
+    rng = np.random.default_rng(5)
+    w = rng.normal(size=(50, language_model.CLASSES)).astype(np.float32)
+    f, target = rng.integers(0, 50, (300, 5)), rng.integers(0, language_model.CLASSES, 300)
+    p = np.exp(language_model.log_softmax(w, f))
+    p[np.arange(300), target] -= 1
+    want, n = np.zeros_like(w), np.zeros(50)
+    for i in range(300):
+        for j in range(5):
+            want[f[i, j]] += p[i]
+            n[f[i, j]] += 1
+    new, hits = w.copy(), np.full(50, 2, np.float32)
+    language_model._update(new, hits, f, target, 0.5)
+    assert np.allclose(hits, n + 2)
+    assert np.allclose(new, w - 0.5 / np.sqrt(np.maximum(n * (n + 2), 1))[:, None] * want, atol=1e-4)
