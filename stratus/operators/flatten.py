@@ -529,12 +529,16 @@ def readings_of(a: DataFrame) -> DataFrame:
 
 
 def rejects_of(a: DataFrame) -> DataFrame:
-    """Rejects from `annotate_days` output (one explode over rejected items)."""
+    """Rejects from `annotate_days` output (one explode over rejected items).
+
+    Days without rejects give no rows: their `_lost` is NULL.  No filter says so
+    before, as Spark would move it below the projections and build the day's
+    stations in it once per item.
+    """
     x = F.col("x")
     position = F.when(F.col("day_reason").isNull(), F.col("first_bad") + F.col("i"))
     return (
-        a.where(F.col("day_reason").isNotNull() | (F.col("first_bad") > 0))
-        .select("metric", "source_file", "day_id", "day_reason", "first_bad",
+        a.select("metric", "source_file", "day_id", "day_reason", "first_bad",
                 F.posexplode(_lost(a)).alias("i", "x"))
         .select("metric", "source_file", "day_id", position.cast("int").alias("position"),
                 x["timestamp"].alias("timestamp"), x["station_id"].alias("station_id"),

@@ -181,3 +181,14 @@ def test_batch_run_of_any_type(spark, tmp_dir):
     assert [r.total_rainfall_mm for r in spark.read.parquet(out["rainiest_days"]).collect()] == [5.0]
     reasons = {(r.metric, r.reason, r.n_days) for r in spark.read.parquet(out["rejects_report"]).collect()}
     assert reasons == {("rainfall", "missing_data", 1), ("wind_speed", "unreadable_json", 1)}
+
+
+def variant_plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_days_are_not_rejected_by_a_filter_below(spark, tmp_dir):
+    # Pushed below the projections it would build a day's stations once per item.
+    write(tmp_dir, "rainfall_raw.json", json.dumps([GOOD]))
+    plan = variant_plan(flatten_rejects(read_raw_variants(spark, tmp_dir)))
+    assert not [line for line in plan.splitlines() if "Filter" in line and "transform(" in line], plan
