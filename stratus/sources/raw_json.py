@@ -120,12 +120,17 @@ def variant_days(raw: DataFrame, multiline: bool, on_unreadable: str = "keep", w
     if not multiline:
         return days.select("metric", "source_file", F.col("file").alias("place"),
                            F.col("body").alias("day"), F.col("cut").alias("day_text"), *keep)
-    elements = F.try_variant_get("body", "$", "array<variant>")
-    return (days.withColumn("elements", elements).filter("elements IS NULL OR size(elements) > 0")
-            .select("metric", "source_file", "file", *keep, F.when(F.col("elements").isNull(), F.coalesce(
-                "cut", F.to_json("body"))).alias("day_text"), F.posexplode_outer("elements").alias("nth", "day"))
-            .select("metric", "source_file", F.concat_ws("#", "file", F.col("nth").cast("string")).alias("place"),
-                    "day", "day_text", *keep))
+    # What stays of a file beside its elements is made before they become rows:
+    # a row that carried the file's text or array would copy them once per day.
+    # "Outer", as Spark evaluates the array of a plain explode in a filter as well.
+    elements = F.transform(F.try_variant_get("body", "$", "array<variant>"), lambda day, nth: F.struct(
+        nth.alias("nth"), day.alias("day"), F.lit(None).cast("string").alias("day_text")))
+    whole = F.array(F.struct(F.lit(None).cast("int").alias("nth"), F.lit(None).cast("variant").alias("day"),
+                             F.coalesce("cut", F.to_json("body")).alias("day_text")))
+    return (days.select("metric", "source_file", "file", *keep, F.explode_outer(F.coalesce(elements, whole)).alias("x"))
+            .filter("x IS NOT NULL")
+            .select("metric", "source_file", F.concat_ws("#", "file", F.col("x.nth").cast("string")).alias("place"),
+                    "x.day", "x.day_text", *keep))
 
 
 def spread_days(days: DataFrame, min_partitions: int | None = None) -> DataFrame:

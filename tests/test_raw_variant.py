@@ -4,6 +4,7 @@ import gzip
 import json
 import os
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -192,3 +193,24 @@ def test_days_are_not_rejected_by_a_filter_below(spark, tmp_dir):
     write(tmp_dir, "rainfall_raw.json", json.dumps([GOOD]))
     plan = variant_plan(flatten_rejects(read_raw_variants(spark, tmp_dir)))
     assert not [line for line in plan.splitlines() if "Filter" in line and "transform(" in line], plan
+
+
+def test_days_do_not_carry_their_file(spark, tmp_dir):
+    # The file's text and array beside every day would be copied once per day.
+    write(tmp_dir, "rainfall_raw.json", json.dumps([GOOD]))
+    plan = variant_plan(read_raw_variants(spark, tmp_dir))
+    generate = [line for line in plan.splitlines() if "Generate" in line]
+    assert len(generate) == 1
+    assert re.search(r"\), \[3, 4\], true, ", generate[0]), plan      # body and cut end here
+
+
+def test_place_of_days_and_of_whole_files(spark, tmp_dir):
+    write(tmp_dir, "rainfall_raw.json", json.dumps([1, None, {"data": 2}]))
+    for name, text in (("wind_speed", "[1,"), ("air_temperature", "{}"), ("relative_humidity", "[]"), ("wind_direction", "null")):
+        write(tmp_dir, f"{name}_raw.json", text)
+    got = Counter((r.metric, r.place.rsplit("/", 1)[-1], r.day, r.day_text) for r in read_raw_variants(spark, tmp_dir).selectExpr(
+        "metric", "place", "to_json(day) AS day", "day_text").collect())
+    assert got == Counter([
+        ("rainfall", "rainfall_raw.json#0", "1", None), ("rainfall", "rainfall_raw.json#1", "null", None),
+        ("rainfall", "rainfall_raw.json#2", '{"data":2}', None), ("wind_speed", "wind_speed_raw.json", None, "[1,"),
+        ("air_temperature", "air_temperature_raw.json", None, "{}"), ("wind_direction", "wind_direction_raw.json", None, "null")])
