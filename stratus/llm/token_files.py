@@ -45,15 +45,16 @@ def encode(ids: np.ndarray) -> bytes:
     selector = np.full(n, ESCAPE, np.uint8)
     length = np.ones(n, np.int64)
     top = int(ids.max()) if n else 0
+    fits = np.arange(n)
     for s in range(len(PACKS), 0, -1):        # few wide ids first; more narrow ones overrule
         count, bits = PACKS[s - 1]
-        if count > n:
-            continue
+        # Where more narrow ids fit, fewer wide ones do: only those places are left.
+        fits = fits[:np.searchsorted(fits, n - count, "right")]
         if top >> bits:
-            over = np.concatenate([[0], np.cumsum(ids >> np.uint64(bits) != 0)])
-            fits = np.flatnonzero(over[count:] == over[:-count])
-        else:
-            fits = np.arange(n - count + 1)
+            over = np.concatenate([[0], np.cumsum(ids >> np.uint64(bits) != 0, dtype=np.int32)])
+            fits = fits[over[fits + count] == over[fits]]
+        if not len(fits):
+            break
         selector[fits] = s
         length[fits] = count
     steps, at, i = length.tolist(), [], 0

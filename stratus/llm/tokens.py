@@ -120,8 +120,14 @@ class WordEncoder(_Encoder):
 
     _SPELT = re.compile(f"[{''.join(c for c in _L if c == c.lower())}]+")
 
+    def _encode(self, part: str) -> bytes:
+        # Most parts not seen yet: spelt in the byte-level alphabet as they are.
+        if part.isascii() and part.isalpha() and part.islower():
+            return self._packed([t.id for t in self._model.tokenize(part)])
+        return super()._encode(part)
+
     def _plain(self, text: str) -> bytes:
-        if not _OTHER_SCRIPT.search(text):
+        if text.isascii() or not _OTHER_SCRIPT.search(text):
             return self._joined(_WORD_PARTS.findall(text.lower()))
         return self._joined(text.replace("\n", " ").split(" "))
 
@@ -133,7 +139,7 @@ class ByteEncoder(_Encoder):
     _SPELT = re.compile(f" ?[{_L}]+")
 
     def _plain(self, text: str) -> bytes:
-        if not _OTHER_SCRIPT.search(text):
+        if text.isascii() or not _OTHER_SCRIPT.search(text):
             return self._joined(_BYTE_PARTS.findall(text))
         first, *parts = text.split(" ")
         if _BLANKS.search(text):

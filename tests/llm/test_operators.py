@@ -386,6 +386,28 @@ def test_simple8b_round_trip(bits):
         assert (token_files.decode(token_files.encode(ids)) == ids).all()
 
 
+def test_simple8b_takes_the_most_ids_a_word():
+    rng = np.random.default_rng(3)
+    for top in (1, 2, 40, 600, 50_000, 1 << 40, 1 << 62):
+        for n in (1, 7, 61, 700):
+            ids = np.minimum(rng.integers(0, top, n), rng.integers(0, top, n)) * rng.integers(0, 2, n)
+            block, i = token_files.encode(ids), 0
+            _, n_words, _ = token_files._HEAD.unpack_from(block)
+            for word in np.frombuffer(block, "<u8", n_words, token_files._HEAD.size):
+                fits = [s for s, (c, b) in enumerate(token_files.PACKS, 1) if i + c <= n and not (ids[i:i + c] >> b).any()]
+                want = fits[0] if fits else token_files.ESCAPE
+                assert int(word) >> 60 == want
+                i += token_files.PACKS[want - 1][0] if fits else 1
+            assert i == n
+
+
+def test_simple8b_looks_no_further_than_packs_fit(monkeypatch):
+    calls, cumsum = [], np.cumsum
+    monkeypatch.setattr(token_files.np, "cumsum", lambda *a, **k: calls.append(1) or cumsum(*a, **k))
+    token_files.encode(np.full(5000, 40_000))
+    assert len(calls) == 1        # four ids of 15 bits fit nowhere, so fewer bits don't either
+
+
 def test_token_files(spark, odd):
     df = docs_of(spark).select((F.col("doc_id") + 100).alias("doc_id"), "text").unionByName(odd.select("doc_id", "text"))
     enc, at, want = tokens.WordEncoder(WORD), 0, []
