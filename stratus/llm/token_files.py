@@ -114,8 +114,9 @@ def write_token_files(docs: DataFrame, out: str, path: str | None = None, end_id
                     "lengths": [lengths], "payload": [payload]}
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                got = encoder.ids(text.as_py()) + end
+            found = encoder.each(text.as_py() for text in batch.column(1))
+            for doc_id, got in zip(batch.column(0).to_pylist(), found, strict=True):
+                got += end
                 ids.append(doc_id)
                 lengths.append(len(got) // 4)
                 texts.append(got)

@@ -376,6 +376,34 @@ def test_added_tokens_are_one_id():
             assert enc.ids(t) == np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes(), (path, t)
 
 
+@pytest.mark.parametrize("small", [False, True])
+def test_many_texts_at_once_equal_whole_texts(monkeypatch, small):
+    from tokenizers import Tokenizer
+    if small:        # words share places, ids of replaced ones are dropped, texts go over several groups
+        for name, value in (("_SLOT_BITS", 3), ("_SPARE_IDS", 64), ("_GROUP", 200), ("_GROUP_WORDS", 7)):
+            monkeypatch.setattr(tokens, name, value)
+    rng = np.random.default_rng(11)
+    alphabet = list("aAzZéÉœŒßſŉÿŸ012²½ªº   '" + "''sstrevmldSTREVMLD.,!?&_-$#\n\t\r\x0b\x00\x00\x1c\x1f\x85\xa0\xad")
+    alphabet += ["the", " and", "straightforward", "straightforwards", "éé" * 9, "<|endoftext|>", "<|ENDOFTEXT|>", "İ", "Σ漢", "e\u0301"]
+    texts = [chr(c) + mid + last for c in range(0x181) for mid in ("", "a", " ", "'s", "'ll") for last in ("", " ", "A", "1", "'", "\x00")]
+    for n in (3, 30, 300):
+        texts += ["".join(rng.choice(alphabet, rng.integers(0, n))) for _ in range(1000)]
+    library = Tokenizer.from_file(WORD)
+    enc = tokens.WordEncoder(WORD)
+    want = [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    for got in (list(enc.each(texts)), list(enc.each(texts)), list(enc.each(iter(texts[:1]))) + list(enc.each(texts[1:]))):
+        assert got == want
+    assert list(enc.each([])) == [] and list(enc.each(["", " ", ""])) == [b""] * 3
+
+
+def test_known_words_are_not_encoded_again(monkeypatch):
+    enc, texts = tokens.WordEncoder(WORD), ["The cat's élan, 12 of them", "", "them, the CAT of élan"]
+    first = list(enc.each(texts))
+    monkeypatch.setattr(enc._known, "_word_ids", lambda word: pytest.fail(f"{word} again"))
+    monkeypatch.setattr(enc, "ids", lambda text: pytest.fail("a text by itself"))
+    assert list(enc.each(texts[::-1])) == first[::-1]
+
+
 @pytest.mark.parametrize("bits", [1, 7, 16, 33, 60, 61, 64])
 def test_simple8b_round_trip(bits):
     rng = np.random.default_rng(bits)
