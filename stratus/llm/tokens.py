@@ -96,9 +96,8 @@ class _Known(dict):
 
     def turn(self) -> None:
         if len(self) > _CACHE_MAX:
-            old = dict(self)
-            self.clear()
-            self._old = old
+            self._old = dict(self)
+            super().clear()
 
     def clear(self) -> None:
         super().clear()

@@ -402,6 +402,11 @@ def test_known_words_are_not_encoded_again(monkeypatch):
     monkeypatch.setattr(enc._known, "_word_ids", lambda word: pytest.fail(f"{word} again"))
     monkeypatch.setattr(enc, "ids", lambda text: pytest.fail("a text by itself"))
     assert list(enc.each(texts[::-1])) == first[::-1]
+    monkeypatch.undo()
+    monkeypatch.setattr(tokens, "_CACHE_MAX", 1)
+    list(enc.each(["Σ漢 words of another script, cached by themselves"] * 3))
+    monkeypatch.setattr(enc._known, "_word_ids", lambda word: pytest.fail(f"{word} again"))
+    assert list(enc.each(texts)) == first
 
 
 @pytest.mark.parametrize("bits", [1, 7, 16, 33, 60, 61, 64])
