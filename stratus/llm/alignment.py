@@ -10,7 +10,10 @@ in turn, and an interval without a cut inside is a leaf: one group.
 
 Texts are first parted before blanks that follow something else than white
 space, where both tokenizers always cut (tests compare with whole texts), and
-the groups of a part are kept in a bounded per-process cache.
+the groups of a part are kept in a bounded per-process cache.  Parts that
+aren't kept yet are made for many texts at once, as a call of B's library
+costs as much as hundreds of parts; parts of few tokens are divided together,
+level by level, in arrays.
 
 An id pair's links in a document are kept as (pair, how often), so a long
 group of a and b tokens costs its distinct pairs.  Documents are read once;
@@ -34,10 +37,10 @@ import re
 from array import array
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from hashlib import sha256
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +52,9 @@ from stratus.llm.common import map_batches, materialize, text_of, use_cache
 from stratus.llm.tokens import vocabulary
 
 CHUNK = 8_000_000          # pairs (and 16 a document) of a chunk
+_GROUP = 1 << 20           # characters whose parts are made together, whole texts
+_BLOCK = 1 << 14           # parts given to the tokenizers at once
+_FEW = 256                 # links a part divided among others may have
 _ONE = array("q", [1]).tobytes()
 _UNSPELT = ()              # stands for a part that its tokens don't spell
 _RUNS = re.compile(r" (?: |\Z)|[^\S ] ")
@@ -90,6 +96,35 @@ def align(a: list[int], b: list[int]) -> list[tuple[int, int, int, int]]:
     return out
 
 
+def align_many(a: np.ndarray, b: np.ndarray, todo: np.ndarray) -> np.ndarray:
+    """align() of many intervals, whose halves are divided level by level.
+    a, b: ends, increasing throughout.  todo: rows a_lo, a_hi, b_lo, b_hi, an
+    interval a column; so are the groups, in order."""
+    at = np.searchsorted(b, a)
+    shared = b[at] == a
+    out = [todo[:, :0]]
+    while todo.shape[1]:
+        a_lo, a_hi, b_lo, b_hi = todo
+        middle, cut, far = (a_lo + a_hi) // 2, np.zeros_like(a_lo), 0
+        look = np.flatnonzero((a_hi - a_lo > 1) & (b_hi - b_lo > 1))
+        while len(look):
+            for i in (middle[look] + 1 + far, middle[look] - far):     # of two as near the left one
+                hit = (i > a_lo[look]) & (i < a_hi[look])
+                hit[hit] = shared[i[hit] - 1]
+                cut[look[hit]] = i[hit]
+            far += 1
+            m = middle[look]
+            look = look[(cut[look] == 0) & ((m - far > a_lo[look]) | (m + 1 + far < a_hi[look]))]
+        leaf = cut == 0
+        out.append(todo[:, leaf])
+        a_lo, a_hi, b_lo, b_hi = todo[:, ~leaf]
+        cut = cut[~leaf]
+        b_cut = at[cut - 1] + 1
+        todo = np.concatenate([[a_lo, cut, b_lo, b_cut], [cut, a_hi, b_cut, b_hi]], axis=1)
+    out = np.concatenate(out, axis=1)
+    return out[:, np.argsort(out[0])]
+
+
 class _Parts(dict):
     """part -> its groups.  Past `most` entries they become the older half, of
     which what is used again moves over; the rest goes at the next turn."""
@@ -102,16 +137,16 @@ class _Parts(dict):
         super().clear()
         self._old = {}
 
-    def missing(self, parts: list[str]) -> list[str]:
+    def missing(self, parts: Iterable[str]) -> list[str]:
         """The parts to be made, each once."""
-        new = {p for p in parts if p not in self}
+        new = {p for p in set(parts) if p not in self}
         if new and self._old:
             self.update((p, self._old[p]) for p in new if p in self._old)
             new = {p for p in new if p not in self}
         return list(new)
 
     def turn(self, made: list[str]) -> None:
-        """A text is done: `made` parts too long to be met again go."""
+        """Texts are done: `made` parts too long to be met again go."""
         for p in made:
             if len(p) > self._longest:
                 del self[p]
@@ -137,6 +172,10 @@ class Aligner:
                          for k, p in ((k, self._b.id_to_piece(k)) for k in range(len(self._b)))]
         self._a_size, self._b_size = list(map(len, self._a_bytes)), list(map(len, self._b_bytes))
         self._a_text, self._b_text = list(map(str, range(len(self._a_bytes)))), list(map(str, range(len(self._b_bytes))))
+        # Tokens as they are shown: A's within and at the end of a group, B's.
+        self._shown = [f"{k}{c}" for size, c in ((len(self._a_bytes), ","), (len(self._a_bytes), "|"),
+                                                 (len(self._b_bytes), ","), (len(self._b_bytes), ";")) for k in range(size)]
+        self._shown_size = np.array(list(map(len, self._shown)))
         self._known = _Parts()
         # A letter and a stop or comma behind it: A's pattern parts them, and so
         # does B if no piece holds both.  Words then share their groups.
@@ -184,13 +223,58 @@ class Aligner:
         return (";".join(shown), len(a), len(b), len(groups), array("q", links).tobytes(),
                 array("q", often).tobytes() if often else b"")
 
+    def _together(self, made: list[tuple[str, list[int], list[int]]]):
+        """_groups of parts with few tokens each; None if a part isn't spelt."""
+        parts, a, b = zip(*made, strict=True)
+        n_a, n_b = np.array(list(map(len, a))), np.array(list(map(len, b)))
+        a, b = list(chain.from_iterable(a)), list(chain.from_iterable(b))
+        spelt = b"".join(map(self._b_bytes.__getitem__, b)) == "".join(parts).encode()
+        a, b = np.array(a), np.array(b)
+        a_end, b_end = np.cumsum(np.array(self._a_size)[a]), np.cumsum(np.array(self._b_size)[b])
+        a_to, b_to = np.cumsum(n_a), np.cumsum(n_b)
+        if not spelt or (a_end[a_to - 1] != b_end[b_to - 1]).any():
+            return None
+        a_lo, a_hi, b_lo, b_hi = align_many(a_end, b_end, np.stack([a_to - n_a, a_to, b_to - n_b, b_to]))
+        in_a, in_b = a_hi - a_lo, b_hi - b_lo
+        # Each group shows A's tokens, then B's.
+        shown = np.empty(len(a) + len(b), np.int64)
+        at_a, at_b = np.arange(len(a)) + np.repeat(b_lo, in_a), np.arange(len(b)) + np.repeat(a_hi, in_b)
+        shown[at_a], shown[at_b] = a, b + 2 * len(self._a_bytes)
+        shown[at_a[a_hi - 1]] += len(self._a_bytes)
+        shown[at_b[b_hi - 1]] += len(self._b_bytes)
+        text, text_to = "".join(map(self._shown.__getitem__, shown.tolist())), np.cumsum(self._shown_size[shown])[a_to + b_to - 1]
+        n = in_a * in_b
+        pair_to = np.cumsum(n)
+        group, nth = np.repeat(np.arange(len(n)), n), np.arange(pair_to[-1]) - np.repeat(pair_to - n, n)
+        i, j = np.divmod(nth, in_b[group])
+        pairs = (a[a_lo[group] + i] << 32 | b[b_lo[group] + j]).tobytes()
+        group_to = np.searchsorted(a_hi, a_to) + 1
+        pair_to = 8 * pair_to[group_to - 1]
+        out, text_at, pair_at = [], 0, 0
+        for x, y, k, t, p in zip(n_a.tolist(), n_b.tolist(), np.diff(group_to, prepend=0).tolist(), text_to.tolist(),
+                                 pair_to.tolist(), strict=True):
+            out.append((text[text_at:t - 1], x, y, k, pairs[pair_at:p], b""))
+            text_at, pair_at = t, p
+        return zip(parts, out, strict=True)
+
+    def _make(self, parts: list[str]) -> None:
+        made = [(p, a, b) for p, (a, b) in zip(parts, self.tokens(parts), strict=True)]
+        few = [m for m in made if 0 < len(m[1]) * len(m[2]) <= _FEW and "▁" not in m[0]]
+        rest = [m for m in made if not 0 < len(m[1]) * len(m[2]) <= _FEW or "▁" in m[0]] if len(few) < len(made) else []
+        together = self._together(few) if few else ()
+        if together is None:
+            together, rest = (), few + rest
+        self._known.update(together)
+        self._known.update((p, self._groups(p, a, b) or _UNSPELT) for p, a, b in rest)
+
     def _learn(self, parts: list[str]) -> list[str]:
         """Make the groups of parts; returns the words that were made besides."""
         known = self._known
         marked = [p for p in parts if p[-1] in self._marks and p[-2].isascii() and p[-2].isalpha()]
         words = known.missing([p[:-1] for p in marked])
         plain = list(set(parts).difference(marked).union(words))
-        known.update((p, self._groups(p, a, b) or _UNSPELT) for p, (a, b) in zip(plain, self.tokens(plain), strict=True))
+        for k in range(0, len(plain), _BLOCK):
+            self._make(plain[k:k + _BLOCK])
         for p in marked:
             word = known[p[:-1]]
             shown, pair = self._marks[p[-1]]
@@ -203,27 +287,42 @@ class Aligner:
             return _CUT.split(" " + text)
         return [" " + p for p in text.split(" ")]
 
+    def documents(self, texts: Iterable[str]) -> Iterator:
+        """document() of each text, in order."""
+        group, size = [], 0
+        for text in texts:
+            group.append(text)
+            size += len(text)
+            if size >= _GROUP:
+                yield from self._group(group)
+                group, size = [], 0
+        yield from self._group(group)
+
     def document(self, text: str, parted: bool = True):
         """(groups as text, tokens of A, of B, groups, distinct pairs, how
         often each) of a text; None for one without tokens."""
-        if not text:
-            return None
+        return self._group([text], parted)[0]
+
+    def _group(self, texts: list[str], parted: bool = True) -> list:
         use_cache(self._known)
-        parts = self.parts(text) if parted else [" " + text]
-        found = list(map(self._known.get, parts))
-        if None in found:
-            places = [k for k, f in enumerate(found) if f is None]
-            new = self._known.missing([parts[k] for k in places])
-            new += self._learn(new)
-            for k in places:
-                found[k] = self._known[parts[k]]
-            self._known.turn(new)
+        parts = [(self.parts(t) if parted else [" " + t]) if t else [] for t in texts]
+        new = self._known.missing(chain.from_iterable(parts))
+        new += self._learn(new)
+        found = [self._joined(list(map(self._known.__getitem__, p))) if p else None for p in parts]
+        self._known.turn(new)
+        return [self.document(t, False) if f is None and len(p) > 1 else f
+                for t, p, f in zip(texts, parts, found, strict=True)]
+
+    def _joined(self, found: list):
+        """document() from its parts'; None if one of them isn't spelt."""
         if _UNSPELT in found:
-            return self.document(text, False) if len(parts) > 1 else None
+            return None
         shown, a, b, groups, pairs, often = zip(*found, strict=True)
         pair = np.frombuffer(b"".join(pairs), np.int64)
         if not any(often):
-            pair, n = np.unique(pair, return_counts=True)
+            pair = np.sort(pair)
+            first = np.flatnonzero(np.diff(pair, prepend=-1))
+            pair, n = pair[first], np.diff(first, append=len(pair))
         else:
             weights = np.concatenate([np.frombuffer(o, np.int64) if o else np.ones(len(p) // 8, np.int64)
                                       for p, o in zip(pairs, often, strict=True)])
@@ -273,8 +372,7 @@ def linked(docs: DataFrame, rank_path: str, piece_path: str, chunk: int = CHUNK,
             ids = batch.column(0)
             out = {k: [] for k in ("chunk", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "n_pairs", "pairs", "often")}
             closed = []
-            for text in batch.column(1):
-                found = tools.document(text.as_py())
+            for found in tools.documents(text.as_py() for text in batch.column(1)):
                 shown, a, b, groups, pair, n = found or ("", 0, 0, 0, _NO_PAIRS, _NO_PAIRS)
                 for name, value in (("chunk", part << 32 | nth), ("n_a", a), ("n_b", b), ("n_groups", groups),
                                     ("n_links", int(n.sum())), ("n_pairs", len(pair)), ("pairs", pair.tobytes()),

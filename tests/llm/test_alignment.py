@@ -114,6 +114,43 @@ def test_parts_are_whole_texts():
             assert parts[4].tolist() == whole[4].tolist() and parts[5].tolist() == whole[5].tolist()
 
 
+def test_align_many_is_align_of_each():
+    rnd, want, ends, todo, at = random.Random(5), [], ([], []), [], 0
+    for _ in range(300):
+        last = rnd.randint(1, 40)
+        here = [sorted({*rnd.sample(range(1, last + 1), rnd.randint(1, last)), last}) for _ in range(2)]
+        lo = [len(e) for e in ends]
+        want += [(p + lo[0], q + lo[0], r + lo[1], s + lo[1]) for p, q, r, s in alignment.align(*here)]
+        for e, h in zip(ends, here, strict=True):
+            e.extend(at + x for x in h)
+        todo.append((lo[0], len(ends[0]), lo[1], len(ends[1])))
+        at += last
+    got = alignment.align_many(*map(alignment.np.array, ends), alignment.np.array(todo).T)
+    assert list(zip(*got.tolist(), strict=True)) == want
+
+
+@pytest.mark.parametrize("group,block", [(1, 3), (400, 7), (1 << 20, 1 << 14)])
+def test_texts_share_the_calls_of_the_tokenizers(monkeypatch, group, block):
+    # A call of B's library costs as much as hundreds of parts: one a text is too many.
+    monkeypatch.setattr(alignment, "_GROUP", group)
+    monkeypatch.setattr(alignment, "_BLOCK", block)
+    some = texts(400, 11) + ["", "one ▁ two", "▁", "漢字x" * 300, "=" * 999, "", "xyz" * 40 + " end."] + texts(100, 12, BITS + ["▁"])
+    tools, calls = alignment.Aligner(RANKS, PIECE), []
+    tokens = tools.tokens
+    monkeypatch.setattr(tools, "tokens", lambda parts: calls.append(len(parts)) or tokens(parts))
+    got = list(tools.documents(iter(some)))
+    assert max(calls) <= block
+    if group > sum(map(len, some)):
+        # One for all parts, and for each text that its parts don't spell another.
+        assert len(calls) <= 1 + sum("▁" in t for t in some)
+    assert len(got) == len(some)
+    for text, found in zip(some, got, strict=True):
+        want = tools.document(text, False)
+        assert (found is None) == (want is None), text
+        if found:
+            assert found[:4] == want[:4] and found[4].tolist() == want[4].tolist() and found[5].tolist() == want[5].tolist()
+
+
 @pytest.mark.parametrize("chunk", [1, 300, alignment.CHUNK])
 def test_query_is_brute_force(spark, odd, whole, chunk):
     rows = [(1000 + k, t) for k, t in enumerate(texts(120, 3) + ["▁x", "a▁b", "one ▁"])]
