@@ -12,8 +12,8 @@ Texts are first parted before blanks that follow something else than white
 space, where both tokenizers always cut (tests compare with whole texts), and
 the groups of a part are kept in a bounded per-process cache.  Parts that
 aren't kept yet are made for many texts at once, as a call of B's library
-costs as much as hundreds of parts; parts of few tokens are divided together,
-level by level, in arrays.
+costs as much as hundreds of parts; short parts are divided together, level by
+level, in arrays.
 
 An id pair's links in a document are kept as (pair, how often), so a long
 group of a and b tokens costs its distinct pairs.  Documents are read once;
@@ -54,7 +54,7 @@ from stratus.llm.tokens import vocabulary
 CHUNK = 8_000_000          # pairs (and 16 a document) of a chunk
 _GROUP = 1 << 20           # characters whose parts are made together, whole texts
 _BLOCK = 1 << 14           # parts given to the tokenizers at once
-_FEW = 256                 # links a part divided among others may have
+_SHORT = 24                # characters a part divided among others may have
 _ONE = array("q", [1]).tobytes()
 _UNSPELT = ()              # stands for a part that its tokens don't spell
 _RUNS = re.compile(r" (?: |\Z)|[^\S ] ")
@@ -171,6 +171,7 @@ class Aligner:
         self._b_bytes = [bytes([int(p[3:5], 16)]) if self._b.is_byte(k) else p.replace("▁", " ").encode()
                          for k, p in ((k, self._b.id_to_piece(k)) for k in range(len(self._b)))]
         self._a_size, self._b_size = list(map(len, self._a_bytes)), list(map(len, self._b_bytes))
+        self._sizes = np.array(self._a_size), np.array(self._b_size)
         self._a_text, self._b_text = list(map(str, range(len(self._a_bytes)))), list(map(str, range(len(self._b_bytes))))
         # Tokens as they are shown: A's within and at the end of a group, B's.
         self._shown = [f"{k}{c}" for size, c in ((len(self._a_bytes), ","), (len(self._a_bytes), "|"),
@@ -223,17 +224,22 @@ class Aligner:
         return (";".join(shown), len(a), len(b), len(groups), array("q", links).tobytes(),
                 array("q", often).tobytes() if often else b"")
 
-    def _together(self, made: list[tuple[str, list[int], list[int]]]):
-        """_groups of parts with few tokens each; None if a part isn't spelt."""
-        parts, a, b = zip(*made, strict=True)
-        n_a, n_b = np.array(list(map(len, a))), np.array(list(map(len, b)))
-        a, b = list(chain.from_iterable(a)), list(chain.from_iterable(b))
-        spelt = b"".join(map(self._b_bytes.__getitem__, b)) == "".join(parts).encode()
+    def _together(self, parts: list[str]):
+        """Short parts, each a blank before and up to something else than white
+        space, and their _groups; None if a part isn't spelt.  A cuts them
+        from each other, B gets them one by one."""
+        text = "".join(parts)
+        b = self._b.encode([p[1:] for p in parts], num_threads=1)
+        n_b = np.array(list(map(len, b)))
+        a, b = self._a.encode_ordinary(text), list(chain.from_iterable(b))
+        spelt = b"".join(map(self._b_bytes.__getitem__, b)) == text.encode()
         a, b = np.array(a), np.array(b)
-        a_end, b_end = np.cumsum(np.array(self._a_size)[a]), np.cumsum(np.array(self._b_size)[b])
-        a_to, b_to = np.cumsum(n_a), np.cumsum(n_b)
-        if not spelt or (a_end[a_to - 1] != b_end[b_to - 1]).any():
+        ends = np.cumsum(list(map(len, map(str.encode, parts))))
+        a_end, b_end = np.cumsum(self._sizes[0][a]), np.cumsum(self._sizes[1][b])
+        a_to, b_to = np.searchsorted(a_end, ends) + 1, np.cumsum(n_b)
+        if not spelt or not n_b.all() or (a_end[a_to - 1] != ends).any() or (b_end[b_to - 1] != ends).any():
             return None
+        n_a = np.diff(a_to, prepend=0)
         a_lo, a_hi, b_lo, b_hi = align_many(a_end, b_end, np.stack([a_to - n_a, a_to, b_to - n_b, b_to]))
         in_a, in_b = a_hi - a_lo, b_hi - b_lo
         # Each group shows A's tokens, then B's.
@@ -258,14 +264,12 @@ class Aligner:
         return zip(parts, out, strict=True)
 
     def _make(self, parts: list[str]) -> None:
-        made = [(p, a, b) for p, (a, b) in zip(parts, self.tokens(parts), strict=True)]
-        few = [m for m in made if 0 < len(m[1]) * len(m[2]) <= _FEW and "▁" not in m[0]]
-        rest = [m for m in made if not 0 < len(m[1]) * len(m[2]) <= _FEW or "▁" in m[0]] if len(few) < len(made) else []
-        together = self._together(few) if few else ()
-        if together is None:
-            together, rest = (), few + rest
-        self._known.update(together)
-        self._known.update((p, self._groups(p, a, b) or _UNSPELT) for p, a, b in rest)
+        short = [p for p in parts if len(p) <= _SHORT and not p[-1].isspace() and not p[1].isspace() and "▁" not in p]
+        together = self._together(short) if short else ()
+        self._known.update(together or ())
+        rest = parts if together is None else list(set(parts).difference(short)) if len(short) < len(parts) else []
+        if rest:
+            self._known.update((p, self._groups(p, a, b) or _UNSPELT) for p, (a, b) in zip(rest, self.tokens(rest), strict=True))
 
     def _learn(self, parts: list[str]) -> list[str]:
         """Make the groups of parts; returns the words that were made besides."""
